@@ -1,0 +1,14 @@
+"""Size-checked broadcast: broadcast a join side only when it is proven small."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """Count the candidate side (one cheap job over the small table) and hint a
+    broadcast only below ``max_rows``; otherwise leave the join to a
+    shuffle-hash / sort-merge plan where AQE can split skewed keys."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
