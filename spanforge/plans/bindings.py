@@ -99,3 +99,89 @@ def flip_tags(tags, key, seed: int = SEED, rate: float = 0.1, n_tags: int = 7):
 
 __all__ = ["sentences", "phrases", "labelled_sentences", "random_char_spans", "split_of",
            "flip_tags", "u32", "SEED"]
+
+
+# --- lexicon sources (code lists, dose list, term list) ----------------------
+
+def pipe_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw pipe-separated code-list lines built from ``part``: code in field 5,
+    padded term in field 7; every 10th-by-hash line has only 7 fields and
+    every 13th-by-hash code is blank."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    code = F.when(draw_index(13, SEED, k, "blank") == 0, F.lit("  ")).otherwise(F.concat(F.lit("C"), k.cast("string")))
+    fields = [k.cast("string"), F.col("p_type"), F.col("p_size").cast("string"), F.col("p_brand"), F.lit("A"),
+              code, F.col("p_size").cast("string"), F.concat(F.lit(" "), F.col("p_name"), F.lit(" "))]
+    short = draw_index(10, SEED, k, "short") == 0
+    line = F.when(short, F.concat_ws("|", *fields[:7])).otherwise(F.concat_ws("|", *fields))
+    return p.select(k.alias("line_key"), line.alias("value"))
+
+
+def semicolon_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw ``;`` code-list lines from ``part``: terminal flag in field 1 (T/N by
+    hash), code in field 5, term in field 8; every 10th-by-hash line has 8 fields."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    flag = F.when(draw_index(3, SEED, k, "flag") == 0, F.lit("N")).otherwise(F.lit("T"))
+    fields = [k.cast("string"), flag, F.col("p_brand"), F.col("p_type"), F.col("p_size").cast("string"),
+              F.concat(F.lit("D"), k.cast("string")), F.lit("x"), F.lit("y"), F.col("p_name")]
+    short = draw_index(10, SEED, k, "short") == 0
+    line = F.when(short, F.concat_ws(";", *fields[:8])).otherwise(F.concat_ws(";", *fields))
+    return p.select(k.alias("line_key"), line.alias("value"))
+
+
+def dose_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dose list as raw strings (what a CSV file holds): pandas NA tokens
+    (``NA``, empty, ``null``) planted by hash in ``ddd`` and ``uom``."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    dd = draw_index(7, SEED, k, "ddd")
+    ddd = (F.when(dd == 0, F.lit("NA")).when(dd == 1, F.lit(""))
+           .otherwise(F.concat(F.col("p_size").cast("string"), F.lit("."), (F.pmod(k, F.lit(4)) * 25).cast("string"))))
+    du = draw_index(5, SEED, k, "uom")
+    units = F.array(*[F.lit(u) for u in ["mg", "ug", "g", "ml", "IE"]])
+    uom = F.when(du == 0, F.lit("null")).otherwise(F.get(units, draw_index(5, SEED, k, "unit")))
+    return p.select(F.concat(F.lit("A"), k.cast("string")).alias("atc_code"), F.col("p_name").alias("atc_name"),
+                    ddd.alias("ddd"), uom.alias("uom"), F.lit("O").alias("adm_r"), F.lit("").alias("note"))
+
+
+def term_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code/term list rows (ICD_Code, Diagnose) from ``part``; some terms carry
+    ``;`` and ``"`` so quoting is exercised."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    term = F.when(draw_index(9, SEED, k, "q") == 0, F.concat(F.col("p_name"), F.lit('; "Typ" B'))).otherwise(F.col("p_name"))
+    return p.select(F.concat(F.lit("I"), k.cast("string")).alias("ICD_Code"), term.alias("Diagnose"))
+
+
+def entity_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sentences + requested entities: the texts under the hash-drawn spans,
+    a repeat of the first one for every 4th-by-hash sentence and a term that
+    never occurs for every 10th-by-hash sentence."""
+    s = random_char_spans(sentences(spark, sf_dir))
+    names = class_name_literal()
+    ents = F.transform("spans", lambda x: F.struct(
+        F.substring("sentence", x["start"] + 1, x["stop"] - x["start"]).alias("text"),
+        F.get(names, x["ner_class"]).alias("label")))
+    dup = F.when(draw_index(4, SEED, F.col("sent_id"), "dup") == 0, F.slice(ents, 1, 1)).otherwise(F.slice(ents, 1, 0))
+    miss = F.when(draw_index(10, SEED, F.col("sent_id"), "miss") == 0,
+                  F.array(F.struct(F.lit("zzqx").alias("text"), F.lit("Diagnose").alias("label")))
+                  ).otherwise(F.slice(ents, 1, 0))
+    return s.select("sent_id", "sentence", F.concat(ents, dup, miss).alias("entities"))
+
+
+def tagged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inline-tagged sentences from ``part`` and ``nation`` values."""
+    p = table(spark, sf_dir, "part")
+    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey"), F.col("n_name"))
+    k = F.col("p_partkey")
+    nk = F.pmod(k, F.lit(25)).cast("int")
+    j = p.join(F.broadcast(n), nk == F.col("n_nationkey"), "left")
+    med = F.concat(F.lit('<class="Medikation">'), F.col("p_name"), F.lit("</class>"))
+    dose = F.concat(F.lit('<class="Dosis">'), F.col("p_size").cast("string"), F.lit(" mg</class>"))
+    diag = F.concat(F.lit('<class="Diagnose">'), F.col("n_name"), F.lit("</class>"))
+    v = draw_index(3, SEED, k, "tag")
+    body = (F.when(v == 0, F.concat(F.lit("Patient erhält "), med, F.lit(" "), dose, F.lit(" wegen "), diag, F.lit(".")))
+            .when(v == 1, F.concat(dose, F.lit(" "), med, F.lit("/"), med, F.lit(" 1-0-0")))
+            .otherwise(F.concat(F.lit("Befund: "), diag, F.lit(" ohne Therapie."))))
+    return j.select(k.alias("line_key"), F.concat(F.lit("<s>"), body, F.lit("</s>")).alias("value"))

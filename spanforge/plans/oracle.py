@@ -145,3 +145,101 @@ def with_(*ctes: str) -> str:
 def scoring_ctes() -> list[str]:
     return [SENTENCES, PIECES, TOKENS, phrase_keys_cte(), grams_cte(), MATCHES, FILTERED, GOLD_TAGS,
             chunks_cte("gold_chunks", "both_tags", "gold"), chunks_cte("pred_chunks", "both_tags", "pred")]
+
+
+# --- batch 2: labelled sentences, lexicon sources, entity requests ----------
+
+def joined(expr: str, order: str) -> str:
+    return f"coalesce(array_to_string(list({expr} ORDER BY {order}), ','), '')"
+
+
+RAW_SPANS = f"""raw_spans AS (
+  SELECT s.doc_id, s.line_no, s.sent_id, s.sentence, r.ord::INTEGER AS ord,
+         {draw('length(s.sentence)', str(SEED), 's.sent_id', 'r.ord', "'a'")} AS start,
+         least({draw('length(s.sentence)', str(SEED), 's.sent_id', 'r.ord', "'a'")}
+               + {draw('12', str(SEED), 's.sent_id', 'r.ord', "'b'")} + 1, length(s.sentence))::INTEGER AS stop,
+         {draw('3', str(SEED), 's.sent_id', 'r.ord', "'c'")} AS ner_class
+  FROM sentences s, range({draw('3', str(SEED), 's.sent_id', "'k'")} + 1) r(ord))"""
+
+SPLIT_OF = (f"CASE WHEN {draw('10', str(SEED), 'doc_id', chr(39) + 'split' + chr(39))} < 8 THEN 'train' "
+            f"WHEN {draw('10', str(SEED), 'doc_id', chr(39) + 'split' + chr(39))} = 8 THEN 'validation' ELSE 'test' END")
+
+LABELLED = f"""labelled AS (
+  SELECT doc_id, line_no, sent_id, sentence,
+         {joined('ner_class', 'start, stop, ner_class, ord')} AS ner_class,
+         {joined('start', 'start, stop, ner_class, ord')} AS start,
+         {joined('stop', 'start, stop, ner_class, ord')} AS stop,
+         {joined("CASE ner_class WHEN 0 THEN 'Medikation' WHEN 1 THEN 'Dosis' ELSE 'Diagnose' END",
+                 'start, stop, ner_class, ord')} AS class_names,
+         {SPLIT_OF} AS split
+  FROM raw_spans GROUP BY doc_id, line_no, sent_id, sentence)"""
+
+PIPE_LINES = f"""pipe_lines AS (
+  SELECT p_partkey AS line_key,
+         CASE WHEN {draw('10', str(SEED), 'p_partkey', "'short'")} = 0
+              THEN concat_ws('|', p_partkey, p_type, p_size, p_brand, 'A', code, p_size)
+              ELSE concat_ws('|', p_partkey, p_type, p_size, p_brand, 'A', code, p_size, ' ' || p_name || ' ') END AS value
+  FROM (SELECT *, CASE WHEN {draw('13', str(SEED), 'p_partkey', "'blank'")} = 0 THEN '  ' ELSE 'C' || p_partkey END AS code
+        FROM part))"""
+
+SEMI_LINES = f"""semi_lines AS (
+  SELECT p_partkey AS line_key,
+         CASE WHEN {draw('10', str(SEED), 'p_partkey', "'short'")} = 0
+              THEN concat_ws(';', p_partkey, flag, p_brand, p_type, p_size, 'D' || p_partkey, 'x', 'y')
+              ELSE concat_ws(';', p_partkey, flag, p_brand, p_type, p_size, 'D' || p_partkey, 'x', 'y', p_name) END AS value
+  FROM (SELECT *, CASE WHEN {draw('3', str(SEED), 'p_partkey', "'flag'")} = 0 THEN 'N' ELSE 'T' END AS flag FROM part))"""
+
+
+def ustrip_sql(x: str) -> str:
+    from spanforge.functions.text import STRIP_PATTERN
+    return f"regexp_replace({x}, {q(STRIP_PATTERN)}, '', 'g')"
+
+
+def extract_cte(name: str, src: str, sep: str, min_fields: int, code_idx: int, term_idx: int,
+                flag_idx: int | None = None) -> str:
+    f = "string_split(regexp_replace(value, '[\\r\\n]+$', ''), " + q(sep) + ")"
+    flag = (f"WHEN fields[{flag_idx + 1}] <> 'T' THEN 'not_terminal' " if flag_idx is not None else "")
+    return f"""{name} AS (
+  SELECT line_key, code, term,
+         CASE WHEN len(fields) < {min_fields} THEN 'too_few' {flag}
+              WHEN code = '' OR term = '' THEN 'empty' ELSE 'kept' END AS status
+  FROM (SELECT line_key, fields,
+               CASE WHEN len(fields) >= {min_fields} THEN {ustrip_sql(f'fields[{code_idx + 1}]')} END AS code,
+               CASE WHEN len(fields) >= {min_fields} THEN {ustrip_sql(f'fields[{term_idx + 1}]')} END AS term
+        FROM (SELECT line_key, {f} AS fields FROM {src})))"""
+
+
+DOSE = f"""dose AS (
+  SELECT 'A' || p_partkey AS atc_code, p_name AS atc_name,
+         CASE WHEN dd <= 1 THEN NULL ELSE (p_size || '.' || ((p_partkey % 4) * 25))::DOUBLE END AS ddd,
+         CASE WHEN du = 0 THEN NULL
+              ELSE ['mg', 'ug', 'g', 'ml', 'IE'][{draw('5', str(SEED), 'p_partkey', "'unit'")} + 1] END AS uom,
+         'O' AS adm_r, NULL::VARCHAR AS note
+  FROM (SELECT *, {draw('7', str(SEED), 'p_partkey', "'ddd'")} AS dd, {draw('5', str(SEED), 'p_partkey', "'uom'")} AS du
+        FROM part))"""
+
+TERMS = f"""terms AS (
+  SELECT 'I' || p_partkey AS ICD_Code,
+         CASE WHEN {draw('9', str(SEED), 'p_partkey', "'q'")} = 0 THEN p_name || '; "Typ" B' ELSE p_name END AS Diagnose
+  FROM part)"""
+
+
+def py_float_sql(x: str) -> str:
+    s = f"regexp_replace(CAST(CAST({x} AS DECIMAL(38,10)) AS VARCHAR), '0+$', '')"
+    return f"CASE WHEN {s} LIKE '%.' THEN {s} || '0' ELSE {s} END"
+
+
+# entity requests: texts under the drawn spans (+ a repeat, + a missing term)
+REQUESTS = f"""req AS (
+  SELECT sent_id, sentence, ord, substr(sentence, start + 1, stop - start) AS text,
+         CASE ner_class WHEN 0 THEN 'Medikation' WHEN 1 THEN 'Dosis' ELSE 'Diagnose' END AS label
+  FROM raw_spans
+  UNION ALL
+  SELECT sent_id, sentence, 100, substr(sentence, start + 1, stop - start),
+         CASE ner_class WHEN 0 THEN 'Medikation' WHEN 1 THEN 'Dosis' ELSE 'Diagnose' END
+  FROM raw_spans WHERE ord = 0 AND {draw('4', str(SEED), 'sent_id', "'dup'")} = 0
+  UNION ALL
+  SELECT sent_id, sentence, 200, 'zzqx', 'Diagnose'
+  FROM sentences WHERE {draw('10', str(SEED), 'sent_id', "'miss'")} = 0),
+req_ord AS (
+  SELECT *, (row_number() OVER (PARTITION BY sent_id ORDER BY ord) - 1)::INTEGER AS pos FROM req)"""
