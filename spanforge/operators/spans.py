@@ -23,7 +23,7 @@ def find_spans_first(sentence: Column, entities: Column) -> Column:
 
     def one(e, k):
         t = F.lower(e["text"])
-        start = F.locate(t, low) - 1  # locate: 1-based, 0 = miss
+        start = F.call_function("locate", t, low) - 1  # locate: 1-based, 0 = miss
         return F.struct(start.cast("int").alias("start"), (start + F.length(t)).cast("int").alias("stop"),
                         e["label"].alias("label"), k.alias("ord"))
     return F.transform(entities, one)
@@ -43,7 +43,7 @@ def find_spans_next(sentence: Column, entities: Column) -> Column:
     def step(acc, e):
         t = F.lower(e["text"])
         from_pos = F.coalesce(F.try_element_at(acc["pos"], t), F.lit(1))
-        found = F.locate(t, low, from_pos) - 1
+        found = F.call_function("locate", t, low, from_pos) - 1
         stop = found + F.length(t)
         k = F.size(acc["spans"])
         span = F.struct(found.cast("int").alias("start"), stop.cast("int").alias("stop"),

@@ -97,7 +97,7 @@ def flip_tags(tags, key, seed: int = SEED, rate: float = 0.1, n_tags: int = 7):
         unit_draw(seed, key, i, "flip") < rate, draw_index(n_tags, seed, key, i, "tag")).otherwise(t))
 
 
-__all__ = ["sentences", "phrases", "labelled_sentences", "random_char_spans", "split_of",
+__all__ = ["sentences", "phrases", "labelled_sentences", "random_char_spans", "split_of", "draw_index",
            "flip_tags", "u32", "SEED"]
 
 

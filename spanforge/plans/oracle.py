@@ -243,3 +243,83 @@ REQUESTS = f"""req AS (
   FROM sentences WHERE {draw('10', str(SEED), 'sent_id', "'miss'")} = 0),
 req_ord AS (
   SELECT *, (row_number() OVER (PARTITION BY sent_id ORDER BY ord) - 1)::INTEGER AS pos FROM req)"""
+
+
+# --- batch 3: spans (F) and token views (G) ----------------------------------
+
+F1 = """f1 AS (
+  SELECT sent_id, pos, text, label, (instr(lower(sentence), lower(text)) - 1)::INTEGER AS start,
+         (instr(lower(sentence), lower(text)) - 1 + length(lower(text)))::INTEGER AS stop
+  FROM req_ord)"""
+
+F2 = """f2_base AS (
+  SELECT *, (row_number() OVER (PARTITION BY sent_id, lower(text) ORDER BY pos) - 1)::INTEGER AS j,
+         string_split(lower(sentence), lower(text)) AS parts
+  FROM req_ord),
+f2 AS (
+  SELECT sent_id, pos, text, label, sentence,
+         CASE WHEN j < len(parts) - 1
+              THEN (list_sum(list_transform(parts[1:j + 1], lambda x: length(x))) + j * length(lower(text)))::INTEGER
+              ELSE -1 END AS start, length(lower(text)) AS tlen
+  FROM f2_base),
+f2s AS (SELECT sent_id, pos, text, label, sentence, start, (start + tlen)::INTEGER AS stop FROM f2)"""
+
+TAG_SQL = "'<class=\"([^\"]+)\">(.*?)</class>'"
+
+
+def tagged_cte() -> str:
+    from spanforge.plans.bindings import SEED as S
+    med = "'<class=\"Medikation\">' || p_name || '</class>'"
+    dose = "'<class=\"Dosis\">' || p_size || ' mg</class>'"
+    diag = "'<class=\"Diagnose\">' || n_name || '</class>'"
+    v = draw('3', str(S), 'p_partkey', "'tag'")
+    return f"""tagged_src AS (
+  SELECT p_partkey AS line_key, '<s>' || CASE WHEN {v} = 0 THEN 'Patient erhält ' || {med} || ' ' || {dose} || ' wegen ' || {diag} || '.'
+                              WHEN {v} = 1 THEN {dose} || ' ' || {med} || '/' || {med} || ' 1-0-0'
+                              ELSE 'Befund: ' || {diag} || ' ohne Therapie.' END || '</s>' AS value
+  FROM part LEFT JOIN nation ON (p_partkey % 25) = n_nationkey),
+tagged AS (SELECT line_key, replace(replace(value, '<s>', ''), '</s>', '') AS inner_text FROM tagged_src)"""
+
+
+def filtered_cte(name: str, src: str) -> str:
+    return f"""{name} AS (
+  SELECT sent_id, unnest(list_sort(list_reduce(
+      list(struct_pack(first_tok := first_tok, end_tok := end_tok, start := start, stop := stop, label := label)
+           ORDER BY end_tok - first_tok DESC, first_tok, label),
+      lambda acc, s: CASE WHEN len(list_filter(acc, lambda a: a.first_tok < s.end_tok AND s.first_tok < a.end_tok)) > 0
+                          THEN acc ELSE list_append(acc, s) END,
+      []::STRUCT(first_tok INTEGER, end_tok INTEGER, start INTEGER, stop INTEGER, label VARCHAR)[])), recursive := true)
+  FROM {src} GROUP BY sent_id)"""
+
+
+ALIGNED = """aligned AS (
+  SELECT r.sent_id, r.ord, r.start AS c_start, r.stop AS c_stop, r.ner_class,
+         min(t.i)::INTEGER AS first_tok, (max(t.i) + 1)::INTEGER AS end_tok,
+         arg_min(t.start, t.i)::INTEGER AS start, arg_max(t.stop, t.i)::INTEGER AS stop
+  FROM raw_spans r LEFT JOIN tokens t ON t.sent_id = r.sent_id AND t.stop > r.start AND t.start < r.stop
+  GROUP BY r.sent_id, r.ord, r.start, r.stop, r.ner_class)"""
+
+# model-input view: [CLS] + first 126 word tokens + [SEP]; specials have (0, 0)
+SEQ = """seq AS (
+  SELECT sent_id, i + 1 AS p, token, start, stop FROM tokens WHERE i < 126
+  UNION ALL SELECT sent_id, 0, '[CLS]', 0, 0 FROM sentences
+  UNION ALL SELECT s.sent_id, least(coalesce(c.n, 0), 126) + 1, '[SEP]', 0, 0
+  FROM sentences s LEFT JOIN (SELECT sent_id, count(*) AS n FROM tokens GROUP BY sent_id) c USING (sent_id))"""
+
+ENT_RANK = """ents_ranked AS (
+  SELECT sent_id, start, stop, ner_class,
+         row_number() OVER (PARTITION BY sent_id ORDER BY start, stop, ner_class, ord) AS er
+  FROM raw_spans)"""
+
+
+def seq_labels_cte(last: bool) -> str:
+    pick = "arg_max" if last else "arg_min"
+    return f"""seq_lab AS (
+  SELECT q.sent_id, q.p, q.token,
+         CASE WHEN q.start = q.stop THEN -100
+              WHEN count(e.er) = 0 THEN 0
+              WHEN {pick}(e.start, e.er) = q.start THEN 2 * {pick}(e.ner_class, e.er) + 1
+              ELSE 2 * {pick}(e.ner_class, e.er) + 2 END AS lab
+  FROM seq q LEFT JOIN ents_ranked e ON e.sent_id = q.sent_id AND q.start <> q.stop
+       AND e.start <= q.start AND q.stop <= e.stop
+  GROUP BY q.sent_id, q.p, q.token, q.start, q.stop)"""
