@@ -323,3 +323,119 @@ def seq_labels_cte(last: bool) -> str:
   FROM seq q LEFT JOIN ents_ranked e ON e.sent_id = q.sent_id AND q.start <> q.stop
        AND e.start <= q.start AND q.stop <= e.stop
   GROUP BY q.sent_id, q.p, q.token, q.start, q.stop)"""
+
+
+# --- batch 4: draws, prompts, responses ----------------------------------------
+
+def _lit_list(values) -> str:
+    return "[" + ", ".join(q(v) for v in values) + "]"
+
+
+def gen_lexica() -> list[str]:
+    return [
+        "meds AS (SELECT (row_number() OVER (ORDER BY p_name, p_partkey) - 1)::INTEGER AS idx, p_name AS term FROM part)",
+        "diags AS (SELECT (row_number() OVER (ORDER BY n_name, n_nationkey) - 1)::INTEGER AS idx, n_name AS term "
+        "FROM nation)",
+        f"vals AS (SELECT (row_number() OVER (ORDER BY p_partkey) - 1)::INTEGER AS idx, "
+        f"{py_float_sql('(p_size + (p_partkey % 4) * 0.25)')} AS term FROM part)",
+        "units AS (SELECT (row_number() OVER (ORDER BY p_partkey) - 1)::INTEGER AS idx, lower(p_type) AS term FROM part)",
+        "lex_n AS (SELECT (SELECT count(*) FROM meds) AS nm, (SELECT count(*) FROM diags) AS nd, "
+        "(SELECT count(*) FROM vals) AS nv, (SELECT count(*) FROM units) AS nu)",
+    ]
+
+
+def shapes_cte(shapes) -> str:
+    vals = ", ".join(f"({i}, {_lit_list(s)})" for i, s in enumerate(shapes))
+    return f"shapes AS (SELECT * FROM (VALUES {vals}) v(shape_id, shape))"
+
+
+def gen_slots() -> list[str]:
+    from spanforge.schemas import SHAPES
+    S = str(SEED)
+    return gen_lexica() + [shapes_cte(SHAPES), f"""slots AS (
+  SELECT row_id, (generate_subscripts(shape, 1) - 1)::INTEGER AS slot, unnest(shape) AS label FROM (
+    SELECT o_orderkey AS row_id, shape FROM orders JOIN shapes ON shape_id = {draw('7', S, 'o_orderkey', "'shape'")}))""",
+                           f"""slot_text AS (
+  SELECT s.row_id, s.slot, s.label,
+         CASE s.label WHEN 'Medikation' THEN m.term WHEN 'Diagnose' THEN dg.term
+              ELSE replace(v.term || CASE WHEN {unit(S, 's.row_id', 's.slot', "'space'")} < 0.7 THEN '' ELSE ' ' END
+                           || u.term, '.', ',') END AS text
+  FROM slots s CROSS JOIN lex_n
+  LEFT JOIN meds m ON m.idx = {draw('lex_n.nm', S, 's.row_id', 's.slot', "'med'")}
+  LEFT JOIN diags dg ON dg.idx = {draw('lex_n.nd', S, 's.row_id', 's.slot', "'diag'")}
+  LEFT JOIN vals v ON v.idx = {draw('lex_n.nv', S, 's.row_id', 's.slot', "'val'")}
+  LEFT JOIN units u ON u.idx = {draw('lex_n.nu', S, 's.row_id', 's.slot', "'unit'")})"""]
+
+
+def pool_cte() -> str:
+    from spanforge.schemas import ORIGINAL_SENTENCES
+    vals = ", ".join(f"({i}, {q(s)})" for i, s in enumerate(ORIGINAL_SENTENCES))
+    tag = "'<class=\"([^\"]+)\">(.*?)</class>'"
+    return f"""pool AS (
+  SELECT i, '{{"text": "' || regexp_replace(inner_t, {tag}, '\\2', 'g') || '", "entities": [' ||
+         array_to_string(list_transform(range(len(regexp_extract_all(inner_t, {tag}, 1))),
+             lambda k: '{{"text": "' || regexp_extract_all(inner_t, {tag}, 2)[k + 1] || '", "label": "'
+                       || regexp_extract_all(inner_t, {tag}, 1)[k + 1] || '"}}'), ', ') || ']}}' AS js
+  FROM (SELECT i, replace(replace(tagged, '<s>', ''), '</s>', '') AS inner_t FROM (VALUES {vals}) v(i, tagged)))"""
+
+
+def prompt_ctes() -> list[str]:
+    from spanforge.schemas import CONTEXTS, FORMAT_LINES, STYLES
+    S = str(SEED)
+    return gen_slots() + [pool_cte(), f"""picks AS (
+  SELECT row_id, js, k FROM (
+    SELECT o.o_orderkey AS row_id, p.js, md5(concat_ws('|', {S}, o.o_orderkey, p.i, 'ex')) AS k,
+           row_number() OVER (PARTITION BY o.o_orderkey ORDER BY md5(concat_ws('|', {S}, o.o_orderkey, p.i, 'ex')), p.i) AS rk
+    FROM orders o CROSS JOIN pool p) WHERE rk <= 2)""",
+        "examples AS (SELECT row_id, 'Beispiel Sätze:' || chr(10) || string_agg(js, chr(10) ORDER BY k) AS ex "
+        "FROM picks GROUP BY row_id)",
+        "task AS (SELECT row_id, 'Begriffe:' || chr(10) || string_agg('- ' || label || ': ' || text, chr(10) "
+        "ORDER BY slot) AS task FROM slot_text GROUP BY row_id)",
+        f"""prompt_parts AS (
+  SELECT t.row_id, t.task, e.ex,
+         'Formuliere als: ' || {_lit_list(STYLES)}[{draw('5', S, 't.row_id', "'style'")} + 1] || '. ' || chr(10) ||
+         'Kontext: ' || {_lit_list(CONTEXTS)}[{draw('6', S, 't.row_id', "'ctx'")} + 1] || '. ' AS sc,
+         'Format:' || chr(10) || {q(FORMAT_LINES['script'])} AS fmt
+  FROM task t JOIN examples e USING (row_id))"""]
+
+
+def responses_ctes() -> list[str]:
+    from spanforge.functions.text import FENCE
+    S = str(SEED)
+    return gen_slots() + [f"""resp0 AS (
+  SELECT row_id, {draw('10', S, 'row_id', "'resp'")} AS v,
+         'Patient ' || string_agg(text, ' und ' ORDER BY slot) || '.' AS sent0,
+         arg_min(text, slot) AS first_text,
+         string_agg('{{"text": "' || text || '", "label": "' || label || '"}}', ', ' ORDER BY slot) AS ent_json
+  FROM slot_text GROUP BY row_id)""", """resp1 AS (
+  SELECT row_id, v, CASE WHEN v = 3 THEN replace(sent0, first_text, 'etwas') ELSE sent0 END AS plain, ent_json
+  FROM resp0)""", """resp AS (
+  SELECT row_id, v, plain, CASE v WHEN 0 THEN '```json' || chr(10) || js || chr(10) || '```'
+                                  WHEN 1 THEN substr(js, 1, length(js) - 5)
+                                  WHEN 2 THEN '{"entities": []}'
+                                  WHEN 4 THEN '  ' || js || chr(10) ELSE js END AS raw
+  FROM (SELECT *, '{"text": "' || plain || '", "entities": [' || ent_json || ']}' AS js FROM resp1))""",
+        f"""parsed AS (
+  SELECT row_id, plain, raw, clean,
+         CASE WHEN NOT json_valid(clean) THEN 'bad_json'
+              WHEN json_type(clean) = 'OBJECT' AND json_type(clean, '$.text') = 'VARCHAR' THEN 'ok'
+              ELSE 'no_text' END AS status
+  FROM (SELECT *, regexp_replace({ustrip_sql('raw')}, {q(FENCE)}, '', 'g') AS clean FROM resp))""",
+        """gen_req AS (
+  SELECT s.row_id AS sent_id, p.status, CASE WHEN p.status = 'ok' THEN json_extract_string(p.clean, '$.text') END
+         AS sentence, s.slot AS pos, s.text, s.label
+  FROM slot_text s JOIN parsed p USING (row_id))""",
+        """gen_f2_base AS (
+  SELECT *, (row_number() OVER (PARTITION BY sent_id, lower(text) ORDER BY pos) - 1)::INTEGER AS j,
+         string_split(lower(sentence), lower(text)) AS parts
+  FROM gen_req WHERE sentence IS NOT NULL)""",
+        """gen_f2 AS (
+  SELECT sent_id, pos, label, sentence,
+         CASE WHEN j < len(parts) - 1
+              THEN (list_sum(list_transform(parts[1:j + 1], lambda x: length(x))) + j * length(lower(text)))::INTEGER
+              ELSE -1 END AS start, length(lower(text)) AS tlen
+  FROM gen_f2_base)""",
+        """final AS (
+  SELECT p.row_id, p.status, CASE WHEN p.status <> 'ok' THEN p.status
+                                  WHEN bool_or(f.start = -1) THEN 'unmatched' ELSE 'accepted' END AS final_status
+  FROM parsed p LEFT JOIN gen_f2 f ON f.sent_id = p.row_id GROUP BY p.row_id, p.status)"""]
