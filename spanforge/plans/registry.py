@@ -42,4 +42,4 @@ def query(name: str, oracle: Callable[[], str] | None = None):
 
 def load_all() -> None:
     """Import every query module so its decorators register."""
-    from spanforge.plans import queries, queries_corpus, queries_generation, queries_spans  # noqa: F401
+    from spanforge.plans import queries, queries_corpus, queries_eval, queries_generation, queries_spans  # noqa: F401
