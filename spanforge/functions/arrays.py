@@ -23,3 +23,15 @@ def prefix_sum(arr: Column) -> Column:
         return F.transform(acc, lambda x, i: x + F.when(i >= d, F.get(acc, i - d)).otherwise(F.lit(0)))
 
     return F.aggregate(steps, arr, step)
+
+
+def pin(c: Column) -> Column:
+    """Evaluate ``c`` once per row.
+
+    Catalyst inlines a projected expression into its single consumer, and it
+    counts a reference inside a lambda as one — so an array built by an
+    expensive expression and then indexed inside ``transform``/``filter``
+    would be rebuilt for every element.  An always-true non-deterministic
+    guard makes the producing projection non-collapsible (and stops filters
+    being pushed through it); the value is unchanged."""
+    return F.when(F.rand(0) >= F.lit(0.0), c)

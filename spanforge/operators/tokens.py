@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spanforge.functions.arrays import prefix_sum
+from spanforge.functions.arrays import pin, prefix_sum
 from spanforge.functions.text import TOKEN_PATTERN
 
 _BLANKS = ["\t", "\n", "\x0b", "\f", "\r", " "]
@@ -41,7 +41,7 @@ def tokenize(df: DataFrame, text_col: str = "sentence", out: str = "tokens") ->
     toks = F.transform(kept, lambda x, i: F.struct(
         i.alias("i"), x["text"].alias("text"), (x["stop"] - F.length(x["text"])).alias("start"),
         x["stop"].alias("stop"), x["ws"].alias("ws")))
-    return df.withColumn(out, toks).drop(pieces)
+    return df.withColumn(out, pin(toks)).drop(pieces)
 
 
 def explode_tokens(df: DataFrame, keys: list[str], tokens: str = "tokens") -> DataFrame:

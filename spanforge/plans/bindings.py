@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spanforge.functions.arrays import pin
 from spanforge.functions.hashing import draw_index, u32, unit_draw
 from spanforge.schemas import CLASS_NAMES
 from spanforge.session import table
@@ -33,14 +34,29 @@ FIXED_PHRASES = [
 ]
 
 
-def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per non-empty line of every document: doc_id, line_no, sent_id, sentence."""
+def sentences(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """One row per non-empty line of every document: doc_id, line_no, sent_id, sentence.
+
+    ``spread``: when the scan yields fewer partitions than the cluster has
+    cores (a small file with one row group), spread the documents round-robin
+    first; a real corpus already scans as many splits and is left alone."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    s = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "sentence"))
+    if spread:
+        docs = spread_small_input(docs)
+    # outer generators everywhere: a plain one makes Catalyst infer and push a
+    # size(...) > 0 filter that re-evaluates the array expression
+    s = docs.select("doc_id", F.posexplode_outer(F.split("text", "\n")).alias("line_no", "sentence"))
     s = s.where(F.col("sentence") != "")
     return s.withColumn("sent_id", F.col("doc_id") * LINE_KEY_FACTOR + F.col("line_no"))
 
 
+def spread_small_input(df: DataFrame) -> DataFrame:
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < par:
+        return df.repartition(par * 2)
+    return df
+
+
 def split_of(key) -> F.Column:
     """Deterministic 80/10/10 split from the key hash."""
     b = draw_index(10, SEED, key, "split")
@@ -72,7 +88,7 @@ def random_char_spans(df: DataFrame, key: str = "sent_id", text: str = "sentence
                 n).alias("stop"),
         draw_index(3, SEED, F.col(key), s, "c").alias("ner_class"),
         s.alias("ord")))
-    return df.withColumn("spans", spans)
+    return df.withColumn("spans", pin(spans))
 
 
 def labelled_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ from spanforge.plans.registry import query
        + "SELECT sent_id, i, token, start, stop, ws FROM tokens")
 def tokenize_offsets(spark, d):
     """G1: one row per token with code-point offsets and trailing-space flag."""
-    s = scoring.tokenized_sentences(spark, d, partition=False)
+    s = scoring.tokenized_sentences(spark, d)
     return tokens.explode_tokens(s, ["sent_id"]).select("sent_id", "i", "token", "start", "stop", "ws")
 
 
@@ -29,7 +29,7 @@ def tokenize_offsets(spark, d):
        + "SELECT sent_id, first_tok, end_tok, start, stop, label FROM matches")
 def q_phrase_match(spark, d):
     """H6: gazetteer matches (exact token sequences) in every sentence."""
-    s = scoring.tokenized_sentences(spark, d, partition=False)
+    s = scoring.tokenized_sentences(spark, d)
     m = phrase_match(s, B.phrases(spark, d), ["sent_id"])
     return m.select("sent_id", "first_tok", "end_tok", "start", "stop", "label")
 
@@ -50,9 +50,10 @@ def q_filter_spans(spark, d):
 def q_bio_chunks(spark, d):
     """BIO sequences -> typed chunks, for gold and hash-perturbed tags."""
     gp = scoring.gold_and_predicted(spark, d)
-    g = gp.select("sent_id", F.lit("gold").alias("side"), F.inline_outer("gold_chunks")).where("type IS NOT NULL")
-    p = gp.select("sent_id", F.lit("pred").alias("side"), F.inline_outer("pred_chunks")).where("type IS NOT NULL")
-    return g.unionByName(p)
+    both = F.concat(F.transform("gold_chunks", lambda c: c.withField("side", F.lit("gold"))),
+                    F.transform("pred_chunks", lambda c: c.withField("side", F.lit("pred"))))
+    return gp.select("sent_id", F.inline_outer(both)).where("type IS NOT NULL").select(
+        "sent_id", "side", "type", "first", "last")
 
 
 @query("ner_micro_prf", lambda: O.with_(*O.scoring_ctes(), O.PRF_FROM_CHUNKS)

@@ -243,7 +243,7 @@ def label_names_array(spark, d):
 def bio_vocab(spark, d):
     """BIO id <-> tag both ways, over the gold tags of the corpus."""
     from spanforge.plans.scoring import gold_and_predicted
-    t = gold_and_predicted(spark, d).select(F.explode("gold_tags").alias("tag_id"))
+    t = gold_and_predicted(spark, d).select(F.explode_outer("gold_tags").alias("tag_id")).where("tag_id IS NOT NULL")
     c = t.groupBy("tag_id").agg(F.count("*").alias("n"))
     return c.select("tag_id", L.bio_tag(F.col("tag_id")).alias("tag"),
                     L.bio_id(L.bio_tag(F.col("tag_id"))).alias("id_back"), "n")

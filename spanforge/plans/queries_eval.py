@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from spanforge.functions.arrays import pin
 from spanforge.functions.hashing import draw_index, unit_draw
 from spanforge.operators import bio, metrics, pipeline, similarity, tokens
 from spanforge.operators.matching import match_pattern, percentage_tokens
@@ -21,8 +22,8 @@ S = str(B.SEED)
 _TOK = [O.SENTENCES, O.PIECES, O.TOKENS]
 
 
-def _toks(spark, d, partition=False):
-    return scoring.tokenized_sentences(spark, d, partition=partition)
+def _toks(spark, d):
+    return scoring.tokenized_sentences(spark, d)
 
 
 # --- H: patterns ---------------------------------------------------------------------
@@ -115,10 +116,10 @@ def term_dictionary(spark, d):
 
 # --- I: vectors ---------------------------------------------------------------------
 
-def _tok_vectors(spark, d, partition=False):
+def _tok_vectors(spark, d):
     emb = table(spark, d, "embeddings")
     n = emb.count()  # vocabulary size of the vector table (plan constant)
-    t = tokens.explode_tokens(_toks(spark, d, partition), ["sent_id"])
+    t = tokens.explode_tokens(_toks(spark, d), ["sent_id"])
     t = t.withColumn("vec_id", draw_index(n, B.SEED, F.col("token"), "vec").cast("long"))
     return similarity.lookup_vectors(t, emb, "vec_id", "vec_id", "embedding")
 
@@ -160,7 +161,7 @@ def cosine_pairs(spark, d):
        "FROM dims JOIN cnt USING (sent_id) GROUP BY sent_id, n_vectors")
 def mean_vector(spark, d):
     """Sentence vector = mean of its token vectors."""
-    v = _tok_vectors(spark, d, partition=True)
+    v = _tok_vectors(spark, d)
     m = similarity.mean_vector(v, ["sent_id"], "embedding", 64)
     return m.select("sent_id", "n_vectors", F.get(F.col("mean_vec"), 0).alias("m0"),
                     F.get(F.col("mean_vec"), 63).alias("m63"), similarity.norm(F.col("mean_vec")).alias("norm"))
@@ -175,7 +176,7 @@ def _logits(seq_size, key):
 
 def _pred_gold(spark, d):
     m = _model_inputs(spark, d, False)
-    m = m.withColumn("pred", bio.argmax_rows(_logits(F.size("seq"), F.col("sent_id"))))
+    m = m.withColumn("pred", pin(bio.argmax_rows(_logits(F.size("seq"), F.col("sent_id")))))
     return m
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from spanforge.functions.arrays import pin
 from spanforge.functions.labels import bio_tag, class_id
 from spanforge.operators import bio, spans, tokens
 from spanforge.plans import bindings as B
@@ -136,7 +137,7 @@ def list_entities(spark, d):
 # --- G: tokens, alignment, BIO -----------------------------------------------------
 
 def _tok_spans(spark, d):
-    s = B.random_char_spans(scoring.tokenized_sentences(spark, d, partition=False))
+    s = B.random_char_spans(scoring.tokenized_sentences(spark, d))
     return s
 
 
@@ -161,7 +162,7 @@ def token_corpus(spark, d):
     al = F.transform("spans", lambda x: spans.align_expand(F.col("tokens"), x["start"], x["stop"])
                      .withField("label", F.get(names, x["ner_class"])))
     al = F.filter(al, lambda a: a.isNotNull())
-    corpus = s.select("sent_id", "sentence", "tokens", "split", spans.filter_spans(al).alias("ents"))
+    corpus = s.select("sent_id", "sentence", "tokens", "split", pin(spans.filter_spans(al)).alias("ents"))
     synth = tokens.tokenize(table(spark, d, "benchmark").select(
         (-1 - F.col("item_id")).alias("sent_id"), F.col("text").alias("sentence")))
     synth = synth.select("sent_id", "sentence", "tokens", F.lit("train").alias("split"),
@@ -206,14 +207,16 @@ def _model_inputs(spark, d, last_match=False):
     ents = F.transform(srt, lambda x: F.struct(x["start"].alias("start"), x["stop"].alias("stop"),
                                               x["ner_class"].alias("class_id")))
     offs = F.transform(seq, lambda t: F.struct(t["start"].alias("start"), t["stop"].alias("stop")))
-    return s.select("sent_id", seq.alias("seq"), bio.token_labels(offs, ents, last_match).alias("labels"))
+    s = s.withColumn("seq", pin(seq))
+    offs = F.transform("seq", lambda t: F.struct(t["start"].alias("start"), t["stop"].alias("stop")))
+    return s.select("sent_id", "seq", pin(bio.token_labels(offs, ents, last_match)).alias("labels"))
 
 
 @query("truncate_with_specials", lambda: O.with_(O.SENTENCES, O.PIECES, O.TOKENS, O.SEQ) +
        "SELECT sent_id, count(*)::INTEGER AS n_out, string_agg(token, ' ' ORDER BY p) AS tokens FROM seq GROUP BY sent_id")
 def truncate_with_specials(spark, d):
     """[CLS] + first 126 tokens + [SEP] (sequence cap 128)."""
-    s = scoring.tokenized_sentences(spark, d, partition=False)
+    s = scoring.tokenized_sentences(spark, d)
     seq = tokens.truncate_with_specials(F.col("tokens"), 128)
     return s.select("sent_id", F.size(seq).alias("n_out"),
                     F.array_join(F.transform(seq, lambda t: t["text"]), " ").alias("tokens"))
@@ -260,7 +263,7 @@ def decode_labels(spark, d):
 def pad_batch(spark, d):
     """Pad label sequences to the longest in their batch with -100.
     A batch is 16 consecutive lines of a document (bounded groups)."""
-    s = scoring.tokenized_sentences(spark, d, partition=False)
+    s = scoring.tokenized_sentences(spark, d)
     seq = tokens.truncate_with_specials(F.col("tokens"), 128)
     labels = F.array_repeat(F.lit(0), F.size(seq))
     b = s.select("sent_id", "doc_id", (F.col("line_no") / 16).cast("int").alias("batch"), labels.alias("labels"))
@@ -277,7 +280,7 @@ def pad_batch(spark, d):
        "FROM n, range(0, n, 96) r(s) WHERE r.s = 0 OR r.s - 96 + 128 < n")
 def strided_windows(spark, d):
     """128-token windows every 96 tokens (the redundant tail window dropped)."""
-    s = scoring.tokenized_sentences(spark, d, partition=False)
+    s = scoring.tokenized_sentences(spark, d)
     w = tokens.strided_windows(F.col("tokens"), 128, 96)
     return s.select("sent_id", F.inline_outer(w)).where(F.col("first_tok").isNotNull()).select(
         "sent_id", "first_tok", "end_tok")
@@ -288,7 +291,7 @@ def strided_windows(spark, d):
        "FROM tokens GROUP BY sent_id")
 def detokenize(spark, d):
     """Rebuild text from words and trailing-space flags."""
-    s = scoring.tokenized_sentences(spark, d, partition=False).where(F.size("tokens") > 0)
+    s = scoring.tokenized_sentences(spark, d).where(F.size("tokens") > 0)
     words = F.transform("tokens", lambda t: t["text"])
     spaces = F.transform("tokens", lambda t: t["ws"])
     return s.select("sent_id", tokens.detokenize(words, spaces).alias("text"))
@@ -300,7 +303,7 @@ def detokenize(spark, d):
        "SELECT sent_id, substr(sentence, s + 1, e - s) AS text FROM a JOIN sentences USING (sent_id)")
 def token_slice(spark, d):
     """Text of tokens [2, 4) with inner whitespace kept."""
-    s = scoring.tokenized_sentences(spark, d, partition=False).where(F.size("tokens") >= 4)
+    s = scoring.tokenized_sentences(spark, d).where(F.size("tokens") >= 4)
     return s.select("sent_id", tokens.token_slice_text(F.col("sentence"), F.col("tokens"), F.lit(2), F.lit(4))
                     .alias("text"))
 
@@ -313,7 +316,7 @@ def token_slice(spark, d):
        "substr(sentence, start + 1, stop - start) AS text FROM a JOIN sentences USING (sent_id)")
 def span_from_tokens(spark, d):
     """Labelled span from a token index range (tokens 2..4)."""
-    s = scoring.tokenized_sentences(spark, d, partition=False).where(F.size("tokens") >= 4)
+    s = scoring.tokenized_sentences(spark, d).where(F.size("tokens") >= 4)
     lab = F.get(B.class_name_literal(), B.draw_index(3, 42, F.col("sent_id"), "g14"))
     st = F.get(F.col("tokens"), 2)["start"]
     sp = F.get(F.col("tokens"), 3)["stop"]
@@ -326,7 +329,7 @@ def span_from_tokens(spark, d):
        "GROUP BY s.doc_id")
 def doc_length(spark, d):
     """Document length in tokens (sum over its lines)."""
-    s = scoring.tokenized_sentences(spark, d, partition=False)
+    s = scoring.tokenized_sentences(spark, d)
     return s.groupBy("doc_id").agg(F.sum(F.size("tokens")).cast("long").alias("n_tokens"))
 
 

@@ -1,9 +1,9 @@
 """End-to-end: tokenise -> gazetteer match -> de-overlap -> BIO -> chunks -> P/R/F.
 
-Physical shape: one shuffle of the sentences by ``sent_id`` up front; the
-n-gram explode, the broadcast lexicon join, the per-sentence regroup of the
-matches and the join back to the sentences all reuse that partitioning, and
-the final rollup moves only three class counters per task.
+Physical shape: scan -> split lines -> tokenise -> match -> de-overlap -> BIO
+-> chunks, all row-local Project steps over each sentence's arrays (the
+gazetteer is a size-checked hash set inside the expression); the only
+exchange is the final rollup, which moves three class counters per task.
 """
 
 from __future__ import annotations
@@ -11,31 +11,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spanforge.functions.arrays import pin
 from spanforge.functions.labels import class_id
 from spanforge.operators import bio, metrics, spans, tokens
-from spanforge.operators.matching import phrase_match
+from spanforge.operators.matching import with_phrase_matches
 from spanforge.plans import bindings as B
 
-_MATCH_T = "array<struct<first_tok:int,end_tok:int,start:int,stop:int,label:string>>"
 
 
 def tokenized_sentences(spark: SparkSession, sf_dir: str, partition: bool = True) -> DataFrame:
-    s = B.sentences(spark, sf_dir)
-    if partition:
-        # spread lines over tasks (a document is one scan row) and fix the
-        # partitioning every later per-sentence step reuses
-        s = s.repartition("sent_id")
+    s = B.sentences(spark, sf_dir, spread=partition)
     return tokens.tokenize(s)
 
 
 def gazetteer_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sentences + ``ents``: gazetteer matches, de-overlapped (H6 -> G3)."""
+    """Sentences + ``ents``: gazetteer matches, de-overlapped (H6 -> G3), all
+    inside each sentence row (no shuffle for a lexicon that fits a hash set)."""
     s = tokenized_sentences(spark, sf_dir)
-    m = phrase_match(s, B.phrases(spark, sf_dir), ["sent_id"])
-    per = m.groupBy("sent_id").agg(F.collect_list(
-        F.struct("first_tok", "end_tok", "start", "stop", "label")).alias("matches"))
-    j = s.join(per, "sent_id", "left")
-    return j.withColumn("ents", spans.filter_spans(F.coalesce("matches", F.array().cast(_MATCH_T)))).drop("matches")
+    m = with_phrase_matches(s, B.phrases(spark, sf_dir), ["sent_id"])
+    ents = F.transform("matches", lambda x: x.dropFields("key"))
+    return m.withColumn("ents", pin(spans.filter_spans(ents))).drop("matches")
 
 
 def gold_and_predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,10 +40,10 @@ def gold_and_predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
     ents = F.transform("ents", lambda e: F.struct(e["start"].alias("start"), e["stop"].alias("stop"),
                                                   class_id(e["label"]).alias("class_id")))
     offs = F.transform("tokens", lambda t: F.struct(t["start"].alias("start"), t["stop"].alias("stop")))
-    g = g.withColumn("gold_tags", bio.token_labels(offs, ents))
-    g = g.withColumn("pred_tags", B.flip_tags(F.col("gold_tags"), F.col("sent_id")))
-    return (g.withColumn("gold_chunks", bio.bio_chunks(F.col("gold_tags")))
-            .withColumn("pred_chunks", bio.bio_chunks(F.col("pred_tags"))))
+    g = g.withColumn("gold_tags", pin(bio.token_labels(offs, ents)))
+    g = g.withColumn("pred_tags", pin(B.flip_tags(F.col("gold_tags"), F.col("sent_id"))))
+    return (g.withColumn("gold_chunks", pin(bio.bio_chunks(F.col("gold_tags"))))
+            .withColumn("pred_chunks", pin(bio.bio_chunks(F.col("pred_tags")))))
 
 
 def ner_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -73,4 +73,5 @@ def extract_codes(lines: DataFrame, sep_regex: str, min_fields: int, code_idx: i
 def read_json_arrays(spark: SparkSession, path: str) -> DataFrame:
     """Files that each hold one JSON array of strings -> one row per string."""
     docs = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
-    return docs.select(F.explode(F.from_json("value", "array<string>")).alias("value"))
+    arr = F.from_json("value", "array<string>")
+    return docs.select(F.posexplode_outer(arr).alias("pos", "value")).where(F.col("pos").isNotNull()).select("value")
