@@ -14,7 +14,7 @@ TABLES = (
 
 
 def get_session(master: str | None = None, shuffle_partitions: int = 8,
-                app_name: str = "spanforge") -> SparkSession:
+                app_name: str = "spanforge", driver_memory: str | None = "16g") -> SparkSession:
     """Build (or reuse) a session with AQE on and the UI off.
 
     On a cluster pass ``master=None`` and let spark-submit decide; the
@@ -23,6 +23,8 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
+        if driver_memory:  # local mode: the driver JVM is the executor
+            b = b.config("spark.driver.memory", driver_memory)
     spark = (
         b.config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))

@@ -15,6 +15,7 @@ def spark():
     from spanforge.session import ensure_checkpoint_dir
     s = (SparkSession.builder.master("local[*]").appName("spanforge-tests")
          .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
+         .config("spark.driver.memory", "8g")
          .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(s)
