@@ -204,11 +204,14 @@ def _model_inputs(spark, d, last_match=False):
     s = _tok_spans(spark, d)
     seq = tokens.truncate_with_specials(F.col("tokens"), 128)
     srt = F.array_sort("spans")
-    ents = F.transform(srt, lambda x: F.struct(x["start"].alias("start"), x["stop"].alias("stop"),
-                                              x["ner_class"].alias("class_id")))
+    s = s.withColumn("__ents", pin(F.transform(srt, lambda x: F.struct(
+        x["start"].alias("start"), x["stop"].alias("stop"), x["ner_class"].alias("class_id")))))
+    ents = F.col("__ents")
     offs = F.transform(seq, lambda t: F.struct(t["start"].alias("start"), t["stop"].alias("stop")))
     s = s.withColumn("seq", pin(seq))
-    offs = F.transform("seq", lambda t: F.struct(t["start"].alias("start"), t["stop"].alias("stop")))
+    s = s.withColumn("__offs", pin(F.transform("seq", lambda t: F.struct(t["start"].alias("start"),
+                                                                          t["stop"].alias("stop")))))
+    offs = F.col("__offs")
     return s.select("sent_id", "seq", pin(bio.token_labels(offs, ents, last_match)).alias("labels"))
 
 
