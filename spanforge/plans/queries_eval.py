@@ -129,7 +129,7 @@ def _vec_sql():
                              f"JOIN embeddings e ON e.vec_id = {O.draw('(SELECT count(*) FROM embeddings)', S, 't.token', chr(39) + 'vec' + chr(39))}) ")
 
 
-@query("vector_lookup", lambda: _vec_sql() + "SELECT sent_id, i, vec_id, round(embedding[1], 6) AS v0 FROM tv")
+@query("vector_lookup", lambda: _vec_sql() + "SELECT sent_id, i, vec_id, round(embedding[1]::DOUBLE, 6) AS v0 FROM tv")
 def vector_lookup(spark, d):
     """Token -> vector (hashed vocabulary id into the vector table)."""
     v = _tok_vectors(spark, d)
