@@ -74,3 +74,13 @@ def fold_system(user: Column, system: Column | None = None) -> Column:
     """A single user turn carrying ``system + blank line + user``."""
     sys_c = system if system is not None else F.lit(SYSTEM_PROMPT)
     return F.array(F.struct(F.lit("user").alias("role"), F.concat(sys_c, F.lit("\n\n"), user).alias("content")))
+
+
+def build_prompt_fixed_examples(task: Column) -> Column:
+    """D4 (+D6, D2 notebook wording): the early notebook prompt — inline
+    System/User header, task, format, and the fixed two-example block, one
+    example per line."""
+    from spanforge.schemas import FIXED_EXAMPLES
+    block = EXAMPLES_HEADER + "\n" + "".join(e + "\n" for e in FIXED_EXAMPLES)
+    return F.concat(F.lit("System: " + SYSTEM_PROMPT + "\n\nUser:\n"), task, F.lit("\n\n"),
+                    format_block("notebook"), F.lit("\n\n" + block))

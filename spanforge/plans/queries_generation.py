@@ -185,6 +185,23 @@ def build_prompt_variants(spark, d):
     return out
 
 
+def _fixed_prompt_sql():
+    from spanforge.schemas import FIXED_EXAMPLES, FORMAT_LINES
+    head = O.q("System: " + SYSTEM_PROMPT + "\n\nUser:\n")
+    tail = O.q("\n\nFormat:\n" + FORMAT_LINES["notebook"] + "\n\nBeispiel Sätze:\n"
+               + "".join(e + "\n" for e in FIXED_EXAMPLES))
+    return (O.with_(*O.gen_slots(), "task AS (SELECT row_id, 'Begriffe:' || chr(10) || string_agg('- ' || label || "
+                    "': ' || text, chr(10) ORDER BY slot) AS task FROM slot_text GROUP BY row_id)")
+            + f"SELECT row_id, {head} || task || {tail} AS prompt FROM task")
+
+
+@query("prompt_fixed_examples", _fixed_prompt_sql)
+def prompt_fixed_examples(spark, d):
+    """Prompt with the fixed two-example block (early notebook wording)."""
+    e = G.entity_rows(spark, d)
+    return e.select("row_id", prompts.build_prompt_fixed_examples(prompts.task_block(F.col("entities"))).alias("prompt"))
+
+
 @query("chat_messages", lambda: "SELECT conv_id, turn, 2 AS n_messages, 'system,user' AS roles, "
        f"{O.q(SYSTEM_PROMPT)} AS system_content, text AS user_content FROM conversations WHERE role = 'user'")
 def chat_messages(spark, d):

@@ -161,3 +161,27 @@ def test_code_lines(spark):
     lines = spark.createDataFrame([("0|1|2|3|4|C1|6| term ",), ("0|1|2|3|4|C2|6",), ("0|1|2|3|4| |6|x",)], "value string")
     got = [(r["code"], r["term"], r["status"]) for r in extract_codes(lines, "[|]", 8, 5, 7).collect()]
     assert got == [("C1", "term", "kept"), (None, None, "too_few"), ("", "x", "empty")]
+
+
+def test_retry_policy():
+    from spanforge.operators.responses import CallError, call_with_retry
+    calls, sleeps = [], []
+
+    def flaky(p):
+        calls.append(p)
+        if len(calls) < 3:
+            raise CallError(503)
+        return "ok"
+    text, attempts, status, err = call_with_retry(flaky, "p", sleep=sleeps.append, jitter=lambda: 0.5)
+    assert (text, attempts, status, err) == ("ok", 3, 200, None)
+    assert sleeps == [2.5, 4.5]
+
+    def bad(p):
+        raise CallError(400)
+    text, attempts, status, err = call_with_retry(bad, "p", sleep=sleeps.append)
+    assert (text, attempts, status) == (None, 1, 400)
+
+    def always(p):
+        raise CallError(429)
+    text, attempts, status, _ = call_with_retry(always, "p", sleep=lambda s: None)
+    assert (text, attempts, status) == (None, 6, 429)
