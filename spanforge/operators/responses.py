@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spanforge.functions.arrays import pin
 from spanforge.functions.text import strip_fence
 from spanforge.operators.spans import find_spans_next, has_unmatched, spans_to_labels
 from spanforge.schemas import BASE_DELAY_S, MAX_ATTEMPTS, RESPONSE_JSON, RETRYABLE_CODES
@@ -85,7 +86,7 @@ def json_status(clean: Column) -> Column:
 
 def parse_responses(df: DataFrame, raw: str = "raw") -> DataFrame:
     """E3 + E4: clean, classify and parse; adds clean, status, text, entities."""
-    df = df.withColumn("clean", strip_fence(F.col(raw)))
+    df = df.withColumn("clean", pin(strip_fence(F.col(raw))))
     df = df.withColumn("status", F.when(F.col(raw).isNull(), F.lit("no_response"))
                        .otherwise(json_status(F.col("clean"))))
     parsed = F.from_json(F.col("clean"), RESPONSE_JSON)
@@ -96,7 +97,8 @@ def parse_responses(df: DataFrame, raw: str = "raw") -> DataFrame:
 def attach_spans(df: DataFrame, text: str, requested: str) -> DataFrame:
     """Spans of the *requested* entities (not the model's) in ``text``;
     a row with any unfound term is marked 'unmatched'."""
-    df = df.withColumn("spans", F.when(F.col(text).isNotNull(), find_spans_next(F.col(text), F.col(requested))))
+    df = df.withColumn("spans", pin(F.when(F.col(text).isNotNull(),
+                                           find_spans_next(F.col(text), F.col(requested)))))
     return df.withColumn("final_status", F.when(F.col("status") != "ok", F.col("status"))
                          .when(has_unmatched(F.col("spans")), F.lit("unmatched")).otherwise(F.lit("accepted")))
 
@@ -107,8 +109,8 @@ def first_n_valid(df: DataFrame, n: int, order: str) -> DataFrame:
 
 
 def require_nonempty(df: DataFrame, what: str = "valid sentences") -> DataFrame:
-    """Fail when nothing valid was produced (one ``take(1)``)."""
-    if not df.take(1):
+    """Fail when nothing valid was produced (a single ``limit(1)`` count job)."""
+    if df.limit(1).count() == 0:
         raise RuntimeError(f"no {what} produced")
     return df
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -337,3 +339,23 @@ def doc_length(spark, d):
 
 
 __all__ = ["class_id"]
+
+
+@query("stream_token_corpus", lambda: _G4_SQL() +
+       f"SELECT g.sent_id, {O.SPLIT_OF.replace('doc_id', '(g.sent_id // 1000000)')} AS split, "
+       "g.first_tok, (g.end_tok - 1)::INTEGER AS last_tok, g.label FROM g4 g")
+def stream_token_corpus(spark, d):
+    """G4 under Structured Streaming: the labelled corpus lands as JSONL files,
+    a file-source stream (availableNow trigger, checkpointed) tokenises, aligns
+    and de-overlaps it into a split-partitioned Parquet token corpus, which is
+    read back."""
+    from spanforge.sources import sinks
+    from spanforge.streaming.corpus_stream import start_token_corpus_stream
+    src = sinks.scratch_path(spark, "stream-in")
+    out = sinks.scratch_path(spark, "stream-out")
+    sinks.write_jsonl(B.labelled_sentences(spark, d).select("sent_id", "sentence", "ner_labels", "split"), src)
+    q = start_token_corpus_stream(spark, src, out, name=os.path.basename(out))
+    q.awaitTermination()
+    c = spark.read.parquet(out)
+    e = c.select("sent_id", "split", F.inline_outer("ents")).where(F.col("label").isNotNull())
+    return e.select("sent_id", "split", "first_tok", (F.col("end_tok") - 1).alias("last_tok"), "label")
