@@ -40,9 +40,11 @@ def write_corpus(df: DataFrame, path: str, split_col: str = "split") -> None:
     df.write.mode("overwrite").partitionBy(split_col).parquet(path)
 
 
-def write_metrics(df: DataFrame, path: str) -> None:
-    """Metric rows as JSON (one small file)."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+def write_metrics(df: DataFrame, path: str, max_single_file_rows: int = 10_000) -> None:
+    """Metric rows as JSON — one file when the table is proven small (a
+    metrics table has one row per scope/class/seed), else written in parallel."""
+    small = df.limit(max_single_file_rows + 1).count() <= max_single_file_rows
+    (df.coalesce(1) if small else df).write.mode("overwrite").json(path)
 
 
 def write_lines(df: DataFrame, path: str, col: str = "value") -> None:
