@@ -228,14 +228,27 @@ def _span_prf_sql():
 
 @query("span_prf", _span_prf_sql)
 def span_prf(spark, d):
-    """Span scorer — gold token spans vs predicted token spans, P/R/F
-    overall and per type, via a full outer join on the sentence key."""
+    """Span scorer — gold token spans (aligned, de-overlapped labelled
+    spans) vs predicted token spans (gazetteer), P/R/F overall and per type.
+    Both annotations are derived from the same tokenised rows, so the scorer
+    is row-local plus one rollup; ``metrics.ner_prf_tables`` is the variant
+    for two separately stored annotation tables (full outer join by key)."""
+    from spanforge.functions.arrays import pin
+    from spanforge.operators import spans as SP
+    from spanforge.operators.matching import with_phrase_matches
+
     def chunks(col):
         return F.transform(col, lambda e: F.struct(e["label"].alias("type"), e["first_tok"].alias("first"),
                                                    (e["end_tok"] - 1).alias("last")))
-    gold = token_corpus(spark, d).where(F.col("sent_id") >= 0).select("sent_id", chunks(F.col("ents")).alias("g"))
-    pred = scoring.gazetteer_entities(spark, d).select("sent_id", chunks(F.col("ents")).alias("p"))
-    return metrics.ner_prf_tables(gold, pred, "sent_id", "g", "p")
+    s = B.random_char_spans(_toks(spark, d))
+    names = B.class_name_literal()
+    al = F.transform("spans", lambda x: SP.align_expand(F.col("tokens"), x["start"], x["stop"])
+                     .withField("label", F.get(names, x["ner_class"])))
+    s = s.withColumn("gold", pin(SP.filter_spans(F.filter(al, lambda a: a.isNotNull()))))
+    s = with_phrase_matches(s, B.phrases(spark, d), ["sent_id"])
+    s = s.withColumn("pred", pin(SP.filter_spans(F.transform("matches", lambda x: x.dropFields("key")))))
+    s = s.select(chunks(F.col("gold")).alias("g"), chunks(F.col("pred")).alias("p"))
+    return metrics.ner_prf(s, "g", "p")
 
 
 # seeds / steps / metrics from the events table

@@ -185,3 +185,12 @@ def test_retry_policy():
         raise CallError(429)
     text, attempts, status, _ = call_with_retry(always, "p", sleep=lambda s: None)
     assert (text, attempts, status) == (None, 6, 429)
+
+
+def test_prf_two_tables(spark):
+    t = "array<struct<type:string,first:int,last:int>>"
+    gold = spark.createDataFrame([(1, [("Dosis", 0, 1)]), (2, [("Diagnose", 3, 3)])], f"k long, g {t}")
+    pred = spark.createDataFrame([(1, [("Dosis", 0, 1), ("Dosis", 4, 4)]), (3, [("Diagnose", 0, 0)])], f"k long, p {t}")
+    r = {x["scope"]: x for x in metrics.ner_prf_tables(gold, pred, "k", "g", "p").collect()}
+    assert (r["overall"]["tp"], r["overall"]["n_gold"], r["overall"]["n_pred"]) == (1, 2, 3)
+    assert round(r["overall"]["f1"], 6) == 0.4
