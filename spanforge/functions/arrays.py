@@ -6,6 +6,20 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def prefix_max(arr: Column) -> Column:
+    """Inclusive running maximum of an integer array, O(n log n) (as prefix_sum)."""
+    steps = F.sequence(
+        F.lit(0),
+        F.greatest(F.ceil(F.log2(F.greatest(F.size(arr), F.lit(1)))).cast("int"), F.lit(1)) - 1,
+    )
+
+    def step(acc, k):
+        d = F.pow(F.lit(2), k).cast("int")
+        return F.transform(acc, lambda x, i: F.when(i >= d, F.greatest(x, F.get(acc, i - d))).otherwise(x))
+
+    return F.aggregate(steps, arr, step)
+
+
 def prefix_sum(arr: Column) -> Column:
     """Inclusive prefix sum of an integer array in O(n log n), JVM-side.
 
