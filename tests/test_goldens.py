@@ -194,3 +194,24 @@ def test_prf_two_tables(spark):
     r = {x["scope"]: x for x in metrics.ner_prf_tables(gold, pred, "k", "g", "p").collect()}
     assert (r["overall"]["tp"], r["overall"]["n_gold"], r["overall"]["n_pred"]) == (1, 2, 3)
     assert round(r["overall"]["f1"], 6) == 0.4
+
+
+def test_token_labels_merge_path_equals_scan(spark):
+    # a long row with many disjoint entities takes the merge path; compare it
+    # with the plain scan on the same input
+    from spanforge.operators.bio import _labels_sorted_disjoint
+    offs = [(0, 0)] + [(3 * i, 3 * i + 2) for i in range(150)] + [(0, 0)]
+    ents = [(3 * i, 3 * i + 2 + (3 if i % 4 == 0 else 0), i % 3) for i in range(0, 150, 2)]
+    df = spark.createDataFrame([(offs, ents)],
+                               "o array<struct<start:int,stop:int>>, e array<struct<start:int,stop:int,class_id:int>>")
+    got = df.select(bio.token_labels(F.col("o"), F.col("e")).alias("a")).first()["a"]
+
+    def scan(s, t):  # the reference loop: first containing entity wins
+        if s == t:
+            return -100
+        for es, et, c in ents:
+            if es <= s and t <= et:
+                return 2 * c + 1 if s == es else 2 * c + 2
+        return 0
+    assert got == [scan(s, t) for s, t in offs]
+    assert df.select(_labels_sorted_disjoint(F.col("o"), F.col("e"))).first()[0] == got
