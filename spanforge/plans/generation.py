@@ -21,7 +21,18 @@ from spanforge.schemas import ORIGINAL_SENTENCES
 from spanforge.session import table
 
 
+_LEXICA: dict = {}
+
+
 def lexica(spark: SparkSession, d: str) -> dict:
+    """Indexed lexica, built (and checkpointed) once per application and table folder."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _LEXICA:
+        _LEXICA[key] = _build_lexica(spark, d)
+    return _LEXICA[key]
+
+
+def _build_lexica(spark: SparkSession, d: str) -> dict:
     part = table(spark, d, "part")
     nation = table(spark, d, "nation")
     meds = sampling.index_lexicon(part.select("p_name", "p_partkey"), "p_name", ["p_name", "p_partkey"])
