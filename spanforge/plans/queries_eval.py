@@ -110,8 +110,10 @@ def term_dictionary(spark, d):
     t = tokens.explode_tokens(_toks(spark, d), ["sent_id"])
     dct = t.groupBy(F.col("token").alias("term")).agg(F.count("*").alias("n"))
     dct = dct.withColumn("term_id", F.conv(F.substring(F.md5("term"), 1, 15), 16, 10).cast("bigint"))
-    ids = dct.groupBy("term_id").agg(F.count("*").alias("ids_shared"))
-    return dct.join(ids, "term_id").select("term", "term_id", "n", "ids_shared")
+    # collision check: terms per id (groups are single rows unless ids collide)
+    from pyspark.sql import Window
+    shared = F.count("*").over(Window.partitionBy("term_id"))
+    return dct.select("term", "term_id", "n", shared.alias("ids_shared"))
 
 
 # --- I: vectors ---------------------------------------------------------------------
