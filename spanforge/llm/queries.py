@@ -42,6 +42,19 @@ FROM d LEFT JOIN s USING (doc_id)
 """
 
 
+@query("op3_byte_bpe")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .bpe import decode, encode
+    path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    encoded = encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), path, pattern).drop("text")
+    return decode(encoded, path, pattern).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
 @query("op6_substring_dedup", _SUBSTRING_SQL)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substring import repeats
