@@ -37,7 +37,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 
 #: characters of a leaf of the text, bytes of a leaf inside one match
-LEAF, MATCH_LEAF = 2048, 4096
+LEAF, MATCH_LEAF = 4096, 4096
 #: between these two characters a match always ends: a visible one that is no
 #: white space in any reading, and a blank
 _BORDER = re.compile("(?<=[!-~À-ɏ])(?=[ \n])")
@@ -119,7 +119,7 @@ class TreeBpe:
     # text level ---------------------------------------------------------------
     def leaf(self, text: str) -> np.ndarray:
         if len(text) <= 2 * LEAF:
-            return np.array(self.encoding.encode_ordinary(text), dtype=np.int32)
+            return self.encoding.encode_to_numpy(text, disallowed_special=()).astype(np.int32, copy=False)
         ids: list[int] = []                  # a window that had to grow far: a very long run
         for m in self.matches.finditer(text):
             ids += self.match(m.group())
