@@ -35,6 +35,7 @@ import numpy as np
 import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
+from pyspark.sql.types import ArrayType, BinaryType, DataType, IntegerType, StructField, StructType
 
 #: characters of a leaf of the text, bytes of a leaf inside one match
 LEAF, MATCH_LEAF = 4096, 4096
@@ -172,6 +173,10 @@ def tree_bpe(path: str, pattern: str) -> TreeBpe:
     return TreeBpe(path, pattern)
 
 
+def _with(df: DataFrame, name: str, kind: DataType) -> StructType:
+    return StructType([*df.schema.fields, StructField(name, kind)])
+
+
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """``docs`` with ``ids`` (array of int) appended, a row per row.
 
@@ -192,7 +197,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids)))
                 yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*part.schema.names, "ids"])
 
-    return docs.mapInArrow(run, docs.schema.add("ids", "array<int>"))
+    return docs.mapInArrow(run, _with(docs, "ids", ArrayType(IntegerType())))
 
 
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -207,4 +212,4 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array(out, pa.binary())], names=[*b.schema.names, "bytes"])
 
-    return encoded.mapInArrow(run, encoded.schema.add("bytes", "binary"))
+    return encoded.mapInArrow(run, _with(encoded, "bytes", BinaryType()))

@@ -18,7 +18,7 @@ import numpy as np
 
 from .wordarrays import _BYTE_VALUE, mix64, powers
 
-KEPT_CHUNKS, KEPT_BYTES = 1 << 19, 64
+KEPT_CHUNKS, KEPT_BYTES = 1 << 21, 64
 
 
 def _borders(data: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -95,11 +95,10 @@ class ChunkEncoder:
             kept_count = count[keep]
             self_at = len(self.pool) + np.cumsum(kept_count) - kept_count
             self.pool = np.concatenate((self.pool, ids[np.repeat(keep, count)]))
-            merged = np.concatenate((self.keys, keys[new][keep]))
-            order = np.argsort(merged, kind="stable")
-            self.keys = merged[order]
-            self.at = np.concatenate((self.at, self_at))[order]
-            self.count = np.concatenate((self.count, kept_count))[order]
+            where = place[new][keep]
+            self.keys = np.insert(self.keys, where, keys[new][keep])
+            self.at = np.insert(self.at, where, self_at)
+            self.count = np.insert(self.count, where, kept_count)
         return out, offsets
 
 

@@ -62,6 +62,17 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query("op8_token_files")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .rans import read_tokens, write_tokens
+    from .scratch import scratch_path
+    path = scratch_path(spark, "token-files")
+    write_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path, end_id=0)
+    return read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 @query("op10_simhash")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import near_duplicates
