@@ -55,6 +55,19 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
+def _part(n: int):
+    """crc32 of the doc_id as text, modulo n (null: as the empty text)."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % n
+
+
+@query("op5_language_id")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import predict, train
+    docs = _table(spark, sf_dir, "documents")
+    names, trees = train(docs.filter(_part(4) != 2), order=3, per_language=2000)
+    return predict(docs, names, trees, order=3).select("doc_id", (_part(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 @query("op6_substring_dedup", _SUBSTRING_SQL)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substring import repeats
