@@ -16,7 +16,7 @@ import os
 
 import numpy as np
 
-from .wordarrays import _BYTE_VALUE, mix64, powers
+from .wordarrays import BYTE_VALUE, mix64, powers
 
 KEPT_CHUNKS, KEPT_BYTES = 1 << 21, 64
 
@@ -66,7 +66,7 @@ class ChunkEncoder:
         end = np.append(start[1:], n)
         up, down = powers(0, n + 1)
         sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(_BYTE_VALUE[data] * up[:-1], dtype=np.uint64, out=sums[1:])
+        np.cumsum(BYTE_VALUE[data] * up[:-1], dtype=np.uint64, out=sums[1:])
         key = mix64((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
         keys, first, chunk = np.unique(key, return_index=True, return_inverse=True)
         place = np.searchsorted(self.keys, keys)

@@ -42,6 +42,24 @@ FROM d LEFT JOIN s USING (doc_id)
 """
 
 
+@query("op2_pii")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import KINDS, spans
+    found = spans(_table(spark, sf_dir, "documents"))
+    kinds = F.array(*[F.lit(k) for k in KINDS])
+    base = F.transform("base", lambda s: F.struct(
+        s["start"].alias("start"), s["kind"].alias("kind"),
+        F.concat_ws(":", F.get(kinds, s["kind"]), s["start"], s["end"]).alias("said")))
+    terms = F.transform("terms", lambda t: F.struct(
+        t["start"].alias("start"), F.lit(len(KINDS)).alias("kind"),
+        F.concat_ws(":", F.lit("term"), t["start"], t["end"]).alias("said")))
+    said = lambda a: F.array_join(F.transform(F.array_sort(a), lambda s: s["said"]), ",")
+    return found.select(
+        "doc_id", *[F.expr(f"cast(size(filter(base, s -> s.kind = {k})) as bigint)").alias(f"n_{name}")
+                    for k, name in enumerate(KINDS)],
+        F.sha2(said(base), 256).alias("base_sha256"), said(F.concat(base, terms)).alias("spans"))
+
+
 @query("op3_byte_bpe")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers

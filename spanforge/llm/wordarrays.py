@@ -44,7 +44,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_BYTE_VALUE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+BYTE_VALUE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 def string_column(col) -> pa.LargeStringArray:
@@ -74,12 +74,13 @@ def byte_slices(off: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int
 class Words:
     """Words of the rows [a, b): byte ranges, row offsets and 64-bit hashes."""
 
-    def __init__(self, data: np.ndarray, off: np.ndarray, a: int, b: int):
+    def __init__(self, data: np.ndarray, off: np.ndarray, a: int, b: int, between: np.ndarray = _SPACE):
+        """``between``: for each byte value, whether it lies between words."""
         lo, hi = int(off[a]), int(off[b])
         self.data = data[lo:hi]
         self.off = off[a:b + 1] - lo
         n = hi - lo
-        space = _SPACE[self.data]
+        space = between[self.data]
         first = np.zeros(n + 1, dtype=bool)   # first byte of a row
         first[self.off] = True
         before = np.empty(n, dtype=bool)
@@ -96,10 +97,11 @@ class Words:
         #: row r has the words [row[r], row[r + 1])
         self.row = np.searchsorted(self.start, self.off)
 
-    def hashes(self) -> np.ndarray:
+    def hashes(self, value: np.ndarray | None = None) -> np.ndarray:
+        """``value``: a number per byte value, if not all bytes differ."""
         up, down = powers(0, len(self.data) + 1)
         sums = np.zeros(len(self.data) + 1, dtype=np.uint64)
-        np.cumsum(_BYTE_VALUE[self.data] * up[:-1], dtype=np.uint64, out=sums[1:])
+        np.cumsum((BYTE_VALUE if value is None else value)[self.data] * up[:-1], dtype=np.uint64, out=sums[1:])
         h = (sums[self.end] - sums[self.start]) * down[self.start]
         return mix64(h + (self.end - self.start).astype(np.uint64))
 
