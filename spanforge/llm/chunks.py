@@ -18,7 +18,7 @@ import numpy as np
 
 from .wordarrays import BYTE_VALUE, mix64, powers
 
-KEPT_CHUNKS, KEPT_BYTES = 1 << 21, 64
+KEPT_CHUNKS, KEPT_BYTES = 1 << 20, 64
 
 
 def _borders(data: np.ndarray, off: np.ndarray) -> np.ndarray:

@@ -29,7 +29,7 @@ from .wordarrays import buffer_of, byte_slices, string_column
 
 BITS, LANES, CHECK, BLOCK = 20, 512, 128, 1 << 18
 _LOW = 1 << 31
-_SLICE = 8 << 20
+_SLICE = 4 << 20
 U64 = np.uint64
 
 
@@ -118,10 +118,16 @@ class Model:
 
 
 # Spark --------------------------------------------------------------------------
+def id_width(tokenizer: str) -> int:
+    """Bytes that hold any id of the vocabulary."""
+    return 2 if chunk_encoder(tokenizer).tokenizer.get_vocab_size() <= 1 << 16 else 4
+
+
 def tokenise(docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:
-    """``(doc_id, ids)`` per row, ids as little-endian uint32 bytes with the end id,
-    and one row of (symbol, count) pairs per task in ``counts``."""
+    """``(doc_id, ids)`` per row, ids as little-endian bytes of ``id_width`` with the end
+    id, and one row of (symbol, count) pairs per task in ``counts``."""
     docs = docs.select("doc_id", "text")
+    width = id_width(tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = chunk_encoder(tokenizer)
@@ -139,7 +145,7 @@ def tokenise(docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:
                     counts = np.concatenate((counts, np.zeros(len(here) - len(counts), np.int64)))
                 counts += here
                 values = pa.Array.from_buffers(pa.binary(), hi - lo, [
-                    None, pa.py_buffer((at * 4).astype(np.int32)), pa.py_buffer(ids)])
+                    None, pa.py_buffer((at * width).astype(np.int32)), pa.py_buffer(ids.astype(f"<u{width}"))])
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(lo, hi - lo), values, pa.nulls(hi - lo, pair)], names=["doc_id", "ids", "counts"])
         if doc_type is not None:
@@ -176,7 +182,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = 0) ->
     ordered = (tokens.filter("ids is not null").select("doc_id", "ids")
                .repartitionByRange(F.col("doc_id").asc_nulls_first(), F.xxhash64("ids"))
                .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("ids")))
-    doc_type = docs.schema["doc_id"].dataType.simpleString()
+    doc_type, width = docs.schema["doc_id"].dataType.simpleString(), id_width(tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -198,7 +204,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = 0) ->
                     ("documents", pa.list_(pa.struct([("doc_id", b.column(0).type), ("n", pa.int64())]))),
                     ("n_ids", pa.int64()), ("words", pa.binary()), ("checkpoints", pa.binary()), ("crc32", pa.int64())])
             for doc, value in zip(b.column(0).to_pylist(), b.column(1)):
-                row = np.frombuffer(value.as_buffer(), dtype="<u4")
+                row = np.frombuffer(value.as_buffer(), dtype=f"<u{width}")
                 if size and size + len(row) > BLOCK:
                     yield block()
                     held, ids, size, first = [], [], 0, first + size
