@@ -165,6 +165,7 @@ def repeated_runs(docs: DataFrame, length: int = 35, anchor: int = 10) -> DataFr
     seeds = (_anchors(docs, length, anchor).groupBy(F.col("anchor").alias("__anchor"))
              .agg(F.count("*").alias("n"), F.min("context").alias("lo"), F.max("context").alias("hi"))
              .filter("n > 1").select("__anchor", (F.col("lo") != F.col("hi")).alias("differ")))
+    seeds = materialise(seeds, "anchors")     # a table, so that the join below can split a hot anchor
     found = _anchors(docs, length, anchor)
     found = materialise(found.join(seeds, found["anchor"] == seeds["__anchor"]).drop("__anchor"), "seeds")
     whole = found.filter("not differ").select("doc_id", "tag", "start", "windows")
@@ -181,6 +182,7 @@ def repeated_runs(docs: DataFrame, length: int = 35, anchor: int = 10) -> DataFr
     windows = materialise(_extended(docs, asked, length), "windows")
     twice = (windows.groupBy(F.col("h1").alias("__h1"), F.col("h2").alias("__h2"))
              .agg(F.count("*").alias("n")).filter("n > 1").drop("n"))
+    twice = materialise(twice, "repeated")
     own = windows.filter("single = 1")
     part = (own.join(twice, (own["h1"] == twice["__h1"]) & (own["h2"] == twice["__h2"]))
             .select("doc_id", "tag", "start", F.lit(1).cast("long").alias("windows")))
