@@ -42,6 +42,19 @@ FROM d LEFT JOIN s USING (doc_id)
 """
 
 
+def _part(n: int):
+    """crc32 of the doc_id as text, modulo n (null: as the empty text)."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % n
+
+
+@query("op1_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import score
+    labels = _table(spark, sf_dir, "labels").filter(_part(5) != 0)
+    return score(_table(spark, sf_dir, "documents"), labels).select(
+        "doc_id", (_part(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query("op2_pii")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pii import KINDS, spans
@@ -73,11 +86,6 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
-def _part(n: int):
-    """crc32 of the doc_id as text, modulo n (null: as the empty text)."""
-    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % n
-
-
 @query("op5_language_id")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .langid import predict, train
