@@ -86,6 +86,14 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
+@query("op4_packing")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .packing import pack_documents
+    return pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @query("op5_language_id")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .langid import predict, train
@@ -101,6 +109,36 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+_EMBEDDING_SQL = """
+WITH RECURSIVE e AS (
+  SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+g AS (
+  SELECT *, sqrt(list_sum(list_transform(x, lambda c: c * c))) AS norm FROM e
+  WHERE label IS NOT NULL AND x IS NOT NULL AND len(list_filter(x, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+l AS (
+  SELECT a.r AS a, b.r AS b FROM g a JOIN g b
+  ON a.label = b.label AND a.r <> b.r AND a.norm > 0 AND b.norm > 0 AND len(a.x) = len(b.x)
+  AND list_sum(list_transform(list_zip(a.x, b.x), lambda p: p[1] * p[2])) / (a.norm * b.norm) >= 0.93),
+c AS (
+  SELECT r AS root, r AS node FROM e
+  UNION
+  SELECT c.root, l.b FROM c JOIN l ON l.a = c.node),
+m AS (
+  SELECT c.node AS r, min(e.vec_id) AS component_id FROM c JOIN e ON e.r = c.root GROUP BY c.node),
+n AS (
+  SELECT a AS r, count(*) AS n FROM l GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, m.component_id, e.vec_id = m.component_id AS kept
+FROM e JOIN m USING (r) LEFT JOIN n USING (r)
+"""
+
+
+@query("op7_embedding_lattice", _EMBEDDING_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lattice import near_vectors
+    return near_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.93).withColumn(
+        "kept", F.col("vec_id") == F.col("component_id"))
+
+
 @query("op8_token_files")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
