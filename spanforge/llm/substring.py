@@ -245,7 +245,8 @@ def without_repeats(docs: DataFrame, length: int = 35, anchor: int = 10) -> Data
     """``docs`` with the repeated words taken out of ``text``; a text that repeats
     nothing stays as it is, other columns too."""
     joined = _with_runs(docs, length, anchor)
-    at = docs.columns.index("text")
+    names = docs.columns
+    at = names.index("text")
 
     def run(batches):
         for b in batches:
@@ -260,6 +261,6 @@ def without_repeats(docs: DataFrame, length: int = 35, anchor: int = 10) -> Data
                 else:
                     new.append(b.column(at)[r].as_py())
             columns = [pa.array(new, pa.string()) if i == at else b.column(i) for i in range(b.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays(columns, names=docs.columns)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return joined.mapInArrow(run, docs.schema)
