@@ -99,13 +99,15 @@ def links(prints: DataFrame, max_bits: int = 4, segments: int = 3) -> DataFrame:
     bits cleared on whichever side has them set; with both sides probing, every
     split of the differing bits is met.
     """
+    def keyed(number: int):
+        return lambda v: F.struct(F.lit(number).alias("seg"), v.alias("key"))
+
     radius = max_bits // segments
     table, probes = [], []
     for i, (shift, width) in enumerate(_segments(segments)):
         own = _value(shift, width)
-        table.append(F.struct(F.lit(i).alias("seg"), own.alias("key")))
-        probes.append(F.transform(_ball(own, width, radius),
-                                  lambda v, i=i: F.struct(F.lit(i).alias("seg"), v.alias("key"))))
+        table.append(keyed(i)(own))
+        probes.append(F.transform(_ball(own, width, radius), keyed(i)))
     if radius == 0:
         stored = looked = prints.select("fp", F.inline(F.array(*table)))
     else:
