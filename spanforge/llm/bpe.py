@@ -37,6 +37,8 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BinaryType, DataType, IntegerType, StructField, StructType
 
+from .scratch import map_batches
+
 #: characters of a leaf of the text, bytes of a leaf inside one match
 LEAF, MATCH_LEAF = 4096, 4096
 #: between these two characters a match always ends: a visible one that is no
@@ -197,7 +199,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids)))
                 yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*part.schema.names, "ids"])
 
-    return docs.mapInArrow(run, _with(docs, "ids", ArrayType(IntegerType())))
+    return map_batches(docs, run, _with(docs, "ids", ArrayType(IntegerType())))
 
 
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -212,4 +214,4 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array(out, pa.binary())], names=[*b.schema.names, "bytes"])
 
-    return encoded.mapInArrow(run, _with(encoded, "bytes", BinaryType()))
+    return map_batches(encoded, run, _with(encoded, "bytes", BinaryType()))

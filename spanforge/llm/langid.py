@@ -22,6 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
+from .scratch import map_batches
 from .wordarrays import buffer_of, byte_slices, string_column
 
 _LETTER = regex.compile(r"\p{L}")
@@ -89,7 +90,7 @@ def train(rows: DataFrame, order: int = 3, per_language: int = 2000) -> tuple[li
              .join(F.broadcast(sizes), "lang")
              .filter(F.col("draw").bitwiseAND(F.lit((1 << 40) - 1)) / F.lit(float(1 << 40)) * F.col("count") <= per_language)
              .dropDuplicates(["lang", "draw"]))
-    counted = drawn.mapInArrow(_count(order), "lang string, gram long, n long")
+    counted = map_batches(drawn, _count(order), "lang string, gram long, n long")
     table = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
     trees, names = [], sorted(table["lang"].unique())
     for name in names:
@@ -155,4 +156,4 @@ def predict(docs: DataFrame, names: list[str], trees: list[ContextTree], order:
                  pa.array([float(score[i]) if k else 0.0 for i, k in enumerate(known)], pa.float64())],
                 names=["doc_id", "lang_pred", "score"])
 
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double")
+    return map_batches(docs, run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .components import connected_components
-from .scratch import materialise
+from .scratch import map_batches, materialise
 from .wordarrays import mix64
 
 
@@ -129,8 +129,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, tables: int = 8, p
                          pa.array(keys.reshape(-1).view(np.int64)), pa.array(np.tile(own, len(part)))],
                         names=["node", "label", "cell", "own"])
 
-    placed = nodes.select("node", "x", "label").mapInArrow(
-        run, f"node long, label {vectors.schema['label'].dataType.simpleString()}, cell long, own boolean")
+    placed = map_batches(nodes.select("node", "x", "label"), run, f"node long, label {vectors.schema['label'].dataType.simpleString()}, cell long, own boolean")
     placed = materialise(placed.withColumn("cell", F.xxhash64("cell", "label")).select("node", "cell", "own"), "cells")
     looked = placed.select(F.col("node").alias("a"), "cell")
     stored = placed.filter("own").select(F.col("node").alias("b"), "cell")

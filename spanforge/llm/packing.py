@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .chunks import chunk_encoder
-from .scratch import materialise
+from .scratch import map_batches, materialise
 from .wordarrays import buffer_of, byte_slices, string_column
 
 SIZES = (512, 1024, 2048, 4096, 8192)
@@ -45,7 +45,7 @@ def token_lengths(docs: DataFrame, tokenizer: str, end_tokens: int = 1) -> DataF
                     [b.column(0).slice(lo, hi - lo), pa.array(np.diff(at) + end_tokens, pa.int64())],
                     names=["doc_id", "length"])
 
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, length long")
+    return map_batches(docs, run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, length long")
 
 
 class Bins:
@@ -127,7 +127,7 @@ def pack(lengths: DataFrame, sizes: tuple[int, ...] = SIZES, overhead: int = OVE
             names=["doc_id", "piece", "start", "length", "bin", "capacity", "place"])
         yield from out.to_batches(max_chunksize=1 << 15)
 
-    packed = dealt.mapInArrow(run, f"doc_id {doc_type}, piece long, start long, length long, bin long, capacity long, "
+    packed = map_batches(dealt, run, f"doc_id {doc_type}, piece long, start long, length long, bin long, capacity long, "
                                    "place long")
     none = F.lit(None).cast("long")
     return packed.unionByName(rows.filter("length is null or length <= 0").select(

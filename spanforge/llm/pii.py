@@ -29,7 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .scratch import materialise
+from .scratch import map_batches, materialise
 from .wordarrays import BYTE_VALUE, Words, buffer_of, byte_slices, mix64, string_column
 
 KINDS = ("email", "ip", "card", "phone")
@@ -139,7 +139,7 @@ def find_base(docs: DataFrame, reach: int = 6) -> DataFrame:
                 [b.column(0), b.column(1), pa.array(base, span), pa.array(near, word)],
                 names=["doc_id", "tag", "base", "near"])
 
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, tag long, "
+    return map_batches(docs, run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, tag long, "
                                 "base array<struct<start:int,kind:int,end:int>>, "
                                 "near array<struct<term:long,entity:long,context:long>>")
 
@@ -175,7 +175,7 @@ def _corpus_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
                     [pa.array([*term.view(np.int64).tolist(), None], pa.int64()), pa.array([*n.tolist(), len(h)], pa.int64())],
                     names=["term", "n"])
 
-    counts = docs.select("text").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    counts = map_batches(docs.select("text"), run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
     return materialise(counts, "counts")
 
 
@@ -218,7 +218,7 @@ def find_terms(docs: DataFrame, terms: DataFrame) -> DataFrame:
                      pa.array((points[words.end[at]] - first).astype(np.int32))],
                     names=["doc_id", "tag", "term", "start", "end"])
 
-    hits = docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, tag long, term long, "
+    hits = map_batches(docs, run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, tag long, term long, "
                                 "start int, end int")
     return (hits.join(terms, "term").groupBy("doc_id", "tag")
             .agg(F.collect_set(F.struct("start", "end", "remove")).alias("terms")))   # bounded by the row's words
@@ -277,4 +277,4 @@ def sanitise(docs: DataFrame, reach: int = 6, **thresholds) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(new, pa.string()) if i == at else b.column(i) for i in range(len(names))], names=names)
 
-    return joined.mapInArrow(run, docs.schema)
+    return map_batches(joined, run, docs.schema)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .chunks import chunk_encoder
-from .scratch import materialise
+from .scratch import map_batches, scratch_path
 from .wordarrays import buffer_of, byte_slices, string_column
 
 BITS, LANES, CHECK, BLOCK = 20, 512, 128, 1 << 18
@@ -154,7 +154,7 @@ def tokenise(docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:
                 [pa.nulls(1, doc_type), pa.nulls(1, pa.binary()),
                  pa.array([[{"symbol": s, "n": int(counts[s])} for s in seen]], pair)], names=["doc_id", "ids", "counts"])
 
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids binary, "
+    return map_batches(docs, run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids binary, "
                                 "counts array<struct<symbol:long,n:long>>")
 
 
@@ -214,14 +214,13 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = 0) ->
         if size:
             yield block()
 
-    (ordered.mapInArrow(run, f"part long, first long, documents array<struct<doc_id:{doc_type},n:long>>, "
+    (map_batches(ordered, run, f"part long, first long, documents array<struct<doc_id:{doc_type},n:long>>, "
                              "n_ids long, words binary, checkpoints binary, crc32 long")
      .write.option("compression", "none").parquet(f"{path}/blocks"))
 
 
 def materialise_compact(df: DataFrame) -> DataFrame:
-    """As ``materialise``, with a denser codec for token ids."""
-    from .scratch import scratch_path
+    """As ``scratch.materialise``, with a denser codec for token ids."""
     spark = df.sparkSession
     path = scratch_path(spark, "tokens")
     df.write.option("compression", "zstd").parquet(path)
@@ -263,6 +262,6 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                          pa.py_buffer(ids.astype("<u4"))])],
                     names=["part", "doc_id", "at", "n_tokens", "ids"])
 
-    rows = blocks.mapInArrow(run, f"part long, doc_id {doc_type}, at long, n_tokens long, ids binary")
+    rows = map_batches(blocks, run, f"part long, doc_id {doc_type}, at long, n_tokens long, ids binary")
     return rows.join(F.broadcast(parts), "part").select(
         "doc_id", (F.col("before") + F.col("at")).alias("start"), "n_tokens", "ids")

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from spanforge.session import ensure_checkpoint_dir
 
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder below ``spark.checkpoint.dir``, deleted when the application ends."""
@@ -31,3 +33,12 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder that no later plan reads."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def map_batches(df: DataFrame, run, schema) -> DataFrame:
+    """``mapInArrow`` with batches bounded by bytes, as texts may be long: a session
+    that still has the default (64 MB) gets 8 MB."""
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH) in ("67108864b", "67108864", "64m", "64MB"):
+        conf.set(_BATCH, "8m")
+    return df.mapInArrow(run, schema)

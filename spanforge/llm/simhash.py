@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from .components import connected_components
-from .scratch import materialise
+from .scratch import map_batches, materialise
 
 _digest = xxhash.xxh64_digest
 _BLOCK = 1 << 18
@@ -60,7 +60,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
             fp = pa.array([fingerprint(t.as_py(), shingle) for t in b.column(1)], pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0), fp], names=["doc_id", "fp"])
 
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp long")
+    return map_batches(docs, run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp long")
 
 
 def _segments(segments: int) -> list[tuple[int, int]]:

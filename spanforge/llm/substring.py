@@ -34,7 +34,7 @@ import pyarrow as pa
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, functions as F
 
-from .scratch import materialise
+from .scratch import map_batches, materialise
 from .wordarrays import Words, buffer_of, byte_slices, mix64, string_column, window_hashes
 
 _ROWS = 1 << 15   # rows of a result batch, and of a step of the window minimum
@@ -111,7 +111,7 @@ def _anchors(docs: DataFrame, length: int, anchor: int) -> DataFrame:
                      pa.array(at - words.row[row]), pa.array(w.count)],
                     ["doc_id", "tag", "anchor", "context", "start", "windows"])
 
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, tag long, "
+    return map_batches(docs, run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, tag long, "
                                 "anchor long, context long, start long, windows long")
 
 
@@ -154,7 +154,7 @@ def _extended(docs: DataFrame, asked: DataFrame, length: int) -> DataFrame:
                      _signed(one[at]), _signed(two[at]), pa.array(np.concatenate(singles))],
                     ["doc_id", "tag", "start", "h1", "h2", "single"])
 
-    return joined.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, tag long, start long, "
+    return map_batches(joined, run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, tag long, start long, "
                                   "h1 long, h2 long, single long")
 
 
@@ -237,7 +237,7 @@ def repeats(docs: DataFrame, length: int = 35, anchor: int = 10) -> DataFrame:
                 [b.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
                  pa.array(kept, pa.binary()).cast(pa.string())], names=["doc_id", "n_words", "n_removed", "kept"])
 
-    return joined.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_words long, "
+    return map_batches(joined, run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_words long, "
                                   "n_removed long, kept string")
 
 
@@ -263,4 +263,4 @@ def without_repeats(docs: DataFrame, length: int = 35, anchor: int = 10) -> Data
             columns = [pa.array(new, pa.string()) if i == at else b.column(i) for i in range(b.num_columns - 1)]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return joined.mapInArrow(run, docs.schema)
+    return map_batches(joined, run, docs.schema)

@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .scratch import materialise
+from .scratch import map_batches, materialise
 from .wordarrays import BYTE_VALUE, Words, buffer_of, byte_slices, mix64, powers, string_column
 
 LEXICONS = 8
@@ -113,7 +113,7 @@ def markers(docs: DataFrame, sample: DataFrame, most: int = 3000, lift: float =
     both = F.col("bad") + F.col("good")
     ratio = (F.col("bad") * F.log(F.col("bad") * (bad + good) / (both * bad))
              + F.when(F.col("good") > 0, F.col("good") * F.log(F.col("good") * (bad + good) / (both * good))).otherwise(0.0))
-    best = (drawn.mapInArrow(run, "feature long, bad long, good long")
+    best = (map_batches(drawn, run, "feature long, bad long, good long")
             .groupBy("feature").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
             .filter("bad > 0").filter((log_odds >= lift) & (2 * ratio >= evidence))
             .orderBy((F.col("bad") * log_odds).desc(), "feature").limit(most))
@@ -158,7 +158,7 @@ def votes(docs: DataFrame, known: np.ndarray) -> DataFrame:
                      pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(at, pa.int32())),
                      *[pa.array(c.astype(np.int8)) for c in cast]], names=["doc_id", "hits", *names])
 
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, hits array<int>, "
+    return map_batches(docs, run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, hits array<int>, "
                            + ", ".join(f"{v} tinyint" for v in names))
 
 
