@@ -6,16 +6,20 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from spanforge.schemas import (CONTEXT_PREFIX, EXAMPLES_HEADER, FORMAT_HEADER, FORMAT_LINES, STYLE_PREFIX,
-                               SYSTEM_PROMPT, TASK_HEADER)
+                               SYSTEM_PROMPT, SYSTEM_PROMPT_EARLY, SYSTEM_PROMPT_SENTENCE, TASK_HEADER)
 
 
 def json_str(s: Column) -> Column:
-    """A JSON string literal as ``json.dumps(..., ensure_ascii=False)`` writes it
-    (backslash, quote and the common control characters escaped)."""
+    """A JSON string literal as ``json.dumps(..., ensure_ascii=False)`` writes it:
+    backslash, quote and every control character below U+0020 escaped."""
+    named = {8: "\\b", 9: "\\t", 10: "\\n", 12: "\\f", 13: "\\r"}
     e = F.replace(s, F.lit("\\"), F.lit("\\\\"))
     e = F.replace(e, F.lit('"'), F.lit('\\"'))
-    for ch, rep in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
-        e = F.replace(e, F.lit(ch), F.lit(rep))
+    plain = e
+    for code in range(32):
+        e = F.replace(e, F.lit(chr(code)), F.lit(named.get(code, f"\\u{code:04x}")))
+    # control characters are rare: most strings skip the replacements
+    e = F.when(plain.rlike("[\\x00-\\x1f]"), e).otherwise(plain)
     return F.concat(F.lit('"'), e, F.lit('"'))
 
 
@@ -48,19 +52,29 @@ def style_line(style: Column, context: Column) -> Column:
     return F.concat(F.lit(STYLE_PREFIX), style, F.lit(". \n" + CONTEXT_PREFIX), context, F.lit(". "))
 
 
+#: variant -> (system text of an inline header, style line?, format wording)
+VARIANTS = {
+    "script": (None, True, "script"),
+    "system": (SYSTEM_PROMPT, True, "script"),
+    "no_format": (SYSTEM_PROMPT_SENTENCE, True, None),
+    "system_no_style": (SYSTEM_PROMPT, False, "label_list"),
+    "bare": (None, False, "label_list"),
+}
+
+
+def header(system: str) -> str:
+    return "System: " + system + "\n\nUser:\n"
+
+
 def build_prompt(task: Column, style: Column, context: Column, examples: Column,
                  variant: str = "script") -> Column:
-    """Full user prompt.  Variants: ``script`` (task, style, format,
-    examples), ``system`` (same with an inline ``System:``/``User:`` header),
-    ``no_format`` (no format block)."""
-    parts = []
-    if variant == "system":
-        parts += [F.lit("System: " + SYSTEM_PROMPT + "\n\nUser:\n")]
-    parts += [task, F.lit("\n\n"), style_line(style, context), F.lit("\n\n")]
-    if variant != "no_format":
-        parts += [format_block("script"), F.lit("\n\n")]
-    parts += [examples, F.lit("\n")]
-    return F.concat(*parts)
+    """Full user prompt of a variant (``VARIANTS``): optional inline system
+    header, task, optional style line, optional format block, examples; blocks are
+    set apart by blank lines."""
+    system, styled, wording = VARIANTS[variant]
+    blocks = [task] + [style_line(style, context)] * styled + ([format_block(wording)] if wording else []) + [examples]
+    head = [F.lit(header(system))] if system else []
+    return F.concat(*head, F.concat_ws("\n\n", *blocks), F.lit("\n"))
 
 
 def chat_messages(user: Column, system: Column | None = None) -> Column:
@@ -82,5 +96,5 @@ def build_prompt_fixed_examples(task: Column) -> Column:
     example per line."""
     from spanforge.schemas import FIXED_EXAMPLES
     block = EXAMPLES_HEADER + "\n" + "".join(e + "\n" for e in FIXED_EXAMPLES)
-    return F.concat(F.lit("System: " + SYSTEM_PROMPT + "\n\nUser:\n"), task, F.lit("\n\n"),
+    return F.concat(F.lit(header(SYSTEM_PROMPT_EARLY)), task, F.lit("\n\n"),
                     format_block("notebook"), F.lit("\n\n" + block))

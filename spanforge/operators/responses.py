@@ -12,6 +12,7 @@ from __future__ import annotations
 import random
 import time
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -31,43 +32,57 @@ class CallError(Exception):
         self.code = code
 
 
-def call_with_retry(call: Callable[[str], str], prompt: str, max_attempts: int = MAX_ATTEMPTS,
-                    base_delay: float = BASE_DELAY_S, retryable=RETRYABLE_CODES,
-                    sleep: Callable[[float], None] = time.sleep, jitter: Callable[[], float] = random.random):
-    """Retry only retryable codes; delay = base * 2**attempt + U(0, 1);
-    other errors (or the last attempt) are reported, never retried.
-    Returns (text, attempts, status_code, error)."""
-    for attempt in range(max_attempts):
+@dataclass(frozen=True)
+class Outcome:
+    """What a prompt came to: text or error, after so many attempts."""
+
+    text: str | None
+    attempts: int
+    code: int | None
+    error: str | None
+
+
+def waits(max_attempts: int, base_delay: float, jitter: Callable[[], float]) -> Iterator[float]:
+    """The pauses between attempts, doubling from ``base_delay``, each with jitter."""
+    return (base_delay * 2.0 ** k + jitter() for k in range(max_attempts - 1))
+
+
+def ask(call: Callable[[str, str, int], str], prompt: str, system: str, max_attempts: int = MAX_ATTEMPTS,
+        base_delay: float = BASE_DELAY_S, retryable=RETRYABLE_CODES,
+        sleep: Callable[[float], None] = time.sleep, jitter: Callable[[], float] = random.random) -> Outcome:
+    """Ask until an answer, a code that isn't worth a retry, or the last attempt.
+
+    ``call`` gets the prompt, the system instruction and the attempt's number."""
+    pauses = waits(max_attempts, base_delay, jitter)
+    attempt = 1
+    while True:
         try:
-            return call(prompt), attempt + 1, 200, None
-        except Exception as err:  # noqa: BLE001 - the error is reported per row
-            code = getattr(err, "code", None)
-            if code in retryable and attempt < max_attempts - 1:
-                sleep(base_delay * (2 ** attempt) + jitter())
-                continue
-            return None, attempt + 1, code, str(err)
-    return None, max_attempts, None, "max attempts exhausted"
-
-
-def llm_map(df: DataFrame, prompt_col: str, client_factory: Callable[[], Callable[[str], str]],
-            key_cols: list[str], sleep: Callable[[float], None] = time.sleep) -> DataFrame:
-    """Prompt -> raw response for every row, Arrow-batched.
-
-    ``client_factory`` is called once per task (not per row); the returned
-    callable maps a prompt to text.  Output: keys, raw, attempts, status, error."""
+            return Outcome(call(prompt, system, attempt), attempt, 200, None)
+        except Exception as failure:  # noqa: BLE001 - reported in the row
+            last = Outcome(None, attempt, getattr(failure, "code", None), str(failure))
+        pause = next(pauses, None) if last.code in retryable else None
+        if pause is None:
+            return last
+        sleep(pause)
+        attempt += 1
+
+
+def llm_map(df: DataFrame, prompt_col: str, client_factory: Callable[[], Callable[[str, str, int], str]],
+            key_cols: list[str], system: str, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
+    """Prompt and system instruction -> raw response for every row, Arrow-batched.
+
+    ``client_factory`` is called once per task (not per row).  Output: keys, raw,
+    attempts, call_status (the API code), call_error."""
     out_schema = (", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*key_cols).schema.fields)
-                  + ", raw string, attempts int, status int, error string")
+                  + ", raw string, attempts int, call_status int, call_error string")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         call = client_factory()
         for pdf in batches:
-            res = [call_with_retry(call, p, sleep=sleep) for p in pdf[prompt_col]]
-            out = pdf[key_cols].copy()
-            out["raw"] = [r[0] for r in res]
-            out["attempts"] = [r[1] for r in res]
-            out["status"] = [r[2] for r in res]
-            out["error"] = [r[3] for r in res]
-            yield out
+            got = [ask(call, p, system, sleep=sleep) for p in pdf[prompt_col]]
+            yield pdf[key_cols].assign(raw=[o.text for o in got], attempts=[o.attempts for o in got],
+                                       call_status=pd.array([o.code for o in got], dtype="Int32"),
+                                       call_error=[o.error for o in got])
 
     return df.select(*key_cols, prompt_col).mapInPandas(run, out_schema)
 
@@ -109,10 +124,14 @@ def first_n_valid(df: DataFrame, n: int, order: str) -> DataFrame:
 
 
 def require_nonempty(df: DataFrame, what: str = "valid sentences") -> DataFrame:
-    """Fail when nothing valid was produced (a single ``limit(1)`` count job)."""
-    if df.limit(1).count() == 0:
-        raise RuntimeError(f"no {what} produced")
-    return df
+    """Fail when nothing valid was produced.
+
+    The check is part of the plan: one row is left-joined with ``df`` (the first N
+    rows, so one small group), and raises if it meets nothing.  Building the query
+    runs nothing and the responses are made once."""
+    one = df.sparkSession.range(1).select(F.lit(1).alias("__key"))
+    met = one.join(df.withColumn("__key", F.lit(1)).withColumn("__row", F.lit(True)), "__key", "left")
+    return met.where(F.coalesce("__row", F.raise_error(F.lit(f"no {what} produced")).cast("boolean"))).drop("__key", "__row")
 
 
 def funnel(df: DataFrame) -> DataFrame:

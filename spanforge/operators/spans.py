@@ -16,10 +16,13 @@ from spanforge.functions.text import TAG
 _SPAN_T = "struct<start:int,stop:int,label:string,ord:int>"
 
 
-def find_spans_first(sentence: Column, entities: Column) -> Column:
+def find_spans_first(sentence: Column, entities: Column, low: Column | None = None) -> Column:
     """first case-insensitive occurrence of every entity text (no word
-    boundary); a repeated term gets the same span.  Miss: start -1."""
-    low = F.lower(sentence)
+    boundary); a repeated term gets the same span.  Miss: start -1.
+
+    ``low``: the lowered sentence as a materialised column, else it is lowered for
+    each entity."""
+    low = F.lower(sentence) if low is None else low
 
     def one(e, k):
         t = F.lower(e["text"])
@@ -29,7 +32,7 @@ def find_spans_first(sentence: Column, entities: Column) -> Column:
     return F.transform(entities, one)
 
 
-def find_spans_next(sentence: Column, entities: Column) -> Column:
+def find_spans_next(sentence: Column, entities: Column, low: Column | None = None) -> Column:
     """each repeated (lower-cased) term continues after its previous hit;
     a miss (start -1, stop len-1) does not advance the search position.
 
@@ -111,27 +114,37 @@ def align_expand(tokens: Column, start: Column, stop: Column) -> Column:
 
 
 def filter_spans(spans: Column) -> Column:
-    """Drop overlapping token spans — longest first, ties to the earliest
-    start (then label), greedy; result ordered by start.
+    """Drop overlapping token spans — longest first, ties to the earliest start,
+    then to the span that comes first in the input; greedy; result ordered by start.
+
+    ``spans``: array<struct<first_tok,end_tok,...>> with end exclusive.  Spans that
+    don't overlap, the usual case, take one sort and one pass."""
+    number = F.transform(spans, lambda s, i: F.struct(s["first_tok"].alias("first_tok"), i.alias("i"), s.alias("s")))
+    by_start = F.transform(F.array_sort(number, lambda a, b: F.when(a["first_tok"] < b["first_tok"], -1)
+                                        .when(a["first_tok"] > b["first_tok"], 1).otherwise(a["i"] - b["i"])),
+                           lambda x: x["s"])
+    n = F.size(spans)
+    apart = F.forall(F.zip_with(F.slice(by_start, 1, F.greatest(n - 1, F.lit(0))),
+                                F.slice(by_start, 2, F.greatest(n - 1, F.lit(0))),
+                                lambda a, b: a["end_tok"] <= b["first_tok"]), lambda x: x)
 
-    ``spans``: array<struct<first_tok,end_tok,...>> with end exclusive."""
     def cmp(a, b):
-        la = a["end_tok"] - a["first_tok"]
-        lb = b["end_tok"] - b["first_tok"]
+        la = a["s"]["end_tok"] - a["first_tok"]
+        lb = b["s"]["end_tok"] - b["first_tok"]
         return (F.when(la > lb, -1).when(la < lb, 1)
                 .when(a["first_tok"] < b["first_tok"], -1).when(a["first_tok"] > b["first_tok"], 1)
-                .when(a["label"] < b["label"], -1).when(a["label"] > b["label"], 1).otherwise(0))
+                .otherwise(a["i"] - b["i"]))
 
-    ordered = F.array_sort(spans, cmp)
+    ordered = F.transform(F.array_sort(number, cmp), lambda x: x["s"])
     empty = F.slice(ordered, 1, 0)
 
     def keep(acc, s):
         clash = F.exists(acc, lambda a: (a["first_tok"] < s["end_tok"]) & (s["first_tok"] < a["end_tok"]))
         return F.when(clash, acc).otherwise(F.concat(acc, F.array(s)))
 
-    kept = F.aggregate(ordered, empty, keep)
-    return F.array_sort(kept, lambda a, b: F.when(a["first_tok"] < b["first_tok"], -1)
+    kept = F.array_sort(F.aggregate(ordered, empty, keep), lambda a, b: F.when(a["first_tok"] < b["first_tok"], -1)
                         .when(a["first_tok"] > b["first_tok"], 1).otherwise(0))
+    return F.when(apart, by_start).otherwise(kept)
 
 
 def explode_spans(df: DataFrame, keys: list[str], col: str) -> DataFrame:

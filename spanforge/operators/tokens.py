@@ -58,13 +58,14 @@ def token_texts(tokens: Column) -> Column:
     return F.transform(tokens, lambda t: t["text"])
 
 
-def truncate_with_specials(tokens: Column, max_len: int = 128,
+def truncate_with_specials(tokens: Column, max_len: int | None = None,
                            cls: str = "[CLS]", sep: str = "[SEP]") -> Column:
-    """``[CLS] + first (max_len-2) tokens + [SEP]``; specials get (0, 0)."""
+    """``[CLS] + first (max_len-2) tokens + [SEP]``; specials get (0, 0).
+    Without ``max_len`` all tokens stay."""
     def special(name):
         return F.array(F.struct(F.lit(-1).alias("i"), F.lit(name).alias("text"), F.lit(0).alias("start"),
                                 F.lit(0).alias("stop"), F.lit(False).alias("ws")))
-    body = F.slice(tokens, 1, max_len - 2)
+    body = tokens if max_len is None else F.slice(tokens, 1, max_len - 2)
     return F.concat(special(cls), body, special(sep))
 
 

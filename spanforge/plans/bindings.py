@@ -18,7 +18,9 @@ from spanforge.schemas import CLASS_NAMES
 from spanforge.session import table
 
 SEED = 42
-LINE_KEY_FACTOR = 1_000_000  # sent_id = doc_id * factor + line_no
+# sent_id = doc_id * factor + line_no: a text has fewer lines than bytes, and a
+# string cell fewer bytes than this, so ids of two documents never meet
+LINE_KEY_FACTOR = 1 << 31
 
 # FIXED VALUES — gazetteer phrases (frequent function words of the corpus
 # languages), each with the class it stands for in the tests.
@@ -35,15 +37,15 @@ FIXED_PHRASES = [
 ]
 
 
-def sentences(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per non-empty line of every document: doc_id, line_no, sent_id, sentence.
 
-    ``spread``: when the scan yields fewer partitions than the cluster has
-    cores (a small file with one row group), spread the documents round-robin
-    first; a real corpus already scans as many splits and is left alone."""
+    A session may ask for a number of partitions (``spanforge.scanPartitions``) where
+    its files are unsplittable, as a test file of one row group is."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    if spread:
-        docs = spread_small_input(docs)
+    parts = spark.conf.get("spanforge.scanPartitions", None)
+    if parts:
+        docs = docs.repartition(int(parts))
     # outer generators everywhere: a plain one makes Catalyst infer and push a
     # size(...) > 0 filter that re-evaluates the array expression
     s = docs.select("doc_id", F.posexplode_outer(F.split("text", "\n")).alias("line_no", "sentence"))
@@ -51,13 +53,6 @@ def sentences(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFra
     return s.withColumn("sent_id", F.col("doc_id") * LINE_KEY_FACTOR + F.col("line_no"))
 
 
-def spread_small_input(df: DataFrame) -> DataFrame:
-    par = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < par:
-        return df.repartition(par * 2)
-    return df
-
-
 def split_of(key) -> F.Column:
     """Deterministic 80/10/10 split from the key hash."""
     b = draw_index(10, SEED, key, "split")
@@ -140,6 +135,7 @@ def semicolon_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
     k = F.col("p_partkey")
     flag = F.when(draw_index(3, SEED, k, "flag") == 0, F.lit("N")).otherwise(F.lit("T"))
+    flag = F.when(draw_index(4, SEED, k, "pad") == 0, F.concat(F.lit(" "), flag, F.lit("\t"))).otherwise(flag)
     fields = [k.cast("string"), flag, F.col("p_brand"), F.col("p_type"), F.col("p_size").cast("string"),
               F.concat(F.lit("D"), k.cast("string")), F.lit("x"), F.lit("y"), F.col("p_name")]
     short = draw_index(10, SEED, k, "short") == 0

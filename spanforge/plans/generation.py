@@ -85,15 +85,30 @@ def example_pool(spark: SparkSession) -> list[str]:
     return [r["j"] for r in js.orderBy("i").collect()]
 
 
-def prompt_rows(spark: SparkSession, d: str, variant: str = "script", k: int = 2) -> DataFrame:
-    """Full prompt per attempt (task, style/context, format, k examples)."""
+def prompt_variant_rows(spark: SparkSession, d: str, variants: tuple[str, ...], k: int = 2) -> DataFrame:
+    """(row_id, variant, prompt); entities, examples and draws are made once."""
+    rows = prompt_parts(spark, d, k).select("row_id", F.inline_outer(F.array(*[
+        F.struct(F.lit(v).alias("variant"),
+                 prompts.build_prompt(F.col("task"), F.col("style"), F.col("context"), F.col("examples"), v).alias("prompt"))
+        for v in variants])))
+    return rows.where(F.col("variant").isNotNull())
+
+
+def prompt_parts(spark: SparkSession, d: str, k: int = 2) -> DataFrame:
+    """D5 parts per attempt: entities, task, style, context, k examples."""
     ents = entity_rows(spark, d)
     pool = F.array(*[F.lit(j) for j in example_pool(spark)])
     picks = sampling.sample_without_replacement(pool, k, SEED, F.col("row_id"))
     examples = prompts.examples_block(F.transform(picks, lambda p: p["e"]))
     style, ctx = sampling.style_context(SEED, F.col("row_id"))
-    prompt = prompts.build_prompt(prompts.task_block(F.col("entities")), style, ctx, examples, variant)
-    return ents.select("row_id", "entities", prompt.alias("prompt"))
+    return ents.select("row_id", "entities", prompts.task_block(F.col("entities")).alias("task"),
+                       style.alias("style"), ctx.alias("context"), examples.alias("examples"))
+
+
+def prompt_rows(spark: SparkSession, d: str, variant: str = "script", k: int = 2) -> DataFrame:
+    """Full prompt per attempt."""
+    prompt = prompts.build_prompt(F.col("task"), F.col("style"), F.col("context"), F.col("examples"), variant)
+    return prompt_parts(spark, d, k).select("row_id", "entities", prompt.alias("prompt"))
 
 
 # --- responses table (what a model returned), derived from the attempts -------
@@ -113,8 +128,9 @@ def raw_responses(spark: SparkSession, d: str) -> DataFrame:
     sent = response_sentence(F.col("entities"))
     sent = F.when(v == 3, F.replace(sent, first, F.lit("etwas"))).otherwise(sent)
     ent_json = F.array_join(F.transform("entities", lambda x: F.concat(
-        F.lit('{"text": "'), x["text"], F.lit('", "label": "'), x["label"], F.lit('"}'))), ", ")
-    js = F.concat(F.lit('{"text": "'), sent, F.lit('", "entities": ['), ent_json, F.lit("]}"))
+        F.lit('{"text": '), prompts.json_str(x["text"]), F.lit(', "label": '), prompts.json_str(x["label"]),
+        F.lit("}"))), ", ")
+    js = F.concat(F.lit('{"text": '), prompts.json_str(sent), F.lit(', "entities": ['), ent_json, F.lit("]}"))
     raw = (F.when(v == 0, F.concat(F.lit("```json\n"), js, F.lit("\n```")))
            .when(v == 1, F.substring(js, 1, F.length(js) - 5))
            .when(v == 2, F.lit('{"entities": []}'))

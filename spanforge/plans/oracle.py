@@ -187,7 +187,8 @@ SEMI_LINES = f"""semi_lines AS (
          CASE WHEN {draw('10', str(SEED), 'p_partkey', "'short'")} = 0
               THEN concat_ws(';', p_partkey, flag, p_brand, p_type, p_size, 'D' || p_partkey, 'x', 'y')
               ELSE concat_ws(';', p_partkey, flag, p_brand, p_type, p_size, 'D' || p_partkey, 'x', 'y', p_name) END AS value
-  FROM (SELECT *, CASE WHEN {draw('3', str(SEED), 'p_partkey', "'flag'")} = 0 THEN 'N' ELSE 'T' END AS flag FROM part))"""
+  FROM (SELECT *, CASE WHEN {draw('4', str(SEED), 'p_partkey', "'pad'")} = 0 THEN ' ' || f || chr(9) ELSE f END AS flag
+        FROM (SELECT *, CASE WHEN {draw('3', str(SEED), 'p_partkey', "'flag'")} = 0 THEN 'N' ELSE 'T' END AS f FROM part)))"""
 
 
 def ustrip_sql(x: str) -> str:
@@ -198,7 +199,7 @@ def ustrip_sql(x: str) -> str:
 def extract_cte(name: str, src: str, sep: str, min_fields: int, code_idx: int, term_idx: int,
                 flag_idx: int | None = None) -> str:
     f = "string_split(regexp_replace(value, '[\\r\\n]+$', ''), " + q(sep) + ")"
-    flag = (f"WHEN fields[{flag_idx + 1}] <> 'T' THEN 'not_terminal' " if flag_idx is not None else "")
+    flag = (f"WHEN trim(fields[{flag_idx + 1}], ' ' || chr(9)) <> 'T' THEN 'not_terminal' " if flag_idx is not None else "")
     return f"""{name} AS (
   SELECT line_key, code, term,
          CASE WHEN len(fields) < {min_fields} THEN 'too_few' {flag}
@@ -281,11 +282,11 @@ def tagged_cte() -> str:
 tagged AS (SELECT line_key, replace(replace(value, '<s>', ''), '</s>', '') AS inner_text FROM tagged_src)"""
 
 
-def filtered_cte(name: str, src: str) -> str:
+def filtered_cte(name: str, src: str, tie: str) -> str:
     return f"""{name} AS (
   SELECT sent_id, unnest(list_sort(list_reduce(
       list(struct_pack(first_tok := first_tok, end_tok := end_tok, start := start, stop := stop, label := label)
-           ORDER BY end_tok - first_tok DESC, first_tok, label),
+           ORDER BY end_tok - first_tok DESC, first_tok, {tie}),
       lambda acc, s: CASE WHEN len(list_filter(acc, lambda a: a.first_tok < s.end_tok AND s.first_tok < a.end_tok)) > 0
                           THEN acc ELSE list_append(acc, s) END,
       []::STRUCT(first_tok INTEGER, end_tok INTEGER, start INTEGER, stop INTEGER, label VARCHAR)[])), recursive := true)
@@ -299,8 +300,15 @@ ALIGNED = """aligned AS (
   FROM raw_spans r LEFT JOIN tokens t ON t.sent_id = r.sent_id AND t.stop > r.start AND t.start < r.stop
   GROUP BY r.sent_id, r.ord, r.start, r.stop, r.ner_class)"""
 
-# model-input view: [CLS] + first 126 word tokens + [SEP]; specials have (0, 0)
+# model-input view: [CLS] + word tokens + [SEP]; specials have (0, 0)
 SEQ = """seq AS (
+  SELECT sent_id, i + 1 AS p, token, start, stop FROM tokens
+  UNION ALL SELECT sent_id, 0, '[CLS]', 0, 0 FROM sentences
+  UNION ALL SELECT s.sent_id, coalesce(c.n, 0) + 1, '[SEP]', 0, 0
+  FROM sentences s LEFT JOIN (SELECT sent_id, count(*) AS n FROM tokens GROUP BY sent_id) c USING (sent_id))"""
+
+# the same cut at 128 places
+SEQ_128 = """seq AS (
   SELECT sent_id, i + 1 AS p, token, start, stop FROM tokens WHERE i < 126
   UNION ALL SELECT sent_id, 0, '[CLS]', 0, 0 FROM sentences
   UNION ALL SELECT s.sent_id, least(coalesce(c.n, 0), 126) + 1, '[SEP]', 0, 0

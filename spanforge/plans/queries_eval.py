@@ -43,7 +43,7 @@ def pattern_sql(patterns) -> str:
             elif attr == "IS_DIGIT":
                 conds.append(f"regexp_full_match({t}, '\\p{{Nd}}+')")
             elif attr == "LIKE_NUM":
-                conds.append(f"regexp_full_match({t}, '[0-9]+([.,][0-9]+)?')")
+                conds.append(f"regexp_full_match({t}, '[0-9]+([.,][0-9]+)*')")
         text = " || ' ' || ".join(f"t{k}" for k in range(L))
         parts.append(f"SELECT sent_id, {O.q(label)} AS label, {a} AS alt, i AS first_tok, i + {L} AS end_tok, "
                      f"{text} AS match_text FROM (SELECT sent_id, i, {leads} FROM tokens "
@@ -52,13 +52,13 @@ def pattern_sql(patterns) -> str:
 
 
 P_TEXT = [("OF_THE", [("TEXT", "of"), ("TEXT", "the")])]
-P_DIGIT = [("IP_PART", [("IS_DIGIT", None), ("TEXT", "."), ("IS_DIGIT", None)])]
+P_DIGIT = [("NUMBER_PAIR", [("IS_DIGIT", None), ("TEXT", "-"), ("IS_DIGIT", None)])]
 P_LOWER = [("GADGET", [("LOWER", "of"), ("LOWER", "the")]), ("GADGET", [("LOWER", "de"), ("LOWER", "la")])]
 
 
 @query("percentage_tokens", lambda: O.with_(*_TOK) +
        ", tk AS (SELECT *, lead(token) OVER (PARTITION BY sent_id ORDER BY i) AS nxt FROM tokens) "
-       "SELECT sent_id, i, token FROM tk WHERE nxt = '%' AND regexp_full_match(token, '[0-9]+([.,][0-9]+)?')")
+       "SELECT sent_id, i, token FROM tk WHERE nxt = '%' AND regexp_full_match(token, '[0-9]+([.,][0-9]+)*')")
 def q_percentage(spark, d):
     """H1: number-like token followed by '%'."""
     return percentage_tokens(_toks(spark, d), ["sent_id"])
@@ -219,9 +219,10 @@ def token_accuracy(spark, d):
 
 def _span_prf_sql():
     ctes = [O.SENTENCES, O.PIECES, O.TOKENS, O.RAW_SPANS, O.ALIGNED,
-            "al2 AS (SELECT sent_id, first_tok, end_tok, start, stop, CASE ner_class WHEN 0 THEN 'Medikation' "
+            "al2 AS (SELECT sent_id, row_number() OVER (PARTITION BY sent_id ORDER BY c_start, c_stop, ner_class, ord) AS ord, "
+            "first_tok, end_tok, start, stop, CASE ner_class WHEN 0 THEN 'Medikation' "
             "WHEN 1 THEN 'Dosis' ELSE 'Diagnose' END AS label FROM aligned WHERE first_tok IS NOT NULL)",
-            O.filtered_cte("g4", "al2"), O.phrase_keys_cte(), O.grams_cte(), O.MATCHES, O.FILTERED,
+            O.filtered_cte("g4", "al2", "ord"), O.phrase_keys_cte(), O.grams_cte(), O.MATCHES, O.FILTERED,
             "gold_chunks AS (SELECT sent_id, label AS type, first_tok AS first, end_tok AS last FROM g4)",
             "pred_chunks AS (SELECT sent_id, label AS type, first_tok AS first, end_tok AS last FROM filtered)",
             O.PRF_FROM_CHUNKS]
@@ -244,7 +245,7 @@ def span_prf(spark, d):
                                                    (e["end_tok"] - 1).alias("last")))
     s = B.random_char_spans(_toks(spark, d))
     names = B.class_name_literal()
-    al = F.transform("spans", lambda x: SP.align_expand(F.col("tokens"), x["start"], x["stop"])
+    al = F.transform(F.array_sort("spans"), lambda x: SP.align_expand(F.col("tokens"), x["start"], x["stop"])
                      .withField("label", F.get(names, x["ner_class"])))
     s = s.withColumn("gold", pin(SP.filter_spans(F.filter(al, lambda a: a.isNotNull()))))
     s = with_phrase_matches(s, B.phrases(spark, d), ["sent_id"])

@@ -157,12 +157,18 @@ def prompt_examples(spark, d):
 
 
 def _prompt_sql(variant):
-    nl = "chr(10)"
-    head = q_sys = ""
-    if variant == "system":
-        q_sys = O.q("System: " + SYSTEM_PROMPT + "\n\nUser:\n") + " || "
-    fmt = "" if variant == "no_format" else f"fmt || {nl} || {nl} || "
-    return f"{q_sys}task || {nl} || {nl} || sc || {nl} || {nl} || {fmt}ex || {nl}" + head
+    """The variants spelled out in SQL (not from ``prompts.VARIANTS``)."""
+    from spanforge.schemas import FORMAT_LINES, SYSTEM_PROMPT_SENTENCE
+    gap = "chr(10) || chr(10)"
+    said = lambda t: O.q("System: " + t + "\n\nUser:\n")
+    labels = O.q("Format:\n" + FORMAT_LINES["label_list"])
+    return {
+        "script": f"task || {gap} || sc || {gap} || fmt || {gap} || ex || chr(10)",
+        "system": f"{said(SYSTEM_PROMPT)} || task || {gap} || sc || {gap} || fmt || {gap} || ex || chr(10)",
+        "no_format": f"{said(SYSTEM_PROMPT_SENTENCE)} || task || {gap} || sc || {gap} || ex || chr(10)",
+        "system_no_style": f"{said(SYSTEM_PROMPT)} || task || {gap} || {labels} || {gap} || ex || chr(10)",
+        "bare": f"task || {gap} || {labels} || {gap} || ex || chr(10)",
+    }[variant]
 
 
 @query("build_prompt", lambda: O.with_(*O.prompt_ctes()) + f"SELECT row_id, {_prompt_sql('script')} AS prompt "
@@ -172,22 +178,20 @@ def build_prompt(spark, d):
     return G.prompt_rows(spark, d).select("row_id", "prompt")
 
 
+_VARIANTS = ("script", "system", "no_format", "system_no_style", "bare")
+
+
 @query("build_prompt_variants", lambda: O.with_(*O.prompt_ctes()) +
        " UNION ALL ".join(f"SELECT row_id, '{v}' AS variant, {_prompt_sql(v)} AS prompt FROM prompt_parts"
-                          for v in ("script", "system", "no_format")))
+                          for v in _VARIANTS))
 def build_prompt_variants(spark, d):
-    """D6 (+D2, D4): the same prompt with an inline System/User header and
-    without the format block."""
-    out = None
-    for v in ("script", "system", "no_format"):
-        p = G.prompt_rows(spark, d, v).select("row_id", F.lit(v).alias("variant"), "prompt")
-        out = p if out is None else out.unionByName(p)
-    return out
+    """D6 (+D2, D4): one row per variant; the parts are computed once and exploded."""
+    return G.prompt_variant_rows(spark, d, _VARIANTS)
 
 
 def _fixed_prompt_sql():
-    from spanforge.schemas import FIXED_EXAMPLES, FORMAT_LINES
-    head = O.q("System: " + SYSTEM_PROMPT + "\n\nUser:\n")
+    from spanforge.schemas import FIXED_EXAMPLES, FORMAT_LINES, SYSTEM_PROMPT_EARLY
+    head = O.q("System: " + SYSTEM_PROMPT_EARLY + "\n\nUser:\n")
     tail = O.q("\n\nFormat:\n" + FORMAT_LINES["notebook"] + "\n\nBeispiel Sätze:\n"
                + "".join(e + "\n" for e in FIXED_EXAMPLES))
     return (O.with_(*O.gen_slots(), "task AS (SELECT row_id, 'Begriffe:' || chr(10) || string_agg('- ' || label || "
@@ -265,8 +269,8 @@ def plain_response_spans(spark, d):
        "WHERE f.final_status = 'accepted' ORDER BY f.row_id LIMIT 50")
 def first_n_valid(spark, d):
     """E7 (+E8): first 50 accepted sentences in attempt order; fails if none."""
-    f = responses.require_nonempty(responses.first_n_valid(_final(spark, d), 50, "row_id"))
-    return f.select("row_id", F.col("text").alias("sentence"))
+    f = responses.first_n_valid(_final(spark, d), 50, "row_id").select("row_id", F.col("text").alias("sentence"))
+    return responses.require_nonempty(f)
 
 
 @query("generation_funnel", lambda: O.with_(*O.responses_ctes()) +
@@ -290,18 +294,19 @@ def assemble_record(spark, d):
 
 
 def stub_client():
-    """A deterministic stand-in for a model client: answers every prompt with
-    a JSON sentence built from its ``Begriffe`` block; every 7th prompt (by
-    hash) first fails with a retryable 503."""
+    """A stateless stand-in for a model client: answers with a JSON sentence built from
+    the prompt's ``Begriffe`` block; prompts whose md5 is divisible by 7 fail with a
+    retryable 503 on the first attempt, those divisible by 11 with a final 400."""
     import hashlib
     import json as _json
 
-    seen = set()
-
-    def call(prompt: str) -> str:
+    def call(prompt: str, system: str, attempt: int) -> str:
         h = int(hashlib.md5(prompt.encode()).hexdigest()[:8], 16)
-        if h % 7 == 0 and prompt not in seen:
-            seen.add(prompt)
+        if not system:
+            raise responses.CallError(400, "no system instruction")
+        if h % 11 == 0:
+            raise responses.CallError(400)
+        if h % 7 == 0 and attempt == 1:
             raise responses.CallError(503)
         lines = prompt.split("\n\n")[0].split("\n")[1:]
         ents = [dict(zip(("label", "text"), ln[2:].split(": ", 1))) for ln in lines if ln.startswith("- ")]
@@ -311,10 +316,21 @@ def stub_client():
     return call
 
 
-@query("llm_map")
+@query("llm_map", lambda: O.with_(*O.prompt_ctes(), f"""calls AS (
+  SELECT row_id, {_prompt_sql('script')} AS prompt FROM prompt_parts),
+hashed AS (
+  SELECT row_id, ('0x' || substr(md5(prompt), 1, 8))::BIGINT AS h FROM calls),
+sent AS (
+  SELECT row_id, 'Patient ' || string_agg(text, ' und ' ORDER BY slot) || '.' AS sentence FROM slot_text GROUP BY row_id)""")
+       + "SELECT row_id, CASE WHEN h % 11 <> 0 AND h % 7 = 0 THEN 2 ELSE 1 END::INTEGER AS attempts, "
+       "CASE WHEN h % 11 = 0 THEN 400 ELSE 200 END::INTEGER AS call_status, "
+       "CASE WHEN h % 11 = 0 THEN 'status 400' END AS call_error, "
+       "CASE WHEN h % 11 = 0 THEN 'no_response' ELSE 'ok' END AS status, "
+       "CASE WHEN h % 11 <> 0 THEN sentence END AS text FROM hashed JOIN sent USING (row_id)")
 def llm_map(spark, d):
-    """E1 (+E2): bulk model call through mapInPandas with a client per task and
-    retry/backoff; here with a deterministic stub client and no real sleeping."""
+    """E1 (+E2, E9): bulk model call with the system instruction, a client per task and
+    retries; the call's code and error stay beside the parse status.  A deterministic
+    client answers here, without sleeping."""
     p = G.prompt_rows(spark, d)
-    r = responses.llm_map(p, "prompt", stub_client, ["row_id"], sleep=lambda s: None)
-    return responses.parse_responses(r, "raw").select("row_id", "attempts", "status", "text")
+    r = responses.llm_map(p, "prompt", stub_client, ["row_id"], system=SYSTEM_PROMPT, sleep=lambda s: None)
+    return responses.parse_responses(r, "raw").select("row_id", "attempts", "call_status", "call_error", "status", "text")

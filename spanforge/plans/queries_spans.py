@@ -15,6 +15,7 @@ from spanforge.plans import oracle as O
 from spanforge.plans import scoring
 from spanforge.plans.queries_corpus import joined
 from spanforge.plans.registry import query
+from spanforge.schemas import CLASS_NAMES
 from spanforge.session import table
 
 
@@ -23,7 +24,7 @@ def _req():
 
 
 def _requests(spark, d):
-    return B.entity_requests(spark, d)
+    return B.entity_requests(spark, d).withColumn("low", pin(F.lower("sentence")))
 
 
 # --- F: span finding, tags, QA ---------------------------------------------------
@@ -31,14 +32,14 @@ def _requests(spark, d):
 @query("find_spans_first", lambda: O.with_(*_req(), O.F1) + "SELECT sent_id, pos, text, label, start, stop FROM f1")
 def find_spans_first(spark, d):
     """first case-insensitive occurrence; repeats share one span; miss -1."""
-    r = _requests(spark, d).withColumn("sp", spans.find_spans_first(F.col("sentence"), F.col("entities")))
+    r = _requests(spark, d).withColumn("sp", spans.find_spans_first(F.col("sentence"), F.col("entities"), F.col("low")))
     return r.select("sent_id", F.inline_outer(F.arrays_zip(F.col("entities").alias("e"), F.col("sp").alias("s")))) \
         .where(F.col("e").isNotNull()) \
         .select("sent_id", F.col("s.ord").alias("pos"), "e.text", "e.label", "s.start", "s.stop")
 
 
 def _next_spans(spark, d):
-    return _requests(spark, d).withColumn("sp", spans.find_spans_next(F.col("sentence"), F.col("entities")))
+    return _requests(spark, d).withColumn("sp", spans.find_spans_next(F.col("sentence"), F.col("entities"), F.col("low")))
 
 
 @query("find_spans_next", lambda: O.with_(*_req(), O.F2) + "SELECT sent_id, pos, text, label, start, stop FROM f2s")
@@ -105,10 +106,12 @@ ov AS (SELECT a.sent_id, a.pos, bool_or(b.pos IS NOT NULL) AS overlaps FROM foun
        ON a.sent_id = b.sent_id AND a.pos <> b.pos AND a.start < b.stop AND b.start < a.stop GROUP BY a.sent_id, a.pos)
 SELECT f.label, count(*)::BIGINT AS n_requested, count_if(f.start >= 0)::BIGINT AS n_found,
        count_if(f.start >= 0 AND lower(substr(f.sentence, f.start + 1, f.stop - f.start)) <> lower(f.text))::BIGINT AS n_mismatch,
-       count_if(coalesce(ov.overlaps, false))::BIGINT AS n_overlap
+       count_if(coalesce(ov.overlaps, false))::BIGINT AS n_overlap,
+       count_if(f.label NOT IN ('Medikation', 'Dosis', 'Diagnose'))::BIGINT AS n_bad_label
 FROM f2s f LEFT JOIN ov ON f.sent_id = ov.sent_id AND f.pos = ov.pos GROUP BY f.label""")
 def span_qa(spark, d):
-    """per class — requested, found, slice/term mismatches, overlapping spans."""
+    """per class — requested, found, slice/term mismatches, overlapping spans,
+    labels outside the class list."""
     r = _next_spans(spark, d)
     z = F.arrays_zip(F.col("entities").alias("e"), F.col("sp").alias("s"))
     r = r.withColumn("z", z)
@@ -123,7 +126,8 @@ def span_qa(spark, d):
     found = F.col("start") >= 0
     mism = found & (F.lower(spans.span_text(F.col("sentence"), F.col("start"), F.col("stop"))) != F.lower("text"))
     return e.groupBy("label").agg(F.count("*").alias("n_requested"), F.count_if(found).alias("n_found"),
-                                  F.count_if(mism).alias("n_mismatch"), F.count_if("overlaps").alias("n_overlap"))
+                                  F.count_if(mism).alias("n_mismatch"), F.count_if("overlaps").alias("n_overlap"),
+                                  F.count_if(~F.col("label").isin(*CLASS_NAMES)).alias("n_bad_label"))
 
 
 @query("list_entities", lambda: O.with_(*O.scoring_ctes()[:7]) +
@@ -161,7 +165,8 @@ def token_corpus(spark, d):
     expanded token spans -> overlaps removed; one row per sentence."""
     s = _tok_spans(spark, d).withColumn("split", B.split_of(F.col("doc_id")))
     names = B.class_name_literal()
-    al = F.transform("spans", lambda x: spans.align_expand(F.col("tokens"), x["start"], x["stop"])
+    # labelled rows hold their spans sorted by start (F3); ties keep that order
+    al = F.transform(F.array_sort("spans"), lambda x: spans.align_expand(F.col("tokens"), x["start"], x["stop"])
                      .withField("label", F.get(names, x["ner_class"])))
     al = F.filter(al, lambda a: a.isNotNull())
     corpus = s.select("sent_id", "sentence", "tokens", "split", pin(spans.filter_spans(al)).alias("ents"))
@@ -173,13 +178,14 @@ def token_corpus(spark, d):
 
 
 _G4_SQL = lambda: O.with_(O.SENTENCES, O.PIECES, O.TOKENS, O.RAW_SPANS, O.ALIGNED,
-                          "al2 AS (SELECT sent_id, first_tok, end_tok, start, stop, CASE ner_class WHEN 0 THEN "
+                          "al2 AS (SELECT sent_id, row_number() OVER (PARTITION BY sent_id ORDER BY c_start, c_stop, ner_class, ord) "
+                          "AS ord, first_tok, end_tok, start, stop, CASE ner_class WHEN 0 THEN "
                           "'Medikation' WHEN 1 THEN 'Dosis' ELSE 'Diagnose' END AS label FROM aligned "
-                          "WHERE first_tok IS NOT NULL)", O.filtered_cte("g4", "al2"))
+                          "WHERE first_tok IS NOT NULL)", O.filtered_cte("g4", "al2", "ord"))
 
 
 @query("build_token_corpus", lambda: _G4_SQL() +
-       f"SELECT g.sent_id, {O.SPLIT_OF.replace('doc_id', '(g.sent_id // 1000000)')} AS split, "
+       f"SELECT g.sent_id, {O.SPLIT_OF.replace('doc_id', '(g.sent_id // 2147483648)')} AS split, "
        "g.first_tok, (g.end_tok - 1)::INTEGER AS last_tok, g.start, g.stop, g.label FROM g4 g")
 def build_token_corpus(spark, d):
     """Token-aligned, non-overlapping entity corpus rows."""
@@ -190,7 +196,7 @@ def build_token_corpus(spark, d):
 
 
 @query("sink_token_corpus", lambda: _G4_SQL() +
-       f"SELECT g.sent_id, {O.SPLIT_OF.replace('doc_id', '(g.sent_id // 1000000)')} AS split, "
+       f"SELECT g.sent_id, {O.SPLIT_OF.replace('doc_id', '(g.sent_id // 2147483648)')} AS split, "
        "g.first_tok, (g.end_tok - 1)::INTEGER AS last_tok, g.label FROM g4 g")
 def sink_token_corpus(spark, d):
     """Token corpus written per split (parquet, partitioned) and read back."""
@@ -204,7 +210,7 @@ def sink_token_corpus(spark, d):
 
 def _model_inputs(spark, d, last_match=False):
     s = _tok_spans(spark, d)
-    seq = tokens.truncate_with_specials(F.col("tokens"), 128)
+    seq = tokens.truncate_with_specials(F.col("tokens"))
     srt = F.array_sort("spans")
     s = s.withColumn("__ents", pin(F.transform(srt, lambda x: F.struct(
         x["start"].alias("start"), x["stop"].alias("stop"), x["ner_class"].alias("class_id")))))
@@ -214,10 +220,10 @@ def _model_inputs(spark, d, last_match=False):
     s = s.withColumn("__offs", pin(F.transform("seq", lambda t: F.struct(t["start"].alias("start"),
                                                                           t["stop"].alias("stop")))))
     offs = F.col("__offs")
-    return s.select("sent_id", "seq", pin(bio.token_labels(offs, ents, last_match)).alias("labels"))
+    return s.select("doc_id", "line_no", "sent_id", "seq", pin(bio.token_labels(offs, ents, last_match)).alias("labels"))
 
 
-@query("truncate_with_specials", lambda: O.with_(O.SENTENCES, O.PIECES, O.TOKENS, O.SEQ) +
+@query("truncate_with_specials", lambda: O.with_(O.SENTENCES, O.PIECES, O.TOKENS, O.SEQ_128) +
        "SELECT sent_id, count(*)::INTEGER AS n_out, string_agg(token, ' ' ORDER BY p) AS tokens FROM seq GROUP BY sent_id")
 def truncate_with_specials(spark, d):
     """[CLS] + first 126 tokens + [SEP] (sequence cap 128)."""
@@ -260,23 +266,21 @@ def decode_labels(spark, d):
     return e.select("sent_id", F.col("pos").cast("int").alias("pos"), F.col("x.t.text").alias("token"), tag.alias("tag"))
 
 
-@query("pad_batch", lambda: O.with_(O.SENTENCES, O.PIECES, O.TOKENS, O.SEQ) +
-       ", n AS (SELECT sent_id, count(*) AS n FROM seq GROUP BY sent_id) "
-       "SELECT n.sent_id, (max(n) OVER (PARTITION BY s.doc_id, s.line_no // 16))::INTEGER AS batch_len, "
-       "((max(n) OVER (PARTITION BY s.doc_id, s.line_no // 16)) - n)::INTEGER AS n_pad "
-       "FROM n JOIN sentences s USING (sent_id)")
+@query("pad_batch", lambda: O.with_(O.SENTENCES, O.PIECES, O.TOKENS, O.SEQ, O.RAW_SPANS, O.ENT_RANK,
+                                    O.seq_labels_cte(False)) +
+       ", n AS (SELECT sent_id, count(*) AS n, string_agg(lab::VARCHAR, ',' ORDER BY p) AS labs FROM seq_lab GROUP BY sent_id), "
+       "b AS (SELECT n.*, max(n) OVER (PARTITION BY s.doc_id, s.line_no // 16) AS batch_len FROM n JOIN sentences s USING (sent_id)) "
+       "SELECT sent_id, batch_len::INTEGER AS batch_len, (batch_len - n)::INTEGER AS n_pad, "
+       "labs || repeat(',-100', (batch_len - n)::INTEGER) AS labels FROM b")
 def pad_batch(spark, d):
     """Pad label sequences to the longest in their batch with -100.
     A batch is 16 consecutive lines of a document (bounded groups)."""
-    s = scoring.tokenized_sentences(spark, d)
-    seq = tokens.truncate_with_specials(F.col("tokens"), 128)
-    labels = F.array_repeat(F.lit(0), F.size(seq))
-    b = s.select("sent_id", "doc_id", (F.col("line_no") / 16).cast("int").alias("batch"), labels.alias("labels"))
+    b = _model_inputs(spark, d).withColumn("batch", (F.col("line_no") / 16).cast("int"))
     w = Window.partitionBy("doc_id", "batch")
     b = b.withColumn("batch_len", F.max(F.size("labels")).over(w))
     padded = bio.pad_to(F.col("labels"), F.col("batch_len"), -100)
-    return b.select("sent_id", F.col("batch_len").cast("int"),
-                    F.size(F.filter(padded, lambda x: x == -100)).alias("n_pad"))
+    return b.select("sent_id", F.col("batch_len").cast("int"), (F.col("batch_len") - F.size("labels")).alias("n_pad"),
+                    joined(padded).alias("labels"))
 
 
 @query("strided_windows", lambda: O.with_(O.SENTENCES, O.PIECES, O.TOKENS) +
@@ -342,7 +346,7 @@ __all__ = ["class_id"]
 
 
 @query("stream_token_corpus", lambda: _G4_SQL() +
-       f"SELECT g.sent_id, {O.SPLIT_OF.replace('doc_id', '(g.sent_id // 1000000)')} AS split, "
+       f"SELECT g.sent_id, {O.SPLIT_OF.replace('doc_id', '(g.sent_id // 2147483648)')} AS split, "
        "g.first_tok, (g.end_tok - 1)::INTEGER AS last_tok, g.label FROM g4 g")
 def stream_token_corpus(spark, d):
     """G4 under Structured Streaming: the labelled corpus lands as JSONL files,

@@ -19,9 +19,8 @@ from spanforge.plans import bindings as B
 
 
 
-def tokenized_sentences(spark: SparkSession, sf_dir: str, partition: bool = True) -> DataFrame:
-    s = B.sentences(spark, sf_dir, spread=partition)
-    return tokens.tokenize(s)
+def tokenized_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.tokenize(B.sentences(spark, sf_dir))
 
 
 def gazetteer_entities(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -92,6 +92,19 @@ SYSTEM_PROMPT = (
     "- Ist das JSON syntaktisch gültig?\n"
     "13. Antworte ausschließlich mit einem einzelnen gültigen JSON-Objekt. Kein Markdown, keine Erklärung und kein zusätzlicher Text.\n"
 )
+# System instruction of the variant without a format block: its last rule asks for
+# the plain sentence.
+SYSTEM_PROMPT_SENTENCE = SYSTEM_PROMPT.replace(
+    "13. Antworte ausschließlich mit einem einzelnen gültigen JSON-Objekt. Kein Markdown, ",
+    "13. Antworte ausschließlich mit einem einzelnen gültigen Satz, KEIN JSON. Kein Markdown, ")
+# System instruction of the early fixed-example prompt.
+SYSTEM_PROMPT_EARLY = (
+    "Du erzeugst einzelne synthetische deutsche medizinische Saetze fuer das Training eines NER-Modells. Regeln:\n"
+    "1. Verwende JEDEN vorgegebenen Begriff WORTWOERTLICH und unveraendert, genau einmal.\n"
+    "2. Fuege KEINE weiteren Medikamente, Dosierungen oder Diagnosen hinzu.\n"
+    "3. Schreibe genau EINEN natuerlichen, plausiblen Satz im angegebenen Stil.\n"
+    "4. Antworte ausschliesslich mit JSON, ohne Markdown und ohne Kommentar."
+)
 # HTTP status codes worth a retry, attempts, base delay (seconds).
 RETRYABLE_CODES = (429, 500, 502, 503, 504)
 MAX_ATTEMPTS = 6

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +17,7 @@ TABLES = (
 
 
 def get_session(master: str | None = None, shuffle_partitions: int = 8,
-                app_name: str = "spanforge", driver_memory: str | None = "16g") -> SparkSession:
+                app_name: str = "spanforge", driver_memory: str | None = "8g") -> SparkSession:
     """Build (or reuse) a session with AQE on and the UI off.
 
     On a cluster pass ``master=None`` and let spark-submit decide; the
@@ -45,12 +48,17 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared (HDFS/object-store) folder there; only when it is
-    unset — local tests — a scratch folder is created and registered.
+    A cluster names a shared (HDFS/object-store) folder there.  Where it is unset, a
+    scratch folder is made for a ``local`` master (tests) and deleted at the end; any
+    other master would write it on each machine's own disk, so that raises.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^]]*\])?", master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all machines of {master} share")
         d = tempfile.mkdtemp(prefix="spanforge-ckpt-")
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)

@@ -35,13 +35,14 @@ def read_terms_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFr
 
 
 def read_dose_csv(spark: SparkSession, path: str, schema=DOSE_CSV) -> DataFrame:
-    """A4: comma CSV with header; pandas NA tokens become NULL, ``ddd`` is numeric."""
+    """A4: comma CSV with header; pandas NA tokens become NULL, ``ddd`` is numeric (under
+    ANSI mode a malformed number fails the job)."""
     raw_schema = ", ".join(f"`{f.name}` string" for f in schema.fields)
     raw = spark.read.option("header", True).option("quote", '"').option("escape", '"').schema(raw_schema).csv(path)
     cols = []
     for f in schema.fields:
         c = F.when(F.col(f.name).isin(*PANDAS_NA) | F.col(f.name).isNull(), F.lit(None)).otherwise(F.col(f.name))
-        cols.append(c.try_cast(f.dataType).alias(f.name) if f.dataType.typeName() != "string" else c.alias(f.name))
+        cols.append(c.cast(f.dataType).alias(f.name))
     return raw.select(*cols)
 
 
@@ -64,7 +65,7 @@ def extract_codes(lines: DataFrame, sep_regex: str, min_fields: int, code_idx: i
     term = ustrip(F.get(F.col("fields"), term_idx))
     status = F.when(n < min_fields, "too_few")
     if flag_idx is not None:
-        status = status.when(F.get(F.col("fields"), flag_idx) != F.lit(flag_value), "not_terminal")
+        status = status.when(ustrip(F.get(F.col("fields"), flag_idx)) != F.lit(flag_value), "not_terminal")
     status = status.when((code == "") | (term == ""), "empty").otherwise("kept")
     return df.select("*", F.when(n >= min_fields, code).alias("code"), F.when(n >= min_fields, term).alias("term"),
                      status.alias("status")).drop("fields")

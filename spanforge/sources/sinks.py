@@ -16,8 +16,11 @@ BOM = "\ufeff"
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared ``spark.checkpoint.dir`` (never a
     machine-local temp folder on a cluster)."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "spanforge-io", f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(ensure_checkpoint_dir(spark), "spanforge-io", f"{name}-{uuid.uuid4().hex[:12]}")
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    # removed when the application ends
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
 
 
 def write_terms_csv(df: DataFrame, path: str, bom: bool = True) -> None:
@@ -40,11 +43,10 @@ def write_corpus(df: DataFrame, path: str, split_col: str = "split") -> None:
     df.write.mode("overwrite").partitionBy(split_col).parquet(path)
 
 
-def write_metrics(df: DataFrame, path: str, max_single_file_rows: int = 10_000) -> None:
-    """Metric rows as JSON — one file when the table is proven small (a
-    metrics table has one row per scope/class/seed), else written in parallel."""
-    small = df.limit(max_single_file_rows + 1).count() <= max_single_file_rows
-    (df.coalesce(1) if small else df).write.mode("overwrite").json(path)
+def write_metrics(df: DataFrame, path: str) -> None:
+    """Metric rows as JSON, in as many files as the plan has partitions (an
+    aggregate of few rows has one after adaptive coalescing)."""
+    df.write.mode("overwrite").json(path)
 
 
 def write_lines(df: DataFrame, path: str, col: str = "value") -> None:

@@ -1,5 +1,6 @@
 """Golden cases read off the reference's inline checks (FIXTURES.md §2, §3)."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from spanforge.functions import labels as L
@@ -164,27 +165,89 @@ def test_code_lines(spark):
 
 
 def test_retry_policy():
-    from spanforge.operators.responses import CallError, call_with_retry
-    calls, sleeps = [], []
-
-    def flaky(p):
-        calls.append(p)
-        if len(calls) < 3:
-            raise CallError(503)
-        return "ok"
-    text, attempts, status, err = call_with_retry(flaky, "p", sleep=sleeps.append, jitter=lambda: 0.5)
-    assert (text, attempts, status, err) == ("ok", 3, 200, None)
-    assert sleeps == [2.5, 4.5]
-
-    def bad(p):
-        raise CallError(400)
-    text, attempts, status, err = call_with_retry(bad, "p", sleep=sleeps.append)
-    assert (text, attempts, status) == (None, 1, 400)
-
-    def always(p):
-        raise CallError(429)
-    text, attempts, status, _ = call_with_retry(always, "p", sleep=lambda s: None)
-    assert (text, attempts, status) == (None, 6, 429)
+    from spanforge.operators.responses import CallError, ask
+    seen, sleeps = [], []
+
+    def failing(codes):
+        def call(prompt, system, attempt):
+            seen.append((prompt, system, attempt))
+            if attempt <= len(codes):
+                raise CallError(codes[attempt - 1])
+            return "ok"
+        return call
+    got = ask(failing([503, 429]), "p", "rules", sleep=sleeps.append, jitter=lambda: 0.5)
+    assert (got.text, got.attempts, got.code, got.error) == ("ok", 3, 200, None)
+    assert seen == [("p", "rules", 1), ("p", "rules", 2), ("p", "rules", 3)] and sleeps == [2.5, 4.5]
+    got = ask(failing([400]), "p", "s", sleep=sleeps.append)
+    assert (got.text, got.attempts, got.code, got.error) == (None, 1, 400, "status 400") and len(sleeps) == 2
+    got = ask(failing([429] * 9), "p", "s", sleep=sleeps.append, jitter=lambda: 0.0)
+    assert (got.attempts, got.code) == (6, 429) and sleeps[2:] == [2.0, 4.0, 8.0, 16.0, 32.0]
+
+
+def test_ties_keep_input_order(spark):
+    rows = [([(0, 2, "Medikation"), (0, 2, "Diagnose"), (4, 5, "Dosis")],), ([(3, 4, "a"), (0, 1, "b")],), ([],)]
+    df = spark.createDataFrame(rows, "s array<struct<first_tok:int,end_tok:int,label:string>>")
+    got = [[x["label"] for x in r[0]] for r in df.select(spans.filter_spans(F.col("s"))).collect()]
+    assert got == [["Medikation", "Dosis"], ["b", "a"], []]
+
+
+def test_padded_flag_is_terminal(spark):
+    from spanforge.sources.readers import extract_codes
+    lines = spark.createDataFrame([("a; T ;c;d;e;K1;g;h;Term",), ("a;N;c;d;e;K2;g;h;Term",)], "value string")
+    assert [r.status for r in extract_codes(lines, ";", 9, 5, 8, 1, "T").collect()] == ["kept", "not_terminal"]
+
+
+def test_decimal_numbers_are_one_token(spark):
+    df = spark.createDataFrame([(1, "4.5% und 12,5 % von 1,000,000% , 0,5mg 7.")], "k int, sentence string")
+    t = tokens.tokenize(df)
+    assert [x["text"] for x in t.first()["tokens"]][-4:] == ["0,5", "mg", "7", "."]
+    assert sorted(r.token for r in percentage_tokens(t, ["k"]).collect()) == ["1,000,000", "12,5", "4.5"]
+
+
+def test_float_text_is_pythons(spark):
+    values = [0.0, 30.0, 2.5, -0.25, 1e7, 123456789.125, 1e15, 1e16, 1e30, 1.5e-7, 1e-12, 0.0001, 0.00012345678901234567,
+              float("nan"), float("inf"), float("-inf"), -1e22]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    assert [r[0] for r in df.select(py_float_text(F.col("x"))).collect()] == [str(v) for v in values]
+
+
+def test_json_strings_escape_control_characters(spark):
+    import json
+
+    from spanforge.operators.prompts import json_str
+    values = ["plain ä", 'q"b\\', "\b\f\n\r\t", "".join(map(chr, range(1, 32)))]
+    df = spark.createDataFrame([(v,) for v in values], "x string")
+    assert [r[0] for r in df.select(json_str(F.col("x"))).collect()] == [json.dumps(v, ensure_ascii=False) for v in values]
+
+
+def test_long_labels_stay_whole(spark):
+    df = spark.createDataFrame([("Nebenwirkungen",), ("Dosis",)], "l string")
+    got = [r[0] for r in df.select(metrics.format_report(F.col("l"), F.lit(0.5), F.lit(0.25))).collect()]
+    assert got == ["Nebenwirkungen0.5000 ± 0.2500", "Dosis       0.5000 ± 0.2500"]
+
+
+def test_no_machine_local_scratch_on_a_cluster():
+    from spanforge.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
+
+
+def test_first_valid_fails_if_there_is_none(spark):
+    from spanforge.operators.responses import require_nonempty
+    some = require_nonempty(spark.range(3).toDF("row_id"))
+    assert some.columns == ["row_id"] and some.count() == 3
+    with pytest.raises(Exception, match="no valid sentences"):
+        require_nonempty(spark.range(0).toDF("row_id")).collect()
 
 
 def test_prf_two_tables(spark):
