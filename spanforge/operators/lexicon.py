@@ -55,16 +55,3 @@ def split_counts(df: DataFrame, split_col: str = "split", flag: str = "synthetic
 def lexicon_by_source(lex: DataFrame, source: str, source_col: str = "source") -> DataFrame:
     """Choose one lexicon source (code list, curated list, fallback...)."""
     return lex.where(F.col(source_col) == F.lit(source))
-
-
-def indexed_lexicon(lex: DataFrame, term: str = "term", by: list[str] | None = None) -> DataFrame:
-    """Dense 0-based index per lexicon (and size ``n``), duplicates kept.
-
-    The index is ``row_number`` over (term, a hash tie-break) within each
-    lexicon partition — lexica are small reference tables (bounded by their
-    code lists), so this sort is cheap; the result is what draws join on."""
-    from pyspark.sql import Window
-    by = by or []
-    w = Window.partitionBy(*by).orderBy(F.col(term), F.xxhash64(*lex.columns))
-    out = lex.withColumn("idx", (F.row_number().over(w) - 1).cast("int"))
-    return out.withColumn("n", F.count("*").over(Window.partitionBy(*by)).cast("int"))

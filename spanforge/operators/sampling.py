@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from spanforge.functions.hashing import draw_index, md5_order_key, unit_draw
 from spanforge.functions.text import py_float_text
-from spanforge.plans.sizing import broadcast_if_small
-from spanforge.schemas import CONTEXTS, NO_SPACE_SHARE, SHAPES, STYLES
-from spanforge.session import cut_lineage
+from spanforge.schemas import (CONTEXTS, NO_SPACE_SHARE, RANDOM_SHAPE_DIAG_COUNTS, RANDOM_SHAPE_DOSE_COUNTS,
+                               RANDOM_SHAPE_MED_COUNTS, SHAPES, STYLES)
+from spanforge.session import cut_lineage, write_scratch
 
 
 def seeded_shuffle(df: DataFrame, key: str, seed: int) -> DataFrame:
@@ -52,15 +52,14 @@ def dense_index(lex: DataFrame, order: list[str]) -> DataFrame:
 
 def index_lexicon(lex: DataFrame, term: str, order: list[str]) -> DataFrame:
     """Lexicon -> (idx, term) plus its size ``n`` (duplicates kept: they weight draws)."""
-    return dense_index(lex.select(*{term, *order}), order).select("idx", F.col(term).alias("term"))
+    indexed = dense_index(lex.select(*{term, *order}), order).select("idx", F.col(term).alias("term"))
+    return write_scratch(indexed, "lexicon")     # a table has byte statistics for the joins
 
 
-def draw_from(rows: DataFrame, lex_indexed: DataFrame, n: int, idx_expr: Column, out: str,
-              max_broadcast_rows: int = 5_000_000) -> DataFrame:
-    """Attach ``lex[idx_expr]`` as ``out``; the lexicon side is broadcast only
-    when proven small, else it is a shuffle join on the (uniform) index."""
-    side = broadcast_if_small(lex_indexed.select(F.col("idx").alias(f"__i_{out}"),
-                                                 F.col("term").alias(out)), max_broadcast_rows)
+def draw_from(rows: DataFrame, lex_indexed: DataFrame, n: int, idx_expr: Column, out: str) -> DataFrame:
+    """Attach ``lex[idx_expr]`` as ``out``: a join on the (uniform) index, broadcast
+    if the optimizer's byte statistics allow."""
+    side = lex_indexed.select(F.col("idx").alias(f"__i_{out}"), F.col("term").alias(out))
     r = rows.withColumn(f"__i_{out}", idx_expr)
     return r.join(side, f"__i_{out}", "left").drop(f"__i_{out}")
 
@@ -74,9 +73,9 @@ def shape_of(seed, row: Column, shapes=SHAPES) -> Column:
 def random_shape(seed, row: Column) -> Column:
     """n_med in [0,1,1,2], n_diag in [0,1,1,2], n_dose in [0,1] only with a
     medication; never empty (-> [Diagnose]); order shuffled by keyed hash."""
-    n_med = F.get(literal_array([0, 1, 1, 2]), draw_index(4, seed, row, "n_med"))
-    n_diag = F.get(literal_array([0, 1, 1, 2]), draw_index(4, seed, row, "n_diag"))
-    n_dose = F.when(n_med > 0, F.get(literal_array([0, 1]), draw_index(2, seed, row, "n_dose"))).otherwise(0)
+    n_med = F.get(literal_array(RANDOM_SHAPE_MED_COUNTS), draw_index(4, seed, row, "n_med"))
+    n_diag = F.get(literal_array(RANDOM_SHAPE_DIAG_COUNTS), draw_index(4, seed, row, "n_diag"))
+    n_dose = F.when(n_med > 0, F.get(literal_array(RANDOM_SHAPE_DOSE_COUNTS), draw_index(2, seed, row, "n_dose"))).otherwise(0)
     labels = F.concat(F.array_repeat(F.lit("Medikation"), n_med), F.array_repeat(F.lit("Dosis"), n_dose),
                       F.array_repeat(F.lit("Diagnose"), n_diag))
     labels = F.when(F.size(labels) == 0, F.array(F.lit("Diagnose"))).otherwise(labels)

@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spanforge.plans.sizing import broadcast_if_small
-
 
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0),
@@ -27,11 +25,10 @@ def cosine(a: Column, b: Column) -> Column:
     return F.when((na == 0) | (nb == 0), F.lit(0.0)).otherwise(dot(a, b) / (na * nb))
 
 
-def lookup_vectors(rows: DataFrame, vectors: DataFrame, key: str, vec_key: str, vec_col: str,
-                   max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """Attach a vector to each row by key (broadcast only when proven small)."""
-    v = broadcast_if_small(vectors.select(F.col(vec_key).alias(key), vec_col), max_broadcast_rows)
-    return rows.join(v, key, "left")
+def lookup_vectors(rows: DataFrame, vectors: DataFrame, key: str, vec_key: str, vec_col: str) -> DataFrame:
+    """Attach a vector to each row by key; the optimizer broadcasts the table if its
+    byte statistics allow, else a hot key's partition can be split."""
+    return rows.join(vectors.select(F.col(vec_key).alias(key), vec_col), key, "left")
 
 
 def cosine_pairs(pairs: DataFrame, vectors: DataFrame, a: str, b: str, vec_key: str, vec_col: str) -> DataFrame:
@@ -42,9 +39,13 @@ def cosine_pairs(pairs: DataFrame, vectors: DataFrame, a: str, b: str, vec_key:
     return j.withColumn("cosine", cosine(F.col("__va"), F.col("__vb"))).drop("__va", "__vb")
 
 
-def mean_vector(rows: DataFrame, key: list[str], vec_col: str, dim: int) -> DataFrame:
-    """Mean of the row vectors per key: one ``avg`` per dimension, so the
-    aggregation is partial (map-side) and never collects a group."""
-    aggs = [F.avg(F.get(F.col(vec_col), k)).alias(f"__d{k}") for k in range(dim)]
-    g = rows.groupBy(*key).agg(F.count("*").alias("n_vectors"), *aggs)
-    return g.select(*key, "n_vectors", F.array(*[F.col(f"__d{k}") for k in range(dim)]).alias("mean_vec"))
+def mean_vector(rows: DataFrame, key: list[str], vec_key: str, vectors: DataFrame, vec_col: str, dim: int) -> DataFrame:
+    """Mean of the row vectors per key.
+
+    Occurrences are counted per (key, vector) first, so a vector is attached once per
+    distinct term; the weighted sums per dimension combine map-side."""
+    counted = rows.groupBy(*key, vec_key).agg(F.count("*").alias("__n"))
+    v = lookup_vectors(counted, vectors, vec_key, vec_key, vec_col).where(F.col(vec_col).isNotNull())
+    sums = [F.sum(F.col("__n") * F.get(F.col(vec_col), k).cast("double")).alias(f"__d{k}") for k in range(dim)]
+    g = v.groupBy(*key).agg(F.sum("__n").alias("n_vectors"), *sums)
+    return g.select(*key, "n_vectors", F.array(*[F.col(f"__d{k}") / F.col("n_vectors") for k in range(dim)]).alias("mean_vec"))

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from spanforge.functions.arrays import pin
 from spanforge.functions.hashing import draw_index, u32, unit_draw
-from spanforge.plans.sizing import broadcast_if_small
 from spanforge.schemas import CLASS_NAMES
 from spanforge.session import table
 
@@ -189,7 +188,7 @@ def tagged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation").select(F.col("n_nationkey"), F.col("n_name"))
     k = F.col("p_partkey")
     nk = F.pmod(k, F.lit(25)).cast("int")
-    j = p.join(broadcast_if_small(n, 100_000), nk == F.col("n_nationkey"), "left")
+    j = p.join(n, nk == F.col("n_nationkey"), "left")
     med = F.concat(F.lit('<class="Medikation">'), F.col("p_name"), F.lit("</class>"))
     dose = F.concat(F.lit('<class="Dosis">'), F.col("p_size").cast("string"), F.lit(" mg</class>"))
     diag = F.concat(F.lit('<class="Diagnose">'), F.col("n_name"), F.lit("</class>"))

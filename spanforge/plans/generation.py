@@ -25,8 +25,11 @@ _LEXICA: dict = {}
 
 
 def lexica(spark: SparkSession, d: str) -> dict:
-    """Indexed lexica, built (and checkpointed) once per application and table folder."""
-    key = (spark.sparkContext.applicationId, d)
+    """Indexed lexica, built once per application and state of their tables."""
+    conf, path = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = [path(f"{d}/{t}.parquet") for t in ("part", "nation")]
+    key = (spark.sparkContext.applicationId, d,
+           *(f.getFileSystem(conf).getFileStatus(f).getModificationTime() for f in files))
     if key not in _LEXICA:
         _LEXICA[key] = _build_lexica(spark, d)
     return _LEXICA[key]

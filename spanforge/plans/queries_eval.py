@@ -53,6 +53,7 @@ def pattern_sql(patterns) -> str:
 
 P_TEXT = [("OF_THE", [("TEXT", "of"), ("TEXT", "the")])]
 P_DIGIT = [("NUMBER_PAIR", [("IS_DIGIT", None), ("TEXT", "-"), ("IS_DIGIT", None)])]
+P_MIXED = [("SIZE", [("LOWER", "of"), ("LOWER", "the")]), ("SIZE", [("IS_DIGIT", None), ("TEXT", ")")])]
 P_LOWER = [("GADGET", [("LOWER", "of"), ("LOWER", "the")]), ("GADGET", [("LOWER", "de"), ("LOWER", "la")])]
 
 
@@ -79,6 +80,7 @@ def _pat_sql(patterns):
 query("match_text_pattern", _pat_sql(P_TEXT))(_pat_query(P_TEXT))
 query("match_digit_pattern", _pat_sql(P_DIGIT))(_pat_query(P_DIGIT))
 query("match_lower_alternatives", _pat_sql(P_LOWER))(_pat_query(P_LOWER))
+query("match_mixed_alternatives", _pat_sql(P_MIXED))(_pat_query(P_MIXED))   # H4: LOWER or IS_DIGIT
 
 
 @query("match_counts", lambda: O.with_(*_TOK, pattern_sql(P_LOWER)) +
@@ -116,14 +118,46 @@ def term_dictionary(spark, d):
     return dct.select("term", "term_id", "n", shared.alias("ids_shared"))
 
 
+@query("term_lookup", lambda: O.with_(*_TOK) +
+       ", dct AS (SELECT DISTINCT token AS term, ('0x' || substr(md5(token), 1, 15))::BIGINT AS term_id FROM tokens) "
+       "SELECT t.sent_id, t.i, dct.term AS token FROM tokens t JOIN dct ON dct.term_id = ('0x' || substr(md5(t.token), 1, 15))::BIGINT")
+def term_lookup(spark, d):
+    """H8 backwards: ids in, strings out, through the dictionary."""
+    t = tokens.explode_tokens(_toks(spark, d), ["sent_id"])
+    term_id = F.conv(F.substring(F.md5("token"), 1, 15), 16, 10).cast("bigint")
+    ids = t.select("sent_id", "i", term_id.alias("term_id"))
+    dct = t.select(F.col("token"), term_id.alias("term_id")).distinct()
+    return ids.join(dct, "term_id").select("sent_id", "i", "token")
+
+
+_BENCH_KEYS = f"""bt AS (
+  SELECT list_filter(regexp_extract_all(text, {O.q(O.TOKEN_PATTERN)}), lambda x: substr(x, 1, 1) NOT IN {O.BLANKS}) AS t
+  FROM benchmark),
+bk AS (SELECT DISTINCT key FROM (
+  SELECT unnest(t) AS key FROM bt
+  UNION ALL SELECT unnest(list_transform(range(1, len(t)), lambda k: t[k] || ' ' || t[k + 1])) FROM bt))"""
+
+
+@query("phrase_match_large", lambda: O.with_(*_TOK, O.grams_cte(2), _BENCH_KEYS) +
+       "SELECT sent_id, first_tok::INTEGER AS first_tok, end_tok::INTEGER AS end_tok, key FROM grams JOIN bk USING (key)")
+def phrase_match_large(spark, d):
+    """H6 with a gazetteer that grows with the tables: all distinct words and word pairs
+    of the benchmark passages."""
+    from spanforge.operators.matching import ngram_keys, phrase_match_join
+    b = tokens.tokenize(table(spark, d, "benchmark").select(F.col("text").alias("sentence")))
+    lex = (b.select(F.inline_outer(ngram_keys(F.col("tokens"), [1, 2]))).where(F.col("key").isNotNull())
+           .select("key", F.lit("Diagnose").alias("label")).distinct())
+    m = phrase_match_join(_toks(spark, d), lex, ["sent_id"], lengths=[1, 2])
+    return m.select("sent_id", "first_tok", "end_tok", "key")
+
+
 # --- I: vectors ---------------------------------------------------------------------
 
-def _tok_vectors(spark, d):
-    emb = table(spark, d, "embeddings")
-    n = emb.count()  # vocabulary size of the vector table (plan constant)
+def _tok_ids(spark, d):
+    """Tokens with the id of their vector (hashed into the vector table)."""
+    n = table(spark, d, "embeddings").count()  # vocabulary size of the vector table (plan constant)
     t = tokens.explode_tokens(_toks(spark, d), ["sent_id"])
-    t = t.withColumn("vec_id", draw_index(n, B.SEED, F.col("token"), "vec").cast("long"))
-    return similarity.lookup_vectors(t, emb, "vec_id", "vec_id", "embedding")
+    return t.withColumn("vec_id", draw_index(n, B.SEED, F.col("token"), "vec").cast("long"))
 
 
 def _vec_sql():
@@ -131,11 +165,13 @@ def _vec_sql():
                              f"JOIN embeddings e ON e.vec_id = {O.draw('(SELECT count(*) FROM embeddings)', S, 't.token', chr(39) + 'vec' + chr(39))}) ")
 
 
-@query("vector_lookup", lambda: _vec_sql() + "SELECT sent_id, i, vec_id, round(embedding[1]::DOUBLE, 6) AS v0 FROM tv")
+@query("vector_lookup", lambda: _vec_sql() + "SELECT sent_id, i, vec_id, round(embedding[1]::DOUBLE, 6) AS v0, "
+       "round(list_sum(list_transform(embedding, lambda x: x::DOUBLE)), 6) AS total FROM tv")
 def vector_lookup(spark, d):
     """Token -> vector (hashed vocabulary id into the vector table)."""
-    v = _tok_vectors(spark, d)
-    return v.select("sent_id", "i", "vec_id", F.get(F.col("embedding"), 0).cast("double").alias("v0"))
+    v = similarity.lookup_vectors(_tok_ids(spark, d), table(spark, d, "embeddings"), "vec_id", "vec_id", "embedding")
+    total = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double"))
+    return v.select("sent_id", "i", "vec_id", F.get(F.col("embedding"), 0).cast("double").alias("v0"), total.alias("total"))
 
 
 def _dot_sql(a, b):
@@ -163,8 +199,9 @@ def cosine_pairs(spark, d):
        "FROM dims JOIN cnt USING (sent_id) GROUP BY sent_id, n_vectors")
 def mean_vector(spark, d):
     """Sentence vector = mean of its token vectors."""
-    v = _tok_vectors(spark, d)
-    m = similarity.mean_vector(v, ["sent_id"], "embedding", 64)
+    emb = table(spark, d, "embeddings")
+    dim = emb.agg(F.max(F.size("embedding"))).first()[0] or 0
+    m = similarity.mean_vector(_tok_ids(spark, d), ["sent_id"], "vec_id", emb, "embedding", dim)
     return m.select("sent_id", "n_vectors", F.get(F.col("mean_vec"), 0).alias("m0"),
                     F.get(F.col("mean_vec"), 63).alias("m63"), similarity.norm(F.col("mean_vec")).alias("norm"))
 
@@ -248,12 +285,24 @@ def span_prf(spark, d):
     al = F.transform(F.array_sort("spans"), lambda x: SP.align_expand(F.col("tokens"), x["start"], x["stop"])
                      .withField("label", F.get(names, x["ner_class"])))
     s = s.withColumn("gold", pin(SP.filter_spans(F.filter(al, lambda a: a.isNotNull()))))
-    s = with_phrase_matches(s, B.phrases(spark, d), ["sent_id"])
+    s = with_phrase_matches(s, B.phrases(spark, d))
     s = s.withColumn("pred", pin(SP.filter_spans(F.transform("matches", lambda x: x.dropFields("key")))))
     s = s.select(chunks(F.col("gold")).alias("g"), chunks(F.col("pred")).alias("p"))
     return metrics.ner_prf(s, "g", "p")
 
 
+@query("user_metric", lambda: O.with_(*O.scoring_ctes()) +
+       ", g AS (SELECT sent_id, string_agg(type || first || '-' || last, ';' ORDER BY first) AS c FROM gold_chunks GROUP BY sent_id), "
+       "p AS (SELECT sent_id, string_agg(type || first || '-' || last, ';' ORDER BY first) AS c FROM pred_chunks GROUP BY sent_id) "
+       "SELECT count(*)::BIGINT AS n, round(avg(CASE WHEN coalesce(g.c, '') = coalesce(p.c, '') THEN 1.0 ELSE 0.0 END), 6) "
+       "AS exact_match FROM sentences LEFT JOIN g USING (sent_id) LEFT JOIN p USING (sent_id)")
+def user_metric(spark, d):
+    """U4: a caller's metric of gold and predicted chunks, here the share of sentences
+    whose chunks all agree."""
+    gp = scoring.gold_and_predicted(spark, d)
+    return metrics.scored(gp, "gold_chunks", "pred_chunks", lambda g, p: (g == p).cast("double"), "exact_match")
+
+
 # seeds / steps / metrics from the events table
 def metric_rows(spark, d):
     e = table(spark, d, "events")
@@ -358,7 +407,9 @@ def udf_batch_map(spark, d):
     return pipeline.batch_map(s, fn, "sent_id long, n_commas long")
 
 
-@query("pipeline_order")
+@query("pipeline_order", lambda: O.with_(*_TOK) +
+       "SELECT s.sent_id, count(t.i)::INTEGER AS n_tokens, 'keys,tokenize,length' AS components "
+       "FROM sentences s LEFT JOIN tokens t USING (sent_id) GROUP BY s.sent_id")
 def pipeline_order(spark, d):
     """U3 (+U5): named components with placement, run over the corpus; the
     output lists each sentence with the component order applied."""

@@ -11,7 +11,7 @@ from spanforge.plans import oracle as O
 from spanforge.plans.bindings import SEED
 from spanforge.plans.queries_corpus import joined
 from spanforge.plans.registry import query
-from spanforge.schemas import CONTEXTS, FIXED_DOSE_UNITS, FIXED_DOSE_VALUES, SHAPES, STYLES, SYSTEM_PROMPT
+from spanforge.schemas import CONTEXTS, FIXED_DOSE_UNITS, FIXED_DOSE_VALUES, SHAPES, SHAPES_NOTEBOOK, STYLES, SYSTEM_PROMPT
 from spanforge.session import table
 
 S = str(SEED)
@@ -46,6 +46,15 @@ def shape_choice(spark, d):
                     F.array_join(sampling.shape_of(SEED, F.col("row_id")), ",").alias("shape"))
 
 
+@query("shape_choice_notebook", lambda: O.with_(O.shapes_cte(SHAPES_NOTEBOOK)) +
+       f"SELECT o_orderkey AS row_id, array_to_string(shape, ',') AS shape FROM orders "
+       f"JOIN shapes ON shape_id = {O.draw('5', S, 'o_orderkey', chr(39) + 'shape' + chr(39))}")
+def shape_choice_notebook(spark, d):
+    """The variant with five templates."""
+    return _rows(spark, d).select("row_id", F.array_join(sampling.shape_of(SEED, F.col("row_id"), SHAPES_NOTEBOOK), ",")
+                                  .alias("shape"))
+
+
 def _random_shape_sql():
     nm = f"[0, 1, 1, 2][{O.draw('4', S, 'o_orderkey', chr(39) + 'n_med' + chr(39))} + 1]"
     nd = f"[0, 1, 1, 2][{O.draw('4', S, 'o_orderkey', chr(39) + 'n_diag' + chr(39))} + 1]"

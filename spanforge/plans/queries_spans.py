@@ -196,16 +196,26 @@ def build_token_corpus(spark, d):
 
 
 @query("sink_token_corpus", lambda: _G4_SQL() +
-       f"SELECT g.sent_id, {O.SPLIT_OF.replace('doc_id', '(g.sent_id // 2147483648)')} AS split, "
-       "g.first_tok, (g.end_tok - 1)::INTEGER AS last_tok, g.label FROM g4 g")
+       ", e AS (SELECT sent_id, string_agg(first_tok || '-' || (end_tok - 1) || ':' || label, ';' ORDER BY first_tok) AS ents "
+       "FROM g4 GROUP BY sent_id), "
+       "t AS (SELECT sent_id, count(*)::INTEGER AS n, string_agg(token, ' ' ORDER BY i) AS toks FROM tokens GROUP BY sent_id), "
+       f"bt AS (SELECT item_id, list_filter(regexp_extract_all(text, {O.q(O.TOKEN_PATTERN)}), "
+       f"lambda x: substr(x, 1, 1) NOT IN {O.BLANKS}) AS l FROM benchmark) "
+       f"SELECT s.sent_id, {O.SPLIT_OF.replace('doc_id', 's.doc_id')} AS split, coalesce(t.n, 0) AS n_tokens, "
+       "coalesce(t.toks, '') AS tokens, coalesce(e.ents, '') AS ents FROM sentences s LEFT JOIN t USING (sent_id) "
+       "LEFT JOIN e USING (sent_id) "
+       "UNION ALL SELECT -1 - item_id, 'train', len(l)::INTEGER, array_to_string(l, ' '), '' FROM bt")
 def sink_token_corpus(spark, d):
-    """Token corpus written per split (parquet, partitioned) and read back."""
+    """Token corpus written per split (parquet, partitioned) and read back: tokens
+    and entities of every sentence, synthetic rows included."""
     from spanforge.sources import sinks
     path = sinks.scratch_path(spark, "tokcorpus")
     sinks.write_corpus(token_corpus(spark, d), path)
-    c = spark.read.parquet(path)
-    e = c.select("sent_id", "split", F.inline_outer("ents")).where(F.col("label").isNotNull())
-    return e.select("sent_id", "split", "first_tok", (F.col("end_tok") - 1).alias("last_tok"), "label")
+    ents = F.array_join(F.transform("ents", lambda e: F.concat_ws(
+        "", e["first_tok"].cast("string"), F.lit("-"), (e["end_tok"] - 1).cast("string"), F.lit(":"), e["label"])), ";")
+    return spark.read.parquet(path).select(
+        "sent_id", "split", F.size("tokens").alias("n_tokens"),
+        F.array_join(tokens.token_texts(F.col("tokens")), " ").alias("tokens"), ents.alias("ents"))
 
 
 def _model_inputs(spark, d, last_match=False):

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from spanforge.functions.arrays import pin
 from spanforge.functions.labels import class_id
 from spanforge.operators import bio, metrics, spans, tokens
+from spanforge.operators import matching
 from spanforge.operators.matching import with_phrase_matches
 from spanforge.plans import bindings as B
 
@@ -27,9 +28,9 @@ def gazetteer_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sentences + ``ents``: gazetteer matches, de-overlapped (H6 -> G3), all
     inside each sentence row (no shuffle for a lexicon that fits a hash set)."""
     s = tokenized_sentences(spark, sf_dir)
-    m = with_phrase_matches(s, B.phrases(spark, sf_dir), ["sent_id"])
+    m = with_phrase_matches(s, B.phrases(spark, sf_dir))
     ents = F.transform("matches", lambda x: x.dropFields("key"))
-    return m.withColumn("ents", pin(spans.filter_spans(ents))).drop("matches")
+    return matching.overwrite_entities(m, pin(spans.filter_spans(ents))).drop("matches")
 
 
 def gold_and_predicted(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,7 +40,6 @@ SHAPES_NOTEBOOK = [
 RANDOM_SHAPE_MED_COUNTS = [0, 1, 1, 2]
 RANDOM_SHAPE_DIAG_COUNTS = [0, 1, 1, 2]
 RANDOM_SHAPE_DOSE_COUNTS = [0, 1]
-RANDOM_SHAPE_POOL_SIZE = 100
 STYLES = [
     "ein vollständiger, grammatischer Satz",
     "eine knappe, telegrammartige Klinik-Notiz (kein voller Satzbau)",
@@ -109,17 +108,8 @@ SYSTEM_PROMPT_EARLY = (
 RETRYABLE_CODES = (429, 500, 502, 503, 504)
 MAX_ATTEMPTS = 6
 BASE_DELAY_S = 2.0
-# Inline tag syntax of tagged sentences: <class="Label">term</class>, wrapped in <s>…</s>.
-TAG_PATTERN = r'<class="([^"]+)">(.*?)</class>'
-# Leading / trailing markdown fence of a model response.
-FENCE_PATTERN = r"^```\w*\s*|\s*```$"
-# Sub-word sequence cap (including the two special tokens) and token windows.
-MAX_SEQ_LEN = 128
-WINDOW_SIZE = 128
-WINDOW_STRIDE = 96
-# Evaluation seeds (two notebook variants).
+# Evaluation seeds.
 SEEDS_A = [42, 123, 2024]
-SEEDS_B = [42, 72, 102]
 # ---------------------------------------------------------------------------
 
 CLASS_TO_ID = {n: i for i, n in enumerate(CLASS_NAMES)}

@@ -119,6 +119,10 @@ def test_phrase_match(spark):
                                                 "phrase string, label string"))
     m = t.select(F.inline_outer(local_matches(F.col("tokens"), collect_lexicon(lex, 100)))).collect()
     assert sorted(r["key"] for r in m) == ["Golden Retriever", "cat"]
+    from spanforge.operators.matching import phrase_match_join
+    assert sorted(r["key"] for r in phrase_match_join(t, lex, ["sent_id"]).collect()) == ["Golden Retriever", "cat"]
+    with pytest.raises(ValueError, match="phrase_match_join"):
+        collect_lexicon(lex, 2)
 
 
 def test_bio_chunks(spark):
