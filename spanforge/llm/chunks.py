@@ -4,8 +4,8 @@ A byte-level BPE file splits a text by a pattern before it merges.  Between a
 visible character and the blank behind it a match of that pattern always ends
 (a match with a visible character holds no later blank, and the pattern looks
 only ahead, over white space).  Texts are cut there into chunks; each distinct
-chunk of a slice goes to the library once, and a worker keeps the ids of frequent
-short chunks.  Chunks are told apart by 64-bit hashes of their bytes; where no
+chunk of a slice goes to the library once, and a worker keeps the ids of the short chunks it
+met first (a bounded number; it starts anew when most chunks of a slice are unknown).  Chunks are told apart by 64-bit hashes of their bytes; where no
 such place exists (other scripts, runs of blanks) a chunk simply is longer.
 """
 
@@ -90,7 +90,8 @@ class ChunkEncoder:
         offsets = np.concatenate(([0], ends))[np.searchsorted(start, rows)]
         keep = (e - s) <= KEPT_BYTES
         if len(self.keys) + int(keep.sum()) > KEPT_CHUNKS:
-            self._forget()
+            if 2 * len(new) > len(keys):     # full, and of little use for these texts
+                self._forget()
         elif keep.any():
             kept_count = count[keep]
             self_at = len(self.pool) + np.cumsum(kept_count) - kept_count
