@@ -90,7 +90,10 @@ def llm_map(df: DataFrame, prompt_col: str, client_factory: Callable[[], Callabl
 def json_status(clean: Column) -> Column:
     """E4 strict guard: 'bad_json' unless the text is exactly one JSON value
     (no trailing text, no single quotes); 'ok' if it is an object whose
-    ``text`` is a string; else 'no_text'."""
+    ``text`` is a string; else 'no_text'.  As in Python's parser the values NaN and
+    (-)Infinity are accepted; unlike there a repeated key is an error, as it is
+    ambiguous which value was meant."""
+    clean = F.regexp_replace(clean, F.lit(r"([:,\[]\s*)-?(?:NaN|Infinity)(?=\s*[,}\]])"), F.lit("$1null"))
     wrapped = F.try_parse_json(F.concat(F.lit("["), clean, F.lit("]")))
     as_value = F.try_parse_json(F.concat(F.lit('{"v":'), clean, F.lit("}")))
     n = F.json_array_length(F.concat(F.lit("["), clean, F.lit("]")))
@@ -118,6 +121,11 @@ def attach_spans(df: DataFrame, text: str, requested: str) -> DataFrame:
                          .when(has_unmatched(F.col("spans")), F.lit("unmatched")).otherwise(F.lit("accepted")))
 
 
+def attempts_for(rows: DataFrame, n: int, order: str, times: int = 5) -> DataFrame:
+    """The attempts made for ``n`` sentences, ``times`` n of them at most."""
+    return rows.orderBy(order).limit(times * n)
+
+
 def first_n_valid(df: DataFrame, n: int, order: str) -> DataFrame:
     """The first ``n`` accepted rows in attempt order (top-k, not a full sort)."""
     return df.where(F.col("final_status") == "accepted").orderBy(order).limit(n)

@@ -54,11 +54,13 @@ def gen_rows(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "orders").select(F.col("o_orderkey").alias("row_id"))
 
 
-def slot_rows(spark: SparkSession, d: str, lx: dict | None = None, shape=None) -> DataFrame:
-    """C6 exploded: (row_id, slot, label, text) with the drawn term per slot."""
+def slot_rows(spark: SparkSession, d: str, lx: dict | None = None, shape=None,
+              rows: DataFrame | None = None) -> DataFrame:
+    """C6 exploded: (row_id, slot, label, text) with the drawn term per slot; ``rows``:
+    the attempts (default: all)."""
     lx = lx or lexica(spark, d)
     n = lx["n"]
-    rows = gen_rows(spark, d)
+    rows = gen_rows(spark, d) if rows is None else rows
     shape = shape if shape is not None else sampling.shape_of(SEED, F.col("row_id"))
     s = rows.select("row_id", F.posexplode_outer(shape).alias("slot", "label")).where(F.col("label").isNotNull())
     r, sl = F.col("row_id"), F.col("slot")
@@ -72,9 +74,9 @@ def slot_rows(spark: SparkSession, d: str, lx: dict | None = None, shape=None) -
     return s.select("row_id", "slot", "label", text.alias("text"))
 
 
-def entity_rows(spark: SparkSession, d: str, lx: dict | None = None) -> DataFrame:
+def entity_rows(spark: SparkSession, d: str, lx: dict | None = None, rows: DataFrame | None = None) -> DataFrame:
     """One row per generation attempt with its ordered entity list."""
-    s = slot_rows(spark, d, lx)
+    s = slot_rows(spark, d, lx, rows=rows)
     g = s.groupBy("row_id").agg(F.array_sort(F.collect_list(F.struct("slot", "text", "label"))).alias("e"))
     return g.select("row_id", F.transform("e", lambda x: F.struct(x["text"].alias("text"),
                                                                  x["label"].alias("label"))).alias("entities"))
@@ -120,11 +122,11 @@ def response_sentence(entities) -> F.Column:
     return F.concat(F.lit("Patient "), F.array_join(F.transform(entities, lambda e: e["text"]), " und "), F.lit("."))
 
 
-def raw_responses(spark: SparkSession, d: str) -> DataFrame:
+def raw_responses(spark: SparkSession, d: str, rows: DataFrame | None = None) -> DataFrame:
     """responses(row_id, entities, raw): a JSON answer per attempt; by keyed
     hash some are fenced, truncated, lack ``text``, miss a term, or carry
     blank padding."""
-    e = entity_rows(spark, d)
+    e = entity_rows(spark, d, rows=rows)
     r = F.col("row_id")
     v = draw_index(10, SEED, r, "resp")
     first = F.get(F.col("entities"), 0)["text"]

@@ -157,6 +157,18 @@ def code_reject_counts(spark, d):
     return a.unionByName(t).select("source", "status", "n")
 
 
+@query("code_reject_lines", lambda: O.with_(O.PIPE_LINES, O.SEMI_LINES,
+                                            O.extract_cte("a", "pipe_lines", "|", 8, 5, 7),
+                                            O.extract_cte("t", "semi_lines", ";", 9, 5, 8, 1))
+       + "SELECT 'alpha' AS source, line_key, status FROM a WHERE status <> 'kept' "
+       "UNION ALL SELECT 'terminal', line_key, status FROM t WHERE status <> 'kept'")
+def code_reject_lines(spark, d):
+    """The numbers of the skipped lines, with the reason."""
+    rows = [df.where("status <> 'kept'").select(F.lit(name).alias("source"), "line_key", "status")
+            for name, df in (("alpha", _alpha(spark, d)), ("terminal", _terminal(spark, d)))]
+    return rows[0].unionByName(rows[1])
+
+
 @query("nonempty_terms", lambda: O.with_(O.PIPE_LINES, O.extract_cte("a", "pipe_lines", "|", 8, 5, 7))
        + "SELECT line_key, code, term, status FROM a WHERE status IN ('kept', 'empty')")
 def nonempty_terms(spark, d):

@@ -237,13 +237,13 @@ def chat_fold_system(spark, d):
 
 # --- E: responses -----------------------------------------------------------------
 
-def _parsed(spark, d):
-    r = G.raw_responses(spark, d)
+def _parsed(spark, d, rows=None):
+    r = G.raw_responses(spark, d, rows)
     return responses.parse_responses(r, "raw")
 
 
-def _final(spark, d):
-    return responses.attach_spans(_parsed(spark, d), "text", "entities")
+def _final(spark, d, rows=None):
+    return responses.attach_spans(_parsed(spark, d, rows), "text", "entities")
 
 
 @query("strip_code_fence", lambda: O.with_(*O.responses_ctes()[:-4]) + "SELECT row_id, clean FROM parsed")
@@ -275,10 +275,13 @@ def plain_response_spans(spark, d):
 
 @query("first_n_valid", lambda: O.with_(*O.responses_ctes()) +
        "SELECT f.row_id, json_extract_string(p.clean, '$.text') AS sentence FROM final f JOIN parsed p USING (row_id) "
-       "WHERE f.final_status = 'accepted' ORDER BY f.row_id LIMIT 50")
+       "WHERE f.final_status = 'accepted' AND f.row_id IN (SELECT o_orderkey FROM orders ORDER BY o_orderkey LIMIT 250) "
+       "ORDER BY f.row_id LIMIT 50")
 def first_n_valid(spark, d):
-    """E7 (+E8): first 50 accepted sentences in attempt order; fails if none."""
-    f = responses.first_n_valid(_final(spark, d), 50, "row_id").select("row_id", F.col("text").alias("sentence"))
+    """E7 (+E8): first 50 accepted sentences of at most 250 attempts, in attempt order;
+    fails if none."""
+    attempts = responses.attempts_for(G.gen_rows(spark, d), 50, "row_id")
+    f = responses.first_n_valid(_final(spark, d, attempts), 50, "row_id").select("row_id", F.col("text").alias("sentence"))
     return responses.require_nonempty(f)
 
 

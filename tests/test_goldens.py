@@ -159,6 +159,9 @@ def test_json_guard(spark):
     df = spark.createDataFrame([(c,) for c in cases], "raw string")
     got = [r[0] for r in df.select(json_status(strip_fence(F.col("raw")))).collect()]
     assert got == ["bad_json", "bad_json", "no_text", "no_text", "no_text", "ok", "ok"]
+    more = ['{"text": "x", "p": NaN}', '{"text": "x", "p": [-Infinity, 1]}', '{"text": "a", "text": "b"}', "NaN x"]
+    got = [r[0] for r in spark.createDataFrame([(c,) for c in more], "raw string").select(json_status(F.col("raw"))).collect()]
+    assert got == ["ok", "ok", "bad_json", "bad_json"]
 
 
 def test_code_lines(spark):
