@@ -6,7 +6,9 @@ the hashes.  Links: the 64 bits are cut into ``segments``; two fingerprints
 within ``max_bits`` agree in some segment up to ``max_bits // segments`` bits.
 Each distinct fingerprint is stored under its own segment values and looked up
 under every value of the segment's Hamming ball; table matches are verified on
-the complete 64 bits.  For a differing bit exactly one of two values has it set,
+the complete 64 bits.  Within a table entry members are compared with its smallest
+one first, then only across the components found so far, so a large group of
+near-copies costs a pair per member.  For a differing bit exactly one of two values has it set,
 so a probe only clears set bits or keeps the value, and each side probes: every
 pair is still met, at half the probes.
 
@@ -84,16 +86,12 @@ def _ball(value, width: int, radius: int):
     return ball
 
 
-def _pairs(left: DataFrame, right: DataFrame, max_bits: int) -> DataFrame:
-    """Verified links among table matches of the same segment and value."""
-    left, right = left.withColumnRenamed("fp", "a"), right.withColumnRenamed("fp", "b")
-    near = (F.col("a") != F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)
-    return (left.join(right, (left["seg"] == right["seg"]) & (left["key"] == right["key"]) & near)
-            .select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")))
+def _near(a: str, b: str, max_bits: int):
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= max_bits
 
 
-def links(prints: DataFrame, max_bits: int = 4, segments: int = 3) -> DataFrame:
-    """Distinct ``fp`` -> ``(src, dst)`` of fingerprints within ``max_bits``.
+def _tables(prints: DataFrame, max_bits: int, segments: int) -> tuple[DataFrame, DataFrame]:
+    """``(fp, seg, key)`` rows: where fingerprints are stored, and where they look.
 
     Two values whose bits differ by d in a segment meet at the value with the d
     bits cleared on whichever side has them set; with both sides probing, every
@@ -109,13 +107,60 @@ def links(prints: DataFrame, max_bits: int = 4, segments: int = 3) -> DataFrame:
         table.append(keyed(i)(own))
         probes.append(F.transform(_ball(own, width, radius), keyed(i)))
     if radius == 0:
-        stored = looked = prints.select("fp", F.inline(F.array(*table)))
-    else:
-        looked = prints.select("fp", F.inline(F.concat(*probes)))
-        # cleared on one side only: the other side holds the value itself; bits
-        # cleared on both sides need the ball on both sides (radius over one)
-        stored = looked if radius > 1 else prints.select("fp", F.inline(F.array(*table)))
-    return _pairs(looked, stored, max_bits).distinct()
+        looked = prints.select("fp", F.inline(F.array(*table)))
+        return looked, looked
+    looked = prints.select("fp", F.inline(F.concat(*probes)))
+    # cleared on one side only: the other side holds the value itself; bits
+    # cleared on both sides need the ball on both sides (radius over one)
+    return (looked if radius > 1 else prints.select("fp", F.inline(F.array(*table)))), looked
+
+
+def links(prints: DataFrame, max_bits: int = 4, segments: int = 3) -> DataFrame:
+    """Distinct ``fp`` -> every ``(src, dst)`` within ``max_bits``, src < dst."""
+    stored, looked = _tables(prints, max_bits, segments)
+    a, b = looked.withColumnRenamed("fp", "a"), stored.withColumnRenamed("fp", "b")
+    return (a.join(b, (a["seg"] == b["seg"]) & (a["key"] == b["key"]) & (F.col("a") != F.col("b")) & _near("a", "b", max_bits))
+            .select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).distinct())
+
+
+def components(prints: DataFrame, max_bits: int = 4, segments: int = 3) -> DataFrame:
+    """Distinct ``fp`` -> ``(node, component)`` of those that have a link.
+
+    The components of all links, without forming all links of a large group.  First
+    each table entry's members are compared with its smallest one, a pair per member.
+    Then, in the components this gives, only pairs of different components matter,
+    and one of the two isn't in the smallest one's component: members outside it are
+    compared with all, members inside it with those outside.
+    """
+    stored, looked = _tables(prints, max_bits, segments)
+    entries = stored.groupBy("seg", "key").agg(F.min("fp").alias("first"), F.count("*").alias("n"))
+    met = materialise(looked.join(entries, ["seg", "key"])
+                      .filter((F.col("n") > 1) | (F.col("fp") != F.col("first"))), "met")
+    star = materialise(met.filter((F.col("fp") != F.col("first")) & _near("fp", "first", max_bits)).select(
+        F.least("fp", "first").alias("src"), F.greatest("fp", "first").alias("dst")).distinct(), "star")
+    root = connected_components(star)
+
+    def rooted(df: DataFrame, fp: str, name: str) -> DataFrame:
+        r = root.select(F.col("node").alias("__node"), F.col("component").alias("__component"))
+        return (df.join(r, df[fp] == r["__node"], "left").drop("__node")
+                .withColumn(name, F.coalesce("__component", fp)).drop("__component"))
+
+    places = met.groupBy("seg", "key").agg(F.first("first").alias("first"))       # one value per entry
+    places = rooted(places, "first", "top")
+    askers = rooted(met.select("seg", "key", "fp"), "fp", "root").join(places.drop("first"), ["seg", "key"])
+    members = rooted(stored, "fp", "root").join(places.drop("first"), ["seg", "key"])
+    askers, members = materialise(askers, "askers"), materialise(members, "members")
+
+    def across(left: DataFrame, right: DataFrame) -> DataFrame:
+        x = left.select("seg", "key", F.col("fp").alias("a"), F.col("root").alias("ra"))
+        y = right.select("seg", "key", F.col("fp").alias("b"), F.col("root").alias("rb"))
+        return (x.join(y, (x["seg"] == y["seg"]) & (x["key"] == y["key"]) & (F.col("ra") != F.col("rb"))
+                       & _near("a", "b", max_bits))
+                .select(F.least("ra", "rb").alias("src"), F.greatest("ra", "rb").alias("dst")))
+
+    outside, inside = F.col("root") != F.col("top"), F.col("root") == F.col("top")
+    more = across(askers.filter(outside), members).union(across(askers.filter(inside), members.filter(outside)))
+    return connected_components(star.union(more.distinct()))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, segments: int = 3) -> DataFrame:
@@ -123,7 +168,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, segmen
     component_id is the smallest doc_id whose fingerprint is reachable."""
     rows = materialise(fingerprints(docs, shingle), "fingerprints")
     prints = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "prints")
-    groups = connected_components(links(prints.select("fp"), max_bits, segments))
+    groups = components(prints.select("fp"), max_bits, segments)
     named = prints.join(groups, prints["fp"] == groups["node"], "left").select(
         "fp", "low", F.coalesce("component", "fp").alias("root"))
     lowest = named.groupBy("root").agg(F.min("low").alias("component_id"))

@@ -404,8 +404,13 @@ def test_links_lose_nothing(spark, max_bits, segments):
     signed = {p - (1 << 64) if p >> 63 else p for p in prints}
     got = {(r.src, r.dst) for r in simhash.links(
         spark.createDataFrame([(p,) for p in signed], "fp long"), max_bits, segments).collect()}
-    want = {(a, b) for a in signed for b in signed if a < b and ((a ^ b) & (1 << 64) - 1).bit_count() <= max_bits}
+    near = lambda a, b: ((a ^ b) & (1 << 64) - 1).bit_count() <= max_bits
+    want = {(a, b) for a in signed for b in signed if a < b and near(a, b)}
     assert got == want
+    found = {r.node: r.component for r in simhash.components(
+        spark.createDataFrame([(p,) for p in signed], "fp long"), max_bits, segments).collect()}
+    whole = components(sorted(signed), near)
+    assert {p: found.get(p, p) for p in signed} == whole
 
 
 def test_simhash_classes(spark, words, odd, empty):
