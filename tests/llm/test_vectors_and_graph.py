@@ -113,3 +113,16 @@ def test_queries_against_sql(spark, sf, name):
     assert sorted(want.columns) == columns
     a, b = (x[columns].sort_values(key).astype(str).reset_index(drop=True) for x in (got, want))
     assert a.equals(b)
+
+
+def test_stages_on_odd_rows(spark, sf, odd):
+    import corpus_pipeline
+    docs = odd
+    for name, stage in corpus_pipeline.STAGES:
+        got = corpus_pipeline.materialise(stage(spark, docs, sf), name)
+        if name != "packing":
+            assert got.columns == odd.columns
+            assert got.filter("doc_id is null").count() == 2
+            assert stage(spark, odd.limit(0), sf).count() == 0
+        docs = got
+    assert {r.doc_id for r in docs.collect()} >= {None, 1, 7, 8, 9, 10, 11, 13, 14}
