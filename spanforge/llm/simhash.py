@@ -134,6 +134,7 @@ def components(prints: DataFrame, max_bits: int = 4, segments: int = 3) -> DataF
     """
     stored, looked = _tables(prints, max_bits, segments)
     entries = stored.groupBy("seg", "key").agg(F.min("fp").alias("first"), F.count("*").alias("n"))
+    entries = materialise(entries, "entries")      # a table: the join below can split a hot entry
     met = materialise(looked.join(entries, ["seg", "key"])
                       .filter((F.col("n") > 1) | (F.col("fp") != F.col("first"))), "met")
     star = materialise(met.filter((F.col("fp") != F.col("first")) & _near("fp", "first", max_bits)).select(
