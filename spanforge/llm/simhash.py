@@ -135,9 +135,12 @@ def components(prints: DataFrame, max_bits: int = 4, segments: int = 3) -> DataF
     stored, looked = _tables(prints, max_bits, segments)
     entries = stored.groupBy("seg", "key").agg(F.min("fp").alias("first"), F.count("*").alias("n"))
     entries = materialise(entries, "entries")      # a table: the join below can split a hot entry
-    met = materialise(looked.join(entries, ["seg", "key"])
-                      .filter((F.col("n") > 1) | (F.col("fp") != F.col("first"))), "met")
-    star = materialise(met.filter((F.col("fp") != F.col("first")) & _near("fp", "first", max_bits)).select(
+    # an entry of one member needs no second round: only its verified matches stay
+    near_first = (F.col("fp") != F.col("first")) & _near("fp", "first", max_bits)
+    at = entries.withColumnsRenamed({"seg": "__seg", "key": "__key"})
+    met = materialise(looked.join(at, (looked["seg"] == at["__seg"]) & (looked["key"] == at["__key"])
+                                  & ((F.col("n") > 1) | near_first)).drop("__seg", "__key"), "met")
+    star = materialise(met.filter(near_first).select(
         F.least("fp", "first").alias("src"), F.greatest("fp", "first").alias("dst")).distinct(), "star")
     root = connected_components(star)
 
