@@ -3,11 +3,14 @@
 Base: e-mail addresses, IP addresses, card numbers and phone numbers by pattern.
 Method: every distinct base value is a protected entity.  Over the whole corpus the
 words within ``reach`` words of an entity's mentions are counted with it.  A word
-tells p(entity | word) = its occurrences near the entity / all its occurrences, and
-log2 p(entity | word) / p(entity) bits about it, p(entity) being the share of all
-words of the corpus that lie near the entity.  A word that tells at least ``bits`` and ``probability`` about some entity,
-in at least ``contexts`` different surroundings (copies count once), is sensitive
-wherever it occurs: generalised to ``<WORD>``, or removed from ``remove_from`` on.
+tells p(entity | word) = k / (n + m): of n occurrences k near the entity, and one
+more, not near it, for each of the m entities it was seen near at least as often (1
+if the entity is the only one).  Copies count once: k is the number of different
+surroundings, n all its occurrences scaled alike.  It tells log2 p(entity | word) /
+p(entity) bits, p(entity) being the share of all words of the corpus that lie near
+the entity.  A word that tells at least ``bits`` and ``probability`` about some entity
+is sensitive wherever it occurs: generalised to ``<WORD>``, or removed from
+``remove_from`` on.  A word seen once, beside one entity, has 1/2 and is generalised.
 
 Words are runs of ASCII letters and digits and of other characters beyond ASCII,
 A-Z lowered, told apart by 64-bit hashes.  Their counts over the corpus are taken for
@@ -179,19 +182,25 @@ def _corpus_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return materialise(counts, "counts")
 
 
-def sensitive_terms(docs: DataFrame, found: DataFrame, contexts: int = 5, probability: float = 0.5,
-                    bits: float = 6.0, remove_from: float = 0.9) -> DataFrame:
+def sensitive_terms(docs: DataFrame, found: DataFrame, probability: float = 0.5, bits: float = 6.0,
+                    remove_from: float = 0.9) -> DataFrame:
     """``(term, remove)``: hashes of the words that disclose an entity."""
     near = found.select(F.inline("near"))
     pairs = materialise(
         near.groupBy("term", "entity", "context").agg(F.count("*").alias("n"))
-        .groupBy("term", "entity").agg(F.count("*").alias("contexts"), F.sum("n").alias("together"))
-        .filter(F.col("contexts") >= contexts), "pairs")
+        .groupBy("term", "entity").agg(F.count("*").alias("contexts"), F.sum("n").alias("together")), "pairs")
     own = near.groupBy("entity").agg(F.count("*").alias("own"))
     counts = _corpus_counts(docs, pairs.select("term").distinct())
     words = counts.filter("term is null").select(F.col("n").alias("words"))          # one row
-    told = (pairs.join(counts, "term").join(own, "entity").join(F.broadcast(words))
-            .withColumn("p", F.least(F.lit(1.0), F.col("together") / F.col("n")))
+    # per term: how many entities have how many surroundings with it (a few numbers, no list of entities)
+    seen = (pairs.groupBy("term", "contexts").agg(F.count("*").alias("entities"))
+            .groupBy("term").agg(F.collect_list(F.struct("contexts", "entities")).alias("seen")))
+    rivals = F.aggregate(F.filter("seen", lambda x: x["contexts"] >= F.col("contexts")),
+                         F.lit(0).cast("long"), lambda a, x: a + x["entities"])
+    # a word between two mentions of an entity is near both, but occurs once
+    k, together = F.least("contexts", "n"), F.least("together", "n")
+    told = (pairs.join(counts.join(seen, "term"), "term").join(own, "entity").join(F.broadcast(words))
+            .withColumn("p", k * together / (k * F.col("n") + rivals * together))   # k / (n k / together + rivals)
             .filter((F.col("p") >= probability)
                     & (F.log2(F.col("p") / F.least(F.lit(1.0), F.col("own") / F.col("words"))) >= bits)))
     return materialise(told.groupBy("term").agg((F.max("p") >= remove_from).alias("remove")), "terms")

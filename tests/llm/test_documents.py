@@ -119,6 +119,20 @@ def test_words_that_disclose_an_entity(spark, words, odd, empty):
     assert pii.spans(empty).count() == 0 and pii.sanitise(empty).count() == 0
 
 
+@pytest.mark.parametrize("texts", [1, 2, 4])
+def test_a_name_in_few_texts_discloses(spark, words, texts):
+    rnd = random.Random(20)
+    text = lambda: " ".join(rnd.choices(words, k=25) + ["Zebulon common anna@x.example.com"]
+                            + rnd.choices(words, k=25))
+    rows = [(i, text()) for i in range(texts)]
+    rows += [(60 + i, rows[0][1]) for i in range(3)]              # copies count once
+    rows += [(100 + i, " ".join(rnd.choices(words, k=50)) + " common") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+    assert all("Zebulon" not in clean[i] and "<WORD> common <EMAIL>" in clean[i] for i in range(texts))
+    assert all(clean[i] == t for i, t in rows if i >= 100)
+
+
 # operator 3 -----------------------------------------------------------------
 def test_tree_encoding_equals_the_library(monkeypatch):
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
