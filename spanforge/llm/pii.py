@@ -80,7 +80,9 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
         return []
     out = [(s, 0, e) for s, e in _emails(text)]
     for m in _IP.finditer(text):
-        if all(int(x) <= 255 for x in m.group().split(".")):
+        # no conversion of unbounded length: int() refuses more than 4,300 digits
+        parts = [x.lstrip("0") for x in m.group().split(".")]
+        if all(len(x) <= 3 and int(x or "0") <= 255 for x in parts):
             out.append((m.start(), 1, m.end()))
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 14:

@@ -97,6 +97,13 @@ def test_base_spans_match_the_patterns():
     assert pii.base_spans("a" * 200000 + "1" * 200000) == []
 
 
+def test_numbers_of_any_length_are_no_failure():
+    long = "9" * 5000
+    assert pii.base_spans(f"{long}.1.1.1 1.{long}.1.1 1.1.1.256") == []
+    assert pii.base_spans(f"{'0' * 5000}.1.1.1") == [(0, 1, 5006)]
+    assert pii.base_spans("000.0.0255.1") == [(0, 1, 12)]
+
+
 def test_words_that_disclose_an_entity(spark, words, odd, empty):
     rnd = random.Random(2)
     fill = lambda: " ".join(rnd.choices(words, k=25))
