@@ -79,15 +79,15 @@ class ContextTree:
 def train(rows: DataFrame, order: int = 3, per_language: int = 2000) -> tuple[list[str], list[ContextTree]]:
     """Context trees from ``(doc_id, text, lang)`` rows with non-null text and lang.
 
-    Of each language every row counts, and a share of its distinct texts is fitted,
-    drawn by the text's hash: about ``per_language`` texts at most, whole.  Copies
-    are drawn together and fitted once.  What reaches the driver is bounded by that
-    sample.
+    Of each language a share of its distinct texts is fitted, drawn by the text's
+    hash: about ``per_language`` texts at most, whole, and all if it has no more.
+    Copies count, are drawn and are fitted once.  What reaches the driver is bounded
+    by that sample.
     """
-    labelled = rows.select("text", "lang").filter("text is not null and lang is not null and text != ''")
-    sizes = labelled.groupBy("lang").count()                    # a row per language
-    drawn = (labelled.withColumn("draw", F.xxhash64("text"))
-             .join(F.broadcast(sizes), "lang")
+    labelled = (rows.select("text", "lang").filter("text is not null and lang is not null and text != ''")
+                .withColumn("draw", F.xxhash64("text")))
+    sizes = labelled.select("lang", "draw").distinct().groupBy("lang").count()   # a row per language
+    drawn = (labelled.join(F.broadcast(sizes), "lang")
              .filter(F.col("draw").bitwiseAND(F.lit((1 << 40) - 1)) / F.lit(float(1 << 40)) * F.col("count") <= per_language)
              .dropDuplicates(["lang", "draw"]))
     counted = map_batches(drawn, _count(order), "lang string, gram long, n long")

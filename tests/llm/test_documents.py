@@ -250,6 +250,19 @@ def test_code_lengths_are_exact():
         assert bits == pytest.approx(brute_bits(train, text, order))
 
 
+def test_copies_leave_the_language_sample_whole(spark):
+    rnd = random.Random(16)
+    rows = [(l, " ".join("".join(rnd.choices(l + "xyz", k=4)) for _ in range(12))) for l in "ab" for _ in range(40)]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    copies = spark.range(20000).select(F.lit("a").alias("lang"), F.lit(rows[0][1]).alias("text"))
+    names, trees = langid.train(docs.union(copies), order=3, per_language=50)
+    alone, whole = langid.train(docs, order=3, per_language=50)
+    assert names == alone == ["a", "b"]
+    for tree, want in zip(trees, whole):
+        for level, other in zip(tree.levels, want.levels):
+            assert all(np.array_equal(x, y) for x, y in zip(level, other))
+
+
 def test_language_of_held_out_texts(spark, odd, empty):
     rnd = random.Random(6)
     parts = {"aa": ["ing", "the", "tion", "er"], "bb": ["sch", "ung", "ein", "ö"], "cc": ["eau", "ç", "oi", "qu"]}
