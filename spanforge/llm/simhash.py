@@ -53,16 +53,18 @@ def fingerprint(text: str | None, shingle: int) -> int:
     return int.from_bytes(np.packbits(2 * counts > len(last)).tobytes(), "big", signed=True)
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """``(doc_id, text)`` -> ``(doc_id, fp)``; fp as a signed long, a row per row."""
-    docs = docs.select("doc_id", "text")
+def fingerprints(docs: DataFrame, shingle: int = 4, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(doc_id, text)`` -> ``(doc_id, fp)``; fp as a signed long, a row per row.
+    The columns ``keep`` (longs) go with it."""
+    docs = docs.select("doc_id", "text", *keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = pa.array([fingerprint(t.as_py(), shingle) for t in b.column(1)], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0), fp], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), fp, *b.columns[2:]], names=["doc_id", "fp", *keep])
 
-    return map_batches(docs, run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp long")
+    return map_batches(docs, run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp long"
+                       + "".join(f", {c} long" for c in keep))
 
 
 def _segments(segments: int) -> list[tuple[int, int]]:
@@ -167,24 +169,59 @@ def components(prints: DataFrame, max_bits: int = 4, segments: int = 3) -> DataF
     return connected_components(star.union(more.distinct()))
 
 
+def _rooted(prints: DataFrame, max_bits: int, segments: int) -> DataFrame:
+    """Distinct ``fp`` and other columns -> the same with ``root``, its component."""
+    groups = components(prints.select("fp"), max_bits, segments)
+    return (prints.join(groups, prints["fp"] == groups["node"], "left")
+            .withColumn("root", F.coalesce("component", "fp")).drop("node", "component"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, segments: int = 3) -> DataFrame:
     """``(doc_id, text)`` -> ``(doc_id, fp, component_id)``, a row per row;
     component_id is the smallest doc_id whose fingerprint is reachable."""
     rows = materialise(fingerprints(docs, shingle), "fingerprints")
     prints = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "prints")
-    groups = components(prints.select("fp"), max_bits, segments)
-    named = prints.join(groups, prints["fp"] == groups["node"], "left").select(
-        "fp", "low", F.coalesce("component", "fp").alias("root"))
+    named = _rooted(prints, max_bits, segments)
     lowest = named.groupBy("root").agg(F.min("low").alias("component_id"))
     named = named.join(lowest, "root").select("fp", "component_id")
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def one_per_group(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
-    """Documents without the near-duplicates: the document whose doc_id names its
-    component stays.  Rows that repeat a doc_id stay or go together; rows with a
-    null doc_id stay."""
-    gone = (near_duplicates(docs, shingle, max_bits).groupBy(F.col("doc_id").alias("__gone_id"))
-            .agg(F.max(F.col("doc_id") == F.col("component_id")).alias("__names"))
-            .filter("not __names").select("__gone_id"))
-    return docs.join(gone, docs["doc_id"] == gone["__gone_id"], "left_anti")
+def _row_key(seed: int):
+    """Half of a 128-bit key of (doc_id, text), nulls told from values."""
+    return F.xxhash64(F.lit(seed), F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text")
+
+
+def one_per_group(docs: DataFrame, shingle: int = 4, max_bits: int = 4, segments: int = 3) -> DataFrame:
+    """Documents without the near-duplicates, decided row by row.  Of the rows of a
+    component that have a doc_id the one with the smallest (doc_id, hash of the row)
+    stays, and of those with a null doc_id, which name no document, the one with the
+    smallest hash.  Of rows that agree in doc_id and text one stays, the one whose
+    other columns have the smallest hash."""
+    names = docs.columns
+    columns = [F.col(f"`{c}`") for c in names]
+    keyed = docs.select("*", _row_key(1).alias("__a"), _row_key(2).alias("__b"))
+    prints = fingerprints(keyed, shingle, ("__a", "__b"))
+    rows = materialise(prints.groupBy("__a", "__b").agg(
+        F.first("doc_id").alias("doc_id"), F.first("fp").alias("fp"), F.count("*").alias("n")), "rows")
+    first = {kind: F.min(F.when(is_kind, F.struct("doc_id", "__a", "__b"))).alias(kind)
+             for kind, is_kind in (("named", F.col("doc_id").isNotNull()), ("unnamed", F.col("doc_id").isNull()))}
+    prints = materialise(rows.groupBy("fp").agg(*first.values()), "prints")
+    best = _rooted(prints, max_bits, segments).groupBy("root").agg(F.min("named").alias("named"),
+                                                                  F.min("unnamed").alias("unnamed"))
+    best = (best.select(F.explode(F.array("named", "unnamed")).alias("row")).filter("row is not null")
+            .select(F.col("row.__a").alias("__first_a"), F.col("row.__b").alias("__first_b")))
+    judged = rows.join(best, (rows["__a"] == best["__first_a"]) & (rows["__b"] == best["__first_b"]), "left").select(
+        F.col("__a").alias("__row_a"), F.col("__b").alias("__row_b"), F.col("__first_a").isNotNull().alias("stays"), "n")
+    judged = materialise(judged.filter("not stays or n > 1"), "judged")   # most rows stay and are single
+
+    def same(right: DataFrame):
+        return (keyed["__a"] == right["__row_a"]) & (keyed["__b"] == right["__row_b"])
+
+    single = keyed.join(judged, same(judged), "left_anti").select(*columns)
+    # written before they are counted together, so that the join can split a hot row
+    repeated = materialise(keyed.join(judged.filter("stays"), same(judged), "left_semi"), "repeated")
+    others = F.xxhash64(F.to_json(F.struct(*[c for c, n in zip(columns, names) if n not in ("doc_id", "text")], F.lit(0))))
+    one = (repeated.groupBy("__a", "__b").agg(F.min_by(F.struct(*columns), others).alias("__row"))
+           .select(*[F.col(f"__row.`{n}`").alias(n) for n in names]))
+    return single.union(one)

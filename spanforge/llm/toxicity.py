@@ -120,10 +120,11 @@ def markers(docs: DataFrame, sample: DataFrame, most: int = 3000, lift: float =
     return np.sort(np.array([r.feature for r in best.select("feature").collect()], dtype=np.int64).view(np.uint64))
 
 
-def votes(docs: DataFrame, known: np.ndarray) -> DataFrame:
+def votes(docs: DataFrame, known: np.ndarray, keep: tuple[str, ...] = ()) -> DataFrame:
     """``(doc_id, hits, v0..)`` per row: the markers found (numbers in ``known``, each
-    once) and the votes (1 toxic, -1 clean, 0 abstains)."""
-    docs = docs.select("doc_id", "text")
+    once) and the votes (1 toxic, -1 clean, 0 abstains).  The columns ``keep`` (longs)
+    go with them."""
+    docs = docs.select("doc_id", "text", *keep)
     shared = docs.sparkSession.sparkContext.broadcast(known)   # bounded by ``most``
     names = _voters()
 
@@ -156,10 +157,11 @@ def votes(docs: DataFrame, known: np.ndarray) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(lo, n),
                      pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(at, pa.int32())),
-                     *[pa.array(c.astype(np.int8)) for c in cast]], names=["doc_id", "hits", *names])
+                     *[pa.array(c.astype(np.int8)) for c in cast], *[c.slice(lo, n) for c in b.columns[2:]]],
+                    names=["doc_id", "hits", *names, *keep])
 
     return map_batches(docs, run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, hits array<int>, "
-                           + ", ".join(f"{v} tinyint" for v in names))
+                           + ", ".join(f"{v} tinyint" for v in names) + "".join(f", {c} long" for c in keep))
 
 
 def _voters() -> list[str]:
@@ -243,16 +245,17 @@ def logistic(row: np.ndarray, col: np.ndarray, target: np.ndarray, size: int, ro
     return w
 
 
-def score(docs: DataFrame, labels: DataFrame, per_class: int = 6000) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, per_class: int = 6000, keep: tuple[str, ...] = ()) -> DataFrame:
     """``(doc_id, text)`` and ``(doc_id, toxic)`` -> ``(doc_id, score)``, a row per row.
 
-    Labels are those to learn from; ``per_class`` bounds the documents fitted.
+    Labels are those to learn from; ``per_class`` bounds the documents fitted.  The
+    columns ``keep`` (longs) go with the score.
     """
     sample = labelled(docs, labels, per_class)
     known = markers(docs, sample)
     if not len(known):
-        return docs.select("doc_id", F.lit(0.0).alias("score"))
-    table = materialise(votes(docs, known), "votes")
+        return docs.select("doc_id", F.lit(0.0).alias("score"), *keep)
+    table = materialise(votes(docs, known, keep), "votes")
     voters = _voters()
     counted = table.groupBy(*voters).count().collect()         # at most 3^voters patterns
     drawn = table.join(F.broadcast(sample), "doc_id").select("toxic", "hits", *voters).toArrow()   # the sample
@@ -268,12 +271,16 @@ def score(docs: DataFrame, labels: DataFrame, per_class: int = 6000) -> DataFram
     weights = logistic(np.repeat(np.arange(len(sizes)), sizes), np.asarray(hits.flatten()), target, len(known))
     each = F.array(*[F.lit(float(w)) for w in weights[:-1]])
     logit = F.aggregate("hits", F.lit(float(weights[-1])), lambda a, i: a + F.get(each, i))
-    return table.select("doc_id", (1 / (1 + F.exp(-logit))).alias("score"))
+    return table.select("doc_id", (1 / (1 + F.exp(-logit))).alias("score"), *keep)
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """``docs`` without those that score at least ``threshold``; rows with a null doc_id
-    stay, rows that repeat a doc_id go together."""
-    gone = (score(docs, labels).filter(F.col("score") >= threshold)
-            .select(F.col("doc_id").alias("__gone_id")).distinct())
-    return docs.join(gone, docs["doc_id"] == gone["__gone_id"], "left_anti")
+    """``docs`` without the rows that score at least ``threshold``, each by its own text,
+    whatever its doc_id; a score depends on the text only, so rows are told apart by a
+    128-bit hash of it."""
+    text = F.coalesce("text", F.lit(""))
+    keyed = docs.select("*", F.xxhash64(F.lit(1), text).alias("__a"), F.xxhash64(F.lit(2), text).alias("__b"))
+    gone = (score(keyed, labels, keep=("__a", "__b")).filter(F.col("score") >= threshold)
+            .select(F.col("__a").alias("__gone_a"), F.col("__b").alias("__gone_b")).distinct())
+    return keyed.join(gone, (keyed["__a"] == gone["__gone_a"]) & (keyed["__b"] == gone["__gone_b"]),
+                      "left_anti").select(*[f"`{c}`" for c in docs.columns])

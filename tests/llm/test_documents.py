@@ -52,6 +52,10 @@ def test_toxicity_learns_and_keeps_odd_rows(spark, words, odd, empty):
     left = toxicity.without_toxic(docs, known)
     assert left.columns == docs.columns
     assert abs(left.count() - 480) <= 20
+    bad, good = (next(t for i, t, _ in rows if i % 5 == r) for r in (0, 1))
+    more = spark.createDataFrame([(None, bad, "x"), (None, good, "x"), (7001, bad, "x"), (7001, good, "x")], docs.schema)
+    by_row = toxicity.without_toxic(docs.union(more), known).filter("doc_id is null or doc_id = 7001")
+    assert sorted((r.doc_id or 0, r.text) for r in by_row.collect()) == [(0, good), (7001, good)]
 
 
 def test_label_model_discounts_copies_of_a_voter():
@@ -471,3 +475,20 @@ def test_simhash_classes(spark, words, odd, empty):
     assert sorted(r.doc_id for r in left.filter("doc_id is not null").collect()) == sorted(
         i for i, p in [(i, p) for (i, _), p in zip(rows, prints)] if i is not None and low[root[p]] == i)
     assert simhash.near_duplicates(empty).count() == 0 and simhash.one_per_group(empty).count() == 0
+
+
+def test_one_row_per_component(spark, words, empty):
+    rnd = random.Random(21)
+    a, b, c, d = (" ".join(rnd.choices(words, k=200)) for _ in range(4))
+    rows = [(1, a, "s")] * 30 + [(2, a, "s"), (3, b, "x"), (3, b, "w"), (3, c, "s"), (None, d, "s"), (None, d, "s"),
+                                 (None, d + " ", "s"), (4, None, "s"), (4, None, "s"), (5, "", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    left = simhash.one_per_group(docs)
+    got = [tuple(r) for r in left.collect()]
+    assert left.schema == docs.schema
+    assert sorted(((i, (t or "").strip()) for i, t, _ in got), key=key) == sorted(
+        [(None, d), (1, a), (3, b), (3, c), (4, "")], key=key)
+    again = simhash.one_per_group(docs.repartition(7)).collect()
+    assert sorted(got, key=key) == sorted(map(tuple, again), key=key)
+    kept = {r.doc_id: r.text for r in substring.without_repeats(left).collect() if r.doc_id == 1}
+    assert kept == {1: a}
