@@ -61,30 +61,54 @@ def _features(data: np.ndarray, off: np.ndarray, lo: int, hi: int) -> tuple[np.n
     return np.concatenate(rows), np.concatenate(hashes), count
 
 
+def _text_hash():
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 def labelled(docs: DataFrame, labels: DataFrame, per_class: int = 6000) -> DataFrame:
-    """``(doc_id, toxic)`` of about ``per_class`` labelled documents of each class at
-    most, drawn by the hash of their id."""
+    """``(h, toxic)``: hashes of about ``per_class`` distinct labelled texts of each
+    class at most, drawn by the hash: copies are drawn together, and once."""
     one = (labels.select("doc_id", "toxic").filter("doc_id is not null and toxic in (0, 1)")
            .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    one = one.join(docs.filter("doc_id is not null").select("doc_id").distinct(), "doc_id", "left_semi")
-    sizes = one.groupBy("toxic").count()                       # two rows
-    draw = F.xxhash64("doc_id").bitwiseAND(F.lit((1 << 40) - 1)) / F.lit(float(1 << 40))
-    return materialise(one.join(F.broadcast(sizes), "toxic").filter(draw * F.col("count") <= per_class)
-                       .select("doc_id", "toxic"), "sample")
+    texts = docs.select("doc_id", _text_hash().alias("h")).join(one, "doc_id").select("h", "toxic").distinct()
+    texts = materialise(texts, "labelled")
+    sizes = texts.groupBy("toxic").count()                     # two rows
+    draw = F.col("h").bitwiseAND(F.lit((1 << 40) - 1)) / F.lit(float(1 << 40))
+    return materialise(texts.join(F.broadcast(sizes), "toxic").filter(draw * F.col("count") <= per_class)
+                       .select("h", "toxic"), "sample")
+
+
+def _bar(ratios: DataFrame, evidence: float, false_share: float) -> float:
+    """The log-likelihood ratio from which at most ``false_share`` of the marked
+    features are expected to be chance finds among all features seen; ``evidence``
+    at most.  ``ratios``: ``(ratio, lifted)`` of every feature.  Benjamini and
+    Hochberg's bound with the chi-squared tail, half of it (toxic side only), over
+    counts by half a unit: the driver gets no more rows than steps up to ``evidence``."""
+    steps = int(2 * evidence)
+    counted = (ratios.groupBy(F.when(F.col("lifted"), F.least(F.floor(F.col("ratio") * 2), F.lit(steps)))
+                              .alias("step")).count().collect())
+    seen = sum(r["count"] for r in counted)
+    above, bar = 0, evidence
+    for step, n in sorted(((r["step"], r["count"]) for r in counted if r["step"] is not None), reverse=True):
+        above += n
+        if seen * math.erfc(math.sqrt(max(step, 0) / 4)) / 2 <= false_share * above:
+            bar = min(bar, step / 2)
+    return bar
 
 
 def markers(docs: DataFrame, sample: DataFrame, most: int = 3000, lift: float = 2.5,
-            evidence: float = 40.0) -> np.ndarray:
+            evidence: float = 40.0, false_share: float = 0.001) -> np.ndarray:
     """Hashes of the features that mark toxic texts, at most ``most``.
 
     A feature counts once per distinct text of the sample; it must be e^lift times as
     frequent in toxic texts as in clean ones, and its log-likelihood ratio against
     being spread evenly must reach ``evidence``, which rare chance finds among millions
-    of features don't.
+    of features don't.  Where that is more than half of what a feature of all toxic and
+    no clean texts of the sample has, this half is enough, but never less than the bar
+    at which chance finds make up ``false_share`` of the features marked.
     """
-    drawn = (docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")   # the sample is bounded
-             .dropDuplicates(["doc_id"]))
-    drawn = drawn.withColumn("h", F.xxhash64("text")).groupBy("h", "toxic").agg(F.first("text").alias("text"))
+    drawn = (docs.select(_text_hash().alias("h"), "text").join(F.broadcast(sample), "h")   # the sample is bounded
+             .groupBy("h", "toxic").agg(F.first("text").alias("text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -104,7 +128,7 @@ def markers(docs: DataFrame, sample: DataFrame, most: int = 3000, lift: float =
                     [pa.array(feature.view(np.int64)), pa.array(bad.astype(np.int64)),
                      pa.array((n - bad).astype(np.int64))], names=["feature", "bad", "good"])
 
-    drawn = materialise(drawn, "drawn")
+    drawn = materialise(drawn, "drawn").select("h", "toxic", "text")
     sizes = {r.toxic: r["count"] for r in drawn.groupBy("toxic").count().collect()}
     bad, good = sizes.get(1, 0), sizes.get(0, 0)
     if not bad or not good:
@@ -113,9 +137,12 @@ def markers(docs: DataFrame, sample: DataFrame, most: int = 3000, lift: float =
     both = F.col("bad") + F.col("good")
     ratio = (F.col("bad") * F.log(F.col("bad") * (bad + good) / (both * bad))
              + F.when(F.col("good") > 0, F.col("good") * F.log(F.col("good") * (bad + good) / (both * good))).otherwise(0.0))
-    best = (map_batches(drawn, run, "feature long, bad long, good long")
-            .groupBy("feature").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-            .filter("bad > 0").filter((log_odds >= lift) & (2 * ratio >= evidence))
+    seen = materialise(map_batches(drawn, run, "feature long, bad long, good long")
+                       .groupBy("feature").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")), "features")
+    lifted = (F.col("bad") > 0) & (log_odds >= lift)
+    bar = max(min(evidence, bad * math.log((bad + good) / bad)),
+              _bar(seen.select(F.when(lifted, 2 * ratio).alias("ratio"), lifted.alias("lifted")), evidence, false_share))
+    best = (seen.filter(lifted).filter(2 * ratio >= bar)
             .orderBy((F.col("bad") * log_odds).desc(), "feature").limit(most))
     return np.sort(np.array([r.feature for r in best.select("feature").collect()], dtype=np.int64).view(np.uint64))
 
@@ -248,17 +275,19 @@ def logistic(row: np.ndarray, col: np.ndarray, target: np.ndarray, size: int, ro
 def score(docs: DataFrame, labels: DataFrame, per_class: int = 6000, keep: tuple[str, ...] = ()) -> DataFrame:
     """``(doc_id, text)`` and ``(doc_id, toxic)`` -> ``(doc_id, score)``, a row per row.
 
-    Labels are those to learn from; ``per_class`` bounds the documents fitted.  The
+    Labels are those to learn from; ``per_class`` bounds the distinct texts fitted.  The
     columns ``keep`` (longs) go with the score.
     """
     sample = labelled(docs, labels, per_class)
     known = markers(docs, sample)
     if not len(known):
         return docs.select("doc_id", F.lit(0.0).alias("score"), *keep)
-    table = materialise(votes(docs, known, keep), "votes")
+    table = materialise(votes(docs.withColumn("__h", _text_hash()), known, ("__h", *keep)), "votes")
     voters = _voters()
     counted = table.groupBy(*voters).count().collect()         # at most 3^voters patterns
-    drawn = table.join(F.broadcast(sample), "doc_id").select("toxic", "hits", *voters).toArrow()   # the sample
+    drawn = (table.join(F.broadcast(sample.select(F.col("h").alias("__sample"), "toxic")), F.col("__h") == F.col("__sample"))
+             .groupBy("__sample", "toxic").agg(*[F.first(c).alias(c) for c in ("hits", *voters)])
+             .orderBy("__sample", "toxic").toArrow())              # the sample, each text once
     votes_of = np.stack([np.asarray(drawn[v]) for v in voters], axis=1).astype(np.int64)
     truth = np.asarray(drawn["toxic"]).astype(np.float64)
     even = np.full((2, len(voters), 3), 1 / 3)

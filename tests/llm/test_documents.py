@@ -58,6 +58,25 @@ def test_toxicity_learns_and_keeps_odd_rows(spark, words, odd, empty):
     assert sorted((r.doc_id or 0, r.text) for r in by_row.collect()) == [(0, good), (7001, good)]
 
 
+def test_few_labels_and_copies_of_labels_yield_markers(spark, words):
+    rnd = random.Random(22)
+    text = lambda *more: " ".join(rnd.choices(words, k=40) + list(more))
+    rows = [(i, text("grumbler") if i < 10 else text()) for i in range(68)]
+    rows += [(100 + i, text("grumbler") if i < 20 else text()) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame([(i, int(i < 10)) for i in range(68)], "doc_id long, toxic int")
+    got = {r.doc_id: r.score for r in toxicity.score(docs, known).collect() if r.doc_id >= 100}
+    assert sum((got[100 + i] >= 0.5) == (i < 20) for i in range(60)) >= 58
+    # 5,000 copies of one toxic text leave the others in the sample, and it counts once
+    copies = spark.range(1000, 6000).select(F.col("id").alias("doc_id"), F.lit(text("copied")).alias("text"))
+    more = known.union(copies.select("doc_id", F.lit(1).alias("toxic")))
+    sample = toxicity.labelled(docs.union(copies), more, per_class=60)
+    assert {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()} == {1: 11, 0: 58}
+    # labels dealt at random mark nothing
+    dealt = spark.createDataFrame([(i, int(rnd.random() < 0.2)) for i in range(10, 68)], "doc_id long, toxic int")
+    assert len(toxicity.markers(docs, toxicity.labelled(docs.filter("doc_id < 68"), dealt))) == 0
+
+
 def test_label_model_discounts_copies_of_a_voter():
     rnd = np.random.default_rng(0)
     y = rnd.random(4000) < 0.2
