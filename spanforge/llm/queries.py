@@ -162,3 +162,81 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import near_duplicates
     found = near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _clustering_sql(k: int = 8, rounds: int = 10) -> str:
+    """Vectors as (row, component, value) rows, centroids as (number, component, value)
+    rows, a pair of steps per round."""
+    steps = [f"""
+e AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('3:' || coalesce(CAST(vec_id AS VARCHAR), '')), embedding) AS r, vec_id,
+         list_transform(embedding, lambda c: CAST(floor(1024 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) = 64
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+v AS MATERIALIZED (SELECT r, unnest(x) AS val, generate_subscripts(x, 1) AS i FROM e),
+c0 AS MATERIALIZED (SELECT r - 1 AS c, i, val FROM v WHERE r <= {k})"""]
+    for n in range(rounds + 1):
+        steps.append(f"""
+a{n} AS MATERIALIZED (
+  SELECT r, c, d FROM (
+    SELECT r, c, sum((v.val - k.val) * (v.val - k.val)) AS d FROM v JOIN c{n} k USING (i) GROUP BY r, c)
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1)""")
+        if n < rounds:
+            steps.append(f"""
+m{n} AS (SELECT c, i, sum(val) AS s, count(*) AS n FROM v JOIN a{n} USING (r) GROUP BY c, i),
+c{n + 1} AS MATERIALIZED (
+  SELECT c, i, CAST(coalesce((s - ((s % n) + n) % n) / n, val) AS BIGINT) AS val
+  FROM c{n} LEFT JOIN (SELECT c, i, CAST(s AS HUGEINT) AS s, n FROM m{n}) USING (c, i))""")
+    return f"""WITH {",".join(steps)},
+h AS (SELECT c, sha256(string_agg(CAST(val AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY c)
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+       CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+       centroid_sha256 FROM a{rounds} JOIN e USING (r) JOIN h USING (c)"""
+
+
+@query("op11_centroids", _clustering_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .centroids import cluster_vectors
+    found = cluster_vectors(_table(spark, sf_dir, "embeddings"), k=8, rounds=10, size=64, scale=1024, seed="3")
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+                        F.sha2("centroid", 256).alias("centroid_sha256"))
+
+
+@query("op12_lm_scoring")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ctw import score
+    found = score(_table(spark, sf_dir, "documents"), _part(5) != 1)
+    return found.select("doc_id", (_part(5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score",
+                        "score")
+
+
+_MIDDLE_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+         sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+w AS (
+  SELECT *, len(u) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(u) + 1) AS one,
+         CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(u) + 1) AS two FROM d),
+c AS (
+  SELECT *, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                      OR CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 >= 100 THEN 'plain'
+                 WHEN CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 50 THEN 'spm' ELSE 'psm' END AS form,
+         array_to_string(u[1:least(one, two)], '') AS p,
+         array_to_string(u[least(one, two) + 1:greatest(one, two)], '') AS m,
+         array_to_string(u[greatest(one, two) + 1:], '') AS s FROM w)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
+FROM c
+"""
+
+
+@query("op13_fill_in_middle", _MIDDLE_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .fim import fill_in_middle, restore
+    made = fill_in_middle(_table(spark, sf_dir, "documents"), unit="line", seed="7", rate=100, spm=50)
+    return restore(made).select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                                F.sha2("output", 256).alias("output_sha256"),
+                                F.sha2("restored", 256).alias("restored_sha256"))

@@ -87,7 +87,7 @@ def test_registered_queries_and_pipeline(spark, sf):
     import __spark_entry__ as entry
     import corpus_pipeline
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted({int(n[2:].split("_")[0]) for n in names}) == list(range(1, 11))
+    assert sorted({int(n[2:].split("_")[0]) for n in names}) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "simhash", "substring", "pii", "packing"]
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     columns = docs.columns
