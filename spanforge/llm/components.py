@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .scratch import materialise
+from .scratch import materialise, release
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -35,9 +35,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
             "node", F.col("component").alias("was"), F.least("low", "hook").alias("now"))
         hooked = materialise(hooked, "hooked")
         jump = hooked.select(F.col("node").alias("now"), F.col("now").alias("next"))
-        labels = materialise(hooked.join(jump, "now", "left").select(
+        old, labels = labels, materialise(hooked.join(jump, "now", "left").select(
             "node", F.least("now", F.coalesce("next", "now")).alias("component"),
             (F.least("now", F.coalesce("next", "now")) != F.col("was")).alias("changed")), "labels")
+        release(old, hooked)
         if labels.filter("changed").limit(1).count() == 0:
+            release(both)
             return labels.select("node", "component")
-        labels = labels.select("node", "component")

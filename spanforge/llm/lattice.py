@@ -135,7 +135,9 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, tables: int = 8, p
     stored = placed.filter("own").select(F.col("node").alias("b"), "cell")
     met = (looked.join(stored, "cell").filter("a != b")
            .select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).distinct())
-    unit = nodes.select("node", "x", "label", F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, c: s + c * c)).alias("norm"))
+    # divided by the largest component, so that no square overflows or vanishes
+    scaled = nodes.select("node", "label", F.transform("x", lambda c: c / F.array_max(F.transform("x", F.abs))).alias("x"))
+    unit = scaled.select("node", "x", "label", F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, c: s + c * c)).alias("norm"))
     left, right = (unit.select(*[F.col(c).alias(f"{c}_{side}") for c in unit.columns]) for side in "ab")
     dot = F.aggregate(F.zip_with("x_a", "x_b", lambda p, q: p * q), F.lit(0.0), lambda s, c: s + c)
     links = materialise(

@@ -3,10 +3,16 @@
 Texts are measured in tokens; one longer than the largest size is cut into pieces of
 that size and a rest.  Pieces are dealt by hash into shards of a bounded number of
 pieces; within a shard they come by falling length (ties by id and piece), and each
-goes into the open bin that it leaves the least room in.  If none fits, a bin is
-opened at the size that costs least per token it can still hold: cost(size) over the
-smaller of the size and the shard's tokens yet to be packed.  At the end every bin is
-downsized to the smallest permitted size that holds its contents.
+goes into the open bin that it leaves the least room in.
+
+If none fits, a bin is opened.  A bin of s tokens costs ``overhead`` + s + s^2 / ``span``:
+every position is computed, and every position attends to the others.  For each size that
+holds the piece, the bin is filled on trial from the pieces that are still to come (the
+longest that fits, again and again), and the size with the least cost per token so
+held is opened.  Long pieces need large bins; short ones open small ones, unless they
+would leave them badly filled.  At the end every bin is downsized to the smallest
+permitted size that holds its contents.  Opening the largest size alone is tried as
+well, and taken for a shard where its bins, downsized, cost less.
 
 A shard leaves a few bins badly filled whatever the corpus is, so shards of constant
 size lose a constant share and memory is bounded by a shard.
@@ -25,8 +31,9 @@ from .scratch import map_batches, materialise
 from .wordarrays import buffer_of, byte_slices, string_column
 
 SIZES = (512, 1024, 2048, 4096, 8192)
-#: what a sequence costs besides its tokens, in tokens
-OVERHEAD = 32
+#: what a sequence costs besides its positions, and the length at which attending to
+#: all positions costs as much as computing them, in tokens
+OVERHEAD, SPAN = 32, 8192
 SHARD = 20_000
 _SLICE = 4 << 20
 
@@ -48,47 +55,86 @@ def token_lengths(docs: DataFrame, tokenizer: str, end_tokens: int = 1) -> DataF
     return map_batches(docs, run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, length long")
 
 
-class Bins:
-    """Open bins by the room they have left."""
+def cost(size: int, overhead: int = OVERHEAD, span: int = SPAN) -> float:
+    """What a bin of this size costs, full or not."""
+    return overhead + size + size * size / span
 
-    def __init__(self, sizes: tuple[int, ...], overhead: int, tokens: int):
-        self.sizes, self.overhead = sorted(sizes), overhead
-        self.left = tokens                       # of the shard, yet to be packed
+
+class Bins:
+    """Bins of one shard, for its piece lengths in falling order."""
+
+    def __init__(self, sizes: tuple[int, ...], lengths: np.ndarray, overhead: int = OVERHEAD, span: int = SPAN,
+                 largest_only: bool = False):
+        self.sizes = sorted(sizes)
+        self.cost = {s: cost(s, overhead, span) for s in self.sizes}
+        self.openable = self.sizes[-1:] if largest_only else self.sizes
+        self.rising = np.ascontiguousarray(-lengths)         # for searches: rises as lengths fall
+        self.total = np.concatenate(([0], np.cumsum(lengths)))
         self.room: dict[int, list[int]] = {}
         self.rooms = 0                           # bit r: some bin has room r
         self.used: list[int] = []
         self.size: list[int] = []
 
-    def put(self, length: int) -> tuple[int, int]:
-        """(bin, place in it) of a piece of at most the largest size."""
+    def filled(self, at: int, room: int) -> int:
+        """Tokens that the pieces from number ``at`` on put into this room, the longest
+        that fits first."""
+        taken, n = 0, len(self.rising)
+        while room > 0:
+            at = max(at, int(np.searchsorted(self.rising, -room)))       # the first piece no longer than the room
+            if at >= n:
+                break
+            end = int(np.searchsorted(self.total, self.total[at] + room, side="right")) - 1
+            held = int(self.total[end] - self.total[at])
+            taken, room, at = taken + held, room - held, end
+        return taken
+
+    def opened(self, number: int, length: int) -> int:
+        """The size to open for piece ``number``: least cost per token it would hold."""
+        return min((s for s in self.openable if s >= length),
+                   key=lambda s: (self.cost[s] / (length + self.filled(number + 1, s - length)), s))
+
+    def put(self, number: int, length: int) -> tuple[int, int]:
+        """(bin, place in it) of the next piece, of at most the largest size."""
         fits = self.rooms >> length
         if fits:
             room = length + (fits & -fits).bit_length() - 1
             held = self.room[room]
-            number = held.pop()
+            bin_ = held.pop()
             if not held:
                 self.rooms &= ~(1 << room)
         else:
-            room = min((s for s in self.sizes if s >= length),
-                       key=lambda s: ((s + self.overhead) / min(s, max(length, self.left)), s))
-            number = len(self.used)
+            room, bin_ = self.opened(number, length), len(self.used)
             self.used.append(0)
             self.size.append(room)
-        at = self.used[number]
-        self.used[number] += length
-        self.left -= length
+        at = self.used[bin_]
+        self.used[bin_] += length
         if room > length:
-            self.room.setdefault(room - length, []).append(number)
+            self.room.setdefault(room - length, []).append(bin_)
             self.rooms |= 1 << (room - length)
-        return number, at
+        return bin_, at
 
     def downsized(self) -> np.ndarray:
         """Final size of each bin."""
         sizes = np.array(self.sizes)
         return sizes[np.searchsorted(sizes, self.used)]
 
+    def paid(self) -> float:
+        """Cost of all bins after downsizing."""
+        return sum(self.cost[s] for s in self.downsized().tolist())
+
+
+def best_fit(sizes: tuple[int, ...], lengths: np.ndarray, overhead: int, span: int) -> tuple[Bins, list[tuple[int, int]]]:
+    """Bins of falling lengths, and (bin, place) per piece: the sizes opened by their
+    cost, or the largest alone where that turns out cheaper."""
+    tried = []
+    for largest_only in (False, True):
+        bins = Bins(sizes, lengths, overhead, span, largest_only)
+        tried.append((bins, [bins.put(i, n) for i, n in enumerate(lengths.tolist())]))
+    return min(tried, key=lambda t: t[0].paid())
+
 
-def pack(lengths: DataFrame, sizes: tuple[int, ...] = SIZES, overhead: int = OVERHEAD, shard: int = SHARD) -> DataFrame:
+def pack(lengths: DataFrame, sizes: tuple[int, ...] = SIZES, overhead: int = OVERHEAD, span: int = SPAN,
+         shard: int = SHARD) -> DataFrame:
     """``(doc_id, length)`` -> ``(doc_id, piece, start, length, bin, capacity, place)``.
 
     One row per piece: tokens [start, start + length) of the document lie at ``place``
@@ -98,16 +144,17 @@ def pack(lengths: DataFrame, sizes: tuple[int, ...] = SIZES, overhead: int = OVE
     an empty result.
     """
     largest = max(sizes)
-    rows = materialise(lengths.select("doc_id", "length"), "lengths")
+    # numbered rows: neither a repeated nor a null doc_id makes a shard larger
+    rows = materialise(lengths.select("doc_id", "length", F.monotonically_increasing_id().alias("row")), "lengths")
     pieces = (F.ceil(F.col("length") / largest)).cast("long")
     total = rows.agg(F.sum(F.greatest(pieces, F.lit(1)))).first()[0] or 0
     shards = max(1, -(-int(total) // shard))
     cut = (rows.filter("length > 0")
-           .select("doc_id", "length", F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1)).alias("piece"))
-           .select("doc_id", "piece", (F.col("piece") * largest).alias("start"),
+           .select("doc_id", "row", "length", F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1)).alias("piece"))
+           .select("doc_id", "row", "piece", (F.col("piece") * largest).alias("start"),
                    F.least(F.lit(largest), F.col("length") - F.col("piece") * largest).alias("length")))
-    dealt = (cut.repartition(shards, F.xxhash64("doc_id", "piece"))
-             .sortWithinPartitions(F.desc("length"), "doc_id", "piece"))
+    dealt = (cut.repartition(shards, F.xxhash64("row", "piece"))
+             .sortWithinPartitions(F.desc("length"), "doc_id", "piece", "row").drop("row"))
     doc_type = lengths.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,8 +164,7 @@ def pack(lengths: DataFrame, sizes: tuple[int, ...] = SIZES, overhead: int = OVE
             return
         table = pa.Table.from_batches(held).combine_chunks()
         size = table["length"].to_numpy()
-        bins = Bins(sizes, overhead, int(size.sum()))
-        put = [bins.put(n) for n in size.tolist()]
+        bins, put = best_fit(sizes, size, overhead, span)
         number = np.array([p[0] for p in put], dtype=np.int64)
         names = number + (np.int64(TaskContext.get().partitionId()) << np.int64(32))
         out = pa.Table.from_arrays(

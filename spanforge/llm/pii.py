@@ -14,8 +14,9 @@ is sensitive wherever it occurs: generalised to ``<WORD>``, or removed from
 
 Words are runs of ASCII letters and digits and of other characters beyond ASCII,
 A-Z lowered, told apart by 64-bit hashes.  Their counts over the corpus are taken for
-words that may be candidates only; a bitmap of fixed size (``_BITS`` bits) goes to
-the tasks to pick them, the exact choice is a join.
+words that may be candidates only; a Bloom filter sized by their number, up to a byte
+bound, goes to the tasks to pick them, the exact choice is a join.  Rows are told apart
+by a 128-bit hash of (doc_id, text); exactly repeated rows have the same spans.
 
 Defined results: a null or empty text has no spans; rows that repeat a doc_id keep
 their own spans; null doc_ids stay; other columns pass through; an empty table gives
@@ -32,11 +33,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .scratch import map_batches, materialise
+from .bloom import bloom, join_few
+from .scratch import map_batches, materialise, release, row_key
 from .wordarrays import BYTE_VALUE, Words, buffer_of, byte_slices, mix64, string_column
 
 KINDS = ("email", "ip", "card", "phone")
-_BITS = 1 << 20
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -96,10 +97,6 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def _tag():
-    return F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit(0xFFFFFFFF)).cast("long")
-
-
 def _words(data: np.ndarray, off: np.ndarray, lo: int, hi: int) -> tuple[Words, np.ndarray]:
     words = Words(data, off, lo, hi, _BETWEEN)
     return words, words.hashes(_VALUE)
@@ -127,55 +124,40 @@ def _near(text: str, spans: list[tuple[int, int, int]], reach: int) -> list[dict
 
 
 def find_base(docs: DataFrame, reach: int = 6) -> DataFrame:
-    """``(doc_id, tag, base, near)`` per row: its base spans and the words around them."""
-    docs = docs.select("doc_id", _tag().alias("tag"), "text")
+    """``(doc_id, a, b, base, near)`` per row: its key, its base spans and the words
+    around them."""
+    docs = docs.select("doc_id", row_key(1).alias("a"), row_key(2).alias("b"), "text")
     span = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
     word = pa.list_(pa.struct([("term", pa.int64()), ("entity", pa.int64()), ("context", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             base, near = [], []
-            for t in b.column(2):
+            for t in b.column(3):
                 text = t.as_py() or ""
                 spans = base_spans(text)
                 base.append([{"start": s, "kind": k, "end": e} for s, k, e in spans])
                 near.append(_near(text, spans, reach) if spans else [])
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(base, span), pa.array(near, word)],
-                names=["doc_id", "tag", "base", "near"])
+                [*b.columns[:3], pa.array(base, span), pa.array(near, word)],
+                names=["doc_id", "a", "b", "base", "near"])
 
-    return map_batches(docs, run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, tag long, "
+    return map_batches(docs, run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, a long, b long, "
                                 "base array<struct<start:int,kind:int,end:int>>, "
                                 "near array<struct<term:long,entity:long,context:long>>")
 
 
-def _bitmap(terms: DataFrame) -> np.ndarray:
-    """Bits of the terms' hashes, modulo ``_BITS``: at most ``_BITS`` / 64 rows."""
-    bit = F.col("term").bitwiseAND(F.lit(_BITS - 1))
-    rows = (terms.select(F.shiftright(bit, 6).alias("cell"),
-                         F.expr(f"shiftleft(1L, cast((term & {_BITS - 1}) % 64 as int))").alias("bit"))
-            .groupBy("cell").agg(F.bit_or("bit").alias("bits")).collect())
-    cells = np.zeros(_BITS // 64, dtype=np.int64)
-    for r in rows:
-        cells[r.cell] = r.bits
-    return np.unpackbits(cells.view(np.uint8), bitorder="little").astype(bool)
-
-
-def _marked(hashes: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
-    return np.flatnonzero(bitmap[(hashes & np.uint64(_BITS - 1)).astype(np.int64)])
-
-
 def _corpus_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """``(term, n)``: occurrences in the whole corpus of the given terms, and under a
     null term the number of all words."""
-    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(terms))
+    shared = docs.sparkSession.sparkContext.broadcast(bloom(terms.select("term")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, off = buffer_of(string_column(b.column(0)))
             for lo, hi in byte_slices(off):
                 _, h = _words(data, off, lo, hi)
-                term, n = np.unique(h[_marked(h, shared.value)], return_counts=True)
+                term, n = np.unique(h[shared.value.may_hold(h)], return_counts=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([*term.view(np.int64).tolist(), None], pa.int64()), pa.array([*n.tolist(), len(h)], pa.int64())],
                     names=["term", "n"])
@@ -209,16 +191,17 @@ def sensitive_terms(docs: DataFrame, found: DataFrame, probability: float = 0.5,
 
 
 def find_terms(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """``(doc_id, tag, terms)``: spans of sensitive words, for rows that have some."""
-    docs = docs.select("doc_id", _tag().alias("tag"), "text")
-    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(terms))
+    """``(__a, __b, __terms)``: spans of sensitive words, for rows that have some; rows
+    by their key."""
+    docs = docs.select(row_key(1).alias("a"), row_key(2).alias("b"), "text")
+    shared = docs.sparkSession.sparkContext.broadcast(bloom(terms.select("term")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, off = buffer_of(string_column(b.column(2)))
             for lo, hi in byte_slices(off):
                 words, h = _words(data, off, lo, hi)
-                at = _marked(h, shared.value)
+                at = np.flatnonzero(shared.value.may_hold(h))
                 # code points: bytes that don't go on with a character
                 points = np.concatenate(([0], np.cumsum((words.data & 0xC0) != 0x80)))
                 row = np.searchsorted(words.row, at, side="right") - 1
@@ -227,18 +210,12 @@ def find_terms(docs: DataFrame, terms: DataFrame) -> DataFrame:
                     [b.column(0).take(pa.array(row + lo)), b.column(1).take(pa.array(row + lo)),
                      pa.array(h[at].view(np.int64)), pa.array((points[words.start[at]] - first).astype(np.int32)),
                      pa.array((points[words.end[at]] - first).astype(np.int32))],
-                    names=["doc_id", "tag", "term", "start", "end"])
-
-    hits = map_batches(docs, run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, tag long, term long, "
-                                "start int, end int")
-    return (hits.join(terms, "term").groupBy("doc_id", "tag")
-            .agg(F.collect_set(F.struct("start", "end", "remove")).alias("terms")))   # bounded by the row's words
-
+                    names=["a", "b", "term", "start", "end"])
 
-def _join(left: DataFrame, right: DataFrame) -> DataFrame:
-    right = right.select(F.col("doc_id").alias("__id"), F.col("tag").alias("__tag"), F.col("terms").alias("__terms"))
-    return left.join(right, left["doc_id"].eqNullSafe(right["__id"]) & (left["tag"] == right["__tag"]), "left").drop(
-        "__id", "__tag")
+    hits = map_batches(docs, run, "a long, b long, term long, start int, end int")
+    found = (hits.join(terms, "term").groupBy(F.col("a").alias("__a"), F.col("b").alias("__b"))
+             .agg(F.collect_set(F.struct("start", "end", "remove")).alias("__terms")))   # bounded by the row's words
+    return materialise(found, "found")
 
 
 def spans(docs: DataFrame, reach: int = 6, **thresholds) -> DataFrame:
@@ -247,7 +224,7 @@ def spans(docs: DataFrame, reach: int = 6, **thresholds) -> DataFrame:
     touch no base span; code points, end exclusive."""
     found = materialise(find_base(docs, reach), "base")
     terms = sensitive_terms(docs, found, **thresholds)
-    both = _join(found.select("doc_id", "tag", "base"), find_terms(docs, terms))
+    both = join_few(found.select("doc_id", "a", "b", "base"), find_terms(docs, terms), [("a", "__a"), ("b", "__b")])
     free = F.filter(F.coalesce("__terms", F.array().cast("array<struct<start:int,end:int,remove:boolean>>")),
                     lambda t: ~F.exists("base", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
     return both.select("doc_id", "base", F.array_sort(free).alias("terms"))
@@ -261,11 +238,10 @@ def sanitise(docs: DataFrame, reach: int = 6, **thresholds) -> DataFrame:
     terms = sensitive_terms(docs, found, **thresholds)
     names = docs.columns
     at = names.index("text")
-    keyed = docs.select("*", _tag().alias("__own"))
-    right = find_terms(docs, terms).select(F.col("doc_id").alias("__id"), F.col("tag").alias("__tag"),
-                                           F.col("terms").alias("__terms"))
-    joined = keyed.join(right, keyed["doc_id"].eqNullSafe(right["__id"]) & (keyed["__own"] == right["__tag"]),
-                        "left").select(*[keyed[f"`{c}`"] for c in names], "__terms")
+    release(found)
+    keyed = docs.select("*", row_key(1).alias("__own_a"), row_key(2).alias("__own_b"))
+    joined = join_few(keyed, find_terms(docs, terms), [("__own_a", "__a"), ("__own_b", "__b")]).select(
+        *[f"`{c}`" for c in names], "__terms")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

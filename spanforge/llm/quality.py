@@ -1,9 +1,13 @@
 """Quality rules under weak supervision, in DataFrame functions only (operator 9).
 
-Each rule votes good, bad or abstains.  Expectation-maximisation over the votes of
-all documents estimates how often each rule is right when it votes; the posterior probability of good decides, instead of all rules having
-to pass.  The data enter EM as counts of distinct vote patterns (at most
-3^rules), so an iteration costs the same for any corpus.
+Each rule looks at evidence of its own and votes good, votes bad or abstains (the grey
+zone in between).  Expectation-maximisation over the votes of all documents estimates,
+for good and for bad documents, how often each rule votes each way; the posterior
+probability of good decides, instead of all rules having to pass.  A rule that hardly
+ever votes bad keeps the rates it starts from (one part in a hundred of the documents
+says so); a rule is held to call at most ``FALSE_ALARM`` of the good documents bad, so
+a clear defect counts even if no other rule sees it.  The data enter EM as counts of
+distinct vote patterns (at most 3^rules), so an iteration costs the same for any corpus.
 
 Repeated 3-word windows are found inside the row: windows are hashed, sorted with
 their position, and equal neighbours mark theirs as repeated, so no word leaves
@@ -25,20 +29,22 @@ from spanforge.functions.arrays import pin
 from .scratch import materialise
 
 #: rule -> (votes good if, votes bad if), over the columns of ``features``; neither:
-#: abstains.  Each looks for one defect and abstains where it finds nothing; the last
-#: two vote good, and abstain where anything is odd.
+#: abstains
 RULES = {
-    "length": ("false", "n_words < 50"),
-    "repeated_words": ("false", "100 * n_repeat_words > 45 * n_words"),
-    "word_size": ("false", "word_chars < 2 * n_words or word_chars > 15 * n_words"),
-    "symbols": ("n_symbols = 0 and n_words >= 100", "10 * n_symbols > n_words"),
-    "duplicate_lines": ("false", "n_lines >= 4 and 10 * n_dup_lines > 4 * n_lines"),
-    "line_length": ("false", "n_words < 2 * n_lines"),
-    "digits": ("false", "4 * n_digits > word_chars"),
-    "distinct_words": ("false", "40 * n_distinct < n_words"),
-    "prose": ("n_words >= 50 and 50 * n_symbols <= n_words and word_chars between 3 * n_words and 9 * n_words", "false"),
-    "fresh": ("n_words >= 50 and 50 * n_symbols <= n_words and 100 * n_repeat_words <= 30 * n_words", "false"),
+    "length": ("n_words >= 80", "n_words < 50"),
+    "repeated_words": ("100 * n_repeat_words <= 30 * n_words", "100 * n_repeat_words > 45 * n_words"),
+    "word_size": ("word_chars between 3 * n_words and 10 * n_words", "word_chars < 2 * n_words or word_chars > 15 * n_words"),
+    "symbols": ("50 * n_symbols <= n_words", "10 * n_symbols > n_words"),
+    "duplicate_lines": ("20 * n_dup_lines <= n_lines", "n_lines >= 4 and 10 * n_dup_lines > 4 * n_lines"),
+    "line_length": ("n_words >= 4 * n_lines", "n_words < 2 * n_lines"),
+    "digits": ("10 * n_digits <= word_chars", "4 * n_digits > word_chars"),
+    "distinct_words": ("n_distinct * n_distinct >= 4 * n_words", "n_distinct * n_distinct < 2 * n_words"),
 }
+#: votes of good and of bad documents that EM starts from: bad, abstains, good
+START = ((0.001, 0.099, 0.9), (0.25, 0.15, 0.6))
+FALSE_ALARM = 0.001
+#: share of good documents, before their votes are known
+GOOD = 0.9
 _SPACE = r"[\\x20\\x09-\\x0D]"
 
 
@@ -72,31 +78,43 @@ def _vote(good: str, bad: str) -> Column:
     return F.expr(f"case when {bad} then -1 when {good} then 1 else 0 end")
 
 
-def label_model(patterns: list[tuple[tuple[int, ...], int]], iterations: int = 30) -> list[float]:
-    """EM over ``(votes, count)``: how often each rule is right when it votes.
+class LabelModel:
+    """EM over ``(votes, count)`` patterns: per class and rule how often it votes bad,
+    abstains and votes good.  Votes are independent given the class, and nine of ten
+    documents are good beforehand."""
 
-    Votes are independent given the document's quality, an abstention says nothing,
-    and good and bad are equally likely beforehand.  Starts from 0.9, which also
-    holds a rule that hardly ever votes (as one in a thousand of the documents), and
-    a rule is held to be better than a coin."""
-    total = sum(n for _, n in patterns)
-    right = [0.9] * (len(patterns[0][0]) if patterns else 0)
-    held = max(1.0, total / 1000)
-    for _ in range(iterations):
-        agree, voted = [0.9 * held] * len(right), [held] * len(right)
-        for votes, n in patterns:
-            good = posterior(votes, right)
-            for j, v in enumerate(votes):
-                if v:
-                    voted[j] += n
-                    agree[j] += n * (good if v > 0 else 1 - good)
-        right = [min(0.999, max(0.55, a / n)) for a, n in zip(agree, voted)]
-    return right
+    def __init__(self, patterns: list[tuple[tuple[int, ...], int]], rules: int, iterations: int = 50):
+        total = sum(n for _, n in patterns)
+        held = max(1.0, total / 100)
+        self.rates = [[list(START[c]) for _ in range(rules)] for c in (0, 1)]
+        for _ in range(iterations if patterns else 0):
+            votes_of = [[[held * p for p in START[c]] for _ in range(rules)] for c in (0, 1)]
+            for votes, n in patterns:
+                p = self.posterior(votes)
+                for j, v in enumerate(votes):
+                    votes_of[0][j][v + 1] += n * p
+                    votes_of[1][j][v + 1] += n * (1 - p)
+            self.rates = [[_shares(v, FALSE_ALARM if c == 0 else 1.0) for v in votes_of[c]] for c in (0, 1)]
 
+    def weight(self, rule: int, vote: int) -> float:
+        """ln of how much likelier the vote is in a good document."""
+        return math.log(self.rates[0][rule][vote + 1] / self.rates[1][rule][vote + 1])
 
-def posterior(votes: tuple[int, ...], right: list[float]) -> float:
-    """Probability that a document with these votes is good."""
-    return 1 / (1 + math.exp(-sum(v * math.log(r / (1 - r)) for v, r in zip(votes, right))))
+    def prior(self) -> float:
+        return math.log(GOOD / (1 - GOOD))
+
+    def posterior(self, votes: tuple[int, ...]) -> float:
+        """Probability that a document with these votes is good."""
+        logit = self.prior() + sum(self.weight(j, v) for j, v in enumerate(votes))
+        return 1 / (1 + math.exp(-max(-500.0, min(500.0, logit))))
+
+
+def _shares(counts: list[float], most_bad: float) -> list[float]:
+    """Shares of the three votes, that of bad being at most ``most_bad``."""
+    total = sum(counts)
+    bad = min(counts[0] / total, most_bad)
+    rest = (1 - bad) / (counts[1] + counts[2])
+    return [bad, counts[1] * rest, counts[2] * rest]
 
 
 def judge(docs: DataFrame, rules: dict[str, tuple[str, str]] | None = None) -> DataFrame:
@@ -106,10 +124,11 @@ def judge(docs: DataFrame, rules: dict[str, tuple[str, str]] | None = None) -> D
     votes = [f"v_{r}" for r in rules]
     table = materialise(features(docs).withColumns({v: _vote(*rules[r]) for v, r in zip(votes, rules)}), "quality")
     counted = table.groupBy(*votes).count().collect()          # at most 3^rules patterns
-    right = label_model(sorted((tuple(r[:-1]), r["count"]) for r in counted))
-    logit = F.lit(0.0)
-    for v, r in zip(votes, right):
-        logit = logit + F.col(v) * F.lit(math.log(r / (1 - r)))
+    model = LabelModel(sorted((tuple(r[:-1]), r["count"]) for r in counted), len(rules))
+    logit = F.lit(model.prior())
+    for j, v in enumerate(votes):
+        by_vote = F.array(*[F.lit(model.weight(j, x)) for x in (-1, 0, 1)])
+        logit = logit + F.get(by_vote, F.col(v) + 1)
     failed = F.expr("n_words < 50 or 100 * n_repeat_words > 50 * n_words")
     judged = table.withColumns({"base_failed": failed, "p_good": 1 / (1 + F.exp(-logit))})
     return judged.withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= 0.5)).drop(*votes)

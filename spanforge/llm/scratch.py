@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from spanforge.session import ensure_checkpoint_dir
 
@@ -26,13 +26,22 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.scratch_path = path
+    return table
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a scratch folder that no later plan reads."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+def release(*tables: DataFrame) -> None:
+    """Delete scratch tables that no later plan reads."""
+    for t in tables:
+        spark = t.sparkSession
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(t.scratch_path)
+        hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def row_key(seed: int) -> Column:
+    """Half of a 128-bit key of (doc_id, text), nulls told from values."""
+    return F.xxhash64(F.lit(seed), F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text")
 
 
 def map_batches(df: DataFrame, run, schema) -> DataFrame:

@@ -28,8 +28,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from .bloom import bloom, may_match
 from .components import connected_components
-from .scratch import map_batches, materialise
+from .scratch import map_batches, materialise, release, row_key
 
 _digest = xxhash.xxh64_digest
 _BLOCK = 1 << 18
@@ -187,41 +188,37 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, segmen
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def _row_key(seed: int):
-    """Half of a 128-bit key of (doc_id, text), nulls told from values."""
-    return F.xxhash64(F.lit(seed), F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text")
-
-
 def one_per_group(docs: DataFrame, shingle: int = 4, max_bits: int = 4, segments: int = 3) -> DataFrame:
-    """Documents without the near-duplicates, decided row by row.  Of the rows of a
-    component that have a doc_id the one with the smallest (doc_id, hash of the row)
-    stays, and of those with a null doc_id, which name no document, the one with the
-    smallest hash.  Of rows that agree in doc_id and text one stays, the one whose
-    other columns have the smallest hash."""
+    """Documents without the near-duplicates, decided row by row: of the rows of a
+    component the one with the smallest (doc_id, hash of the row) stays, a null doc_id
+    last.  Of rows that agree in doc_id and text one stays, the one whose other columns
+    have the smallest hash.
+
+    The decision is made on keys.  Only rows that may be judged (a Bloom filter of the
+    judged keys tells) meet it in a join; the texts of the others, which are most, are
+    not moved."""
     names = docs.columns
     columns = [F.col(f"`{c}`") for c in names]
-    keyed = docs.select("*", _row_key(1).alias("__a"), _row_key(2).alias("__b"))
+    keyed = docs.select("*", row_key(1).alias("__a"), row_key(2).alias("__b"))
     prints = fingerprints(keyed, shingle, ("__a", "__b"))
     rows = materialise(prints.groupBy("__a", "__b").agg(
         F.first("doc_id").alias("doc_id"), F.first("fp").alias("fp"), F.count("*").alias("n")), "rows")
-    first = {kind: F.min(F.when(is_kind, F.struct("doc_id", "__a", "__b"))).alias(kind)
-             for kind, is_kind in (("named", F.col("doc_id").isNotNull()), ("unnamed", F.col("doc_id").isNull()))}
-    prints = materialise(rows.groupBy("fp").agg(*first.values()), "prints")
-    best = _rooted(prints, max_bits, segments).groupBy("root").agg(F.min("named").alias("named"),
-                                                                  F.min("unnamed").alias("unnamed"))
-    best = (best.select(F.explode(F.array("named", "unnamed")).alias("row")).filter("row is not null")
-            .select(F.col("row.__a").alias("__first_a"), F.col("row.__b").alias("__first_b")))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "__a", "__b")).alias("first")
+    prints = materialise(rows.groupBy("fp").agg(first), "prints")
+    best = (_rooted(prints, max_bits, segments).groupBy("root").agg(F.min("first").alias("first"))
+            .select(F.col("first.__a").alias("__first_a"), F.col("first.__b").alias("__first_b")))
     judged = rows.join(best, (rows["__a"] == best["__first_a"]) & (rows["__b"] == best["__first_b"]), "left").select(
-        F.col("__a").alias("__row_a"), F.col("__b").alias("__row_b"), F.col("__first_a").isNotNull().alias("stays"), "n")
-    judged = materialise(judged.filter("not stays or n > 1"), "judged")   # most rows stay and are single
-
-    def same(right: DataFrame):
-        return (keyed["__a"] == right["__row_a"]) & (keyed["__b"] == right["__row_b"])
-
-    single = keyed.join(judged, same(judged), "left_anti").select(*columns)
+        F.col("__a").alias("__row_a"), F.col("__b").alias("__row_b"), F.col("__first_a").isNotNull().alias("__stays"), "n")
+    judged = materialise(judged.filter("not __stays or n > 1").drop("n"), "judged")   # most rows stay and are single
+    release(rows, prints)
+    found = bloom(judged.select("__row_a"))
     # written before they are counted together, so that the join can split a hot row
-    repeated = materialise(keyed.join(judged.filter("stays"), same(judged), "left_semi"), "repeated")
+    asked = may_match(keyed, "__a", found)
+    asked = materialise(asked.join(judged, (asked["__a"] == judged["__row_a"]) & (asked["__b"] == judged["__row_b"]),
+                                   "left").filter("__stays is null or __stays").drop("__row_a", "__row_b"), "asked")
+    single = may_match(keyed, "__a", found, keep=False).select(*columns).union(
+        asked.filter("__stays is null").select(*columns))
     others = F.xxhash64(F.to_json(F.struct(*[c for c, n in zip(columns, names) if n not in ("doc_id", "text")], F.lit(0))))
-    one = (repeated.groupBy("__a", "__b").agg(F.min_by(F.struct(*columns), others).alias("__row"))
+    one = (asked.filter("__stays").groupBy("__a", "__b").agg(F.min_by(F.struct(*columns), others).alias("__row"))
            .select(*[F.col(f"__row.`{n}`").alias(n) for n in names]))
     return single.union(one)

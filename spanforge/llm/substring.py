@@ -19,7 +19,7 @@ aggregate that combines map-side, or an equi-join against one row per key, which
 adaptive execution can split when a key is hot.
 
 Defined results: null and empty texts have no words; a text shorter than the
-window keeps all its words; rows that repeat a doc_id count as further places
+window keeps all its words; rows that repeat a doc_id, or have none, count as further places
 (an exactly repeated row repeats all its windows); a null doc_id is a key like
 any other; other columns pass through untouched; an empty table gives an empty
 result.
@@ -34,19 +34,16 @@ import pyarrow as pa
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, functions as F
 
-from .scratch import map_batches, materialise
+from .bloom import bloom, join_few
+from .scratch import map_batches, materialise, release, row_key
 from .wordarrays import Words, buffer_of, byte_slices, mix64, string_column, window_hashes
 
 _ROWS = 1 << 15   # rows of a result batch, and of a step of the window minimum
 
 
-def _text_key():
-    """Tells rows apart that share a doc_id (null: empty)."""
-    return F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit(0xFFFFFFFF)).cast("long")
-
-
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id"), _text_key().alias("tag"), "text")
+    """Rows by a 128-bit hash of (doc_id, text): equal keys are exactly repeated rows."""
+    return docs.select(row_key(1).alias("a"), row_key(2).alias("b"), "text")
 
 
 class _Windows:
@@ -91,9 +88,10 @@ def _batches(columns: list, names: list[str]) -> Iterator[pa.RecordBatch]:
         yield table.slice(i, _ROWS)
 
 
-def _anchors(docs: DataFrame, length: int, anchor: int) -> DataFrame:
+def _anchors(docs: DataFrame, length: int, anchor: int, only=None) -> DataFrame:
     """A row per anchor occurrence: its hash, its context, and its run of windows
-    (first start as word number in the text, count)."""
+    (first start as word number in the text, count).  ``only``: a broadcast Bloom
+    filter of the anchors asked for."""
     docs = _keyed(docs)
 
     def run(batches):
@@ -104,28 +102,29 @@ def _anchors(docs: DataFrame, length: int, anchor: int) -> DataFrame:
                 w = _Windows(words, length, anchor)
                 if not len(w.run):
                     continue
-                at, row = w.start[w.run], w.row[w.run]
-                yield from _batches(
-                    [b.column(0).take(pa.array(row + lo)), b.column(1).take(pa.array(row + lo)),
-                     _signed(w.gram[w.anchor[w.run]]), _signed(w.contexts()),
-                     pa.array(at - words.row[row]), pa.array(w.count)],
-                    ["doc_id", "tag", "anchor", "context", "start", "windows"])
+                at, row, grams = w.start[w.run], w.row[w.run], w.gram[w.anchor[w.run]]
+                found = [pa.array(row + lo), _signed(grams), _signed(w.contexts()),
+                         pa.array((at - words.row[row]).astype(np.int32)), pa.array(w.count.astype(np.int32))]
+                if only is not None:
+                    asked = pa.array(only.value.may_hold(grams))
+                    found = [c.filter(asked) for c in found]
+                yield from _batches([b.column(0).take(found[0]), b.column(1).take(found[0]), *found[1:]],
+                                    ["a", "b", "anchor", "context", "start", "windows"])
 
-    return map_batches(docs, run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, tag long, "
-                                "anchor long, context long, start long, windows long")
+    return map_batches(docs, run, "a long, b long, anchor long, context long, start int, windows int")
 
 
-def _same_doc(left: DataFrame, right: DataFrame):
-    return left["doc_id"].eqNullSafe(right["__doc_id"]) & (left["tag"] == right["__tag"])
+def _same_row(left: DataFrame, right: DataFrame):
+    return (left["a"] == right["__a"]) & (left["b"] == right["__b"])
 
 
 def _extended(docs: DataFrame, asked: DataFrame, length: int) -> DataFrame:
-    """The single windows of the asked runs: ``(doc_id, tag, start, h1, h2, single)``."""
-    runs = asked.groupBy(F.col("doc_id").alias("__doc_id"), F.col("tag").alias("__tag")).agg(
-        F.collect_list(F.struct("start", "windows", "single")).alias("runs"))  # bounded by the text's own anchors
+    """The single windows of the asked runs: ``(a, b, start, h1, h2, single)``."""
+    runs = asked.groupBy(F.col("a").alias("__a"), F.col("b").alias("__b")).agg(
+        F.collect_set(F.struct("start", "windows", "single")).alias("runs"))  # bounded by the text's own anchors
     keyed = _keyed(docs)
-    joined = keyed.join(runs, _same_doc(keyed, runs)).select(
-        "doc_id", "tag", "text", F.col("runs.start").alias("starts"), F.col("runs.windows").alias("counts"),
+    joined = keyed.join(runs, _same_row(keyed, runs)).select(
+        "a", "b", "text", F.col("runs.start").alias("starts"), F.col("runs.windows").alias("counts"),
         F.col("runs.single").alias("singles"))
 
     def run(batches):
@@ -150,33 +149,36 @@ def _extended(docs: DataFrame, asked: DataFrame, length: int) -> DataFrame:
                 rows, starts = np.concatenate(rows), np.concatenate(starts)
                 at = words.row[rows - lo] + starts
                 yield from _batches(
-                    [b.column(0).take(pa.array(rows)), b.column(1).take(pa.array(rows)), pa.array(starts),
-                     _signed(one[at]), _signed(two[at]), pa.array(np.concatenate(singles))],
-                    ["doc_id", "tag", "start", "h1", "h2", "single"])
+                    [b.column(0).take(pa.array(rows)), b.column(1).take(pa.array(rows)),
+                     pa.array(starts.astype(np.int32)), _signed(one[at]), _signed(two[at]),
+                     pa.array(np.concatenate(singles))],
+                    ["a", "b", "start", "h1", "h2", "single"])
 
-    return map_batches(joined, run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, tag long, start long, "
-                                  "h1 long, h2 long, single long")
+    return map_batches(joined, run, "a long, b long, start int, h1 long, h2 long, single long")
 
 
 def repeated_runs(docs: DataFrame, length: int = 35, anchor: int = 10) -> DataFrame:
-    """``(doc_id, tag, start, windows)``: runs of repeated windows."""
+    """``(a, b, start, windows)``: runs of repeated windows, rows by their key."""
     spark = docs.sparkSession
     # 1. seeds: anchors that occur at least twice, and whether all their contexts agree
     seeds = (_anchors(docs, length, anchor).groupBy(F.col("anchor").alias("__anchor"))
              .agg(F.count("*").alias("n"), F.min("context").alias("lo"), F.max("context").alias("hi"))
              .filter("n > 1").select("__anchor", (F.col("lo") != F.col("hi")).alias("differ")))
     seeds = materialise(seeds, "anchors")     # a table, so that the join below can split a hot anchor
-    found = _anchors(docs, length, anchor)
+    # most anchors occur once: a filter spares the join their rows
+    only = spark.sparkContext.broadcast(bloom(seeds.select("__anchor")))
+    found = _anchors(docs, length, anchor, only)
     found = materialise(found.join(seeds, found["anchor"] == seeds["__anchor"]).drop("__anchor"), "seeds")
-    whole = found.filter("not differ").select("doc_id", "tag", "start", "windows")
+    release(seeds)
+    whole = found.filter("not differ").select("a", "b", "start", "windows")
     # 2. anchors whose contexts differ: equal contexts match in full
     differ = found.filter("differ")
-    first = F.min(F.struct("doc_id", "tag", "start", "windows")).alias("at")
+    first = F.min(F.struct("a", "b", "start", "windows")).alias("at")
     classes = materialise(differ.groupBy("anchor", "context").agg(F.count("*").alias("n"), first), "contexts")
     groups = classes.filter("n > 1").select(F.col("anchor").alias("__anchor"), F.col("context").alias("__context"))
     groups_whole = (differ.join(groups, (differ["anchor"] == groups["__anchor"])
                                 & (differ["context"] == groups["__context"]))
-                    .select("doc_id", "tag", "start", "windows"))
+                    .select("a", "b", "start", "windows"))
     # 3. extend one occurrence of each context, window by window
     asked = classes.select("at.*", (F.col("n") == 1).cast("long").alias("single"))
     windows = materialise(_extended(docs, asked, length), "windows")
@@ -185,8 +187,10 @@ def repeated_runs(docs: DataFrame, length: int = 35, anchor: int = 10) -> DataFr
     twice = materialise(twice, "repeated")
     own = windows.filter("single = 1")
     part = (own.join(twice, (own["h1"] == twice["__h1"]) & (own["h2"] == twice["__h2"]))
-            .select("doc_id", "tag", "start", F.lit(1).cast("long").alias("windows")))
-    return whole.union(groups_whole).union(part)
+            .select("a", "b", "start", F.lit(1).alias("windows")))
+    runs = materialise(whole.union(groups_whole).union(part).distinct(), "runs")   # a repeated row has its runs once
+    release(found, classes, windows, twice)
+    return runs
 
 
 def _removed(n_words: int, runs, length: int) -> np.ndarray:
@@ -200,12 +204,12 @@ def _removed(n_words: int, runs, length: int) -> np.ndarray:
 
 def _with_runs(docs: DataFrame, length: int, anchor: int) -> DataFrame:
     """``docs`` with ``__runs``, its repeated windows (null: none); a row per row."""
-    runs = (repeated_runs(docs, length, anchor)
-            .groupBy(F.col("doc_id").alias("__doc_id"), F.col("tag").alias("__tag"))
-            .agg(F.collect_list(F.struct("start", "windows")).alias("__runs")))  # bounded by the text's own windows
-    keyed = docs.withColumn("__own", _text_key())
-    return (keyed.join(runs, keyed["doc_id"].eqNullSafe(runs["__doc_id"]) & (keyed["__own"] == runs["__tag"]), "left")
-            .drop("__doc_id", "__tag", "__own"))
+    runs = (repeated_runs(docs, length, anchor).groupBy("a", "b")
+            .agg(F.collect_set(F.struct("start", "windows")).alias("__runs"))       # bounded by the text's own windows
+            .withColumnsRenamed({"a": "__a", "b": "__b"}))
+    runs = materialise(runs, "texts")        # a table, so that the join can split a hot row
+    keyed = docs.withColumns({"__own_a": row_key(1), "__own_b": row_key(2)})
+    return join_few(keyed, runs, [("__own_a", "__a"), ("__own_b", "__b")]).drop("__a", "__b", "__own_a", "__own_b")
 
 
 def _runs_of(column: pa.Array, row: int) -> list[tuple[int, int]]:

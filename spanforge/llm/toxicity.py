@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .scratch import map_batches, materialise
+from .scratch import map_batches, materialise, release
 from .wordarrays import BYTE_VALUE, Words, buffer_of, byte_slices, mix64, powers, string_column
 
 LEXICONS = 8
@@ -96,9 +96,9 @@ def _bar(ratios: DataFrame, evidence: float, false_share: float) -> float:
     return bar
 
 
-def markers(docs: DataFrame, sample: DataFrame, most: int = 3000, lift: float = 2.5,
-            evidence: float = 40.0, false_share: float = 0.001) -> np.ndarray:
-    """Hashes of the features that mark toxic texts, at most ``most``.
+def markers(docs: DataFrame, sample: DataFrame, lift: float = 2.5, evidence: float = 40.0,
+            false_share: float = 0.001) -> np.ndarray:
+    """Hashes of the features that mark toxic texts; the sample bounds their number.
 
     A feature counts once per distinct text of the sample; it must be e^lift times as
     frequent in toxic texts as in clean ones, and its log-likelihood ratio against
@@ -142,9 +142,28 @@ def markers(docs: DataFrame, sample: DataFrame, most: int = 3000, lift: float =
     lifted = (F.col("bad") > 0) & (log_odds >= lift)
     bar = max(min(evidence, bad * math.log((bad + good) / bad)),
               _bar(seen.select(F.when(lifted, 2 * ratio).alias("ratio"), lifted.alias("lifted")), evidence, false_share))
-    best = (seen.filter(lifted).filter(2 * ratio >= bar)
-            .orderBy((F.col("bad") * log_odds).desc(), "feature").limit(most))
-    return np.sort(np.array([r.feature for r in best.select("feature").collect()], dtype=np.int64).view(np.uint64))
+    best = seen.filter(lifted).filter(2 * ratio >= bar).select("feature").toArrow()     # features of a bounded sample
+    return np.sort(np.asarray(best["feature"]).astype(np.int64).view(np.uint64))
+
+
+def _maybe(keys: np.ndarray) -> np.ndarray:
+    """Low bits of the markers, which most features of a text don't have."""
+    maybe = np.zeros(_BITS, dtype=bool)
+    maybe[(keys & np.uint64(_BITS - 1)).astype(np.int64)] = True
+    return maybe
+
+
+def _found(data: np.ndarray, off: np.ndarray, lo: int, hi: int, keys: np.ndarray,
+           maybe: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, marker) of each marker found, once per row, and the words per row."""
+    row, h, n_words = _features(data, off, lo, hi)
+    may = np.flatnonzero(maybe[(h & np.uint64(_BITS - 1)).astype(np.int64)])
+    if not len(may):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), n_words
+    at = np.minimum(np.searchsorted(keys, h[may]), len(keys) - 1)
+    real = keys[at] == h[may]
+    row, at = np.divmod(np.unique(row[may[real]] * len(keys) + at[real]), len(keys))
+    return row, at, n_words
 
 
 def votes(docs: DataFrame, known: np.ndarray, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -152,25 +171,16 @@ def votes(docs: DataFrame, known: np.ndarray, keep: tuple[str, ...] = ()) -> Dat
     once) and the votes (1 toxic, -1 clean, 0 abstains).  The columns ``keep`` (longs)
     go with them."""
     docs = docs.select("doc_id", "text", *keep)
-    shared = docs.sparkSession.sparkContext.broadcast(known)   # bounded by ``most``
+    shared = docs.sparkSession.sparkContext.broadcast(known)   # bounded by the sample
     names = _voters()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = shared.value
-        maybe = np.zeros(_BITS, dtype=bool)
-        maybe[(keys & np.uint64(_BITS - 1)).astype(np.int64)] = True
+        maybe = _maybe(keys)
         for b in batches:
             data, off = buffer_of(string_column(b.column(1)))
             for lo, hi in byte_slices(off):
-                row, h, n_words = _features(data, off, lo, hi)
-                may = np.flatnonzero(maybe[(h & np.uint64(_BITS - 1)).astype(np.int64)])
-                if len(may):
-                    at = np.minimum(np.searchsorted(keys, h[may]), len(keys) - 1)
-                    real = keys[at] == h[may]
-                    found = np.unique(row[may[real]] * len(keys) + at[real])
-                    row, at = np.divmod(found, len(keys))
-                else:
-                    row = at = np.zeros(0, np.int64)
+                row, at, n_words = _found(data, off, lo, hi, keys, maybe)
                 n = hi - lo
                 hits = np.bincount(row, minlength=n)
                 ends = np.concatenate(([0], np.cumsum(hits)))
@@ -272,22 +282,21 @@ def logistic(row: np.ndarray, col: np.ndarray, target: np.ndarray, size: int, ro
     return w
 
 
-def score(docs: DataFrame, labels: DataFrame, per_class: int = 6000, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``(doc_id, text)`` and ``(doc_id, toxic)`` -> ``(doc_id, score)``, a row per row.
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = 6000) -> tuple[np.ndarray, np.ndarray]:
+    """(markers, their weights and the bias) of the classifier; no markers, none.
 
-    Labels are those to learn from; ``per_class`` bounds the distinct texts fitted.  The
-    columns ``keep`` (longs) go with the score.
-    """
+    Labels are those to learn from; ``per_class`` bounds the distinct texts fitted."""
     sample = labelled(docs, labels, per_class)
     known = markers(docs, sample)
     if not len(known):
-        return docs.select("doc_id", F.lit(0.0).alias("score"), *keep)
-    table = materialise(votes(docs.withColumn("__h", _text_hash()), known, ("__h", *keep)), "votes")
+        return known, np.zeros(1)
+    table = materialise(votes(docs.withColumn("__h", _text_hash()), known, ("__h",)), "votes")
     voters = _voters()
     counted = table.groupBy(*voters).count().collect()         # at most 3^voters patterns
     drawn = (table.join(F.broadcast(sample.select(F.col("h").alias("__sample"), "toxic")), F.col("__h") == F.col("__sample"))
              .groupBy("__sample", "toxic").agg(*[F.first(c).alias(c) for c in ("hits", *voters)])
              .orderBy("__sample", "toxic").toArrow())              # the sample, each text once
+    release(table)
     votes_of = np.stack([np.asarray(drawn[v]) for v in voters], axis=1).astype(np.int64)
     truth = np.asarray(drawn["toxic"]).astype(np.float64)
     even = np.full((2, len(voters), 3), 1 / 3)
@@ -297,19 +306,45 @@ def score(docs: DataFrame, labels: DataFrame, per_class: int = 6000, keep: tuple
     target = model.posterior(votes_of)
     hits = drawn["hits"].combine_chunks()
     sizes = np.diff(np.asarray(hits.offsets))
-    weights = logistic(np.repeat(np.arange(len(sizes)), sizes), np.asarray(hits.flatten()), target, len(known))
-    each = F.array(*[F.lit(float(w)) for w in weights[:-1]])
-    logit = F.aggregate("hits", F.lit(float(weights[-1])), lambda a, i: a + F.get(each, i))
-    return table.select("doc_id", (1 / (1 + F.exp(-logit))).alias("score"), *keep)
+    return known, logistic(np.repeat(np.arange(len(sizes)), sizes), np.asarray(hits.flatten()), target, len(known))
+
+
+def _scores(model: tuple[np.ndarray, np.ndarray], texts: pa.Array, maybe: np.ndarray) -> np.ndarray:
+    """Score of each text; one without markers has the bias alone."""
+    known, weights = model
+    if not len(known):
+        return np.zeros(len(texts))
+    data, off = buffer_of(string_column(texts))
+    logit = np.full(len(texts), weights[-1])
+    for lo, hi in byte_slices(off):
+        row, at, _ = _found(data, off, lo, hi, known, maybe)
+        logit[lo:hi] += np.bincount(row, weights=weights[at], minlength=hi - lo)
+    return 1 / (1 + np.exp(-np.clip(logit, -700, 700)))
+
+
+def score(docs: DataFrame, labels: DataFrame, per_class: int = 6000) -> DataFrame:
+    """``(doc_id, text)`` and ``(doc_id, toxic)`` -> ``(doc_id, score)``, a row per row."""
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, per_class))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        maybe = _maybe(shared.value[0])
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(_scores(shared.value, b.column(1), maybe))],
+                                             names=["doc_id", "score"])
+
+    return map_batches(docs.select("doc_id", "text"), run,
+                       f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double")
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """``docs`` without the rows that score at least ``threshold``, each by its own text,
-    whatever its doc_id; a score depends on the text only, so rows are told apart by a
-    128-bit hash of it."""
-    text = F.coalesce("text", F.lit(""))
-    keyed = docs.select("*", F.xxhash64(F.lit(1), text).alias("__a"), F.xxhash64(F.lit(2), text).alias("__b"))
-    gone = (score(keyed, labels, keep=("__a", "__b")).filter(F.col("score") >= threshold)
-            .select(F.col("__a").alias("__gone_a"), F.col("__b").alias("__gone_b")).distinct())
-    return keyed.join(gone, (keyed["__a"] == gone["__gone_a"]) & (keyed["__b"] == gone["__gone_b"]),
-                      "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    whatever its doc_id.  A score depends on the row alone, so no text is moved."""
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        maybe = _maybe(shared.value[0])
+        for b in batches:
+            yield b.filter(pa.array(_scores(shared.value, b.column(at), maybe) < threshold))
+
+    return map_batches(docs, run, docs.schema)

@@ -192,20 +192,29 @@ def test_encode_and_decode_frames(odd, empty):
 
 
 # operator 4 -----------------------------------------------------------------
-def brute_pack(lengths, sizes, overhead):
-    """Best fit by falling length over a plain list of bins."""
-    bins, left = [], sum(lengths)
-    for n in sorted(lengths, reverse=True):
+def brute_pack(lengths, sizes, overhead, span, largest_only=False):
+    """Best fit by falling length over a plain list of bins: (cost, final sizes)."""
+    price = lambda s: overhead + s + s * s / span
+    bins, lengths = [], sorted(lengths, reverse=True)
+
+    def held(rest, room):
+        taken = 0
+        for n in rest:
+            if n <= room - taken:
+                taken += n
+        return taken
+    for i, n in enumerate(lengths):
         fits = [b for b in bins if b[0] >= n]
         if fits:
             best = min(fits, key=lambda b: b[0])
         else:
-            best = [min((s for s in sizes if s >= n), key=lambda s: ((s + overhead) / min(s, max(n, left)), s)), 0]
+            may = [s for s in sizes if s >= n and (s == max(sizes) or not largest_only)]
+            best = [min(may, key=lambda s: (price(s) / (n + held(lengths[i + 1:], s - n)), s)), 0]
             bins.append(best)
         best[0] -= n
         best[1] += n
-        left -= n
-    return sorted(min(s for s in sizes if s >= used) for _, used in bins)
+    final = sorted(min(s for s in sizes if s >= used) for _, used in bins)
+    return sum(map(price, final)), final
 
 
 def test_packing_is_best_fit_and_whole(spark):
@@ -224,12 +233,37 @@ def test_packing_is_best_fit_and_whole(spark):
         g = g.sort_values("place")
         assert (g.place.to_numpy() == np.concatenate(([0], np.cumsum(g.length)[:-1]))).all()
     pieces = [min(256, n - i) for _, n in rows if n for i in range(0, n, 256)]
-    assert sorted(caps.cap) == brute_pack(pieces, sizes, 8)
+    assert sorted(caps.cap) == min(brute_pack(pieces, sizes, 8, packing.SPAN), brute_pack(pieces, sizes, 8, packing.SPAN, True))[1]
     many = packing.pack(frame, sizes, overhead=8, shard=50).toPandas()
     assert sorted(many["length"]) == sorted(got["length"])
     assert packing.pack(frame.limit(0)).count() == 0
 
 
+def test_sizes_are_opened_by_cost():
+    rnd = np.random.default_rng(5)
+    for i in range(60):
+        lengths = -np.sort(-rnd.choice([rnd.integers(1, 60, 80), rnd.integers(1, 513, 80), rnd.geometric(0.02, 80).clip(1, 512)][i % 3],
+                                       rnd.integers(1, 80)))
+        sizes, span = (64, 128, 256, 512), (64, 512, 10 ** 9)[i % 3 if i < 30 else 0]
+        bins, put = packing.best_fit(sizes, lengths, 8, span)
+        one, other = brute_pack(lengths.tolist(), sizes, 8, span), brute_pack(lengths.tolist(), sizes, 8, span, True)
+        assert bins.paid() == pytest.approx(min(one[0], other[0]))
+        single = packing.Bins(sizes, lengths, 8, span)
+        for n, at in enumerate(lengths.tolist()):
+            single.put(n, at)
+        assert sorted(single.downsized().tolist()) == one[1]
+    # short pieces open small bins where attention costs, long ones large bins
+    lengths = np.array([500] * 5 + [60] * 200 + [4] * 50)
+    bins, _ = packing.best_fit((64, 128, 256, 512), lengths, 8, 64)
+    assert {64, 512} <= set(bins.size)
+
+
+def test_a_null_id_is_no_hot_key(spark):
+    rows = spark.range(6000).select(F.when(F.col("id") % 2 == 0, F.col("id")).alias("doc_id"), (F.col("id") % 50 + 1).alias("length"))
+    got = packing.pack(rows, (64, 128), shard=1000).groupBy(F.shiftright("bin", 32)).count().collect()
+    assert len(got) == 6 and max(r["count"] for r in got) < 1400
+
+
 def test_token_lengths_of_whole_texts(odd, empty):
     t = Tokenizer.from_file(BPE)
     want = sorted(len(t.encode(r.text or "", add_special_tokens=False).ids) + 1 for r in odd.collect())
@@ -421,10 +455,97 @@ def test_quality_counts_and_verdicts(spark, words, odd, empty):
     assert quality.judge(empty).count() == 0
 
 
-def test_label_model_trusts_rules_that_agree():
-    right = quality.label_model([((1, 1, 1), 90), ((-1, -1, 1), 8), ((-1, 1, 1), 2), ((0, 0, -1), 5)])
-    assert right[1] > right[2] >= 0.55
-    assert quality.posterior((0, 0, 0), right) == 0.5
+def brute_em(rows, iterations=50):
+    """The label model row by row: posteriors of the rows."""
+    votes = np.array(rows)
+    start = np.array(quality.START)
+    held, share = max(1.0, len(rows) / 100), quality.GOOD
+    rates = np.repeat(start[:, None, :], votes.shape[1], axis=1)
+    seen = np.stack([(votes == v) for v in (-1, 0, 1)], axis=2).astype(float)
+
+    def posterior():
+        like = [np.log(w) + (seen * np.log(rates[c])).sum(axis=(1, 2)) for c, w in ((0, share), (1, 1 - share))]
+        return 1 / (1 + np.exp(like[1] - like[0]))
+    for _ in range(iterations):
+        p = posterior()
+        for c, w in ((0, p), (1, 1 - p)):
+            n = (seen * w[:, None, None]).sum(axis=0) + held * start[c]
+            rates[c] = n / n.sum(axis=1, keepdims=True)
+            if c == 0:
+                bad = np.minimum(rates[c, :, 0], quality.FALSE_ALARM)
+                rates[c, :, 1:] *= ((1 - bad) / rates[c, :, 1:].sum(axis=1))[:, None]
+                rates[c, :, 0] = bad
+    return posterior()
+
+
+def test_label_model_against_em_by_rows():
+    rnd = random.Random(3)
+    rows = [tuple(rnd.choices((-1, 0, 1), (8, 1, 6) if i % 7 == 0 else (1, 5, 200))[0] for _ in range(5)) for i in range(700)]
+    model = quality.LabelModel(sorted(Counter(rows).items()), 5)
+    want = brute_em(rows)
+    assert all(model.posterior(r) == pytest.approx(w, abs=1e-9) for r, w in zip(rows, want))
+    assert quality.LabelModel([], 0).posterior(()) == pytest.approx(0.9)
+
+
+def test_each_single_defect_is_rejected(spark, words):
+    rnd = random.Random(12)
+    plain = lambda n=150: rnd.choices(words, k=n)
+    line = lambda ws, k=15: "\n".join(" ".join(ws[i:i + k]) for i in range(0, len(ws), k))
+    defect = {
+        "length": lambda: " ".join(plain(30)),
+        "repeated_words": lambda: " ".join(plain(80) + plain(9) * 16),
+        "word_size": lambda: line([w + "a" * 18 for w in plain()]),
+        "symbols": lambda: line([w + rnd.choice("#*$") if rnd.random() < 0.3 else w for w in plain()]),
+        "duplicate_lines": lambda: line(plain(60), 2) + "\n" + "\n".join(["one two"] * 28),
+        "line_length": lambda: line(plain(), 1),
+        "digits": lambda: line([str(rnd.randrange(10 ** 6)) if rnd.random() < 0.6 else w for w in plain()]),
+    }
+    rows = [(i, line(plain(rnd.randint(90, 300)))) for i in range(600)]
+    for k, (name, make) in enumerate(defect.items()):
+        rows += [(1000 * (k + 1) + i, make()) for i in range(12)]
+    out = quality.judge(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id // 1000 for r in out if r.p_good >= 0.5 and r.doc_id >= 1000} == set()
+    assert sum(r.kept for r in out if r.doc_id < 1000) >= 595
+
+
+def test_substring_rows_with_equal_or_no_ids(spark, words):
+    rnd = random.Random(30)
+    text = lambda n: " ".join(rnd.choices(words, k=n))
+    shared = text(60)
+    rows = [(None, f"{text(40)} v{n} {shared} v{n} {text(n)}") for n in range(30)] + [(1, f"{shared} u{n} {text(n)}") for n in range(30)]
+    rows += [(None, text(n)) for n in range(30, 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = substring.without_repeats(docs).collect()
+    assert len(got) == len(rows) and all(shared not in r.text for r in got)
+    assert sorted(len(r.text.split()) for r in got) == sorted(len(t.split()) - (60 if shared in t else 0) for _, t in rows)
+
+
+def test_substring_of_thousands_of_copies(spark, words):
+    import time
+    rnd = random.Random(31)
+    text = " ".join(rnd.choices(words, k=400))
+    docs = spark.range(5000).select(F.lit(7).cast("long").alias("doc_id"), F.lit(text).alias("text"))
+    other = spark.createDataFrame([(8, " ".join(rnd.choices(words, k=300)))], "doc_id long, text string")
+    start = time.time()
+    got = {(r.doc_id, r.n_removed): r["count"] for r in
+           substring.repeats(docs.union(other)).groupBy("doc_id", "n_removed").count().collect()}
+    assert got == {(7, 400): 5000, (8, 0): 1}
+    assert time.time() - start < 25
+
+
+def test_bloom_filter_misses_no_key(spark):
+    from spanforge.llm.bloom import bloom, join_few, may_match
+    keys = spark.range(0, 30000, 3).select(F.xxhash64("id").alias("key"))
+    found = bloom(keys)
+    asked = spark.range(30000).select("id", F.xxhash64("id").alias("own"))
+    kept = may_match(asked, "own", found)
+    assert kept.filter("id % 3 = 0").count() == 10000 and kept.count() < 10400
+    assert may_match(asked, "own", found, keep=False).count() == 30000 - kept.count()
+    got = join_few(asked, keys.withColumn("more", F.lit("x")), [("own", "key")])
+    assert got.count() == 30000 and got.filter("more is not null").count() == 10000
+    small = bloom(keys, max_bytes=256)                     # full, but still no key is missed
+    assert may_match(asked, "own", small).filter("id % 3 = 0").count() == 10000
+    assert may_match(asked, "own", bloom(keys.limit(0))).count() == 0
 
 
 # operator 10 ----------------------------------------------------------------
