@@ -1,4 +1,4 @@
-"""Bloom filters over 64-bit keys: a bounded broadcast that spares a shuffle most of its rows.
+"""Filters over 64-bit hashes: a bounded broadcast that spares a shuffle most of its rows.
 
 A filter never misses a key, so what it lets through is decided by an exact join
 afterwards.  Its size follows the number of keys up to ``max_bytes``; with more keys it
@@ -11,9 +11,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from .scratch import map_batches
+from .scratch import map_batches, materialise
 from .wordarrays import mix64
 
 _HASHES = 4
@@ -70,23 +70,35 @@ def bloom(keys: DataFrame, bits_per_key: int = 12, max_bytes: int = 8 << 20) ->
     return Bloom(cells.view(np.uint8))
 
 
-def may_match(df: DataFrame, column: str, found: Bloom, keep: bool = True) -> DataFrame:
-    """Rows whose long ``column`` the filter may hold (``keep`` False: the others)."""
-    shared = df.sparkSession.sparkContext.broadcast(found)
-    at = df.columns.index(column)
+def cells_of(keys: DataFrame, bits_per_key: int = 32, most: int = 1 << 20) -> tuple[DataFrame, int]:
+    """(``__cell``, ``__bits``) rows of a bitmap of the low bits of a one-column DataFrame
+    of hashes, and the number of cells: ``most`` at most, whatever the number of keys."""
+    wanted = min(most, max(64, keys.count() * bits_per_key // 64))
+    size = 1 << (wanted - 1).bit_length()
+    key = F.col(keys.columns[0])
+    rows = (keys.select(_cell(key, size).alias("__cell"), F.expr(f"shiftleft(1L, cast(`{keys.columns[0]}` & 63 as int))").alias("bit"))
+            .groupBy("__cell").agg(F.bit_or("bit").alias("__bits")))
+    return materialise(rows, "cells"), size
+
+
+def _cell(key: Column, size: int) -> Column:
+    return F.shiftrightunsigned(key, 6).bitwiseAND(F.lit(size - 1).cast("long"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield b.filter(pa.array(shared.value.may_hold(b.column(at).to_numpy()) == keep))
 
-    return map_batches(df, run, df.schema)
+def may_match(df: DataFrame, column: str, cells: tuple[DataFrame, int], keep: bool = True) -> DataFrame:
+    """Rows whose hash ``column`` the bitmap may hold (``keep`` False: the others), by
+    a join with its cells, whose number is bounded; no row goes through Python."""
+    rows, size = cells
+    joined = df.join(F.broadcast(rows), _cell(df[column], size) == rows["__cell"], "left")
+    may = F.coalesce(F.expr(f"getbit(__bits, cast(`{column}` & 63 as int))") == 1, F.lit(False))
+    return joined.filter(may if keep else ~may).drop("__cell", "__bits")
 
 
 def join_few(left: DataFrame, right: DataFrame, on: list[tuple[str, str]]) -> DataFrame:
     """Left join with a right side that few rows of the left one match: only those that
-    may match by their first key, a long, are moved.  No column name may be shared."""
-    found = bloom(right.select(on[0][1]))
-    may, rest = (may_match(left, on[0][0], found, keep) for keep in (True, False))
+    may match by their first key, a hash, are moved.  No column name may be shared."""
+    cells = cells_of(right.select(on[0][1]))
+    may, rest = (may_match(left, on[0][0], cells, keep) for keep in (True, False))
     same = F.lit(True)
     for l, r in on:
         same = same & (may[l] == right[r])

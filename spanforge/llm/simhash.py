@@ -28,7 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .bloom import bloom, may_match
+from .bloom import cells_of, may_match
 from .components import connected_components
 from .scratch import map_batches, materialise, release, row_key
 
@@ -194,8 +194,8 @@ def one_per_group(docs: DataFrame, shingle: int = 4, max_bits: int = 4, segments
     last.  Of rows that agree in doc_id and text one stays, the one whose other columns
     have the smallest hash.
 
-    The decision is made on keys.  Only rows that may be judged (a Bloom filter of the
-    judged keys tells) meet it in a join; the texts of the others, which are most, are
+    The decision is made on keys.  Only rows that may be judged (a bitmap of the judged
+    keys tells) meet it in a join; the texts of the others, which are most, are
     not moved."""
     names = docs.columns
     columns = [F.col(f"`{c}`") for c in names]
@@ -211,7 +211,7 @@ def one_per_group(docs: DataFrame, shingle: int = 4, max_bits: int = 4, segments
         F.col("__a").alias("__row_a"), F.col("__b").alias("__row_b"), F.col("__first_a").isNotNull().alias("__stays"), "n")
     judged = materialise(judged.filter("not __stays or n > 1").drop("n"), "judged")   # most rows stay and are single
     release(rows, prints)
-    found = bloom(judged.select("__row_a"))
+    found = cells_of(judged.select("__row_a"))
     # written before they are counted together, so that the join can split a hot row
     asked = may_match(keyed, "__a", found)
     asked = materialise(asked.join(judged, (asked["__a"] == judged["__row_a"]) & (asked["__b"] == judged["__row_b"]),

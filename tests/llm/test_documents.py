@@ -533,19 +533,22 @@ def test_substring_of_thousands_of_copies(spark, words):
     assert time.time() - start < 25
 
 
-def test_bloom_filter_misses_no_key(spark):
-    from spanforge.llm.bloom import bloom, join_few, may_match
+def test_filters_miss_no_key(spark):
+    from spanforge.llm.bloom import bloom, cells_of, join_few, may_match
     keys = spark.range(0, 30000, 3).select(F.xxhash64("id").alias("key"))
-    found = bloom(keys)
+    own = np.array([r.key for r in keys.collect()])
+    other = np.random.default_rng(1).integers(-(1 << 62), 1 << 62, 20000)
+    for found, most in ((bloom(keys), 400), (bloom(keys, max_bytes=256), 20000), (bloom(keys.limit(0)), 0)):
+        assert found.may_hold(own).all() or most == 0
+        assert found.may_hold(other).sum() <= most
     asked = spark.range(30000).select("id", F.xxhash64("id").alias("own"))
-    kept = may_match(asked, "own", found)
-    assert kept.filter("id % 3 = 0").count() == 10000 and kept.count() < 10400
-    assert may_match(asked, "own", found, keep=False).count() == 30000 - kept.count()
+    for cells, most in ((cells_of(keys), 11000), (cells_of(keys, most=4), 30000)):
+        kept = may_match(asked, "own", cells)
+        assert kept.filter("id % 3 = 0").count() == 10000 and kept.count() <= most
+        assert may_match(asked, "own", cells, keep=False).count() == 30000 - kept.count()
+    assert may_match(asked, "own", cells_of(keys.limit(0))).count() == 0
     got = join_few(asked, keys.withColumn("more", F.lit("x")), [("own", "key")])
     assert got.count() == 30000 and got.filter("more is not null").count() == 10000
-    small = bloom(keys, max_bytes=256)                     # full, but still no key is missed
-    assert may_match(asked, "own", small).filter("id % 3 = 0").count() == 10000
-    assert may_match(asked, "own", bloom(keys.limit(0))).count() == 0
 
 
 # operator 10 ----------------------------------------------------------------
