@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spanforge.functions.arrays import count_leading, let
 from spanforge.functions.labels import class_id
 from spanforge.functions.text import TAG
 
@@ -38,7 +39,7 @@ def find_spans_next(sentence: Column, entities: Column, low: Column | None = Non
 
     Fold state: map term -> next search position (1-based) and the spans so
     far; entity lists are short (a handful), so the fold is cheap."""
-    low = F.lower(sentence)
+    low = F.lower(sentence) if low is None else low
     init = F.struct(
         F.create_map().cast("map<string,int>").alias("pos"),
         F.array().cast(f"array<{_SPAN_T}>").alias("spans"))
@@ -104,47 +105,38 @@ def span_text(sentence: Column, start: Column, stop: Column) -> Column:
 
 def align_expand(tokens: Column, start: Column, stop: Column) -> Column:
     """Character span -> token span covering every partially covered token.
-    Returns struct(first_tok, end_tok) or NULL when no token overlaps."""
-    cov = F.filter(tokens, lambda t: (t["stop"] > start) & (t["start"] < stop))
-    return F.when(F.size(cov) > 0, F.struct(
-        F.get(cov, 0)["i"].alias("first_tok"),
-        (F.get(cov, F.size(cov) - 1)["i"] + 1).alias("end_tok"),
-        F.get(cov, 0)["start"].alias("start"),
-        F.get(cov, F.size(cov) - 1)["stop"].alias("stop")))
+    Returns struct(first_tok, end_tok) or NULL when no token overlaps.
+
+    Tokens lie side by side in text order, so both borders are found by binary search:
+    O(log n) looks into the token array for a span."""
+    first = count_leading(tokens, lambda t: t["stop"] <= start)
+    end = count_leading(tokens, lambda t: t["start"] < stop)
+    return let(F.struct(first.alias("f"), end.alias("e")), lambda r: F.when(r["f"] < r["e"], F.struct(
+        r["f"].alias("first_tok"), r["e"].alias("end_tok"), F.get(tokens, r["f"])["start"].alias("start"),
+        F.get(tokens, r["e"] - 1)["stop"].alias("stop"))))
 
 
 def filter_spans(spans: Column) -> Column:
     """Drop overlapping token spans — longest first, ties to the earliest start,
     then to the span that comes first in the input; greedy; result ordered by start.
 
-    ``spans``: array<struct<first_tok,end_tok,...>> with end exclusive.  Spans that
-    don't overlap, the usual case, take one sort and one pass."""
-    number = F.transform(spans, lambda s, i: F.struct(s["first_tok"].alias("first_tok"), i.alias("i"), s.alias("s")))
-    by_start = F.transform(F.array_sort(number, lambda a, b: F.when(a["first_tok"] < b["first_tok"], -1)
-                                        .when(a["first_tok"] > b["first_tok"], 1).otherwise(a["i"] - b["i"])),
-                           lambda x: x["s"])
-    n = F.size(spans)
-    apart = F.forall(F.zip_with(F.slice(by_start, 1, F.greatest(n - 1, F.lit(0))),
-                                F.slice(by_start, 2, F.greatest(n - 1, F.lit(0))),
-                                lambda a, b: a["end_tok"] <= b["first_tok"]), lambda x: x)
-
-    def cmp(a, b):
-        la = a["s"]["end_tok"] - a["first_tok"]
-        lb = b["s"]["end_tok"] - b["first_tok"]
-        return (F.when(la > lb, -1).when(la < lb, 1)
-                .when(a["first_tok"] < b["first_tok"], -1).when(a["first_tok"] > b["first_tok"], 1)
-                .otherwise(a["i"] - b["i"]))
-
-    ordered = F.transform(F.array_sort(number, cmp), lambda x: x["s"])
-    empty = F.slice(ordered, 1, 0)
-
-    def keep(acc, s):
-        clash = F.exists(acc, lambda a: (a["first_tok"] < s["end_tok"]) & (s["first_tok"] < a["end_tok"]))
-        return F.when(clash, acc).otherwise(F.concat(acc, F.array(s)))
-
-    kept = F.array_sort(F.aggregate(ordered, empty, keep), lambda a, b: F.when(a["first_tok"] < b["first_tok"], -1)
-                        .when(a["first_tok"] > b["first_tok"], 1).otherwise(0))
-    return F.when(apart, by_start).otherwise(kept)
+    ``spans``: array<struct<first_tok,end_tok,...>> with end exclusive.  The kept spans are a disjoint set sorted by
+    start, so the only one that may clash is found by binary search, and a span is put
+    in its place: O(m log m) comparisons whatever overlaps."""
+    def ordered(a):
+        return F.sort_array(F.transform(a, lambda s, i: F.struct(
+            (s["first_tok"] - s["end_tok"]).alias("neg_len"), s["first_tok"].alias("first_tok"), i.alias("i"), s.alias("s"))))
+
+    def keep(kept, x):
+        s = x["s"]
+
+        def put(before):
+            clash = (before > 0) & (F.get(kept, before - 1)["end_tok"] > s["first_tok"])
+            return F.when(clash, kept).otherwise(F.concat(
+                F.slice(kept, F.lit(1), before), F.array(s), F.slice(kept, before + 1, F.size(kept))))
+        return let(count_leading(kept, lambda k: k["first_tok"] < s["end_tok"]), put)
+
+    return let(spans, lambda a: F.aggregate(ordered(a), F.slice(a, 1, 0), keep))
 
 
 def explode_spans(df: DataFrame, keys: list[str], col: str) -> DataFrame:

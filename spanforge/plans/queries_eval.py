@@ -143,11 +143,11 @@ bk AS (SELECT DISTINCT key FROM (
 def phrase_match_large(spark, d):
     """H6 with a gazetteer that grows with the tables: all distinct words and word pairs
     of the benchmark passages."""
-    from spanforge.operators.matching import ngram_keys, phrase_match_join
+    from spanforge.operators.matching import ngram_keys, phrase_match_join, token_counts
     b = tokens.tokenize(table(spark, d, "benchmark").select(F.col("text").alias("sentence")))
     lex = (b.select(F.inline_outer(ngram_keys(F.col("tokens"), [1, 2]))).where(F.col("key").isNotNull())
            .select("key", F.lit("Diagnose").alias("label")).distinct())
-    m = phrase_match_join(_toks(spark, d), lex, ["sent_id"], lengths=[1, 2])
+    m = phrase_match_join(_toks(spark, d), lex, ["sent_id"], counts=token_counts(B.sentences(spark, d)))
     return m.select("sent_id", "first_tok", "end_tok", "key")
 
 

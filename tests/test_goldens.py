@@ -1,5 +1,7 @@
 """Golden cases read off the reference's inline checks (FIXTURES.md §2, §3)."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -266,22 +268,97 @@ def test_prf_two_tables(spark):
     assert round(r["overall"]["f1"], 6) == 0.4
 
 
-def test_token_labels_merge_path_equals_scan(spark):
-    # a long row with many disjoint entities takes the merge path; compare it
-    # with the plain scan on the same input
-    from spanforge.operators.bio import _labels_sorted_disjoint
+def _brute_labels(offs, ents, last):
+    out = []
+    for s, t in offs:
+        hits = [e for e in ents if e[0] <= s and t <= e[1]]
+        e = hits[-1 if last else 0] if hits else None
+        out.append(-100 if s == t else 0 if e is None else 2 * e[2] + 1 if s == e[0] else 2 * e[2] + 2)
+    return out
+
+
+def test_token_labels_equal_the_scan(spark):
+    """Long rows, disjoint and overlapping entities, special tokens anywhere."""
+    rnd = random.Random(1)
     offs = [(0, 0)] + [(3 * i, 3 * i + 2) for i in range(150)] + [(0, 0)]
     ents = [(3 * i, 3 * i + 2 + (3 if i % 4 == 0 else 0), i % 3) for i in range(0, 150, 2)]
-    df = spark.createDataFrame([(offs, ents)],
-                               "o array<struct<start:int,stop:int>>, e array<struct<start:int,stop:int,class_id:int>>")
-    got = df.select(bio.token_labels(F.col("o"), F.col("e")).alias("a")).first()["a"]
-
-    def scan(s, t):  # the reference loop: first containing entity wins
-        if s == t:
-            return -100
-        for es, et, c in ents:
-            if es <= s and t <= et:
-                return 2 * c + 1 if s == es else 2 * c + 2
-        return 0
-    assert got == [scan(s, t) for s, t in offs]
-    assert df.select(_labels_sorted_disjoint(F.col("o"), F.col("e"))).first()[0] == got
+    rows = [(0, offs, ents)]
+    for k in range(1, 200):
+        offs, at = [], 0
+        for _ in range(rnd.randint(0, 30)):
+            at += rnd.randint(0, 2)
+            size = rnd.randint(1, 4)
+            offs.append((at, at + size))
+            at += size
+        if k % 2:
+            offs = [(0, 0), *offs, (0, 0)]
+        if k % 5 == 0:
+            offs.insert(len(offs) // 2, (3, 3))
+        starts = [rnd.randint(0, at + 2) for _ in range(rnd.choice([0, 1, 3, 12]))]
+        rows.append((k, offs, [(s, s + rnd.randint(0, 25), rnd.randint(0, 2)) for s in starts]))
+    df = spark.createDataFrame(rows, "k int, o array<struct<start:int,stop:int>>, "
+                                     "e array<struct<start:int,stop:int,class_id:int>>")
+    for last in (False, True):
+        got = {r[0]: r[1] for r in df.select("k", bio.token_labels(F.col("o"), F.col("e"), last)).collect()}
+        assert got == {k: _brute_labels(o, e, last) for k, o, e in rows}
+
+
+def test_filter_spans_equals_the_fold(spark):
+    def fold(spans_):
+        kept = []
+        for i in sorted(range(len(spans_)), key=lambda i: (spans_[i][0] - spans_[i][1], spans_[i][0], i)):
+            if all(spans_[i][0] >= b or a >= spans_[i][1] for a, b, _ in kept):
+                kept.append(spans_[i])
+        return sorted(kept)
+    rnd = random.Random(2)
+    rows = []
+    for n in [0, 1, 2, 5, 20, 100] * 12:
+        starts = [rnd.randint(0, 3 * n + 1) for _ in range(n)]
+        rows.append((len(rows), [(a, a + rnd.randint(1, 9), f"l{i}") for i, a in enumerate(starts)]))
+    rows.append((len(rows), [(i, i + rnd.randint(2, 30), "x") for i in range(8000)]))
+    df = spark.createDataFrame(rows, "k int, s array<struct<first_tok:int,end_tok:int,label:string>>")
+    got = {r[0]: [tuple(x) for x in r[1]] for r in df.select("k", spans.filter_spans(F.col("s"))).collect()}
+    assert got == {k: fold(s) for k, s in rows}
+
+
+def test_align_expand_equals_the_scan(spark):
+    rnd = random.Random(3)
+    rows = []
+    for k in range(60):
+        toks, at = [], 0
+        for i in range(rnd.randint(0, 40)):
+            at += rnd.randint(0, 2)
+            size = rnd.randint(1, 5)
+            toks.append((i, at, at + size))
+            at += size
+        starts = [rnd.randint(0, at + 2) for _ in range(8)]
+        rows.append((k, toks, [(s, s + rnd.randint(0, 12)) for s in starts]))
+    df = spark.createDataFrame(rows, "k int, t array<struct<i:int,start:int,stop:int>>, s array<struct<a:int,b:int>>")
+    got = {r[0]: [None if x is None else tuple(x) for x in r[1]] for r in df.select(
+        "k", F.transform("s", lambda x: spans.align_expand(F.col("t"), x["a"], x["b"]))).collect()}
+
+    def scan(toks, a, b):
+        met = [t for t in toks if t[2] > a and t[1] < b]
+        return (met[0][0], met[-1][0] + 1, met[0][1], met[-1][2]) if met else None
+    assert got == {k: [scan(t, a, b) for a, b in s] for k, t, s in rows}
+
+
+def test_phrase_matches_both_ways(spark):
+    """A lexicon beyond the bound is matched by the join, with the same result."""
+    from spanforge.operators.matching import anchored, phrase_match, token_counts, with_phrase_matches
+    rnd = random.Random(4)
+    words = ["a", "b", "of", "the", "B", "x1"]
+    text = lambda n: " ".join(rnd.choices(words, k=n))
+    sent = tokens.tokenize(spark.createDataFrame([(i, text(rnd.randint(0, 40))) for i in range(80)], "sent_id long, sentence string"))
+    lex = spark.createDataFrame([(text(rnd.randint(1, 5)), rnd.choice(["P", "Q"])) for _ in range(40)], "phrase string, label string")
+    for lower in (False, True):
+        here = {r.sent_id: r.matches for r in with_phrase_matches(sent, lex, lower=lower).collect()}
+        beyond = {r.sent_id: r.matches for r in with_phrase_matches(sent, lex, lower=lower, max_keys=3).collect()}
+        assert here == beyond and sum(map(len, here.values())) > 100
+        rows = phrase_match(sent, lex, ["sent_id"], lower=lower).collect()
+        assert sorted((r.sent_id, r.first_tok, r.end_tok, r.start, r.stop, r.label, r.key) for r in rows) == sorted(
+            (k, *m) for k, ms in here.items() for m in ms)
+    prepared = prepare_phrases(spark.createDataFrame([("of the rarest", "P"), ("of the", "P")], "phrase string, label string"))
+    found = {r.key: (r.anchor, r.offset) for r in anchored(prepared, token_counts(spark.createDataFrame(
+        [("of of the",), ("rarest of",)], "sentence string"))).collect()}
+    assert found == {"of the rarest": ("the", 1), "of the": ("the", 1)}
