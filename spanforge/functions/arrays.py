@@ -53,5 +53,6 @@ def pin(c: Column) -> Column:
     expensive expression and then indexed inside ``transform``/``filter``
     would be rebuilt for every element.  An always-true non-deterministic
     guard makes the producing projection non-collapsible (and stops filters
-    being pushed through it); the value is unchanged."""
-    return F.when(F.rand(0) >= F.lit(0.0), c)
+    being pushed through it); the value is unchanged.  A bare ``rand() >= 0`` would be
+    folded to true by the optimizer and guard nothing, so its magnitude is compared."""
+    return F.when(F.abs(F.rand(0)) >= F.lit(0.0), c)

@@ -3,12 +3,13 @@
 E1 is the only Python step: ``mapInPandas`` runs a user-supplied callable,
 building its client once per task.  Everything after the raw text — fence
 stripping, strict JSON acceptance, span finding, rejects, first-N — is SQL.
-Raw responses should be written (or checkpointed) before parsing, so a task
-retry never pays for a second call.
+``llm_map_once`` keeps the raw responses in a ledger, so neither a task retry nor a
+second run pays for a call again.
 """
 
 from __future__ import annotations
 
+import math
 import random
 import time
 from collections.abc import Callable, Iterator
@@ -20,8 +21,10 @@ from pyspark.sql import functions as F
 
 from spanforge.functions.arrays import pin
 from spanforge.functions.text import strip_fence
+from spanforge.operators.sampling import dense_index
 from spanforge.operators.spans import find_spans_next, has_unmatched, spans_to_labels
 from spanforge.schemas import BASE_DELAY_S, MAX_ATTEMPTS, RESPONSE_JSON, RETRYABLE_CODES
+from spanforge.session import write_scratch
 
 
 class CallError(Exception):
@@ -77,8 +80,11 @@ def llm_map(df: DataFrame, prompt_col: str, client_factory: Callable[[], Callabl
                   + ", raw string, attempts int, call_status int, call_error string")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        call = client_factory()
+        call = None
         for pdf in batches:
+            if not len(pdf):
+                continue
+            call = call or client_factory()          # a task without rows needs no client
             got = [ask(call, p, system, sleep=sleep) for p in pdf[prompt_col]]
             yield pdf[key_cols].assign(raw=[o.text for o in got], attempts=[o.attempts for o in got],
                                        call_status=pd.array([o.code for o in got], dtype="Int32"),
@@ -87,6 +93,34 @@ def llm_map(df: DataFrame, prompt_col: str, client_factory: Callable[[], Callabl
     return df.select(*key_cols, prompt_col).mapInPandas(run, out_schema)
 
 
+def prompt_key(prompt: Column, system: str) -> Column:
+    """What an answer belongs to: the prompt under its system instruction."""
+    return F.sha2(F.concat_ws("\x00", F.lit(system), prompt), 256)
+
+
+def llm_map_once(df: DataFrame, prompt_col: str, client_factory: Callable[[], Callable[[str, str, int], str]],
+                 key_cols: list[str], system: str, ledger: str, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
+    """E1 over a ledger: every distinct prompt is paid for once, whatever gets lost.
+
+    ``ledger`` is a folder of answered prompts that only grows.  Prompts that it doesn't
+    hold yet are asked and appended; a task's answers are in the ledger as soon as the
+    task ends (its files are moved at its commit, not at the job's), so after a crash or
+    a lost executor the next run asks only for what is missing.  Should a prompt be in
+    it twice, one answer counts.  Calls that failed for good are answers too.  Returns
+    keys, raw, attempts, call_status, call_error, as ``llm_map``."""
+    spark = df.sparkSession
+    schema = "prompt_key string, raw string, attempts int, call_status int, call_error string"
+    asked = df.withColumn("prompt_key", prompt_key(F.col(prompt_col), system))
+    missing = asked.select("prompt_key", prompt_col).dropDuplicates(["prompt_key"])
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(ledger)
+    if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        missing = missing.join(spark.read.schema(schema).parquet(ledger).select("prompt_key"), "prompt_key", "left_anti")
+    (llm_map(missing, prompt_col, client_factory, ["prompt_key"], system, sleep)
+     .write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(ledger))
+    answers = spark.read.schema(schema).parquet(ledger).dropDuplicates(["prompt_key"])
+    return asked.join(answers, "prompt_key").select(*key_cols, "raw", "attempts", "call_status", "call_error")
+
+
 def json_status(clean: Column) -> Column:
     """E4 strict guard: 'bad_json' unless the text is exactly one JSON value
     (no trailing text, no single quotes); 'ok' if it is an object whose
@@ -105,8 +139,8 @@ def json_status(clean: Column) -> Column:
 def parse_responses(df: DataFrame, raw: str = "raw") -> DataFrame:
     """E3 + E4: clean, classify and parse; adds clean, status, text, entities."""
     df = df.withColumn("clean", pin(strip_fence(F.col(raw))))
-    df = df.withColumn("status", F.when(F.col(raw).isNull(), F.lit("no_response"))
-                       .otherwise(json_status(F.col("clean"))))
+    df = df.withColumn("status", pin(F.when(F.col(raw).isNull(), F.lit("no_response"))
+                                     .otherwise(json_status(F.col("clean")))))
     parsed = F.from_json(F.col("clean"), RESPONSE_JSON)
     return (df.withColumn("text", F.when(F.col("status") == "ok", parsed["text"]))
             .withColumn("resp_entities", F.when(F.col("status") == "ok", parsed["entities"])))
@@ -117,8 +151,36 @@ def attach_spans(df: DataFrame, text: str, requested: str) -> DataFrame:
     a row with any unfound term is marked 'unmatched'."""
     df = df.withColumn("spans", pin(F.when(F.col(text).isNotNull(),
                                            find_spans_next(F.col(text), F.col(requested)))))
-    return df.withColumn("final_status", F.when(F.col("status") != "ok", F.col("status"))
-                         .when(has_unmatched(F.col("spans")), F.lit("unmatched")).otherwise(F.lit("accepted")))
+    return df.withColumn("final_status", pin(F.when(F.col("status") != "ok", F.col("status"))
+                                             .when(has_unmatched(F.col("spans")), F.lit("unmatched"))
+                                             .otherwise(F.lit("accepted"))))
+
+
+def first_n_in_waves(rows: DataFrame, n: int, order: str, respond: Callable[[DataFrame], DataFrame], times: int = 5,
+                     spare: float = 1.1) -> DataFrame:
+    """E7 with its early stop: the first ``n`` accepted rows in attempt order, making no
+    more attempts than it takes to find them (a wave's spare apart).
+
+    ``rows`` are the attempts; ``respond`` makes them (a row with ``final_status`` for
+    each).  The attempts, ``times * n`` at most, are numbered in a distributed sort.  A
+    wave holds as many as the acceptance rate so far asks for, and ``spare`` times
+    that; its rows are written before they are counted, so nothing is made twice.  The
+    driver sees two counts a wave."""
+    numbered = dense_index(attempts_for(rows, n, order, times), [order])
+    total = numbered.count()
+    made = accepted = 0
+    answered: DataFrame | None = None
+    while made < total and accepted < n:
+        rate = (accepted + 1) / (made + 1)                   # nothing is known at first: every attempt
+        wave = min(total - made, max(1, math.ceil(spare * (n - accepted) / rate)) if made else n)
+        part = numbered.where((F.col("idx") >= made) & (F.col("idx") < made + wave)).drop("idx")
+        part = write_scratch(respond(part), "wave")
+        accepted += part.where(F.col("final_status") == "accepted").count()
+        made += wave
+        answered = part if answered is None else answered.unionByName(part)
+    if answered is None:
+        answered = respond(numbered.drop("idx"))
+    return first_n_valid(answered, n, order)
 
 
 def attempts_for(rows: DataFrame, n: int, order: str, times: int = 5) -> DataFrame:

@@ -15,7 +15,7 @@ from spanforge.functions.hashing import draw_index, md5_order_key, unit_draw
 from spanforge.functions.text import py_float_text
 from spanforge.schemas import (CONTEXTS, NO_SPACE_SHARE, RANDOM_SHAPE_DIAG_COUNTS, RANDOM_SHAPE_DOSE_COUNTS,
                                RANDOM_SHAPE_MED_COUNTS, SHAPES, STYLES)
-from spanforge.session import cut_lineage, write_scratch
+from spanforge.session import cut_lineage
 
 
 def seeded_shuffle(df: DataFrame, key: str, seed: int) -> DataFrame:
@@ -50,16 +50,10 @@ def dense_index(lex: DataFrame, order: list[str]) -> DataFrame:
     return j.withColumn("idx", (F.col("__off") + local).cast("int")).drop("__pid", "__mid", "__off")
 
 
-def index_lexicon(lex: DataFrame, term: str, order: list[str]) -> DataFrame:
-    """Lexicon -> (idx, term) plus its size ``n`` (duplicates kept: they weight draws)."""
-    indexed = dense_index(lex.select(*{term, *order}), order).select("idx", F.col(term).alias("term"))
-    return write_scratch(indexed, "lexicon")     # a table has byte statistics for the joins
-
-
-def draw_from(rows: DataFrame, lex_indexed: DataFrame, n: int, idx_expr: Column, out: str) -> DataFrame:
-    """Attach ``lex[idx_expr]`` as ``out``: a join on the (uniform) index, broadcast
-    if the optimizer's byte statistics allow."""
-    side = lex_indexed.select(F.col("idx").alias(f"__i_{out}"), F.col("term").alias(out))
+def draw_from(rows: DataFrame, terms: DataFrame, idx_expr: Column, out: str) -> DataFrame:
+    """Attach the term at ``idx_expr`` of ``(idx, term)`` as ``out``: a join on the
+    (uniform) index, broadcast if the optimizer's byte statistics allow."""
+    side = terms.select(F.col("idx").alias(f"__i_{out}"), F.col("term").alias(out))
     r = rows.withColumn(f"__i_{out}", idx_expr)
     return r.join(side, f"__i_{out}", "left").drop(f"__i_{out}")
 

@@ -36,15 +36,16 @@ FIXED_PHRASES = [
 ]
 
 
-def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per non-empty line of every document: doc_id, line_no, sent_id, sentence.
-
-    A session may ask for a number of partitions (``spanforge.scanPartitions``) where
+def asked_partitions(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """A session may ask for a number of partitions (``spanforge.scanPartitions``) where
     its files are unsplittable, as a test file of one row group is."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     parts = spark.conf.get("spanforge.scanPartitions", None)
-    if parts:
-        docs = docs.repartition(int(parts))
+    return df.repartition(int(parts)) if parts else df
+
+
+def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per non-empty line of every document: doc_id, line_no, sent_id, sentence."""
+    docs = asked_partitions(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
     # outer generators everywhere: a plain one makes Catalyst infer and push a
     # size(...) > 0 filter that re-evaluates the array expression
     s = docs.select("doc_id", F.posexplode_outer(F.split("text", "\n")).alias("line_no", "sentence"))

@@ -1,85 +1,115 @@
 """Synthetic-corpus generation plan (C -> D -> E), bound to the given tables.
 
 rows to generate: ``orders.o_orderkey``; medication lexicon: ``part.p_name``;
-diagnosis lexicon: ``nation.n_name``; dose values: ``part`` sizes with a
-fraction; dose units: ``lower(part.p_type)``.  Duplicates are kept (they
-weight the draws).  Shape: scan -> draws (Project) -> explode slots ->
-lexicon index joins (broadcast when proven small) -> regroup per row (groups
-of at most 4 slots) -> prompt (Project).
+diagnosis lexicon: ``nation.n_name`` (source ``code_list``) or ``part.p_type`` (source
+``fallback``); dose values: ``part`` sizes with a fraction; dose units:
+``lower(part.p_type)``.  Shape: scan -> draws per slot as columns (Project) -> a lookup
+join per slot in the one lexicon table (one broadcast for all, if its statistics
+allow) -> prompt (Project).  Rows are never exploded or put together again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spanforge.functions.arrays import pin
 from spanforge.functions.hashing import draw_index
 from spanforge.operators import prompts, sampling
 from spanforge.operators.spans import parse_tags, strip_tags
-from spanforge.plans.bindings import SEED
-from spanforge.schemas import ORIGINAL_SENTENCES
+from spanforge.plans.bindings import SEED, asked_partitions
+from spanforge.schemas import ORIGINAL_SENTENCES, RANDOM_SHAPE_POOL_SIZE, SHAPES
 from spanforge.session import table
+from spanforge.sources.lexicon_store import size_of, stored_lexicon
 
-
-_LEXICA: dict = {}
+VALUE, UNIT = "Dosis-Wert", "Dosis-Einheit"
+#: Which source a label's terms are drawn from
+SOURCES = {"Medikation": "curated", "Diagnose": "code_list", VALUE: "code_list", UNIT: "code_list"}
+_CODE = {"Medikation": 0, "Diagnose": 1, VALUE: 2, UNIT: 3}
+_SALT = {"Medikation": "med", "Diagnose": "diag", VALUE: "val", UNIT: "unit"}
 
 
-def lexica(spark: SparkSession, d: str) -> dict:
-    """Indexed lexica, built once per application and state of their tables."""
-    conf, path = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    files = [path(f"{d}/{t}.parquet") for t in ("part", "nation")]
-    key = (spark.sparkContext.applicationId, d,
-           *(f.getFileSystem(conf).getFileStatus(f).getModificationTime() for f in files))
-    if key not in _LEXICA:
-        _LEXICA[key] = _build_lexica(spark, d)
-    return _LEXICA[key]
+def lexicon(spark: SparkSession, d: str) -> DataFrame:
+    """The lexicon table of the given tables, all sources and labels."""
+    def terms() -> DataFrame:
+        part, nation = table(spark, d, "part"), table(spark, d, "nation")
 
-
-def _build_lexica(spark: SparkSession, d: str) -> dict:
-    part = table(spark, d, "part")
-    nation = table(spark, d, "nation")
-    meds = sampling.index_lexicon(part.select("p_name", "p_partkey"), "p_name", ["p_name", "p_partkey"])
-    diags = sampling.index_lexicon(nation.select("n_name", "n_nationkey"), "n_name", ["n_name", "n_nationkey"])
-    vals = part.select("p_partkey", sampling.float_text(F.col("p_size") + F.pmod("p_partkey", F.lit(4)) * 0.25)
-                       .alias("v"))
-    vals = sampling.index_lexicon(vals, "v", ["p_partkey"])
-    units = part.select("p_partkey", F.lower("p_type").alias("u"))
-    units = sampling.index_lexicon(units, "u", ["p_partkey"])
-    out = {"meds": meds, "diags": diags, "vals": vals, "units": units}
-    out["n"] = {k: v.count() for k, v in out.items()}  # lexicon sizes drive the draw modulus
-    return out
+        def rows(source: str, label: str, term: Column, df: DataFrame, key: str, by_text: bool) -> DataFrame:
+            text = term.alias("term")
+            return df.select(F.lit(source).alias("source"), F.lit(label).alias("label"), text,
+                             (term if by_text else F.lit("")).alias("o1"), F.col(key).cast("long").alias("o2"))
+        value = sampling.float_text(F.col("p_size") + F.pmod("p_partkey", F.lit(4)) * 0.25)
+        return (rows("curated", "Medikation", F.col("p_name"), part, "p_partkey", True)
+                .union(rows("code_list", "Diagnose", F.col("n_name"), nation, "n_nationkey", True))
+                .union(rows("fallback", "Diagnose", F.col("p_type"), part, "p_partkey", False))
+                .union(rows("code_list", VALUE, value, part, "p_partkey", False))
+                .union(rows("code_list", UNIT, F.lower("p_type"), part, "p_partkey", False)))
+    return stored_lexicon(spark, [f"{d}/part.parquet", f"{d}/nation.parquet"], terms, ["o1", "o2"])
 
 
 def gen_rows(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "orders").select(F.col("o_orderkey").alias("row_id"))
-
-
-def slot_rows(spark: SparkSession, d: str, lx: dict | None = None, shape=None,
-              rows: DataFrame | None = None) -> DataFrame:
-    """C6 exploded: (row_id, slot, label, text) with the drawn term per slot; ``rows``:
-    the attempts (default: all)."""
-    lx = lx or lexica(spark, d)
-    n = lx["n"]
-    rows = gen_rows(spark, d) if rows is None else rows
-    shape = shape if shape is not None else sampling.shape_of(SEED, F.col("row_id"))
-    s = rows.select("row_id", F.posexplode_outer(shape).alias("slot", "label")).where(F.col("label").isNotNull())
-    r, sl = F.col("row_id"), F.col("slot")
-    s = sampling.draw_from(s, lx["meds"], n["meds"], draw_index(n["meds"], SEED, r, sl, "med"), "med")
-    s = sampling.draw_from(s, lx["diags"], n["diags"], draw_index(n["diags"], SEED, r, sl, "diag"), "diag")
-    s = sampling.draw_from(s, lx["vals"], n["vals"], draw_index(n["vals"], SEED, r, sl, "val"), "val")
-    s = sampling.draw_from(s, lx["units"], n["units"], draw_index(n["units"], SEED, r, sl, "unit"), "unit")
-    dose = sampling.dosage_text(F.col("val"), F.col("unit"), SEED, r, sl)
-    text = (F.when(F.col("label") == "Medikation", F.col("med")).when(F.col("label") == "Diagnose", F.col("diag"))
-            .otherwise(dose))
-    return s.select("row_id", "slot", "label", text.alias("text"))
-
-
-def entity_rows(spark: SparkSession, d: str, lx: dict | None = None, rows: DataFrame | None = None) -> DataFrame:
-    """One row per generation attempt with its ordered entity list."""
-    s = slot_rows(spark, d, lx, rows=rows)
-    g = s.groupBy("row_id").agg(F.array_sort(F.collect_list(F.struct("slot", "text", "label"))).alias("e"))
-    return g.select("row_id", F.transform("e", lambda x: F.struct(x["text"].alias("text"),
-                                                                 x["label"].alias("label"))).alias("entities"))
+    return asked_partitions(spark, table(spark, d, "orders").select(F.col("o_orderkey").alias("row_id")))
+
+
+def pooled_shape(seed, row: Column) -> Column:
+    """A pool of ``RANDOM_SHAPE_POOL_SIZE`` random shapes, each drawn by the keyed
+    hash of its number; a row takes one of them."""
+    return sampling.random_shape(seed, draw_index(RANDOM_SHAPE_POOL_SIZE, seed, row, "pool"))
+
+
+def entity_rows(spark: SparkSession, d: str, rows: DataFrame | None = None,
+                shape: Callable[[object, Column], Column] = sampling.shape_of, slots: int = max(map(len, SHAPES)),
+                sources: dict[str, str] = SOURCES) -> DataFrame:
+    """One row per generation attempt with its ordered entity list.
+
+    ``rows``: the attempts (default: all); ``shape``: the label template of a row (C2,
+    or C3's pool), of ``slots`` labels at most; ``sources``: C9's switch.  A slot's term
+    is two columns, (label code, index), looked up in the one lexicon table; a dose's
+    unit is looked up beside its value."""
+    lex = lexicon(spark, d)
+    n = {label: size_of(lex, source, label) for label, source in sources.items()}
+    chosen = F.lit(False)
+    for label, source in sources.items():
+        chosen = chosen | ((F.col("label") == label) & (F.col("source") == source))
+    code = F.lit(None).cast("int")
+    for label, number in _CODE.items():
+        code = F.when(F.col("label") == label, number).otherwise(code)
+    terms = lex.where(chosen).select(code.alias("__code"), F.col("idx").alias("__idx"), F.col("term").alias("__term"))
+    r = F.col("row_id")
+    df = (gen_rows(spark, d) if rows is None else rows).select("row_id", pin(shape(SEED, r)).alias("__shape"))
+
+    def drawn(slot: int, label: str) -> Column:
+        return draw_index(n[label], SEED, r, F.lit(slot), _SALT[label])
+
+    def looked_up(df: DataFrame, at_code: Column, at_idx: Column, out: str) -> DataFrame:
+        side = terms.select(F.col("__code").alias("__c"), F.col("__idx").alias("__i"), F.col("__term").alias(out))
+        df = df.withColumns({"__at_code": at_code, "__at_idx": at_idx})
+        return df.join(side, (F.col("__at_code") == F.col("__c")) & (F.col("__at_idx") == F.col("__i")), "left").drop(
+            "__at_code", "__at_idx", "__c", "__i")
+
+    made = []
+    for slot in range(slots):
+        label = F.get("__shape", F.lit(slot))
+        which = F.when(label == "Dosis", F.lit(VALUE)).otherwise(label)
+        at_code, at_idx = F.lit(None).cast("int"), F.lit(None).cast("int")
+        for name in ("Medikation", "Diagnose", VALUE):
+            at_code = F.when(which == name, _CODE[name]).otherwise(at_code)
+            at_idx = F.when(which == name, drawn(slot, name)).otherwise(at_idx)
+        df = looked_up(df, at_code, at_idx, f"__t{slot}")
+        df = looked_up(df, F.when(label == "Dosis", _CODE[UNIT]), F.when(label == "Dosis", drawn(slot, UNIT)), f"__u{slot}")
+        dose = sampling.dosage_text(F.col(f"__t{slot}"), F.col(f"__u{slot}"), SEED, r, F.lit(slot))
+        text = F.when(label == "Dosis", dose).otherwise(F.col(f"__t{slot}"))
+        made.append(F.when(label.isNotNull(), F.struct(text.alias("text"), label.alias("label"))))
+    return df.select("row_id", pin(F.array_compact(F.array(*made))).alias("entities"))
+
+
+def slot_rows(spark: SparkSession, d: str, **how) -> DataFrame:
+    """C6 as rows: (row_id, slot, label, text)."""
+    e = entity_rows(spark, d, **how)
+    return (e.select("row_id", F.posexplode_outer("entities").alias("slot", "e")).where(F.col("e").isNotNull())
+            .select("row_id", "slot", "e.label", "e.text"))
 
 
 def example_pool(spark: SparkSession) -> list[str]:
@@ -141,4 +171,4 @@ def raw_responses(spark: SparkSession, d: str, rows: DataFrame | None = None) ->
            .when(v == 2, F.lit('{"entities": []}'))
            .when(v == 4, F.concat(F.lit("  "), js, F.lit("\n")))
            .otherwise(js))
-    return e.select("row_id", "entities", raw.alias("raw"), sent.alias("plain"))
+    return e.select("row_id", "entities", pin(raw).alias("raw"), pin(sent).alias("plain"))

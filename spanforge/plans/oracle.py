@@ -357,12 +357,44 @@ def shapes_cte(shapes) -> str:
     return f"shapes AS (SELECT * FROM (VALUES {vals}) v(shape_id, shape))"
 
 
-def gen_slots() -> list[str]:
+def fixed_slots() -> list[str]:
     from spanforge.schemas import SHAPES
     S = str(SEED)
-    return gen_lexica() + [shapes_cte(SHAPES), f"""slots AS (
+    return [shapes_cte(SHAPES), f"""slots AS (
   SELECT row_id, (generate_subscripts(shape, 1) - 1)::INTEGER AS slot, unnest(shape) AS label FROM (
-    SELECT o_orderkey AS row_id, shape FROM orders JOIN shapes ON shape_id = {draw('7', S, 'o_orderkey', "'shape'")}))""",
+    SELECT o_orderkey AS row_id, shape FROM orders JOIN shapes ON shape_id = {draw('7', S, 'o_orderkey', "'shape'")}))"""]
+
+
+def random_shape_ctes(rows: str) -> list[str]:
+    """``rs(row_id, label, slot)``: a random shape for each row_id of ``rows``."""
+    S = str(SEED)
+    nm = f"[0, 1, 1, 2][{draw('4', S, 'row_id', "'n_med'")} + 1]"
+    nd = f"[0, 1, 1, 2][{draw('4', S, 'row_id', "'n_diag'")} + 1]"
+    nz = f"CASE WHEN {nm} > 0 THEN [0, 1][{draw('2', S, 'row_id', "'n_dose'")} + 1] ELSE 0 END"
+    return [f"rs_n AS (SELECT row_id, {nm} AS nm, {nd} AS nd, {nz} AS nz FROM ({rows}))",
+            "rs_l AS (SELECT row_id, CASE WHEN nm + nd + nz = 0 THEN ['Diagnose'] ELSE "
+            "list_concat(list_concat(list_transform(range(nm), lambda x: 'Medikation'), "
+            "list_transform(range(nz), lambda x: 'Dosis')), list_transform(range(nd), lambda x: 'Diagnose')) END AS labels "
+            "FROM rs_n)",
+            "rs_e AS (SELECT row_id, unnest(labels) AS label, generate_subscripts(labels, 1) - 1 AS i FROM rs_l)",
+            f"rs AS (SELECT row_id, label, (row_number() OVER (PARTITION BY row_id ORDER BY "
+            f"md5(concat_ws('|', {S}, row_id, i, 'perm')), label) - 1)::INTEGER AS slot FROM rs_e)"]
+
+
+def pooled_slots() -> list[str]:
+    """Slots of shapes from the pool of 100."""
+    return [*random_shape_ctes("SELECT unnest(range(100)) AS row_id"),
+            f"slots AS (SELECT o_orderkey AS row_id, slot, label FROM orders JOIN rs ON rs.row_id = "
+            f"{draw('100', str(SEED), 'o_orderkey', chr(39) + 'pool' + chr(39))})"]
+
+
+FALLBACK_DIAGS = ("diags AS (SELECT (row_number() OVER (ORDER BY p_partkey) - 1)::INTEGER AS idx, p_type AS term FROM part)")
+
+
+def gen_slots(slots: list[str] | None = None, diags: str | None = None) -> list[str]:
+    S = str(SEED)
+    lexica = [diags if diags and c.startswith("diags AS") else c for c in gen_lexica()]
+    return lexica + (fixed_slots() if slots is None else slots) + [
                            f"""slot_text AS (
   SELECT s.row_id, s.slot, s.label,
          CASE s.label WHEN 'Medikation' THEN m.term WHEN 'Diagnose' THEN dg.term

@@ -165,8 +165,12 @@ def _vec_sql():
                              f"JOIN embeddings e ON e.vec_id = {O.draw('(SELECT count(*) FROM embeddings)', S, 't.token', chr(39) + 'vec' + chr(39))}) ")
 
 
-@query("vector_lookup", lambda: _vec_sql() + "SELECT sent_id, i, vec_id, round(embedding[1]::DOUBLE, 6) AS v0, "
-       "round(list_sum(list_transform(embedding, lambda x: x::DOUBLE)), 6) AS total FROM tv")
+@query("vector_lookup", lambda: O.with_(*_TOK) +
+       ", v AS (SELECT vec_id, round(embedding[1]::DOUBLE, 6) AS v0, "
+       "round(list_sum(list_transform(embedding, lambda x: x::DOUBLE)), 6) AS total FROM embeddings), "
+       "w AS (SELECT token, " + O.draw("n", S, "token", "'vec'") + " AS vec_id FROM "
+       "(SELECT DISTINCT token FROM tokens), (SELECT count(*) AS n FROM embeddings)) "
+       "SELECT sent_id, i, v.vec_id, v0, total FROM tokens JOIN w USING (token) JOIN v ON v.vec_id = w.vec_id")
 def vector_lookup(spark, d):
     """Token -> vector (hashed vocabulary id into the vector table)."""
     v = similarity.lookup_vectors(_tok_ids(spark, d), table(spark, d, "embeddings"), "vec_id", "vec_id", "embedding")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from spanforge.functions.hashing import draw_index
 from spanforge.operators import prompts, responses, sampling
+from spanforge.operators.lexicon import lexicon_by_source as choose_source
 from spanforge.plans import generation as G
 from spanforge.plans import oracle as O
 from spanforge.plans.bindings import SEED
@@ -13,10 +14,15 @@ from spanforge.plans.queries_corpus import joined
 from spanforge.plans.registry import query
 from spanforge.schemas import CONTEXTS, FIXED_DOSE_UNITS, FIXED_DOSE_VALUES, SHAPES, SHAPES_NOTEBOOK, STYLES, SYSTEM_PROMPT
 from spanforge.session import table
+from spanforge.sources.lexicon_store import size_of
 
 S = str(SEED)
 
 
+def _terms(lex, source, label):
+    return choose_source(lex, source).where(F.col("label") == label)
+
+
 def _rows(spark, d):
     return G.gen_rows(spark, d)
 
@@ -28,11 +34,10 @@ def _rows(spark, d):
        f"JOIN meds m ON m.idx = {O.draw('lex_n.nm', S, 'o_orderkey', '0', chr(39) + 'med' + chr(39))}")
 def choice_uniform(spark, d):
     """Uniform, seeded choice from a lexicon (duplicates weight the draw)."""
-    lx = G.lexica(spark, d)
-    n = lx["n"]["meds"]
-    r = _rows(spark, d)
-    r = r.withColumn("idx", draw_index(n, SEED, F.col("row_id"), 0, "med"))
-    return sampling.draw_from(r, lx["meds"], n, F.col("idx"), "term").select("row_id", "idx", "term")
+    lex = G.lexicon(spark, d)
+    n = size_of(lex, "curated", "Medikation")
+    r = _rows(spark, d).withColumn("idx", draw_index(n, SEED, F.col("row_id"), 0, "med"))
+    return sampling.draw_from(r, _terms(lex, "curated", "Medikation"), F.col("idx"), "term").select("row_id", "idx", "term")
 
 
 @query("shape_choice", lambda: O.with_(O.shapes_cte(SHAPES)) +
@@ -56,17 +61,8 @@ def shape_choice_notebook(spark, d):
 
 
 def _random_shape_sql():
-    nm = f"[0, 1, 1, 2][{O.draw('4', S, 'o_orderkey', chr(39) + 'n_med' + chr(39))} + 1]"
-    nd = f"[0, 1, 1, 2][{O.draw('4', S, 'o_orderkey', chr(39) + 'n_diag' + chr(39))} + 1]"
-    nz = f"CASE WHEN {nm} > 0 THEN [0, 1][{O.draw('2', S, 'o_orderkey', chr(39) + 'n_dose' + chr(39))} + 1] ELSE 0 END"
-    return f"""WITH c AS (SELECT o_orderkey AS row_id, {nm} AS nm, {nd} AS nd, {nz} AS nz FROM orders),
-l AS (SELECT row_id, CASE WHEN nm + nd + nz = 0 THEN ['Diagnose'] ELSE
-        list_concat(list_concat(list_transform(range(nm), lambda x: 'Medikation'),
-                                list_transform(range(nz), lambda x: 'Dosis')),
-                    list_transform(range(nd), lambda x: 'Diagnose')) END AS labels FROM c),
-e AS (SELECT row_id, unnest(labels) AS label, generate_subscripts(labels, 1) - 1 AS i FROM l)
-SELECT row_id, string_agg(label, ',' ORDER BY md5(concat_ws('|', {S}, row_id, i, 'perm')), label) AS shape
-FROM e GROUP BY row_id"""
+    return (O.with_(*O.random_shape_ctes("SELECT o_orderkey AS row_id FROM orders"))
+            + "SELECT row_id, string_agg(label, ',' ORDER BY slot) AS shape FROM rs GROUP BY row_id")
 
 
 @query("random_shape", _random_shape_sql)
@@ -84,11 +80,10 @@ def random_shape(spark, d):
        f"JOIN units u ON u.idx = {O.draw('lex_n.nu', S, 'o_orderkey', '0', chr(39) + 'unit' + chr(39))}")
 def make_dosage(spark, d):
     """C4: value and unit drawn independently, 70 % without a space, '.' -> ','."""
-    lx = G.lexica(spark, d)
-    n = lx["n"]
-    r = _rows(spark, d)
-    r = sampling.draw_from(r, lx["vals"], n["vals"], draw_index(n["vals"], SEED, F.col("row_id"), 0, "val"), "v")
-    r = sampling.draw_from(r, lx["units"], n["units"], draw_index(n["units"], SEED, F.col("row_id"), 0, "unit"), "u")
+    lex, r = G.lexicon(spark, d), _rows(spark, d)
+    for label, salt, out in ((G.VALUE, "val", "v"), (G.UNIT, "unit", "u")):
+        n = size_of(lex, "code_list", label)
+        r = sampling.draw_from(r, _terms(lex, "code_list", label), draw_index(n, SEED, F.col("row_id"), 0, salt), out)
     return r.select("row_id", sampling.dosage_text(F.col("v"), F.col("u"), SEED, F.col("row_id"), 0).alias("dosage"))
 
 
@@ -111,6 +106,34 @@ def sample_entities(spark, d):
     return G.slot_rows(spark, d)
 
 
+@query("sample_entities_pool", lambda: O.with_(*O.gen_slots(O.pooled_slots())) +
+       "SELECT row_id, slot, label, text FROM slot_text")
+def sample_entities_pool(spark, d):
+    """C3 -> C6: each row takes one of the pool's 100 random shapes and fills it."""
+    return G.slot_rows(spark, d, shape=G.pooled_shape, slots=5)
+
+
+@query("sample_entities_source", lambda: O.with_(*O.gen_slots(diags=O.FALLBACK_DIAGS)) +
+       "SELECT row_id, slot, label, text FROM slot_text")
+def sample_entities_source(spark, d):
+    """C9 -> C6: diagnoses drawn from another source of the lexicon table."""
+    return G.slot_rows(spark, d, sources={**G.SOURCES, "Diagnose": "fallback"})
+
+
+@query("lexicon_table", lambda: """SELECT 'curated' AS source, 'Medikation' AS label, count(*)::INTEGER AS n,
+  count(*)::BIGINT AS n_rows, 0 AS first_idx, (count(*) - 1)::INTEGER AS last_idx, count(DISTINCT p_name)::BIGINT AS n_terms FROM part
+UNION ALL SELECT 'code_list', 'Diagnose', count(*)::INTEGER, count(*)::BIGINT, 0, (count(*) - 1)::INTEGER, count(DISTINCT n_name)::BIGINT FROM nation
+UNION ALL SELECT 'fallback', 'Diagnose', count(*)::INTEGER, count(*)::BIGINT, 0, (count(*) - 1)::INTEGER, count(DISTINCT p_type)::BIGINT FROM part
+UNION ALL SELECT 'code_list', 'Dosis-Wert', count(*)::INTEGER, count(*)::BIGINT, 0, (count(*) - 1)::INTEGER,
+  count(DISTINCT p_size + (p_partkey % 4) * 0.25)::BIGINT FROM part
+UNION ALL SELECT 'code_list', 'Dosis-Einheit', count(*)::INTEGER, count(*)::BIGINT, 0, (count(*) - 1)::INTEGER, count(DISTINCT lower(p_type))::BIGINT FROM part""")
+def lexicon_table(spark, d):
+    """The written lexicon table, its sources and labels with their sizes."""
+    return G.lexicon(spark, d).groupBy("source", "label").agg(
+        F.max("n").alias("n"), F.countDistinct("idx").alias("n_rows"), F.min("idx").alias("first_idx"),
+        F.max("idx").alias("last_idx"), F.countDistinct("term").alias("n_terms"))
+
+
 @query("sample_without_replacement", lambda: O.with_(*O.prompt_ctes()[:-3]) +
        "SELECT row_id, row_number() OVER (PARTITION BY row_id ORDER BY k)::INTEGER - 1 AS pick, js AS example "
        "FROM picks")
@@ -137,12 +160,11 @@ def style_context(spark, d):
        "WHERE source = 'code_list'")
 def lexicon_by_source(spark, d):
     """A lexicon table with a source column; pick one source."""
-    from spanforge.operators.lexicon import lexicon_by_source as pick
     p = table(spark, d, "part")
     lex = (p.select(F.col("p_name").alias("term"), F.lit("curated").alias("source"))
            .unionByName(table(spark, d, "nation").select(F.col("n_name").alias("term"), F.lit("code_list").alias("source")))
            .unionByName(p.select(F.col("p_type").alias("term"), F.lit("fallback").alias("source"))))
-    return pick(lex, "code_list").select("term")
+    return choose_source(lex, "code_list").select("term")
 
 
 # --- D: prompts and chats --------------------------------------------------------
@@ -273,10 +295,14 @@ def plain_response_spans(spark, d):
     return s.where(F.col("ord").isNotNull()).select("row_id", F.col("ord").alias("pos"), "label", "start", "stop")
 
 
-@query("first_n_valid", lambda: O.with_(*O.responses_ctes()) +
-       "SELECT f.row_id, json_extract_string(p.clean, '$.text') AS sentence FROM final f JOIN parsed p USING (row_id) "
-       "WHERE f.final_status = 'accepted' AND f.row_id IN (SELECT o_orderkey FROM orders ORDER BY o_orderkey LIMIT 250) "
-       "ORDER BY f.row_id LIMIT 50")
+def _first_n_sql():
+    return (O.with_(*O.responses_ctes()) +
+            "SELECT f.row_id, json_extract_string(p.clean, '$.text') AS sentence FROM final f JOIN parsed p USING (row_id) "
+            "WHERE f.final_status = 'accepted' AND f.row_id IN (SELECT o_orderkey FROM orders ORDER BY o_orderkey LIMIT 250) "
+            "ORDER BY f.row_id LIMIT 50")
+
+
+@query("first_n_valid", _first_n_sql)
 def first_n_valid(spark, d):
     """E7 (+E8): first 50 accepted sentences of at most 250 attempts, in attempt order;
     fails if none."""
@@ -285,6 +311,15 @@ def first_n_valid(spark, d):
     return responses.require_nonempty(f)
 
 
+@query("first_n_waves", _first_n_sql)
+def first_n_waves(spark, d):
+    """E7 with its early stop: attempts are made in waves until 50 are accepted."""
+    def respond(attempts):
+        return _final(spark, d, attempts).select("row_id", "text", "final_status")
+    f = responses.first_n_in_waves(G.gen_rows(spark, d), 50, "row_id", respond)
+    return responses.require_nonempty(f.select("row_id", F.col("text").alias("sentence")))
+
+
 @query("generation_funnel", lambda: O.with_(*O.responses_ctes()) +
        "SELECT final_status, count(*)::BIGINT AS n FROM final GROUP BY final_status")
 def generation_funnel(spark, d):
@@ -328,7 +363,8 @@ def stub_client():
     return call
 
 
-@query("llm_map", lambda: O.with_(*O.prompt_ctes(), f"""calls AS (
+def _llm_map_sql():
+    return (O.with_(*O.prompt_ctes(), f"""calls AS (
   SELECT row_id, {_prompt_sql('script')} AS prompt FROM prompt_parts),
 hashed AS (
   SELECT row_id, ('0x' || substr(md5(prompt), 1, 8))::BIGINT AS h FROM calls),
@@ -339,6 +375,9 @@ sent AS (
        "CASE WHEN h % 11 = 0 THEN 'status 400' END AS call_error, "
        "CASE WHEN h % 11 = 0 THEN 'no_response' ELSE 'ok' END AS status, "
        "CASE WHEN h % 11 <> 0 THEN sentence END AS text FROM hashed JOIN sent USING (row_id)")
+
+
+@query("llm_map", _llm_map_sql)
 def llm_map(spark, d):
     """E1 (+E2, E9): bulk model call with the system instruction, a client per task and
     retries; the call's code and error stay beside the parse status.  A deterministic
@@ -346,3 +385,18 @@ def llm_map(spark, d):
     p = G.prompt_rows(spark, d)
     r = responses.llm_map(p, "prompt", stub_client, ["row_id"], system=SYSTEM_PROMPT, sleep=lambda s: None)
     return responses.parse_responses(r, "raw").select("row_id", "attempts", "call_status", "call_error", "status", "text")
+
+
+@query("llm_map_once", _llm_map_sql)
+def llm_map_once(spark, d):
+    """E1/E2 over a ledger of answered prompts: a second run finds all answers in it and
+    calls nobody (its client would fail)."""
+    from spanforge.sources.sinks import scratch_path
+
+    def nobody():
+        raise RuntimeError("every prompt is answered")
+
+    p, ledger = G.prompt_rows(spark, d), scratch_path(spark, "ledger")
+    responses.llm_map_once(p, "prompt", stub_client, ["row_id"], SYSTEM_PROMPT, ledger, sleep=lambda s: None)
+    r = responses.llm_map_once(p, "prompt", nobody, ["row_id"], SYSTEM_PROMPT, ledger)
+    return responses.parse_responses(r, "raw").select("row_id", "attempts", "call_status", "call_error", "status", "text")

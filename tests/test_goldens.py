@@ -1,6 +1,7 @@
 """Golden cases read off the reference's inline checks (FIXTURES.md §2, §3)."""
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -362,3 +363,72 @@ def test_phrase_matches_both_ways(spark):
     found = {r.key: (r.anchor, r.offset) for r in anchored(prepared, token_counts(spark.createDataFrame(
         [("of of the",), ("rarest of",)], "sentence string"))).collect()}
     assert found == {"of the rarest": ("the", 1), "of the": ("the", 1)}
+
+
+def test_waves_stop_early(spark):
+    """Attempts are made only until enough are accepted; 5N at most."""
+    from spanforge.operators.responses import first_n_in_waves
+    made = []
+
+    def respond_at(share):
+        def respond(df):
+            made.append(df.count())
+            return df.withColumn("final_status", F.when(F.col("row_id") % 10 < share, "accepted").otherwise("unmatched"))
+        return respond
+    rows = spark.range(0, 5000).select(F.col("id").alias("row_id"))
+    got = [r.row_id for r in first_n_in_waves(rows, 100, "row_id", respond_at(5)).collect()]
+    assert got == [i for i in range(5000) if i % 10 < 5][:100]
+    assert 200 <= sum(made) <= 240 and len(made) <= 4
+    made.clear()
+    assert first_n_in_waves(rows, 100, "row_id", respond_at(10)).count() == 100 and made == [100]
+    made.clear()
+    assert first_n_in_waves(rows, 100, "row_id", respond_at(0)).count() == 0 and sum(made) == 500
+    assert first_n_in_waves(rows.limit(0), 100, "row_id", respond_at(5)).count() == 0
+
+
+def test_ledger_pays_for_no_call_twice(spark, tmp_path):
+    """A run is killed half-way; the next one asks only for what is missing."""
+    import os
+    import uuid
+
+    from spanforge.operators.responses import llm_map_once
+    calls, ledger = str(tmp_path / "calls"), str(tmp_path / "ledger")
+    os.mkdir(calls)
+    # two rows share each prompt
+    rows = spark.range(0, 80, 1, 8).select("id", F.concat(F.lit("say "), (F.col("id") % 40).cast("string")).alias("prompt"))
+
+    def client(killed):
+        def make():
+            def call(prompt, system, attempt):
+                open(os.path.join(calls, f"{prompt[4:]}-{uuid.uuid4().hex}"), "w").close()
+                if killed and prompt == "say 7":
+                    import time
+                    time.sleep(3)
+                    raise KeyboardInterrupt                     # the worker dies
+                return prompt.upper()
+            return call
+        return make
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        with pytest.raises(Exception):
+            llm_map_once(rows, "prompt", client(True), ["id"], "s", ledger).collect()
+        first = Counter(f.split("-")[0] for f in os.listdir(calls))
+        got = llm_map_once(rows, "prompt", client(False), ["id"], "s", ledger).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sorted((r.id, r.raw) for r in got) == [(i, f"SAY {i % 40}") for i in range(80)]
+    again = Counter(f.split("-")[0] for f in os.listdir(calls))
+    assert set(again) == {str(i) for i in range(40)} and 0 < len(first) <= 40
+    # only prompts of the task that died may be asked again
+    repeated = {k for k, n in again.items() if n > 1}
+    assert "7" in repeated and len(repeated) < len(first) / 2
+    llm_map_once(rows, "prompt", client(True), ["id"], "s", ledger).collect()
+    assert Counter(f.split("-")[0] for f in os.listdir(calls)) == again
+
+
+def test_guard_survives_the_optimizer(spark):
+    """A pinned expression is computed once per row, whatever uses it."""
+    from spanforge.functions.arrays import pin
+    df = spark.range(10).select(pin(F.sha2(F.col("id").cast("string"), 256)).alias("h"))
+    df = df.where(F.length("h") > 0).select(F.transform(F.array(F.lit(1), F.lit(2)), lambda x: F.concat("h", x.cast("string"))))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("sha2") == 1
