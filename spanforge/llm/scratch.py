@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from spanforge.session import ensure_checkpoint_dir
@@ -44,10 +46,24 @@ def row_key(seed: int) -> Column:
     return F.xxhash64(F.lit(seed), F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text")
 
 
+def give_back() -> None:
+    """Return freed memory to the machine: a Python worker serves many stages, and what
+    one of them freed would count against the next."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def map_batches(df: DataFrame, run, schema) -> DataFrame:
     """``mapInArrow`` with batches bounded by bytes, as texts may be long: a session
-    that still has the default (64 MB) gets 8 MB."""
+    that still has the default (64 MB) gets 4 MB."""
     conf = df.sparkSession.conf
     if conf.get(_BATCH) in ("67108864b", "67108864", "64m", "64MB"):
-        conf.set(_BATCH, "8m")
-    return df.mapInArrow(run, schema)
+        conf.set(_BATCH, "4m")
+
+    def whole(batches):
+        yield from run(batches)
+        give_back()
+
+    return df.mapInArrow(whole, schema)

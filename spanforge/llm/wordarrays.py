@@ -16,7 +16,7 @@ import pyarrow as pa
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _MULT = {0: (0x9E3779B97F4A7C15, None), 1: (0xD6E8FEB86659FD93, None), 2: (0xA0761D6478BD642F, None)}
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
