@@ -19,6 +19,7 @@ import numpy as np
 from .wordarrays import BYTE_VALUE, mix64, powers
 
 KEPT_CHUNKS, KEPT_BYTES = 1 << 20, 64
+_BATCH = 2048                    # chunks that go to the library at a time
 
 
 def _borders(data: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -50,10 +51,12 @@ class ChunkEncoder:
         self.pool = np.zeros(0, np.uint32)
 
     def _library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        count = np.fromiter(map(len, found), np.int64, len(found))
-        ids = np.fromiter((i for x in found for i in x), np.uint32, int(count.sum()))
-        return ids, count
+        ids, count = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for i in range(0, len(texts), _BATCH):       # an encoding is far larger than its ids
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(texts[i:i + _BATCH], add_special_tokens=False)]
+            count.append(np.fromiter(map(len, found), np.int64, len(found)))
+            ids.append(np.fromiter((i for x in found for i in x), np.uint32, int(count[-1].sum())))
+        return np.concatenate(ids), np.concatenate(count)
 
     def encode(self, data: np.ndarray, off: np.ndarray, a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of the rows [a, b) in a row, offsets per row)."""

@@ -35,7 +35,7 @@ SIZES = (512, 1024, 2048, 4096, 8192)
 #: all positions costs as much as computing them, in tokens
 OVERHEAD, SPAN = 32, 8192
 SHARD = 20_000
-_SLICE = 4 << 20
+_SLICE = 1 << 20
 
 
 def token_lengths(docs: DataFrame, tokenizer: str, end_tokens: int = 1) -> DataFrame:
