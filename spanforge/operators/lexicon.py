@@ -1,4 +1,4 @@
-"""Lexicon and corpus shaping."""
+"""Lexicon and corpus shaping."""
 
 from __future__ import annotations
 
@@ -52,6 +52,48 @@ def split_counts(df: DataFrame, split_col: str = "split", flag: str = "synthetic
         (F.count("*") - F.count_if(F.col(flag))).alias("n_before"))
 
 
+def describe_splits(df: DataFrame, columns: dict[str, Column], split_col: str = "split",
+                    edges: tuple[int, ...] = (1, 10, 100, 1000, 10000), accuracy: int = 10000,
+                    rsd: float = 0.02) -> DataFrame:
+    """One row per split and described column, all from one aggregation.
+
+    ``columns`` maps a name to the value to describe: a string or an array is measured
+    by its length, a number by itself.  Output: split, name, n_rows, n_null, minimum,
+    maximum, mean, median, p90 (of the measure, nulls left out), ``histogram`` (rows
+    below the first of the ascending ``edges``, then from each edge up to the next) and
+    ``n_distinct``.
+
+    ``n_distinct`` is a HyperLogLog++ estimate with relative standard deviation ``rsd``;
+    median and p90 are off by at most 1/``accuracy`` of the rows in rank.  Each
+    task sends one bounded sketch per split, so a split with most of the rows is no hot
+    key.  A column of nulls only has null measures, a zero histogram and no distinct
+    value; an empty frame gives no row."""
+    names, values = list(columns), list(columns.values())
+    types = [f.dataType for f in df.select(*[v.alias(f"c{k}") for k, v in enumerate(values)]).schema]
+    plain = df.select(F.col(split_col).alias("split"), *[v.alias(f"v{k}") for k, v in enumerate(values)],
+                      *[_measure(v, t).alias(f"m{k}") for k, (v, t) in enumerate(zip(values, types))])
+    per = []
+    for k in range(len(names)):
+        v, m = F.col(f"v{k}"), F.col(f"m{k}")
+        bins = ([F.count_if(m < edges[0])] + [F.count_if((m >= a) & (m < b)) for a, b in zip(edges, edges[1:])]
+                + [F.count_if(m >= edges[-1])])
+        ranks = F.percentile_approx(m, [0.5, 0.9], accuracy)
+        per.append(F.struct(F.lit(names[k]).alias("name"), F.count("*").alias("n_rows"),
+                            (F.count("*") - F.count(v)).alias("n_null"), F.min(m).alias("minimum"),
+                            F.max(m).alias("maximum"), F.avg(m).alias("mean"), F.get(ranks, 0).alias("median"),
+                            F.get(ranks, 1).alias("p90"), F.array(*bins).alias("histogram"),
+                            F.approx_count_distinct(v, rsd).alias("n_distinct")))
+    return plain.groupBy("split").agg(F.array(*per).alias("d")).select("split", F.inline("d"))
+
+
+def _measure(value: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.StringType):
+        return F.length(value).cast("double")
+    if isinstance(kind, T.ArrayType):
+        return F.when(value.isNotNull(), F.size(value)).cast("double")
+    return value.cast("double")
+
+
 def lexicon_by_source(lex: DataFrame, source: str, source_col: str = "source") -> DataFrame:
     """Choose one lexicon source (code list, curated list, fallback...)."""
     return lex.where(F.col(source_col) == F.lit(source))

@@ -1,8 +1,8 @@
 """Vectors and similarity.
 
 Pairs always come from a given pair list or an equi-join key — never a cross
-join.  Vector math stays in array expressions (JVM); a mean vector is a
-per-dimension ``avg`` so it combines map-side."""
+join.  Vector math stays in array expressions (JVM); a mean vector is
+summed in blocks of elements, so it combines map-side."""
 
 from __future__ import annotations
 
@@ -39,13 +39,27 @@ def cosine_pairs(pairs: DataFrame, vectors: DataFrame, a: str, b: str, vec_key:
     return j.withColumn("cosine", cosine(F.col("__va"), F.col("__vb"))).drop("__va", "__vb")
 
 
-def mean_vector(rows: DataFrame, key: list[str], vec_key: str, vectors: DataFrame, vec_col: str, dim: int) -> DataFrame:
-    """Mean of the row vectors per key.
+def mean_vector(rows: DataFrame, key: list[str], vec_key: str, vectors: DataFrame, vec_col: str,
+                block: int = 64) -> DataFrame:
+    """Mean of the row vectors per key (n_vectors, mean_vec), of any dimension.
 
     Occurrences are counted per (key, vector) first, so a vector is attached once per
-    distinct term; the weighted sums per dimension combine map-side."""
+    distinct term.  Vectors are summed in blocks of ``block`` elements, a row per (key,
+    block): the plan has ``block`` sums however long the vectors are, and they combine
+    map-side.  The blocks of a key are put together afterwards, one small array each.
+    Where vectors differ in length, an element's mean is over all ``n_vectors`` with the
+    missing ones as zero.  Null vectors don't count; empty ones count, without
+    elements.  A null element makes no contribution."""
     counted = rows.groupBy(*key, vec_key).agg(F.count("*").alias("__n"))
     v = lookup_vectors(counted, vectors, vec_key, vec_key, vec_col).where(F.col(vec_col).isNotNull())
-    sums = [F.sum(F.col("__n") * F.get(F.col(vec_col), k).cast("double")).alias(f"__d{k}") for k in range(dim)]
-    g = v.groupBy(*key).agg(F.sum("__n").alias("n_vectors"), *sums)
-    return g.select(*key, "n_vectors", F.array(*[F.col(f"__d{k}") / F.col("n_vectors") for k in range(dim)]).alias("mean_vec"))
+    last = F.greatest(F.ceil(F.size(vec_col) / block).cast("int") - 1, F.lit(0))
+    blocks = v.select(*key, "__n", vec_col, F.explode(F.sequence(F.lit(0), last)).alias("__b"))
+    at = F.col("__b") * block
+    sums = [F.coalesce(F.sum(F.col("__n") * F.get(F.col(vec_col), at + k).cast("double")), F.lit(0.0)) for k in range(block)]
+    g = blocks.groupBy(*key, "__b").agg(F.sum("__n").alias("__n"), F.max(F.size(vec_col)).alias("__dim"),
+                                        F.array(*sums).alias("__sums"))
+    part = F.sort_array(F.collect_list(F.struct("__b", "__n", "__dim", "__sums")))
+    g = g.groupBy(*key).agg(part.alias("__p"))
+    n, dim = F.get(F.col("__p"), 0)["__n"], F.array_max(F.col("__p.__dim"))
+    mean = F.transform(F.slice(F.flatten(F.col("__p.__sums")), F.lit(1), dim), lambda x: x / n)
+    return g.select(*key, n.alias("n_vectors"), mean.alias("mean_vec"))

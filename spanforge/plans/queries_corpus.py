@@ -323,6 +323,34 @@ def split_counts(spark, d):
     return lexicon.split_counts(_appended(spark, d))
 
 
+_DESCRIBED = (("sentence", "sentence", "length(sentence)"), ("ner_labels", "ner_class", "len(string_split(ner_class, ','))"))
+
+
+def _describe_sql():
+    parts = [f"SELECT split, '{name}' AS name, count(*)::BIGINT AS n_rows, (count(*) - count({col}))::BIGINT AS n_null, "
+             f"min({size})::DOUBLE AS minimum, max({size})::DOUBLE AS maximum, round(avg({size}), 6) AS mean, "
+             f"quantile_disc({size}, 0.5)::DOUBLE AS median, quantile_disc({size}, 0.9)::DOUBLE AS p90, "
+             + " || ',' || ".join(f"count_if({cond})::VARCHAR" for cond in
+                                  [f"{size} < 1"] + [f"{size} >= {a} AND {size} < {b}" for a, b in
+                                                     ((1, 10), (10, 100), (100, 1000), (1000, 10000))] + [f"{size} >= 10000"])
+             + " AS histogram FROM u GROUP BY split" for name, col, size in _DESCRIBED]
+    return (_lab() + ", u AS (SELECT split, sentence, ner_class FROM labelled "
+            "UNION ALL SELECT 'train', text, NULL FROM benchmark) " + " UNION ALL ".join(parts))
+
+
+@query("describe_splits", _describe_sql)
+def describe_splits(spark, d):
+    """Rows, nulls, lengths (range, mean, median, 90 %, histogram) of sentences and
+    label lists per split of the appended corpus; the distinct counts are estimates, so
+    they are held against exact counts in a test instead."""
+    labelled = B.labelled_sentences(spark, d).select("sentence", "ner_labels", "split")
+    u = lexicon.append_to_split(labelled, table(spark, d, "benchmark").select(F.col("text").alias("sentence")), "train")
+    # a rank error below one row for up to a million rows a split
+    r = lexicon.describe_splits(u, {"sentence": F.col("sentence"), "ner_labels": F.col("ner_labels.ner_class")},
+                                accuracy=1_000_000)
+    return r.drop("n_distinct").withColumn("histogram", F.array_join("histogram", ","))
+
+
 @query("head_k", lambda: _lab() + "SELECT sent_id, sentence FROM labelled ORDER BY sent_id LIMIT 5")
 def head_k(spark, d):
     """First k rows by key (top-k, not a full sort)."""

@@ -3,6 +3,8 @@ evaluation statistics (J), user functions (U)."""
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
 from spanforge.functions.arrays import pin
@@ -17,6 +19,7 @@ from spanforge.plans.queries_spans import _model_inputs, token_corpus
 from spanforge.plans.registry import query
 from spanforge.schemas import SEEDS_A
 from spanforge.session import table
+from spanforge.sources import sinks
 
 S = str(B.SEED)
 _TOK = [O.SENTENCES, O.PIECES, O.TOKENS]
@@ -199,15 +202,17 @@ def cosine_pairs(spark, d):
        "unnest(range(len(embedding))) AS k FROM tv) GROUP BY sent_id, k) "
        ", cnt AS (SELECT sent_id, count(*)::BIGINT AS n_vectors FROM tv GROUP BY sent_id) "
        "SELECT sent_id, n_vectors, round(max(CASE WHEN k = 0 THEN m END), 6) AS m0, "
-       "round(max(CASE WHEN k = 63 THEN m END), 6) AS m63, round(sqrt(sum(m * m)), 6) AS norm "
+       "round(max(CASE WHEN k = 63 THEN m END), 6) AS m63, round(sqrt(sum(m * m)), 6) AS norm, "
+       "string_agg(round(m * 1000000)::BIGINT::VARCHAR, ',' ORDER BY k) AS micro "
        "FROM dims JOIN cnt USING (sent_id) GROUP BY sent_id, n_vectors")
 def mean_vector(spark, d):
-    """Sentence vector = mean of its token vectors."""
-    emb = table(spark, d, "embeddings")
-    dim = emb.agg(F.max(F.size("embedding"))).first()[0] or 0
-    m = similarity.mean_vector(_tok_ids(spark, d), ["sent_id"], "vec_id", emb, "embedding", dim)
+    """Sentence vector = mean of its token vectors; ``micro`` holds all its elements
+    in millionths."""
+    m = similarity.mean_vector(_tok_ids(spark, d), ["sent_id"], "vec_id", table(spark, d, "embeddings"), "embedding")
+    micro = F.transform("mean_vec", lambda x: F.round(x * 1000000).cast("long").cast("string"))
     return m.select("sent_id", "n_vectors", F.get(F.col("mean_vec"), 0).alias("m0"),
-                    F.get(F.col("mean_vec"), 63).alias("m63"), similarity.norm(F.col("mean_vec")).alias("norm"))
+                    F.get(F.col("mean_vec"), 63).alias("m63"), similarity.norm(F.col("mean_vec")).alias("norm"),
+                    F.array_join(micro, ",").alias("micro"))
 
 
 # --- J: evaluation ---------------------------------------------------------------------
@@ -270,20 +275,22 @@ def _span_prf_sql():
     return O.with_(*ctes) + O.PRF_SELECT
 
 
+def _span_chunks(col):
+    return F.transform(col, lambda e: F.struct(e["label"].alias("type"), e["first_tok"].alias("first"),
+                                               (e["end_tok"] - 1).alias("last")))
+
+
 @query("span_prf", _span_prf_sql)
 def span_prf(spark, d):
     """Span scorer — gold token spans (aligned, de-overlapped labelled
     spans) vs predicted token spans (gazetteer), P/R/F overall and per type.
     Both annotations are derived from the same tokenised rows, so the scorer
-    is row-local plus one rollup; ``metrics.ner_prf_tables`` is the variant
-    for two separately stored annotation tables (full outer join by key)."""
+    is row-local plus one rollup; ``span_prf_tables`` scores two separately
+    stored annotation tables."""
     from spanforge.functions.arrays import pin
     from spanforge.operators import spans as SP
     from spanforge.operators.matching import with_phrase_matches
 
-    def chunks(col):
-        return F.transform(col, lambda e: F.struct(e["label"].alias("type"), e["first_tok"].alias("first"),
-                                                   (e["end_tok"] - 1).alias("last")))
     s = B.random_char_spans(_toks(spark, d))
     names = B.class_name_literal()
     al = F.transform(F.array_sort("spans"), lambda x: SP.align_expand(F.col("tokens"), x["start"], x["stop"])
@@ -291,10 +298,33 @@ def span_prf(spark, d):
     s = s.withColumn("gold", pin(SP.filter_spans(F.filter(al, lambda a: a.isNotNull()))))
     s = with_phrase_matches(s, B.phrases(spark, d))
     s = s.withColumn("pred", pin(SP.filter_spans(F.transform("matches", lambda x: x.dropFields("key")))))
-    s = s.select(chunks(F.col("gold")).alias("g"), chunks(F.col("pred")).alias("p"))
+    s = s.select(_span_chunks(F.col("gold")).alias("g"), _span_chunks(F.col("pred")).alias("p"))
     return metrics.ner_prf(s, "g", "p")
 
 
+@query("span_prf_tables", _span_prf_sql)
+def span_prf_tables(spark, d):
+    """J7 on two annotated corpora: the gold corpus and the predicted one are written as
+    tables of their own, bucketed and sorted by sentence, sentences without a span left
+    out; the scorer joins them bucket by bucket without a shuffle."""
+    from spanforge.operators import spans as SP
+    from spanforge.operators.matching import with_phrase_matches
+
+    s = B.random_char_spans(_toks(spark, d))
+    names = B.class_name_literal()
+    al = F.transform(F.array_sort("spans"), lambda x: SP.align_expand(F.col("tokens"), x["start"], x["stop"])
+                     .withField("label", F.get(names, x["ner_class"])))
+    gold = s.select("sent_id", pin(SP.filter_spans(F.filter(al, lambda a: a.isNotNull()))).alias("ents"))
+    m = with_phrase_matches(_toks(spark, d), B.phrases(spark, d))
+    pred = m.select("sent_id", pin(SP.filter_spans(F.transform("matches", lambda x: x.dropFields("key")))).alias("ents"))
+    stored = []
+    for name, corpus in (("gold", gold), ("pred", pred)):
+        path = sinks.scratch_path(spark, f"spans-{name}")
+        rows = corpus.where(F.size("ents") > 0).select("sent_id", _span_chunks(F.col("ents")).alias(name))
+        stored.append(sinks.write_bucketed(rows, os.path.basename(path).replace("-", "_"), path, "sent_id"))
+    return metrics.ner_prf_tables(*stored, "sent_id", "gold", "pred")
+
+
 @query("user_metric", lambda: O.with_(*O.scoring_ctes()) +
        ", g AS (SELECT sent_id, string_agg(type || first || '-' || last, ';' ORDER BY first) AS c FROM gold_chunks GROUP BY sent_id), "
        "p AS (SELECT sent_id, string_agg(type || first || '-' || last, ';' ORDER BY first) AS c FROM pred_chunks GROUP BY sent_id) "
@@ -411,15 +441,38 @@ def udf_batch_map(spark, d):
     return pipeline.batch_map(s, fn, "sent_id long, n_commas long")
 
 
-@query("pipeline_order", lambda: O.with_(*_TOK) +
-       "SELECT s.sent_id, count(t.i)::INTEGER AS n_tokens, 'keys,tokenize,length' AS components "
-       "FROM sentences s LEFT JOIN tokens t USING (sent_id) GROUP BY s.sent_id")
-def pipeline_order(spark, d):
-    """U3 (+U5): named components with placement, run over the corpus; the
-    output lists each sentence with the component order applied."""
+def _components():
     p = pipeline.Pipeline()
     p.add("tokenize", tokens.tokenize)
     p.add("length", lambda df: df.withColumn("n_tokens", F.size("tokens")), after="tokenize")
     p.add("keys", lambda df: df.select("sent_id", "sentence"), first=True)
+    return p
+
+
+@query("pipeline_order", lambda: O.with_(*_TOK) +
+       "SELECT s.sent_id, count(t.i)::INTEGER AS n_tokens, 'keys,tokenize,length' AS components "
+       "FROM sentences s LEFT JOIN tokens t USING (sent_id) GROUP BY s.sent_id")
+def pipeline_order(spark, d):
+    """Named components with placement, run over the corpus; the output lists each
+    sentence with the component order applied."""
+    p = _components()
     order = ",".join(p.names)
     return p(B.sentences(spark, d)).select("sent_id", "n_tokens", F.lit(order).alias("components"))
+
+
+@query("pipeline_stream", lambda: O.with_(*_TOK) +
+       "SELECT s.sent_id, count(t.i)::INTEGER AS n_tokens, 'keys,tokenize,length' AS components "
+       "FROM sentences s LEFT JOIN tokens t USING (sent_id) GROUP BY s.sent_id")
+def pipeline_stream(spark, d):
+    """The named components of ``pipeline_order`` over a stream of texts: sentences
+    land as JSONL files, a checkpointed file-source stream puts each through the chain
+    and appends it to a Parquet table, which is read back."""
+    from spanforge.streaming.corpus_stream import start_component_stream
+    src, out = sinks.scratch_path(spark, "texts"), sinks.scratch_path(spark, "components")
+    sinks.write_jsonl(B.sentences(spark, d).select("sent_id", "sentence"), src)
+    p = _components()
+    q = start_component_stream(spark, p, src, "sent_id long, sentence string", out, name=os.path.basename(out),
+                               columns=["sent_id", "n_tokens"])
+    q.awaitTermination()
+    rows = spark.read.schema("sent_id long, n_tokens int").parquet(out)
+    return rows.select("sent_id", "n_tokens", F.lit(",".join(p.names)).alias("components"))

@@ -43,6 +43,20 @@ def write_corpus(df: DataFrame, path: str, split_col: str = "split") -> None:
     df.write.mode("overwrite").partitionBy(split_col).parquet(path)
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int | None = None) -> DataFrame:
+    """A13 for joins by ``key``: a table of ``buckets`` files (default: the session's
+    shuffle partitions), each holding all rows of its keys, sorted by them.
+
+    The rows are shuffled once, by the writer's own hash, so a bucket is one file; every
+    later join or grouping by ``key`` of tables with as many buckets needs no exchange.
+    ``name`` stays in the catalog for later readers; the files lie at ``path``."""
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+     .option("path", path).saveAsTable(name))
+    return spark.table(name)
+
+
 def write_metrics(df: DataFrame, path: str) -> None:
     """Metric rows as JSON, in as many files as the plan has partitions (an
     aggregate of few rows has one after adaptive coalescing)."""

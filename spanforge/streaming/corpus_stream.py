@@ -10,6 +10,7 @@ the shared ``spark.checkpoint.dir``; a restarted query resumes from it.
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,3 +47,21 @@ def start_token_corpus_stream(spark: SparkSession, in_dir: str, out_dir: str, na
          .partitionBy("split").outputMode("append"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()
+
+
+def start_component_stream(spark: SparkSession, components: Callable[[DataFrame], DataFrame], in_dir: str, schema: str,
+                           out_dir: str, name: str, columns: list[str], available_now: bool = True):
+    """Put every text of the JSONL files arriving in ``in_dir`` through a chain of
+    components (``operators.pipeline.Pipeline`` or any function of a DataFrame that only
+    works within rows) and append ``columns`` to Parquet at ``out_dir``; returns the
+    StreamingQuery.
+
+    Progress is checkpointed under ``name``: started again after a stop or a crash, the
+    stream goes on with the files it hasn't finished, and the file sink's log keeps a
+    file's rows from being counted twice.  A text file without rows gives none."""
+    ckpt = os.path.join(ensure_checkpoint_dir(spark), "streams", name)
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 64).json(in_dir)
+    w = (components(src).select(*columns).writeStream.format("parquet").option("path", out_dir)
+         .option("checkpointLocation", ckpt).outputMode("append"))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
+    return w.start()
