@@ -17,25 +17,31 @@ from .scratch import map_batches, materialise
 from .wordarrays import mix64
 
 _HASHES = 4
+_SEGMENTS = 64       # a key sets bits in one segment, which its low bits name
 
 
 class Bloom:
     def __init__(self, bits: np.ndarray):
-        self.bits, self.mask = bits, np.uint64(len(bits) * 8 - 1)
+        self.bits, self.each = bits, np.uint64(len(bits) * 8 // _SEGMENTS)
+
+    def starts(self, keys: np.ndarray) -> np.ndarray:
+        """The first bit of each key's segment."""
+        return (keys.view(np.uint64) & np.uint64(_SEGMENTS - 1)) * self.each
 
     def places(self, keys: np.ndarray) -> Iterator[np.ndarray]:
         """Bit numbers of each key, one array per hash."""
         one = mix64(keys.view(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
         two = mix64(one) | np.uint64(1)
+        start = self.starts(keys)
         for i in range(_HASHES):
-            yield (one + np.uint64(i) * two) & self.mask
+            yield start + ((one + np.uint64(i) * two) & (self.each - np.uint64(1)))
 
     def may_hold(self, keys: np.ndarray) -> np.ndarray:
         left = np.arange(len(keys))
         one = mix64(keys.view(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
-        two = None
+        two, start = None, self.starts(keys)
         for i in range(_HASHES):
-            at = one & self.mask
+            at = start[left] + (one & (self.each - np.uint64(1)))
             some = np.flatnonzero((self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1))
             left, one = left[some], one[some]
             two = mix64(one) | np.uint64(1) if two is None else two[some]   # of the first hash, before steps
@@ -46,8 +52,10 @@ class Bloom:
 
 
 def bloom(keys: DataFrame, bits_per_key: int = 12, max_bytes: int = 8 << 20) -> Bloom:
-    """The filter of a one-column DataFrame of longs.  What reaches the driver are the
-    64-bit cells that are set: ``max_bytes`` at most, whatever the number of keys."""
+    """The filter of a one-column DataFrame of longs.  Keys are moved by segment first, so
+    a cell is filled in one task, and tasks give out no more cells than the filter has,
+    however many tasks there are.  What reaches the driver are the 64-bit cells that are
+    set: ``max_bytes`` at most, whatever the number of keys."""
     wanted = max(1 << 13, min(8 * max_bytes, bits_per_key * keys.count()))
     size = 1 << (wanted - 1).bit_length() if wanted < 8 * max_bytes else 8 * max_bytes
     empty = Bloom(np.zeros(size // 8, np.uint8))
@@ -63,10 +71,12 @@ def bloom(keys: DataFrame, bits_per_key: int = 12, max_bytes: int = 8 << 20) ->
             part = some[i:i + (1 << 16)]
             yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(words[part])], names=["cell", "bits"])
 
-    found = (map_batches(keys, run, "cell long, bits long").groupBy("cell")
-             .agg(F.bit_or("bits").alias("bits")).toArrow())
+    key = F.col(keys.columns[0])
+    dealt = keys.repartition(key.bitwiseAND(F.lit(_SEGMENTS - 1).cast("long")))
+    found = map_batches(dealt, run, "cell long, bits long").toArrow()
     cells = np.zeros(size // 64, np.int64)
-    cells[np.asarray(found["cell"])] = np.asarray(found["bits"])
+    # adaptive execution may split a large segment over tasks
+    np.bitwise_or.at(cells, np.asarray(found["cell"]), np.asarray(found["bits"]))
     return Bloom(cells.view(np.uint8))
 
 
