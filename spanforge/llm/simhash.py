@@ -2,15 +2,17 @@
 
 Fingerprints: A-Z lowered, words ``[^\\x20\\x09-\\x0D]+``, word shingles with
 repeats, XXH64 (UTF-8, seed 42) per shingle, a bit is 1 if set in over half of
-the hashes.  Links: the 64 bits are cut into ``segments``; two fingerprints
-within ``max_bits`` agree in some segment up to ``max_bits // segments`` bits.
+the hashes.  Links: the 64 bits are cut into segments, whose number follows from the
+count of fingerprints (``segments_for``); every number gives the same links.  Two
+fingerprints within ``max_bits`` agree in some segment up to that segment's radius.
 Each distinct fingerprint is stored under its own segment values and looked up
 under every value of the segment's Hamming ball; table matches are verified on
 the complete 64 bits.  Within a table entry members are compared with its smallest
 one first, then only across the components found so far, so a large group of
 near-copies costs a pair per member.  For a differing bit exactly one of two values has it set,
 so a probe only clears set bits or keeps the value, and each side probes: every
-pair is still met, at half the probes.
+pair is still met, at half the probes.  With a radius over one a fingerprint is also
+stored under the smaller ball that the other side's probes leave over.
 
 Defined results: a null or empty text has fingerprint 0 and is linked like any
 other; equal fingerprints are one node, so copies are never paired; repeated rows
@@ -21,6 +23,7 @@ ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +37,7 @@ from .scratch import map_batches, materialise, release, row_key
 
 _digest = xxhash.xxh64_digest
 _BLOCK = 1 << 18
+_ROW = 32       # a row written to or looked up in a table costs about as much as so many comparisons
 
 
 def fingerprint(text: str | None, shingle: int) -> int:
@@ -68,14 +72,38 @@ def fingerprints(docs: DataFrame, shingle: int = 4, keep: tuple[str, ...] = ())
                        + "".join(f", {c} long" for c in keep))
 
 
-def _segments(segments: int) -> list[tuple[int, int]]:
-    """(shift, width) of each segment; widths differ by one at most."""
+def _segments(segments: int, max_bits: int) -> list[tuple[int, int, int]]:
+    """(shift, width, radius) of each segment needed; widths differ by one at most.
+
+    With q, r = divmod(max_bits, segments) the first r + 1 segments get radius q and the
+    others q - 1: two values beyond all of these radii differ in (r + 1)(q + 1) +
+    (segments - r - 1) q = max_bits + 1 bits at least.  A segment of radius -1 isn't needed.
+    """
     cuts = [64 * i // segments for i in range(segments + 1)]
-    return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
+    q, r = divmod(max_bits, segments)
+    found = [(a, b - a, q if i <= r else q - 1) for i, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+    return [s for s in found if s[2] >= 0]
+
+
+def segments_for(count: int, max_bits: int, most: int = 3) -> int:
+    """The number of segments, up to ``most``, that costs least for ``count`` fingerprints.
+
+    Few long segments need large balls, that is rows; many short ones have so few values
+    that fingerprints meet by chance.  Rows and chance meetings are those of values with
+    half of their bits set.
+    """
+    def cost(segments: int) -> float:
+        total = 0.0
+        for _, width, radius in _segments(segments, max_bits):
+            stored, looked = (sum(math.comb(width // 2, i) for i in range(r + 1)) for r in (radius // 2, radius))
+            total += _ROW * (stored + looked) + stored * looked * count / 2 ** width
+        return total
+
+    return min(range(1, max(1, min(most, max_bits)) + 1), key=cost)
 
 
 def _value(shift: int, width: int):
-    return F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit((1 << width) - 1))
+    return F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit((1 << width) - 1 if width < 64 else -1))
 
 
 def _ball(value, width: int, radius: int):
@@ -96,37 +124,30 @@ def _near(a: str, b: str, max_bits: int):
 def _tables(prints: DataFrame, max_bits: int, segments: int) -> tuple[DataFrame, DataFrame]:
     """``(fp, seg, key)`` rows: where fingerprints are stored, and where they look.
 
-    Two values whose bits differ by d in a segment meet at the value with the d
-    bits cleared on whichever side has them set; with both sides probing, every
-    split of the differing bits is met.
+    Two values whose bits differ by d in a segment meet at the value with the d bits
+    cleared on whichever side has them set.  One side has d // 2 of them at most: stored
+    under its ball of radius // 2, it is found by the other side's ball of the radius.
     """
     def keyed(number: int):
         return lambda v: F.struct(F.lit(number).alias("seg"), v.alias("key"))
 
-    radius = max_bits // segments
     table, probes = [], []
-    for i, (shift, width) in enumerate(_segments(segments)):
+    for i, (shift, width, radius) in enumerate(_segments(segments, max_bits)):
         own = _value(shift, width)
-        table.append(keyed(i)(own))
+        table.append(F.transform(_ball(own, width, radius // 2), keyed(i)))
         probes.append(F.transform(_ball(own, width, radius), keyed(i)))
-    if radius == 0:
-        looked = prints.select("fp", F.inline(F.array(*table)))
-        return looked, looked
-    looked = prints.select("fp", F.inline(F.concat(*probes)))
-    # cleared on one side only: the other side holds the value itself; bits
-    # cleared on both sides need the ball on both sides (radius over one)
-    return (looked if radius > 1 else prints.select("fp", F.inline(F.array(*table)))), looked
+    return prints.select("fp", F.inline(F.concat(*table))), prints.select("fp", F.inline(F.concat(*probes)))
 
 
-def links(prints: DataFrame, max_bits: int = 4, segments: int = 3) -> DataFrame:
+def links(prints: DataFrame, max_bits: int = 4, segments: int | None = None) -> DataFrame:
     """Distinct ``fp`` -> every ``(src, dst)`` within ``max_bits``, src < dst."""
-    stored, looked = _tables(prints, max_bits, segments)
+    stored, looked = _tables(prints, max_bits, segments or segments_for(prints.count(), max_bits))
     a, b = looked.withColumnRenamed("fp", "a"), stored.withColumnRenamed("fp", "b")
     return (a.join(b, (a["seg"] == b["seg"]) & (a["key"] == b["key"]) & (F.col("a") != F.col("b")) & _near("a", "b", max_bits))
             .select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).distinct())
 
 
-def components(prints: DataFrame, max_bits: int = 4, segments: int = 3) -> DataFrame:
+def components(prints: DataFrame, max_bits: int = 4, segments: int | None = None) -> DataFrame:
     """Distinct ``fp`` -> ``(node, component)`` of those that have a link.
 
     The components of all links, without forming all links of a large group.  First
@@ -135,7 +156,7 @@ def components(prints: DataFrame, max_bits: int = 4, segments: int = 3) -> DataF
     and one of the two isn't in the smallest one's component: members outside it are
     compared with all, members inside it with those outside.
     """
-    stored, looked = _tables(prints, max_bits, segments)
+    stored, looked = _tables(prints, max_bits, segments or segments_for(prints.count(), max_bits))
     entries = stored.groupBy("seg", "key").agg(F.min("fp").alias("first"), F.count("*").alias("n"))
     entries = materialise(entries, "entries")      # a table: the join below can split a hot entry
     # an entry of one member needs no second round: only its verified matches stay
@@ -170,14 +191,14 @@ def components(prints: DataFrame, max_bits: int = 4, segments: int = 3) -> DataF
     return connected_components(star.union(more.distinct()))
 
 
-def _rooted(prints: DataFrame, max_bits: int, segments: int) -> DataFrame:
+def _rooted(prints: DataFrame, max_bits: int, segments: int | None) -> DataFrame:
     """Distinct ``fp`` and other columns -> the same with ``root``, its component."""
     groups = components(prints.select("fp"), max_bits, segments)
     return (prints.join(groups, prints["fp"] == groups["node"], "left")
             .withColumn("root", F.coalesce("component", "fp")).drop("node", "component"))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, segments: int = 3) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, segments: int | None = None) -> DataFrame:
     """``(doc_id, text)`` -> ``(doc_id, fp, component_id)``, a row per row;
     component_id is the smallest doc_id whose fingerprint is reachable."""
     rows = materialise(fingerprints(docs, shingle), "fingerprints")
@@ -188,7 +209,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, segmen
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def one_per_group(docs: DataFrame, shingle: int = 4, max_bits: int = 4, segments: int = 3) -> DataFrame:
+def one_per_group(docs: DataFrame, shingle: int = 4, max_bits: int = 4, segments: int | None = None) -> DataFrame:
     """Documents without the near-duplicates, decided row by row: of the rows of a
     component the one with the smallest (doc_id, hash of the row) stays, a null doc_id
     last.  Of rows that agree in doc_id and text one stays, the one whose other columns

@@ -575,9 +575,9 @@ def components(nodes, linked):
     return {n: find(n) for n in nodes}
 
 
-@pytest.mark.parametrize("max_bits,segments", [(4, 3), (4, 4), (5, 2), (3, 4)])
+@pytest.mark.parametrize("max_bits,segments", [(4, 3), (4, 4), (5, 2), (3, 4), (4, 2), (2, 4), (4, None)])
 def test_links_lose_nothing(spark, max_bits, segments):
-    rnd = random.Random(max_bits * 10 + segments)
+    rnd = random.Random(max_bits * 10 + (segments or 0))
     prints = {rnd.getrandbits(64) for _ in range(40)} | {0}
     for p in list(prints):
         for _ in range(6):
@@ -594,6 +594,15 @@ def test_links_lose_nothing(spark, max_bits, segments):
     assert {p: found.get(p, p) for p in signed} == whole
 
 
+def test_segments_follow_from_the_count():
+    for max_bits in range(7):
+        for segments in range(1, 7):
+            radii = [r for *_, r in simhash._segments(segments, max_bits)]
+            assert sum(r + 1 for r in radii) == max_bits + 1      # beyond all radii: over max_bits
+    assert simhash.segments_for(0, 4) == simhash.segments_for(10 ** 7, 4) == 3
+    assert simhash.segments_for(10 ** 10, 4) == 2 and simhash.segments_for(10 ** 5, 0) == 1
+
+
 def test_simhash_classes(spark, words, odd, empty):
     rnd = random.Random(11)
     rows = [(r.doc_id, r.text) for r in odd.collect()]
