@@ -52,8 +52,9 @@ def dense_index(lex: DataFrame, order: list[str]) -> DataFrame:
 
 def draw_from(rows: DataFrame, terms: DataFrame, idx_expr: Column, out: str) -> DataFrame:
     """Attach the term at ``idx_expr`` of ``(idx, term)`` as ``out``: a join on the
-    (uniform) index, broadcast if the optimizer's byte statistics allow."""
-    side = terms.select(F.col("idx").alias(f"__i_{out}"), F.col("term").alias(out))
+    (uniform) index.  It is a merge join: by its file statistics a well compressed lexicon
+    looks small enough to be broadcast, whatever its number of terms."""
+    side = terms.select(F.col("idx").alias(f"__i_{out}"), F.col("term").alias(out)).hint("merge")
     r = rows.withColumn(f"__i_{out}", idx_expr)
     return r.join(side, f"__i_{out}", "left").drop(f"__i_{out}")
 

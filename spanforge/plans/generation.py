@@ -3,9 +3,8 @@
 rows to generate: ``orders.o_orderkey``; medication lexicon: ``part.p_name``;
 diagnosis lexicon: ``nation.n_name`` (source ``code_list``) or ``part.p_type`` (source
 ``fallback``); dose values: ``part`` sizes with a fraction; dose units:
-``lower(part.p_type)``.  Shape: scan -> draws per slot as columns (Project) -> a lookup
-join per slot in the one lexicon table (one broadcast for all, if its statistics
-allow) -> prompt (Project).  Rows are never exploded or put together again.
+``lower(part.p_type)``.  Shape: scan -> draws (Project) -> the lookups of all slots in one
+join with the one lexicon table -> put together by row -> prompt (Project).
 """
 
 from __future__ import annotations
@@ -28,6 +27,8 @@ VALUE, UNIT = "Dosis-Wert", "Dosis-Einheit"
 #: Which source a label's terms are drawn from
 SOURCES = {"Medikation": "curated", "Diagnose": "code_list", VALUE: "code_list", UNIT: "code_list"}
 _CODE = {"Medikation": 0, "Diagnose": 1, VALUE: 2, UNIT: 3}
+#: places that the draws of a label are spread over at least in the lookup join
+LOOKUP_SPREAD = 4096
 _SALT = {"Medikation": "med", "Diagnose": "diag", VALUE: "val", UNIT: "unit"}
 
 
@@ -65,9 +66,11 @@ def entity_rows(spark: SparkSession, d: str, rows: DataFrame | None = None,
     """One row per generation attempt with its ordered entity list.
 
     ``rows``: the attempts (default: all); ``shape``: the label template of a row (C2,
-    or C3's pool), of ``slots`` labels at most; ``sources``: C9's switch.  A slot's term
-    is two columns, (label code, index), looked up in the one lexicon table; a dose's
-    unit is looked up beside its value."""
+    or C3's pool), of ``slots`` labels at most; ``sources``: C9's switch.  What a row asks
+    of the lexicon table are small rows of their own, (label code, index): one for each
+    slot, for a dose one for its value and one for its unit.  They meet the lexicon in one
+    merge join, however large it is, and are put together by row, at most two a slot.  A
+    short lexicon is repeated (``LOOKUP_SPREAD``), so that no term is a hot key."""
     lex = lexicon(spark, d)
     n = {label: size_of(lex, source, label) for label, source in sources.items()}
     chosen = F.lit(False)
@@ -76,31 +79,40 @@ def entity_rows(spark: SparkSession, d: str, rows: DataFrame | None = None,
     code = F.lit(None).cast("int")
     for label, number in _CODE.items():
         code = F.when(F.col("label") == label, number).otherwise(code)
-    terms = lex.where(chosen).select(code.alias("__code"), F.col("idx").alias("__idx"), F.col("term").alias("__term"))
     r = F.col("row_id")
-    df = (gen_rows(spark, d) if rows is None else rows).select("row_id", pin(shape(SEED, r)).alias("__shape"))
-
-    def drawn(slot: int, label: str) -> Column:
-        return draw_index(n[label], SEED, r, F.lit(slot), _SALT[label])
-
-    def looked_up(df: DataFrame, at_code: Column, at_idx: Column, out: str) -> DataFrame:
-        side = terms.select(F.col("__code").alias("__c"), F.col("__idx").alias("__i"), F.col("__term").alias(out))
-        df = df.withColumns({"__at_code": at_code, "__at_idx": at_idx})
-        return df.join(side, (F.col("__at_code") == F.col("__c")) & (F.col("__at_idx") == F.col("__i")), "left").drop(
-            "__at_code", "__at_idx", "__c", "__i")
 
+    def spread(size: Column) -> Column:
+        return F.greatest(F.ceil(F.lit(LOOKUP_SPREAD) / size).cast("int"), F.lit(1))
+
+    def asked(slot: int, part: int, label: str) -> Column:
+        idx = draw_index(n[label], SEED, r, F.lit(slot), _SALT[label])
+        salt = F.pmod(F.xxhash64(r, F.lit(slot)), spread(n[label])).cast("int")
+        return F.struct(F.lit(2 * slot + part).alias("__at"), F.lit(_CODE[label]).alias("__code"), idx.alias("__idx"),
+                        salt.alias("__salt"))
+
+    terms = lex.where(chosen).select(code.alias("__code"), F.col("idx").alias("__idx"), F.col("term").alias("__term"),
+                                     F.explode(F.sequence(F.lit(0), spread(F.col("n")) - 1)).alias("__salt"))
+    # all that is drawn follows from the row's id: rows that share one are made once
+    made_once = (gen_rows(spark, d) if rows is None else rows).groupBy("row_id").agg(F.count("*").cast("int").alias("__copies"))
+    labels = [F.get("__shape", F.lit(slot)) for slot in range(slots)]
+    lookups = []
+    for slot, label in enumerate(labels):
+        value = F.when(label == "Dosis", asked(slot, 0, VALUE))
+        for name in ("Medikation", "Diagnose"):
+            value = value.when(label == name, asked(slot, 0, name))
+        lookups += [value, F.when(label == "Dosis", asked(slot, 1, UNIT))]
+    rows_asked = (made_once.select("row_id", "__copies", pin(shape(SEED, r)).alias("__shape"))
+                  .select("row_id", "__copies", F.inline_outer(F.array_compact(F.array(*lookups)))))
+    # merged, not broadcast: by its file statistics a well compressed lexicon looks small
+    found = rows_asked.join(terms.hint("merge"), ["__code", "__idx", "__salt"], "left")
+    entries = F.collect_list(F.when(F.col("__at").isNotNull(), F.struct("__at", "__term")))
+    df = (found.groupBy("row_id", "__copies").agg(F.map_from_entries(entries).alias("__found"))
+          .select("row_id", "__found", F.explode(F.array_repeat(F.lit(1), F.col("__copies"))).alias("__copy"))
+          .select("row_id", "__found", pin(shape(SEED, r)).alias("__shape")))
     made = []
-    for slot in range(slots):
-        label = F.get("__shape", F.lit(slot))
-        which = F.when(label == "Dosis", F.lit(VALUE)).otherwise(label)
-        at_code, at_idx = F.lit(None).cast("int"), F.lit(None).cast("int")
-        for name in ("Medikation", "Diagnose", VALUE):
-            at_code = F.when(which == name, _CODE[name]).otherwise(at_code)
-            at_idx = F.when(which == name, drawn(slot, name)).otherwise(at_idx)
-        df = looked_up(df, at_code, at_idx, f"__t{slot}")
-        df = looked_up(df, F.when(label == "Dosis", _CODE[UNIT]), F.when(label == "Dosis", drawn(slot, UNIT)), f"__u{slot}")
-        dose = sampling.dosage_text(F.col(f"__t{slot}"), F.col(f"__u{slot}"), SEED, r, F.lit(slot))
-        text = F.when(label == "Dosis", dose).otherwise(F.col(f"__t{slot}"))
+    for slot, label in enumerate(labels):
+        term, unit = (F.element_at("__found", F.lit(2 * slot + part)) for part in (0, 1))
+        text = F.when(label == "Dosis", sampling.dosage_text(term, unit, SEED, r, F.lit(slot))).otherwise(term)
         made.append(F.when(label.isNotNull(), F.struct(text.alias("text"), label.alias("label"))))
     return df.select("row_id", pin(F.array_compact(F.array(*made))).alias("entities"))
 
