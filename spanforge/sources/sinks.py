@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from spanforge.session import ensure_checkpoint_dir
 
 BOM = "\ufeff"
+#: files that a task of ``write_corpus`` has open at most
+OPEN_SPLITS = 8
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -39,8 +41,18 @@ def write_jsonl(df: DataFrame, path: str) -> None:
 
 
 def write_corpus(df: DataFrame, path: str, split_col: str = "split") -> None:
-    """Columnar corpus partitioned by split (pruned on read)."""
-    df.write.mode("overwrite").partitionBy(split_col).parquet(path)
+    """Columnar corpus partitioned by split (pruned on read).
+
+    A task keeps a file open for each of the few splits; else it would sort its rows, and
+    spill whole token arrays, to have one file open at a time.  More than ``OPEN_SPLITS``
+    splits are sorted."""
+    conf, key = df.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(key)
+    conf.set(key, OPEN_SPLITS)
+    try:
+        df.write.mode("overwrite").partitionBy(split_col).parquet(path)
+    finally:
+        conf.set(key, before)
 
 
 def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int | None = None) -> DataFrame:
