@@ -48,3 +48,68 @@ def test_lexicon_lookups_are_one_merge_join(spark, shop):
                 assert y.text == lex["code_list", "Diagnose"][want[x.row_id][f"diag{slot}"]]
             else:
                 assert "type" in y.text
+
+
+def test_mean_vector_shuffles_no_sums(spark):
+    from spanforge.operators import similarity
+    rows = spark.createDataFrame([(k % 3 if k % 7 else None, k % 5) for k in range(40)], "sent_id long, vec_id long")
+    vectors = spark.createDataFrame([(k, [float(k), 1.0]) for k in range(4)] + [(3, [30.0])], "vec_id long, emb array<float>")
+    m = similarity.mean_vector(rows, ["sent_id"], "vec_id", vectors, "emb", rows_at_once=2)     # several groups
+    assert "partial_sum" not in plan_of(m)
+    want = {}
+    for x in rows.collect():
+        for v in vectors.collect():
+            if v.vec_id == x.vec_id:
+                want.setdefault(x.sent_id, []).append([*v.emb, 0.0][:2])
+    got = {x.sent_id: (x.n_vectors, x.mean_vec) for x in m.collect()}
+    assert got.keys() == want.keys()
+    for key, vs in want.items():
+        assert got[key] == (len(vs), pytest.approx([sum(e) / len(vs) for e in zip(*vs)]))
+
+
+def test_token_offsets_are_made_by_batch(spark):
+    import re
+
+    from spanforge.operators import tokens
+    texts = [None, "", " ", "ab, c", " \U0001f600 x\n\ty ", "é" * 50 + " z", None, "."]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, sentence string").coalesce(1)
+    t = tokens.tokenize(df)
+    assert "ArrowEvalPython" in plan_of(t) and "aggregate(" not in plan_of(t)
+    for x in t.collect():
+        want = None if x.sentence is None else [
+            (i, p.group(), p.start(), p.end(), x.sentence[p.end():p.end() + 1].isspace())
+            for i, p in enumerate(re.finditer(r"\w+|[^\w\s]", x.sentence))]
+        assert (x.tokens and [tuple(y) for y in x.tokens]) == (want or x.tokens) and (x.tokens is None) == (want is None)
+
+
+def test_corpus_is_written_without_a_sort(spark, tmp_path):
+    from spanforge.sources import sinks
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before, during = spark.conf.get(key), []
+
+    class Written:
+        sparkSession = spark
+        write = property(lambda self: self)
+
+        def mode(self, how):
+            return self
+        partitionBy = mode
+
+        def parquet(self, path):
+            during.append(int(spark.conf.get(key)))
+    sinks.write_corpus(Written(), str(tmp_path / "none"))
+    assert during[0] >= 3 and spark.conf.get(key) == before
+    path = str(tmp_path / "corpus")
+    sinks.write_corpus(spark.range(30).selectExpr("id", "concat('s', id % 12) AS split"), path)   # more than are kept open
+    assert sorted((x.id, x.split) for x in spark.read.parquet(path).collect()) == sorted((k, f"s{k % 12}") for k in range(30))
+
+
+def test_vector_lookup_sums_a_vector_once(spark, tmp_path):
+    import __spark_entry__ as entry
+    spark.createDataFrame([(1, "a b a"), (2, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(0, [1.0, 2.5]), (1, None)], "vec_id long, embedding array<float>").write.parquet(
+        f"{tmp_path}/embeddings.parquet")
+    v = entry.queries()["vector_lookup"](spark, str(tmp_path))
+    plan = v._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("aggregate(") > plan.index("Join")
+    assert all((x.v0, x.total) == ((1.0, 3.5) if x.vec_id == 0 else (None, None)) for x in v.collect())
