@@ -113,3 +113,51 @@ def test_vector_lookup_sums_a_vector_once(spark, tmp_path):
     plan = v._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("aggregate(") > plan.index("Join")
     assert all((x.v0, x.total) == ((1.0, 3.5) if x.vec_id == 0 else (None, None)) for x in v.collect())
+
+
+def test_draws_of_a_batch_equal_the_expression(spark):
+    from spanforge.functions.hashing import unit_draw, unit_draws
+    rows = [(0, "7", list(range(120))), (1, None, [1, 2]), (2, "k" * 70, [5] * 11), (3, "", []), (4, "x", None), (5, "é", [0] * 1001)]
+    df = spark.createDataFrame(rows, "k int, key string, over array<int>").coalesce(1)
+    made = df.select("k", unit_draws(F.col("over"), 3, 42, F.col("key"), "logit").alias("u"))
+    assert "ArrowEvalPython" in plan_of(made) and "md5" not in plan_of(made)
+    want = df.select("k", F.transform("over", lambda _, p: F.transform(
+        F.sequence(F.lit(0), F.lit(2)), lambda c: unit_draw(42, F.col("key"), p, c, "logit"))).alias("u"))
+    assert {x.k: x.u for x in made.collect()} == {x.k: x.u for x in want.collect()}
+
+
+def test_argmax_of_a_batch(spark):
+    from spanforge.operators import bio
+    nan = float("nan")
+    rows = [[[0.5, 2.0, 2.0], [-1.0, -2.0, -3.0]], [[1.0, nan, nan]], [], None, [[0.0, -0.0], [None, 3.0], None, [], [None]]]
+    df = spark.createDataFrame(list(enumerate(rows)), "k int, s array<array<double>>").coalesce(1)
+    got = df.select("k", bio.argmax_rows(F.col("s")).alias("a"), F.transform("s", bio.argmax).alias("b"))
+    assert "ArrowEvalPython" in plan_of(got) and all(x.a == x.b for x in got.collect())
+    full = got.where(F.col("k") < 1)                       # scores of one width, without nulls
+    assert full.first().a == [1, 0]
+    words = spark.createDataFrame([([["b", "c", "a"], [None, "a"]],)], "s array<array<string>>")
+    assert words.select(bio.argmax_rows(F.col("s"))).first()[0] == [1, 1]
+
+
+def test_labels_of_a_batch(spark):
+    """Nulls, rows next to each other and a long entity; no walk over a row's tokens."""
+    from spanforge.operators import bio
+    rows = [([(0, 3), (4, 9)], [(0, 9, 0)]), ([(0, 3), (4, 9)], []), (None, [(0, 3, 1)]), ([(0, 3)], None),
+            ([(0, 0), (0, 3), (3, 4), (0, 0)], [(0, 4, None), (None, 9, 1), (0, None, 2), None]),
+            ([(2 * i, 2 * i + 1) for i in range(1000)], [(10, 1501, 2), (0, 2000, 1)]), ([], [(0, 1, 0)])]
+    df = spark.createDataFrame([(k, *x) for k, x in enumerate(rows)], "k int, o array<struct<start:int,stop:int>>, "
+                               "e array<struct<start:int,stop:int,class_id:int>>").coalesce(1)
+    labels = df.select("k", bio.token_labels(F.col("o"), F.col("e")).alias("l"))
+    assert "ArrowEvalPython" in plan_of(labels) and "aggregate(" not in plan_of(labels)
+    want = [[1, 2], [0, 0], None, None, [-100, -1, 0, -100], [3] + [4] * 4 + [5] + [6] * 745 + [4] * 249, []]
+    assert [x.l for x in labels.orderBy("k").collect()] == want
+
+
+def test_masked_and_counted_once(spark):
+    from spanforge.operators import bio, metrics
+    df = spark.createDataFrame([([1, 2, None, 3], [1, -100, 2, None]), ([1], [1, 0]), (None, [1]), ([], [])],
+                               "p array<int>, g array<int>")
+    m = df.select(bio.mask_ignored(F.col("p"), F.col("g")).alias("m"))
+    assert plan_of(m).count("arrays_zip") == 1
+    assert [x.m and (x.m.pred, x.m.gold) for x in m.collect()][:2] == [([1, None], [1, 2]), ([1, None], [1, 0])]
+    assert tuple(metrics.token_accuracy(df, "p", "g").first())[:2] == (4, 2)
