@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanforge.functions.arrays import pin
+from spanforge.functions.bitmaps import bitmap_of, cannot_be_in, may_be_in
 from spanforge.functions.text import strip_fence
 from spanforge.operators.sampling import dense_index
 from spanforge.operators.spans import find_spans_next, has_unmatched, spans_to_labels
@@ -107,17 +108,34 @@ def llm_map_once(df: DataFrame, prompt_col: str, client_factory: Callable[[], Ca
     task ends (its files are moved at its commit, not at the job's), so after a crash or
     a lost executor the next run asks only for what is missing.  Should a prompt be in
     it twice, one answer counts.  Calls that failed for good are answers too.  Returns
-    keys, raw, attempts, call_status, call_error, as ``llm_map``."""
+    keys, raw, attempts, call_status, call_error, as ``llm_map``.
+
+    What is missing is found on the keys of the prompts, which are written; prompts are
+    sent to another task only where a bitmap says that they may occur again (or where the
+    ledger holds some of them).  ``df`` is read up to three times."""
     spark = df.sparkSession
     schema = "prompt_key string, raw string, attempts int, call_status int, call_error string"
-    asked = df.withColumn("prompt_key", prompt_key(F.col(prompt_col), system))
-    missing = asked.select("prompt_key", prompt_col).dropDuplicates(["prompt_key"])
+    prompts = df.withColumn("prompt_key", prompt_key(F.col(prompt_col), system))
+    asked = write_scratch(prompts.select(*key_cols, "prompt_key"), "asked")
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(ledger)
-    if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
-        missing = missing.join(spark.read.schema(schema).parquet(ledger).select("prompt_key"), "prompt_key", "left_anti")
-    (llm_map(missing, prompt_col, client_factory, ["prompt_key"], system, sleep)
-     .write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(ledger))
-    answers = spark.read.schema(schema).parquet(ledger).dropDuplicates(["prompt_key"])
+    known = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+    missing = asked.groupBy("prompt_key").agg(F.count("*").alias("__n"))
+    if known:
+        answered = spark.read.schema(schema).parquet(ledger).select("prompt_key")
+        missing = missing.join(answered, "prompt_key", "left_anti")
+    missing = write_scratch(missing.select(F.xxhash64("prompt_key").alias("__h"), (F.col("__n") > 1).alias("__again")), "missing")
+    if not missing.isEmpty():
+        rows = prompts.select("prompt_key", prompt_col, F.xxhash64("prompt_key").alias("__h"))
+        if known:
+            rows = may_be_in(rows, "__h", bitmap_of(missing.select("__h"))).join(answered, "prompt_key", "left_anti")
+        again = bitmap_of(missing.where("__again").select("__h"))
+        rows = cannot_be_in(rows, "__h", again).unionByName(may_be_in(rows, "__h", again).dropDuplicates(["prompt_key"]))
+        (llm_map(rows, prompt_col, client_factory, ["prompt_key"], system, sleep)
+         .write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(ledger))
+    elif not known:                                     # no prompts at all: the ledger is there, empty
+        spark.createDataFrame([], schema).write.mode("append").parquet(ledger)
+    # dealt by key before they are compared, so that they are sorted once
+    answers = spark.read.schema(schema).parquet(ledger).repartition("prompt_key").dropDuplicates(["prompt_key"])
     return asked.join(answers, "prompt_key").select(*key_cols, "raw", "attempts", "call_status", "call_error")
 
 
@@ -127,7 +145,8 @@ def json_status(clean: Column) -> Column:
     ``text`` is a string; else 'no_text'.  As in Python's parser the values NaN and
     (-)Infinity are accepted; unlike there a repeated key is an error, as it is
     ambiguous which value was meant."""
-    clean = F.regexp_replace(clean, F.lit(r"([:,\[]\s*)-?(?:NaN|Infinity)(?=\s*[,}\]])"), F.lit("$1null"))
+    plain = F.regexp_replace(clean, F.lit(r"([:,\[]\s*)-?(?:NaN|Infinity)(?=\s*[,}\]])"), F.lit("$1null"))
+    clean = F.when(clean.contains("NaN") | clean.contains("Infinity"), plain).otherwise(clean)     # few texts need it
     wrapped = F.try_parse_json(F.concat(F.lit("["), clean, F.lit("]")))
     as_value = F.try_parse_json(F.concat(F.lit('{"v":'), clean, F.lit("}")))
     n = F.json_array_length(F.concat(F.lit("["), clean, F.lit("]")))

@@ -13,7 +13,7 @@ from spanforge.plans.bindings import SEED
 from spanforge.plans.queries_corpus import joined
 from spanforge.plans.registry import query
 from spanforge.schemas import CONTEXTS, FIXED_DOSE_UNITS, FIXED_DOSE_VALUES, SHAPES, SHAPES_NOTEBOOK, STYLES, SYSTEM_PROMPT
-from spanforge.session import table
+from spanforge.session import table, write_scratch
 from spanforge.sources.lexicon_store import size_of
 
 S = str(SEED)
@@ -396,7 +396,9 @@ def llm_map_once(spark, d):
     def nobody():
         raise RuntimeError("every prompt is answered")
 
-    p, ledger = G.prompt_rows(spark, d), scratch_path(spark, "ledger")
+    # both runs read the same stored prompts, mostly the same words: they pack well
+    p = write_scratch(G.prompt_rows(spark, d).select("row_id", "prompt"), "prompts", "zstd")
+    ledger = scratch_path(spark, "ledger")
     responses.llm_map_once(p, "prompt", stub_client, ["row_id"], SYSTEM_PROMPT, ledger, sleep=lambda s: None)
     r = responses.llm_map_once(p, "prompt", nobody, ["row_id"], SYSTEM_PROMPT, ledger)
     return responses.parse_responses(r, "raw").select("row_id", "attempts", "call_status", "call_error", "status", "text")

@@ -161,3 +161,37 @@ def test_masked_and_counted_once(spark):
     assert plan_of(m).count("arrays_zip") == 1
     assert [x.m and (x.m.pred, x.m.gold) for x in m.collect()][:2] == [([1, None], [1, 2]), ([1, None], [1, 0])]
     assert tuple(metrics.token_accuracy(df, "p", "g").first())[:2] == (4, 2)
+
+
+def test_answered_prompts_are_read_once(spark, tmp_path):
+    """A second run makes the prompts once, for their keys; repeated prompts are asked once."""
+    from spanforge.operators.responses import llm_map_once
+    made = spark.sparkContext.accumulator(0)
+    texts = ["a", "b", "a", None, None, "", "c", "a"]
+
+    @F.udf("string")
+    def prompt(k):
+        made.add(1)
+        return texts[k % 8] and f"{texts[k % 8]}{k // 24}"
+    rows = spark.range(0, 120, 1, 4).select("id", prompt("id").alias("prompt"))
+
+    def client(nobody):
+        def make():
+            if nobody:
+                raise RuntimeError("every prompt is answered")
+            return lambda p, system, attempt: f"{system}:{p}"
+        return make
+    ledger = str(tmp_path / "ledger")
+    llm_map_once(rows, "prompt", client(False), ["id"], "s", ledger)
+    asked = spark.read.parquet(ledger)
+    assert asked.count() == asked.select("prompt_key").distinct().count() == 5 * 3 + 2
+    made.value = 0
+    got = llm_map_once(rows, "prompt", client(True), ["id"], "s", ledger).collect()
+    assert made.value == 120
+    want = [(k, "s:None" if texts[k % 8] is None else f"s:{texts[k % 8]}{k // 24}" if texts[k % 8] else "s:") for k in range(120)]
+    assert sorted((x.id, x.raw) for x in got) == want
+    more = rows.unionByName(spark.createDataFrame([(200, "new"), (201, "new")], "id long, prompt string"))
+    assert llm_map_once(more, "prompt", client(False), ["id"], "s", ledger).count() == 122
+    assert spark.read.parquet(ledger).count() == 5 * 3 + 3
+    none = llm_map_once(rows.where("id < 0"), "prompt", client(True), ["id"], "s", str(tmp_path / "empty"))
+    assert none.count() == 0
