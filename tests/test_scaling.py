@@ -195,3 +195,32 @@ def test_answered_prompts_are_read_once(spark, tmp_path):
     assert spark.read.parquet(ledger).count() == 5 * 3 + 3
     none = llm_map_once(rows.where("id < 0"), "prompt", client(True), ["id"], "s", str(tmp_path / "empty"))
     assert none.count() == 0
+
+
+@pytest.mark.parametrize("kind", ["long", "int", "string"])
+def test_mean_vector_writes_packed_counts(spark, monkeypatch, kind):
+    """A row a key, not one a (key, vector): ids of any size, null keys, repeated ids."""
+    from spanforge.operators import similarity
+    ids = [0, 1, 127, 128, 300, 1 << 20, (1 << 31) - 1, -5] + ([1 << 62, -(1 << 62), -(1 << 63), (1 << 63) - 1] if kind == "long" else [])
+    data = [(k % 5 or None, f"k{k % 2}", ids[k * k % len(ids)] if k % 11 else None) for k in range(400)]
+    rows = spark.createDataFrame(data, "a int, b string, v long").withColumn("v", F.col("v").cast(kind)).coalesce(1)
+    vectors = [(i, [float(n), None, 2.0][:n % 4]) for n, i in enumerate(ids)] + [(ids[1], [1.0, 2.0, 3.0, 4.0]), (ids[2], None), (99, [1.0])]
+    table = spark.createDataFrame(vectors, "v long, e array<float>").withColumn("v", F.col("v").cast(kind))
+    written = []
+    monkeypatch.setattr(similarity, "write_scratch", lambda df, *how: written.append(df) or df)
+    want = {}
+    for a, b, i in data:
+        for v, e in vectors:
+            if v == i and e is not None:
+                want.setdefault((a, b), []).append(e)
+    assert len(want) == 10
+    for at_once in (1 << 24, 7):
+        got = similarity.mean_vector(rows, ["a", "b"], "v", table, "e", rows_at_once=at_once).collect()
+        assert len(got) == len(want)
+        for x in got:
+            es = want[x.a, x.b]
+            wide = max(map(len, es))
+            mean = [sum((e[j] or 0.0) if j < len(e) else 0.0 for e in es) / len(es) for j in range(wide)]
+            assert x.n_vectors == len(es) and x.mean_vec == pytest.approx(mean)
+    assert [df.count() for df in written] == [10, 10]
+    assert similarity.mean_vector(rows.where("a > 9"), ["a", "b"], "v", table, "e").count() == 0
