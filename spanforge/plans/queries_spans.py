@@ -225,12 +225,8 @@ def _model_inputs(spark, d, last_match=False):
     s = s.withColumn("__ents", pin(F.transform(srt, lambda x: F.struct(
         x["start"].alias("start"), x["stop"].alias("stop"), x["ner_class"].alias("class_id")))))
     ents = F.col("__ents")
-    offs = F.transform(seq, lambda t: F.struct(t["start"].alias("start"), t["stop"].alias("stop")))
     s = s.withColumn("seq", pin(seq))
-    s = s.withColumn("__offs", pin(F.transform("seq", lambda t: F.struct(t["start"].alias("start"),
-                                                                          t["stop"].alias("stop")))))
-    offs = F.col("__offs")
-    return s.select("doc_id", "line_no", "sent_id", "seq", pin(bio.token_labels(offs, ents, last_match)).alias("labels"))
+    return s.select("doc_id", "line_no", "sent_id", "seq", pin(bio.token_labels(F.col("seq"), ents, last_match)).alias("labels"))
 
 
 @query("truncate_with_specials", lambda: O.with_(O.SENTENCES, O.PIECES, O.TOKENS, O.SEQ_128) +

@@ -224,3 +224,27 @@ def test_mean_vector_writes_packed_counts(spark, monkeypatch, kind):
             assert x.n_vectors == len(es) and x.mean_vec == pytest.approx(mean)
     assert [df.count() for df in written] == [10, 10]
     assert similarity.mean_vector(rows.where("a > 9"), ["a", "b"], "v", table, "e").count() == 0
+
+
+def test_flips_and_chunks_of_a_batch(spark):
+    from spanforge.functions.hashing import draw_index, unit_draw
+    from spanforge.operators import bio, metrics
+    from spanforge.plans import bindings as B
+    rows = [(0, 7, [0, 1, 2, 0, 4, 3, 4, 6] * 30), (1, None, [2, 2, 1, None, 0]), (2, 5, []), (3, 6, None), (4, 8, [6]), (5, 9, [1]),
+            (6, 10, [-100, 1, 2, -100]), (7, 11, [0, 9])]
+    df = spark.createDataFrame(rows, "k int, key long, t array<int>").coalesce(1)
+    flips = df.select("k", B.flip_tags(F.col("t"), F.col("key")).alias("t"))
+    want = df.select("k", F.transform("t", lambda t, i: F.when(
+        unit_draw(42, F.col("key"), i, "flip") < 0.1, draw_index(7, 42, F.col("key"), i, "tag")).otherwise(t)).alias("t"))
+    assert "ArrowEvalPython" in plan_of(flips) and "md5" not in plan_of(flips)
+    got = {x.k: x.t for x in flips.collect()}
+    assert got == {x.k: x.t for x in want.collect()} and got[0] != rows[0][2]
+    chunks = df.where("k > 0").select("k", bio.bio_chunks(F.col("t")).alias("c"))
+    assert "ArrowEvalPython" in plan_of(chunks)
+    m, d = "Medikation", "Diagnose"
+    assert [[tuple(y) for y in x.c] for x in chunks.orderBy("k").collect()] == [
+        [(m, 0, 1), (m, 2, 2)], [], [], [(d, 0, 0)], [(m, 0, 0)], [(None, 0, 0), (m, 1, 2), (None, 3, 3)], [(None, 1, 1)]]
+    pairs = spark.createDataFrame([([(m, 0, 1), (m, 0, 1), (d, 3, 3), (None, 4, 4)], [(m, 0, 1), (d, 3, 4), (m, 3, 3)])],
+                                  "g array<struct<type:string,first:int,last:int>>, p array<struct<type:string,first:int,last:int>>")
+    counts = pairs.select(metrics.class_counts(F.col("g"), F.col("p"))).first()[0]
+    assert {x.type: tuple(x)[1:] for x in counts} == {m: (2, 2, 1), "Dosis": (0, 0, 0), d: (1, 1, 0)}
