@@ -248,3 +248,28 @@ def test_flips_and_chunks_of_a_batch(spark):
                                   "g array<struct<type:string,first:int,last:int>>, p array<struct<type:string,first:int,last:int>>")
     counts = pairs.select(metrics.class_counts(F.col("g"), F.col("p"))).first()[0]
     assert {x.type: tuple(x)[1:] for x in counts} == {m: (2, 2, 1), "Dosis": (0, 0, 0), d: (1, 1, 0)}
+
+
+def test_terms_are_looked_up_by_stretch(spark, tmp_path, monkeypatch):
+    """The texts are cut once; a term's occurrences of a stretch are one row of the join."""
+    import __spark_entry__ as entry
+    from spanforge.operators import tokens
+    from spanforge.plans import queries_eval
+    texts = [(1, "a b a \u00e9\U0001f600"), (2, None), (3, ""), (None, "a b"), (1, "b, a\n\nc"), (4, "\t")]
+    spark.createDataFrame(texts, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    want = sorted((str(x.sent_id), y.i, y.text) for x in queries_eval._toks(spark, str(tmp_path)).collect() for y in x.tokens)
+    q = entry.queries()["term_lookup"](spark, str(tmp_path))
+    assert "documents.parquet" not in plan_of(q) and "BroadcastHashJoin" not in plan_of(q)
+    assert sorted((str(x.sent_id), x.i, x.token) for x in q.collect()) == want
+    rows = spark.createDataFrame([(k, None if k % 9 == 0 else f"w{k % 4}") for k in range(90)], "k int, token string").coalesce(1)
+    for at_once, n in ((1 << 20, 4), (30, 8)):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "15")
+        try:
+            t = tokens.encoded(rows, ["k"], rows_at_once=at_once).collect()
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        assert len(t) == n
+        assert sorted((k, x.term) for x in t for k in x.k) == sorted((x.k, x.token) for x in rows.collect() if x.token)
+    term_id = F.conv(F.substring(F.md5("token"), 1, 15), 16, 10).cast("bigint")
+    ids = {x.token: x.id for x in rows.where("token is not null").select("token", term_id.alias("id")).distinct().collect()}
+    assert {x.term: x.term_id for x in t} == ids
